@@ -45,7 +45,18 @@ def admin_match(
     groups: Mapping = config.ADMIN_GROUPS,
 ) -> Column:
     """MATCH, MISMATCH, NO_RAW_ADM or NO_POLYGON for a declared and a found unit name."""
-    raw_name, found = normalize_name(raw), normalize_name(polygon)
+    return match_normalized(normalize_name(raw), normalize_name(polygon), iso, level, aliases, groups)
+
+
+def match_normalized(
+    raw_name: Column,
+    found: Column,
+    iso: Column,
+    level: int = 1,
+    aliases: Mapping = config.ADMIN_ALIASES,
+    groups: Mapping = config.ADMIN_GROUPS,
+) -> Column:
+    """The same rule on names that are normalised already."""
     wanted = canonical_admin(iso, raw_name, level, aliases)
     covered = F.lit(False)
     children = _map_literal(_flatten(groups, level))
@@ -102,8 +113,8 @@ def admin_status(
     aliases: Mapping = config.ADMIN_ALIASES,
     groups: Mapping = config.ADMIN_GROUPS,
 ) -> Column:
-    """Status of one admin level under the country's policy."""
-    name = clean_text(polygon_name)
+    """Status of one admin level under the country's policy; names come normalised."""
+    name = polygon_name
     declared, found = clean_text(raw_code), clean_text(polygon_code)
     both_codes = (declared != "") & (found != "")
     compared = (
@@ -111,7 +122,7 @@ def admin_status(
         .when(~in_bounds, "NOT_RUN")
         .when(name == "", "NO_POLYGON")
         .when(both_codes, F.when(declared == found, "MATCH").otherwise("MISMATCH"))
-        .otherwise(admin_match(raw_name, polygon_name, iso, level, aliases, groups))
+        .otherwise(match_normalized(raw_name, polygon_name, iso, level, aliases, groups))
     )
     contained = (
         F.when(name != "", "MATCH").when(~has_coords, "NO_DATA").otherwise("NO_POLYGON")

@@ -1,7 +1,8 @@
 """Spatial operators as equi-joins: containment, boundary distance and nearest items.
 
-Boundaries are two tables: `polygons` (adm0_pcode, pcode, name, poly_seq, ...) and `edges`
-(adm0_pcode, pcode, sx, sy, ex, ey: start and end), one row per side of a ring.
+Boundaries are two tables: `polygons` (level, adm0_pcode, pcode, name, poly_seq, ...) and
+`edges` (level, adm0_pcode, pcode, sx, sy, ex, ey: start and end), one row per side of a
+ring. Several levels are handled in one pass.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from access_spark.operators.keyed import top_per_group
 from access_spark.session import cut_lineage
 
 CELL_DEGREES = 0.25
+POLYGON = ("adm0_pcode", "level", "pcode")
 
 
 def _cell(value: Column, size: float) -> Column:
@@ -29,7 +31,7 @@ def _cell(value: Column, size: float) -> Column:
 def _edge_bands(edges: DataFrame, size: float) -> DataFrame:
     low, high = F.least("sy", "ey"), F.greatest("sy", "ey")
     return edges.select(
-        "adm0_pcode", "pcode", "sx", "sy", "ex", "ey",
+        *POLYGON, "sx", "sy", "ex", "ey",
         F.explode(F.sequence(_cell(low, size), _cell(high, size))).alias("cy"),
     )
 
@@ -51,13 +53,13 @@ def _crossing_test(candidates: DataFrame, edges: DataFrame, keys: Sequence[str],
         & y.between(F.least(ay, by), F.greatest(ay, by))
     )
     joined = candidates.withColumn("cy", _cell(y, size)).join(
-        _edge_bands(edges, size), ["adm0_pcode", "pcode", "cy"]
+        _edge_bands(edges, size), [*POLYGON, "cy"]
     )
-    return joined.groupBy(*keys, "pcode").agg(
+    return joined.groupBy(*keys, "level", "pcode").agg(
         (F.sum((F.coalesce(spans & (x < reach), F.lit(False))).cast("int")) % 2 == 1).alias("_odd"),
         F.max(touches.cast("int")).alias("_touch"),
     ).select(
-        *keys, "pcode",
+        *keys, "level", "pcode",
         (F.col("_odd") & (F.col("_touch") == 0)).alias("inside"),
         (F.col("_touch") == 1).alias("on_edge"),
     )
@@ -66,44 +68,46 @@ def _crossing_test(candidates: DataFrame, edges: DataFrame, keys: Sequence[str],
 def cover_cells(edges: DataFrame, size: float = CELL_DEGREES) -> DataFrame:
     """Lattice cells a polygon touches: `whole` cells lie inside it entirely, the others
     hold part of its edge. Size depends on the boundaries alone, not on the points."""
-    cells = edges.groupBy("adm0_pcode", "pcode").agg(
+    cells = edges.groupBy(*POLYGON).agg(
         F.sequence(_cell(F.min(F.least("sx", "ex")), size), _cell(F.max(F.greatest("sx", "ex")), size)).alias("xs"),
         F.sequence(_cell(F.min(F.least("sy", "ey")), size), _cell(F.max(F.greatest("sy", "ey")), size)).alias("ys"),
     )
-    cells = cells.select("adm0_pcode", "pcode", F.explode("xs").alias("cx"), "ys").select(
-        "adm0_pcode", "pcode", "cx", F.explode("ys").alias("cy")
+    cells = cells.select(*POLYGON, F.explode("xs").alias("cx"), "ys").select(
+        *POLYGON, "cx", F.explode("ys").alias("cy")
     )
     edge_cells = (
         _edge_bands(edges, size)
         .select(
-            "adm0_pcode", "pcode", "cy",
+            *POLYGON, "cy",
             F.explode(
                 F.sequence(_cell(F.least("sx", "ex"), size), _cell(F.greatest("sx", "ex"), size))
             ).alias("cx"),
         )
         .distinct()
     )
-    key = ["adm0_pcode", "pcode", "cx", "cy"]
+    key = [*POLYGON, "cx", "cy"]
     free = cells.join(edge_cells, key, "left_anti").withColumns(
         {"x": (F.col("cx") + 0.5) * size, "y": (F.col("cy") + 0.5) * size}
     )
     whole = _crossing_test(free, edges, ["adm0_pcode", "cx", "x", "y"], size).filter("inside")
-    whole = whole.select("adm0_pcode", "pcode", "cx", _cell(F.col("y"), size).alias("cy"), F.lit(True).alias("whole"))
+    whole = whole.select(*POLYGON, "cx", _cell(F.col("y"), size).alias("cy"), F.lit(True).alias("whole"))
     return whole.unionByName(edge_cells.select(*key, F.lit(False).alias("whole")))
 
 
 def polygons_of_points(points: DataFrame, edges: DataFrame, keys: Sequence[str], size: float = CELL_DEGREES) -> DataFrame:
     """All (point, polygon) pairs where the polygon covers the point.
 
-    `points` has the keys, adm0_pcode, x and y; the result has the keys, pcode, `inside`
-    (strictly) and `on_edge`. Points in whole cells never meet an edge.
+    `points` has the keys, adm0_pcode, x and y; the result has the keys, level, pcode,
+    `inside` (strictly) and `on_edge`. Points in whole cells never meet an edge.
     """
     cells = cover_cells(edges, size)
     placed = points.filter(F.col("x").isNotNull() & F.col("y").isNotNull()).withColumns(
         {"cx": _cell(F.col("x"), size), "cy": _cell(F.col("y"), size)}
     )
     pairs = placed.join(cells, ["adm0_pcode", "cx", "cy"])
-    sure = pairs.filter("whole").select(*keys, "pcode", F.lit(True).alias("inside"), F.lit(False).alias("on_edge"))
+    sure = pairs.filter("whole").select(
+        *keys, "level", "pcode", F.lit(True).alias("inside"), F.lit(False).alias("on_edge")
+    )
     tested = _crossing_test(pairs.filter("NOT whole").drop("cx", "cy", "whole"), edges, keys, size)
     return sure.unionByName(tested.filter("inside OR on_edge"))
 
@@ -118,7 +122,8 @@ def locate(
 ) -> DataFrame:
     """First polygon (lowest poly_seq) strictly containing each point; one row per match."""
     inside = polygons_of_points(points, edges, keys, size).filter("inside")
-    named = inside.select(*keys, "pcode").join(polygons.select("pcode", "poly_seq", *[c for c in columns if c != "pcode"]), "pcode")
+    names = polygons.select("level", "pcode", "poly_seq", *[c for c in columns if c != "pcode"])
+    named = inside.select(*keys, "level", "pcode").join(names, ["level", "pcode"])
     first = F.min(F.struct("poly_seq", *columns)).alias("m")
     return named.groupBy(*keys).agg(first).select(*keys, *[F.col(f"m.{c}").alias(c) for c in columns])
 
@@ -360,8 +365,8 @@ def k_nearest_points(
     )
 
 
-def nearest_polygons(points: DataFrame, edges: DataFrame, k: int, key: str) -> DataFrame:
-    """k nearest polygons of each point's country, by the distance to their edges."""
+def nearest_polygons(points: DataFrame, edges: DataFrame, k: int, key: str, group: str = "adm0_pcode") -> DataFrame:
+    """k nearest polygons of each point's group (its country), by the distance to their edges."""
     sides = edges.withColumns(
         {
             "x1": F.least("sx", "ex"), "x2": F.greatest("sx", "ex"),
@@ -374,7 +379,7 @@ def nearest_polygons(points: DataFrame, edges: DataFrame, k: int, key: str) -> D
         return _planar2(F.col("x"), F.col("y"), fx, fy)
 
     return nearest_items(
-        points, sides, k, "adm0_pcode", key, ["pcode"], "poly_seq", to_edge, owner="pcode" if k > 1 else None
+        points, sides, k, group, key, ["pcode"], "poly_seq", to_edge, owner="pcode" if k > 1 else None
     )
 
 

@@ -73,53 +73,91 @@ def with_addresses(df: DataFrame, addresses: DataFrame | None) -> DataFrame:
     return df.withColumns(out)
 
 
-def _located(df: DataFrame, boundaries: DataFrame, edges: DataFrame, level: int) -> DataFrame:
-    polygons = boundaries.filter(F.col("level") == level)
-    sides = edges.filter(F.col("level") == level)
-    points = df.filter(F.col("qc_in_bounds")).select(
-        "adm0_pcode", "_row", F.col("longitud").alias("x"), F.col("latitud").alias("y")
+def _located(df: DataFrame, boundaries: DataFrame, edges: DataFrame) -> DataFrame:
+    """Cover by the country outline and the first unit at both levels, in one pass."""
+    lat, lon = F.col("latitud"), F.col("longitud")
+    points = df.filter((F.abs(lat) <= 90) & (F.abs(lon) <= 180)).select(
+        "adm0_pcode", "_row", "qc_in_bounds", lon.alias("x"), lat.alias("y")
     )
-    found = spatial.locate(points, polygons, sides, ["_row"], ("pcode", "name"))
-    return df.join(
-        found.select("_row", F.col("pcode").alias(f"_code{level}"), F.col("name").alias(f"_name{level}")), "_row", "left"
+    hits = spatial.polygons_of_points(points, edges, ["_row", "qc_in_bounds"])
+    units = boundaries.filter(F.col("level") > 0).select("level", "pcode", "name", "poly_seq")
+    named = hits.join(units, ["level", "pcode"], "left")
+    unit = F.struct("poly_seq", "pcode", "name")
+    usable = F.col("inside") & F.col("qc_in_bounds")
+    found = named.groupBy("_row").agg(
+        F.max(F.col("level") == 0).alias("_covered"),
+        *[F.min(F.when(usable & (F.col("level") == lv), unit)).alias(f"_u{lv}") for lv in (1, 2)],
     )
+    return df.join(found, "_row", "left").withColumns(
+        {
+            "_covered": F.coalesce("_covered", F.lit(False)),
+            **{f"_code{lv}": F.col(f"_u{lv}.pcode") for lv in (1, 2)},
+            **{f"_name{lv}": F.col(f"_u{lv}.name") for lv in (1, 2)},
+        }
+    ).drop("_u1", "_u2")
 
 
-def _rescued(
-    df: DataFrame, boundaries: DataFrame, edges: DataFrame, level: int, aliases: Mapping, groups: Mapping
-) -> DataFrame:
+def _rescued(df: DataFrame, boundaries: DataFrame, edges: DataFrame, aliases: Mapping, groups: Mapping) -> DataFrame:
     """Schools just outside every polygon: trust a declared code among the two nearest
     polygons, then a declared name that fits the nearest one within a kilometre."""
-    polygons = boundaries.filter(F.col("level") == level).select("adm0_pcode", "pcode", "name", "poly_seq")
-    sides = edges.filter(F.col("level") == level).join(polygons, ["adm0_pcode", "pcode"])
-    code, raw = F.col(f"raw_adm{level}_code"), F.col(f"qc_raw_adm{level}")
-    lost = F.col(f"_code{level}").isNull() & F.col("qc_in_bounds") & ((code != "") | (raw != ""))
-    points = df.filter(lost).select(
-        "adm0_pcode", "_row", F.col("longitud").alias("x"), F.col("latitud").alias("y"),
-        code.alias("_declared"), raw.alias("_said"),
+    area = F.concat_ws("|", "adm0_pcode", "level").alias("_area")
+    polygons = boundaries.filter(F.col("level") > 0).select("adm0_pcode", "level", "pcode", "name", "poly_seq")
+    sides = edges.filter(F.col("level") > 0).join(
+        polygons.select("adm0_pcode", "level", "pcode", "poly_seq"), ["adm0_pcode", "level", "pcode"]
+    ).select("*", area)
+    asked = F.array(
+        *[
+            F.when(
+                F.col(f"_code{lv}").isNull(),
+                F.struct(
+                    F.lit(lv).alias("level"), F.col(f"raw_adm{lv}_code").alias("_declared"),
+                    F.col(f"qc_raw_adm{lv}").alias("_raw"), F.col(f"_said{lv}").alias("_a"),
+                ),
+            )
+            for lv in (1, 2)
+        ]
+    )
+    points = (
+        df.filter("qc_in_bounds")
+        .select("adm0_pcode", "_row", F.col("longitud").alias("x"), F.col("latitud").alias("y"), F.explode(asked).alias("q"))
+        .filter("q IS NOT NULL AND (q._declared <> '' OR q._raw <> '')")
+        .select("adm0_pcode", "_row", "x", "y", "q.*")
+        .select("*", area, F.concat_ws("|", "_row", "level").alias("_ask"))
     )
-    two = spatial.nearest_polygons(points.select("adm0_pcode", "_row", "x", "y"), sides, 2, "_row")
-    near = two.join(points, ["adm0_pcode", "_row"]).join(polygons, ["adm0_pcode", "pcode"])
-    by_code = near.filter(F.col("_declared") == F.col("pcode")).select(
-        "_row", F.lit(0).alias("_pick"), "pcode", "name"
+    points = cut_lineage(points)
+    two = spatial.nearest_polygons(points.select("_area", "_ask", "x", "y"), sides.drop("adm0_pcode", "level"), 2, "_ask", "_area")
+    near = two.select("_ask", "pcode", "rank").join(points, "_ask").join(
+        polygons.drop("poly_seq"), ["adm0_pcode", "level", "pcode"]
     )
-    first = near.filter((F.col("rank") == 1) & (F.col("_said") != ""))
-    km = spatial.distance_to_boundary(
-        first.select("_row", "adm0_pcode", "pcode", "x", "y"),
-        sides.select("adm0_pcode", "pcode", "sx", "sy", "ex", "ey"),
-        ["_row"], ["adm0_pcode", "pcode"],
+    near = cut_lineage(near)
+    by_code = near.filter((F.col("_declared") == F.col("pcode")) & (F.col("_declared") != "")).select(
+        "_row", "level", F.lit(0).alias("_pick"), "pcode", "name"
     )
-    fits = quality.admin_match(F.col("_said"), F.col("name"), F.col("adm0_pcode"), level, aliases, groups) == "MATCH"
-    by_name = first.filter(fits).join(km, "_row").filter(F.col("km") <= config.NAME_RESCUE_KM).select(
-        "_row", F.lit(1).alias("_pick"), "pcode", "name"
+    first = near.filter((F.col("rank") == 1) & (F.col("_raw") != "")).withColumn("_b", normalize_name(F.col("name")))
+    fits = quality.match_normalized(F.col("_a"), F.col("_b"), F.col("adm0_pcode"), 1, aliases, groups)
+    fits2 = quality.match_normalized(F.col("_a"), F.col("_b"), F.col("adm0_pcode"), 2, aliases, groups)
+    matching = first.filter(F.when(F.col("level") == 1, fits).otherwise(fits2) == "MATCH")
+    km = spatial.distance_to_boundary(matching, edges, ["_row", "level"], ["adm0_pcode", "level", "pcode"])
+    by_name = matching.join(km, ["_row", "level"]).filter(F.col("km") <= config.NAME_RESCUE_KM).select(
+        "_row", "level", F.lit(1).alias("_pick"), "pcode", "name"
+    )
+    pick = F.struct("_pick", "pcode", "name")
+    choice = by_code.unionByName(by_name).groupBy("_row").agg(
+        *[F.min(F.when(F.col("level") == lv, pick)).alias(f"_r{lv}") for lv in (1, 2)]
     )
-    choice = by_code.unionByName(by_name).groupBy("_row").agg(F.min(F.struct("_pick", "pcode", "name")).alias("_r"))
     return df.join(choice, "_row", "left").withColumns(
         {
-            f"_code{level}": F.coalesce(f"_code{level}", "_r.pcode"),
-            f"_name{level}": F.coalesce(f"_name{level}", "_r.name"),
+            **{f"_code{lv}": F.coalesce(f"_code{lv}", f"_r{lv}.pcode") for lv in (1, 2)},
+            **{f"_name{lv}": F.coalesce(f"_name{lv}", f"_r{lv}.name") for lv in (1, 2)},
         }
-    ).drop("_r")
+    ).drop("_r1", "_r2")
+
+
+def _with_country_codes(edges: DataFrame, codes: DataFrame) -> DataFrame:
+    """Outlines carry the boundary layer's own country code; the others the published one."""
+    outline = edges.filter(F.col("level") == 0).withColumnRenamed("adm0_pcode", "boundary_code")
+    renamed = outline.join(codes.select("boundary_code", "adm0_pcode"), "boundary_code").drop("boundary_code")
+    return edges.filter(F.col("level") != 0).unionByName(renamed.select(*edges.columns))
 
 
 def _with_declared_distance(df: DataFrame, boundaries: DataFrame, edges: DataFrame, aliases: Mapping) -> DataFrame:
@@ -127,9 +165,7 @@ def _with_declared_distance(df: DataFrame, boundaries: DataFrame, edges: DataFra
     policy = F.col("final_match_level")
     parts = []
     for level, name in ((1, "adm1"), (2, "adm2")):
-        wanted = quality.canonical_admin(
-            F.col("adm0_pcode"), normalize_name(F.col(f"qc_raw_adm{level}")), level, aliases
-        )
+        wanted = quality.canonical_admin(F.col("adm0_pcode"), F.col(f"_said{level}"), level, aliases)
         parts.append(
             df.filter((policy == name) & (F.col(f"qc_adm{level}_status") == "MISMATCH")).select(
                 "_row", "adm0_pcode", F.lit(level).alias("level"), wanted.alias("_norm"),
@@ -146,16 +182,10 @@ def _with_declared_distance(df: DataFrame, boundaries: DataFrame, edges: DataFra
     return df.join(km.withColumnRenamed("km", "qc_distance_to_raw_polygon_km"), "_row", "left")
 
 
-def _scope(df: DataFrame, boundaries: DataFrame, edges: DataFrame, codes: DataFrame | None) -> DataFrame:
-    outline = edges.filter(F.col("level") == 0)
-    if codes is not None:
-        # the boundary layer's own country codes
-        outline = outline.withColumnRenamed("adm0_pcode", "boundary_code").join(codes, "boundary_code").drop("boundary_code")
+def _scope(df: DataFrame, outline: DataFrame) -> DataFrame:
     lat, lon = F.col("latitud"), F.col("longitud")
     valid = (F.abs(lat) <= 90) & (F.abs(lon) <= 180)
-    points = df.filter(valid).select("adm0_pcode", "_row", lon.alias("x"), lat.alias("y"))
-    covered = spatial.covered_by_country(points, outline, ["_row"]).withColumn("_covered", F.lit(True))
-    outside = points.join(covered, "_row", "left_anti")
+    outside = df.filter(valid & ~F.col("_covered")).select("adm0_pcode", "_row", lon.alias("x"), lat.alias("y"))
     # only edges near enough to matter take part: 0.06 degrees exceed 5 km on a meridian,
     # and the square grows with latitude so that the edge nearest in degrees is in it
     wide = 0.06 / F.greatest(F.cos(F.radians(F.least(F.abs(F.col("y")), F.lit(85.0)))), F.lit(0.08))
@@ -171,13 +201,11 @@ def _scope(df: DataFrame, boundaries: DataFrame, edges: DataFrame, codes: DataFr
     ).select("*", F.explode(F.sequence(cell(F.least("sy", "ey")), cell(F.greatest("sy", "ey")))).alias("cy"))
     km = spatial.distance_to_boundary(asked, sides, ["_row"], ["adm0_pcode", "cx", "cy"])
     borders = outline.select("adm0_pcode").distinct().withColumn("_has_border", F.lit(True))
-    out = df.join(covered, "_row", "left").join(km.withColumnRenamed("km", "_border"), "_row", "left").join(
-        borders, "adm0_pcode", "left"
-    )
+    out = df.join(km.withColumnRenamed("km", "_border"), "_row", "left").join(borders, "adm0_pcode", "left")
     return out.withColumn(
         "qc_scope_class",
         quality.scope_class(
-            lat, lon, F.col("qc_in_bounds"), F.col("_has_border"), F.coalesce("_covered", F.lit(False)), F.col("_border")
+            lat, lon, F.col("qc_in_bounds"), F.col("_has_border"), F.col("_covered"), F.col("_border")
         ),
     ).drop("_covered", "_border", "_has_border")
 
@@ -216,18 +244,19 @@ def finalize(
     ).drop(*box)
     # row ids must not change when a task is run again, so this table is written once
     df = cut_lineage(df)
-    df = _scope(df, boundaries, edges, border_codes)
-    for level in (1, 2):
-        df = _located(df, boundaries, edges, level)
-    df = cut_lineage(df)
-    for level in (1, 2):
-        df = _rescued(df, boundaries, edges, level, aliases, groups)
+    if border_codes is not None:
+        edges = _with_country_codes(edges, border_codes)
+    df = cut_lineage(_located(df, boundaries, edges))
+    df = _scope(df, edges.filter(F.col("level") == 0))
+    df = df.withColumns({f"_said{lv}": normalize_name(F.col(f"qc_raw_adm{lv}")) for lv in (1, 2)})
+    df = _rescued(df, boundaries, edges, aliases, groups)
+    df = df.withColumns({f"_found{lv}": normalize_name(F.col(f"_name{lv}")) for lv in (1, 2)})
     has_coords = lat.isNotNull() & lon.isNotNull()
     policy = F.col("final_match_level")
     statuses: dict[str, Column] = {
         f"qc_adm{lv}_status": quality.admin_status(
-            lv, policy, F.col("adm0_pcode"), has_coords, F.col("qc_in_bounds"), F.col(f"qc_raw_adm{lv}"),
-            F.col(f"raw_adm{lv}_code"), F.col(f"_name{lv}"), F.col(f"_code{lv}"), aliases, groups,
+            lv, policy, F.col("adm0_pcode"), has_coords, F.col("qc_in_bounds"), F.col(f"_said{lv}"),
+            F.col(f"raw_adm{lv}_code"), F.col(f"_found{lv}"), F.col(f"_code{lv}"), aliases, groups,
         )
         for lv in (1, 2)
     }
@@ -238,7 +267,7 @@ def finalize(
             "adm2_pcode": F.coalesce("_code2", F.lit("")),
             "qc_match_level": quality.match_level(policy),
         }
-    ).drop("_code1", "_code2", "_name1", "_name2")
+    ).drop("_code1", "_code2", "_name1", "_name2", "_found1", "_found2")
     df = cut_lineage(df)
     df = _with_declared_distance(df, boundaries, edges, aliases)
     df = with_near_clusters(with_exact_clusters(df))
