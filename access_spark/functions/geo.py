@@ -87,7 +87,7 @@ def haversine_km(
         F.sin(half_lat) * F.sin(half_lat)
         + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.sin(half_lon) * F.sin(half_lon)
     )
-    return 2.0 * radius * F.asin(F.sqrt(F.least(chord, F.lit(1.0))))
+    return 2.0 * radius * F.asin(F.sqrt(F.when(chord > 1.0, 1.0).otherwise(chord)))
 
 
 def degree_distance(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:

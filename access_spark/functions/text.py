@@ -66,13 +66,16 @@ def _fold_table(form: str, ascii_only: bool) -> tuple[str, str, tuple[tuple[str,
 
 def _unaccent(col: Column, form: str, ascii_only: bool) -> Column:
     single, plain, multi = _fold_table(form, ascii_only)
-    # ligatures, fractions and the like: one letter each, followed by its plain form
-    pairs = F.split(F.lit("\n".join(char + text for char, text in multi)), "\n")
-    spelled = F.aggregate(
-        pairs, col, lambda text, pair: F.replace(text, F.substring(pair, 1, 1), F.substring(pair, 2, 9))
-    )
-    rare = f"[{''.join(char for char, _ in multi)}]"
-    folded = F.translate(F.when(col.rlike(rare), spelled).otherwise(col), single, plain)
+    folded = col
+    if multi:
+        # ligatures, fractions and the like: one letter each, followed by its plain form
+        pairs = F.split(F.lit("\n".join(char + plain_form for char, plain_form in multi)), "\n")
+        spelled = F.aggregate(
+            pairs, col, lambda text, pair: F.replace(text, F.substring(pair, 1, 1), F.substring(pair, 2, 9))
+        )
+        rare = f"[{''.join(char for char, _ in multi)}]"
+        folded = F.when(col.rlike(rare), spelled).otherwise(col)
+    folded = F.translate(folded, single, plain)
     folded = F.regexp_replace(folded, r"\p{M}+", "")
     if ascii_only:
         folded = F.regexp_replace(folded, r"[^\x00-\x7F]+", "")

@@ -81,3 +81,100 @@ def nearest_all_combos(candidates: DataFrame, cost: DataFrame, combo_keys: Seque
     priced = pairs.join(cost, ["cell_id", "school_id"], "left")
     spread = candidates.join(priced, ["cell_id", "school_id"])
     return nearest_school(spread, [*combo_keys, "cell_id"])
+
+
+# ---- least-cost travel over a friction grid --------------------------------------------------
+
+
+def passable(friction: DataFrame, nodata: float | None = None) -> DataFrame:
+    """Cells one can cross: finite, above zero and not nodata."""
+    value = finite(F.col("value"))
+    cond = value > 0
+    if nodata is not None:
+        cond = cond & (F.col("value") != nodata)
+    return friction.filter(F.coalesce(cond, F.lit(False)))
+
+
+def snap_sources(sources: DataFrame, valid: DataFrame, radius: int = 3) -> DataFrame:
+    """Move a source on an impassable cell to the first passable one around it.
+
+    Squares grow from radius 0 to `radius`, each scanned row by row; a source without a
+    passable cell in reach is dropped. `sources` has iso, source_id, row, col.
+    """
+    offsets = []
+    order = 0
+    for reach in range(radius + 1):
+        for dr in range(-reach, reach + 1):
+            for dc in range(-reach, reach + 1):
+                offsets.append(F.struct(F.lit(order).alias("ord"), F.lit(dr).alias("dr"), F.lit(dc).alias("dc")))
+                order += 1
+    tried = sources.select("iso", "source_id", "row", "col", F.explode(F.array(*offsets)).alias("o")).select(
+        "iso", "source_id", (F.col("row") + F.col("o.dr")).alias("row"), (F.col("col") + F.col("o.dc")).alias("col"), "o.ord"
+    )
+    hit = tried.join(valid.select("iso", "row", "col").distinct(), ["iso", "row", "col"])
+    best = F.min(F.struct("ord", "row", "col")).alias("b")
+    return hit.groupBy("iso", "source_id").agg(best).select("iso", "source_id", "b.row", "b.col")
+
+
+def least_cost_minutes(
+    friction: DataFrame, sources: DataFrame, height_m: float, widths: DataFrame, cap: float = 60.0, max_rounds: int = 2000
+) -> DataFrame:
+    """Minutes from every passable cell to its nearest source over eight neighbours.
+
+    A step costs its length times the mean friction (minutes per metre) of both cells.
+    Each round extends only cells that improved in the round before and stops at `cap`
+    minutes, so rounds follow the number of steps a trip within the cap can have.
+    `widths` has iso and width_m. Reported as least-cost time: movement is restricted to
+    eight directions.
+    """
+    grid = cut_lineage(
+        friction.select("iso", "row", "col", F.col("value").alias("f")).join(widths, "iso")
+    )
+    moves = F.array(
+        *[
+            F.struct(F.lit(dr).alias("dr"), F.lit(dc).alias("dc"))
+            for dr in (-1, 0, 1) for dc in (-1, 0, 1) if (dr, dc) != (0, 0)
+        ]
+    )
+    start = sources.select("iso", "row", "col").distinct().join(grid.select("iso", "row", "col"), ["iso", "row", "col"])
+    best = cut_lineage(start.withColumns({"minutes": F.lit(0.0), "fresh": F.lit(True)}))
+    key = ["iso", "row", "col"]
+    for _ in range(max_rounds):
+        frontier = best.filter("fresh").select(*key, "minutes").join(grid, key)
+        steps = frontier.select(
+            "iso", "minutes", F.col("f").alias("f0"), "width_m", F.col("row").alias("r0"), F.col("col").alias("c0"),
+            F.explode(moves).alias("m"),
+        ).select(
+            "iso", "minutes", "f0", (F.col("r0") + F.col("m.dr")).alias("row"), (F.col("c0") + F.col("m.dc")).alias("col"),
+            F.sqrt(
+                F.abs(F.col("m.dr")) * F.lit(height_m * height_m) + F.abs(F.col("m.dc")) * F.col("width_m") * F.col("width_m")
+            ).alias("length"),
+        )
+        reached = (
+            steps.join(grid.select(*key, "f"), key)
+            .withColumn("minutes", F.col("minutes") + F.col("length") * (F.col("f0") + F.col("f")) / 2.0)
+            .filter(F.col("minutes") <= cap)
+            .groupBy(*key).agg(F.min("minutes").alias("new"))
+        )
+        merged = best.select(*key, "minutes").join(reached, key, "full_outer")
+        better = F.coalesce(F.col("new") < F.col("minutes"), F.col("minutes").isNull())
+        best = cut_lineage(
+            merged.select(*key, F.least("minutes", "new").alias("minutes"), better.alias("fresh"))
+        )
+        if best.filter("fresh").isEmpty():
+            break
+    else:
+        raise RuntimeError("travel time did not settle")
+    return best.select(*key, "minutes")
+
+
+def polygon_mean_latitude(edges: DataFrame, key: str = "adm0_pcode") -> DataFrame:
+    """Centroid latitude per country from its edges (shoelace sums, longitude scaled by the
+    cosine of the latitude)."""
+    # edges of a polygon run around it in one direction, so the sums need no order
+    c1, c2 = F.cos(F.radians("sy")), F.cos(F.radians("ey"))
+    cross = F.col("sx") * c1 * F.col("ey") - F.col("ex") * c2 * F.col("sy")
+    sums = edges.groupBy(key).agg(
+        F.sum(cross).alias("_a"), F.sum(cross * (F.col("sy") + F.col("ey"))).alias("_m")
+    )
+    return sums.select(key, (F.col("_m") / (3.0 * F.col("_a"))).alias("mean_lat"))

@@ -1,6 +1,6 @@
 """Registered queries on the given tables, each with its SQL check."""
 
 from catalog.registry import ORACLES, QUERIES
-from catalog import indicators, registry_quality  # noqa: F401
+from catalog import indicators, linking, registry_quality, texts  # noqa: F401
 
 __all__ = ["ORACLES", "QUERIES"]
