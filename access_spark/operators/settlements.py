@@ -12,8 +12,8 @@ from access_spark.session import cut_lineage
 
 
 def block_sum(raster: DataFrame, block: int, rows: Column | None = None, cols: Column | None = None) -> DataFrame:
-    """Fine cells summed into blocks; negative and missing values count as zero. With the
-    raster's size given, incomplete blocks at its far edges are left out."""
+    """Fine cells summed into blocks; missing values count as zero and so does a negative
+    sum. With the raster's size given, incomplete blocks at its far edges are left out."""
     out = raster.select(
         "iso",
         F.floor(F.col("row") / block).cast("bigint").alias("_r"),

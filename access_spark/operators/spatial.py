@@ -198,7 +198,7 @@ def nearest_items(
     order: str,
     distance2: Callable[[], Column],
     owner: str | None = None,
-    leaf: int = 32,
+    leaf: int = 128,
     depth: int = 24,
 ) -> DataFrame:
     """Exact k nearest items per query point, by a joint descent of two quadtrees.
@@ -250,7 +250,7 @@ def nearest_items(
         .withColumn("nl", F.lit(0))
     )
     cell = [group, "qx", "qy"]
-    limit = 4 * k + leaf
+    limit = 4 * k + 2 * leaf
     finished: list[DataFrame] = []
     for level in range(depth + 1):
         near, far = _rect_distances(span / (1 << level), (ox, oy))
@@ -271,15 +271,16 @@ def nearest_items(
             )["bound"].alias("bound")
         )
         kept = measured.join(bound, cell).filter(F.col("near") <= F.col("bound") * (1 + 1e-9))
-        totals = kept.groupBy(*cell).agg(F.sum("n").alias("total"))
+        busy = (F.col("n") > leaf) & (F.col("nl") == level)
+        totals = kept.groupBy(*cell).agg(F.sum("n").alias("total"), F.max(busy).alias("busy"))
         kept = cut_lineage(kept.join(totals, cell).drop("near", "far", "bound"))
-        split = (F.col("total") > limit) & F.lit(level < depth)
+        # boxes that are not crowded are no smaller than the query cell, so few remain
+        split = (F.col("total") > limit) & F.col("busy") & F.lit(level < depth)
         finished.append(kept.filter(~split).select(*cell, *node[1:], "nl", F.lit(level).alias("ql")))
-        active = kept.filter(split).drop("total")
+        active = kept.filter(split).drop("total", "busy")
         if level == depth or active.isEmpty():
             break
-        crowded = active.filter((F.col("n") > leaf) & (F.col("nl") == level))
-        calm = active.filter(~((F.col("n") > leaf) & (F.col("nl") == level)))
+        crowded, calm = active.filter(busy), active.filter(~busy)
         parent = [group, "px", "py"] + ([owner] if owner else [])
         children = (
             it.withColumns({"px": at("ncx", level), "py": at("ncy", level)})

@@ -35,20 +35,21 @@ def assign_admin(cells: DataFrame, boundaries: DataFrame, edges: DataFrame) -> D
 
 
 def build_grid(
-    fine: DataFrame, block: int, origin_lat: float, origin_lon: float, pitch: float,
+    fine: DataFrame, block: int, transforms: DataFrame, pitch: float,
     boundaries: DataFrame, edges: DataFrame, ages: dict[str, list[DataFrame]], tiles: DataFrame, poverty: DataFrame,
 ) -> DataFrame:
     """One row per populated cell of every country, with the published grid columns.
 
-    `fine` is the fine population raster, `ages` maps a population column to its rasters
-    (on the coarse lattice), `tiles` are wealth tiles, `poverty` has adm2 rates.
+    `fine` is the fine population raster, `transforms` has its top-left corner per country
+    (iso, lat0, lon0), `pitch` is the coarse cell size, `ages` maps a population column to
+    its rasters (on the coarse lattice), `tiles` are wealth tiles, `poverty` has adm2 rates.
     """
-    coarse = settlements.block_sum(fine, block).withColumns(
+    coarse = settlements.block_sum(fine, block).join(transforms, "iso").withColumns(
         {
-            "lat": F.lit(origin_lat) - (F.col("row") + 0.5) * pitch,
-            "lon": F.lit(origin_lon) + (F.col("col") + 0.5) * pitch,
+            "lat": F.col("lat0") - (F.col("row") + 0.5) * pitch,
+            "lon": F.col("lon0") + (F.col("col") + 0.5) * pitch,
         }
-    ).withColumnRenamed("value", "pop_total")
+    ).withColumnRenamed("value", "pop_total").drop("lat0", "lon0")
     coarse = cut_lineage(coarse)
     classed = settlements.classify_area(coarse, pitch).filter("pop_total > 0").select(
         "iso", "row", "col", "lat", "lon", "pop_total", "area_class"

@@ -123,6 +123,26 @@ VIEWS: dict[str, str] = {
           concat('A', cast(p_partkey % 20 AS string), '-', p_brand) AS adm2_pcode,
           concat('District ', p_brand) AS adm2_name
         FROM {part}""",
+    # ---- rasters: fine population, ages on the coarse lattice, wealth tiles, poverty -----
+    "fine": """
+        SELECT r_name AS iso, cast(floor(cast(floor(o_orderkey / 5e0) AS bigint) / 60e0) AS bigint) AS row,
+          cast(floor(o_orderkey / 5e0) AS bigint) % 60 AS col,
+          CASE WHEN (cast(floor(o_orderkey / 5e0) AS bigint) * 7919) % 100 < 55 THEN o_totalprice / 1e2 ELSE NULL END AS value
+        FROM {orders} JOIN {region} ON o_orderkey % 5 = r_regionkey""",
+    "transform": """SELECT r_name AS iso, 20e0 AS lat0, r_regionkey * 4e0 AS lon0 FROM {region}""",
+    "ages": """
+        SELECT r_name AS iso, cast(floor(cast(floor(p_partkey / 5e0) AS bigint) / 30e0) AS bigint) AS row,
+          cast(floor(p_partkey / 5e0) AS bigint) % 30 AS col,
+          CASE WHEN p_partkey % 13 = 0 THEN -9999e0 ELSE p_size * 1e0 END AS value, p_retailprice AS value2
+        FROM {part} JOIN {region} ON p_partkey % 5 = r_regionkey""",
+    "tile": """
+        SELECT iso, k AS tile_seq, 20e0 - ((k * 7919) % 1000) / 8e2 AS lat,
+          4e0 * (nk % 5) + ((k * 104729) % 1000) / 6e2 AS lon, c_acctbal / 1e3 AS rwi, (k % 10) / 1e1 AS rwi_error
+        FROM {school_base}""",
+    "poverty": """
+        SELECT iso, concat('N', cast(nk AS string), side) AS adm2_pcode, nk / 25e0 AS poverty_rate,
+          CASE WHEN nk % 2 = 0 THEN nk / 50e0 END AS nbi_rate
+        FROM {box} CROSS JOIN (VALUES ('E'), ('W')) AS s(side)""",
     # ---- travel costs: one row per supplied (cell, school) duration ---------------------
     "pair_cost": """
         SELECT l_partkey AS cell_id, l_suppkey AS school_seq, concat('S', cast(l_suppkey AS string)) AS school_id,
