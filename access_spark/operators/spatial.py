@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from access_spark.functions.geo import haversine_km, lattice_index
@@ -331,11 +331,8 @@ def nearest_items(
             group, query_key, *[F.col(f"m.{c}").alias(c) for c in item_columns], F.col(f"m.{order}").alias(order),
             F.col("m.d2").alias("d2"), F.lit(1).alias("rank"),
         )
-    top = top_per_group(scored, [group, query_key], [F.col("d2"), F.col(order)], k)
-    from pyspark.sql import Window
-
     rank = F.row_number().over(Window.partitionBy(group, query_key).orderBy("d2", order))
-    return top.withColumn("rank", rank)
+    return scored.withColumn("rank", rank).filter(F.col("rank") <= k)
 
 
 def _as_boxes(points: DataFrame, x: str, y: str) -> DataFrame:
