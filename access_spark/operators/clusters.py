@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from access_spark import config
 from access_spark.functions.numeric import flag, percent, round_even
 from access_spark.functions.text import clean_text
+from access_spark.operators.keyed import small_side
 
 
 
@@ -208,7 +209,7 @@ def geocode_targets(df: DataFrame) -> DataFrame:
     )
     has_addresses = rows.groupBy("adm0_pcode").agg(F.max(flag(F.col("dup_addr"))).alias("_any"))
     return (
-        rows.join(has_addresses, "adm0_pcode", "left")
+        rows.join(small_side(has_addresses), "adm0_pcode", "left")
         .withColumn("centroids", F.col("_big") & ((F.col("_any") == 0) | F.col("dup_addr")))
         .withColumn("centroids_address_filtered", F.col("_any") == 1)
         .drop("_big", "_any")

@@ -12,13 +12,23 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from access_spark.session import parallelism
+from access_spark.session import cut_lineage, parallelism
+
+# One row per group is small beside the data; beyond this many rows it is joined by a shuffle.
+BROADCAST_ROWS = 100_000
 
 
 class DuplicateKeyError(ValueError):
     """A table that must be unique on its key is not."""
 
 
+def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A table of group facts, materialised and counted: broadcast when it is small enough,
+    so that the large side is not shuffled on a few hot keys, left as it is otherwise."""
+    held = cut_lineage(df)
+    return F.broadcast(held) if held.count() <= max_rows else held
+
+
 def keep_first(df: DataFrame, keys: Sequence[str], order: Column) -> DataFrame:
     """The row with the lowest order value per key, by a partial aggregate."""
     rest = [c for c in df.columns if c not in keys]
@@ -111,7 +121,7 @@ def running_total(
         F.array_distinct(F.percentile_approx(value, probs, accuracy)).alias("_cuts"),
         F.percentile_approx(tie, probs, accuracy).alias("_tie_cuts"),
     )
-    rows = df.join(cuts, group)
+    rows = df.join(small_side(cuts, BROADCAST_ROWS * 20 // slices), group)
     at_cut = F.array_contains("_cuts", F.col(value))
     rows = (
         rows.withColumn(
@@ -148,6 +158,34 @@ def running_total(
     )
 
 
+def exact_quantiles(
+    df: DataFrame, group: Sequence[str], value: str, probs: Sequence[float], name: str = "quantiles"
+) -> DataFrame:
+    """Exact quantiles per group with linear interpolation, as an array in the order of `probs`.
+
+    Values are counted, the counts are accumulated with `running_total`, and the two
+    neighbours of each position are picked by an aggregate, so no task holds the values of
+    a group.
+    """
+    keys = list(group)
+    counts = df.select(*keys, F.col(value).cast("double").alias("_v")).filter("_v IS NOT NULL").groupBy(*keys, "_v").agg(
+        F.count(F.lit(1)).alias("_n")
+    )
+    ranked = running_total(counts.withColumn("_tie", F.lit(0)), keys, "_v", "_tie", F.col("_n"), "_cum")
+    first, last = F.col("_cum") - F.col("_n"), F.col("_cum") - 1
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when(rank.between(first, last), F.col("_v")))
+
+    picks = []
+    for i, p in enumerate(probs):
+        place = (F.col("_cum_total") - 1) * F.lit(float(p))
+        picks += [at(F.floor(place)).alias(f"_lo{i}"), at(F.ceil(place)).alias(f"_hi{i}"), F.max(place - F.floor(place)).alias(f"_f{i}")]
+    found = ranked.groupBy(*keys).agg(*picks)
+    parts = [F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_f{i}") for i in range(len(probs))]
+    return found.select(*keys, F.array(*parts).alias(name))
+
+
 def number_rows(
     df: DataFrame, group: Sequence[str], value: str, tie: str, name: str, start: int = 1
 ) -> DataFrame:

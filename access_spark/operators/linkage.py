@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from access_spark.functions.geo import haversine_km
 from access_spark.functions.numeric import flag, percent, round_even
 from access_spark.functions.text import normalize_id
-from access_spark.operators.keyed import keep_first, number_rows, union_columns
+from access_spark.operators.keyed import exact_quantiles, keep_first, number_rows, union_columns
 
 MEAN_EARTH_RADIUS_KM = 6371.0088
 CONFIRMED_KM = 0.1
@@ -199,12 +199,15 @@ def compare_vintages(old: DataFrame, new: DataFrame, keys: Sequence[str] = ("adm
 def vintage_summary(compared: DataFrame) -> DataFrame:
     """Rows per state, and how far updated coordinates moved."""
     moved = F.when(F.col("estado") == "coord_actualizada", F.col("delta_km"))
-    quantiles = F.percentile(moved, F.array(F.lit(0.5), F.lit(0.9), F.lit(0.99)))
-    return compared.groupBy("estado").agg(
+    rows = compared.select("estado", moved.alias("_moved"))
+    quantiles = exact_quantiles(rows, ["estado"], "_moved", [0.5, 0.9, 0.99], "_q")
+    counts = rows.groupBy("estado").agg(
         F.count(F.lit(1)).alias("n"),
-        *[F.round(F.get(quantiles, F.lit(i)), 4).alias(name) for i, name in enumerate(("km_p50", "km_p90", "km_p99"))],
-        *[F.count_if(F.coalesce(moved > k, F.lit(False))).alias(f"n_gt_{k}km") for k in (1, 10, 50)],
+        *[F.count_if(F.coalesce(F.col("_moved") > k, F.lit(False))).alias(f"n_gt_{k}km") for k in (1, 10, 50)],
     )
+    return counts.join(quantiles, "estado", "left").withColumns(
+        {name: F.round(F.get("_q", F.lit(i)), 4) for i, name in enumerate(("km_p50", "km_p90", "km_p99"))}
+    ).drop("_q")
 
 
 def collapse_schools(rows: DataFrame, key: str = "id_centro") -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from access_spark import config
 from access_spark.functions.numeric import percent, round_even
 from access_spark.functions.text import clean_text
-from access_spark.operators.keyed import top_per_group
+from access_spark.operators.keyed import exact_quantiles, top_per_group
 
 # Roll-up of the quality labels.
 QUALITY_GROUPS = {
@@ -478,13 +478,20 @@ def score_range(score: Column) -> Column:
 def ground_truth(samples: DataFrame, by: Sequence[str]) -> DataFrame:
     """Distance between answers and known points: `samples` has km and score."""
     km = F.col("km")
-    return samples.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("sample_size"), F.round(F.median("score"), 4).alias("score_median"),
-        F.round(F.median(km), 4).alias("dist_median_km"), F.round(F.avg(km), 4).alias("dist_mean_km"),
-        F.round(F.percentile(km, 0.9), 4).alias("dist_p90_km"), F.round(F.max(km), 4).alias("dist_max_km"),
+    keys = list(by)
+    out = samples.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("sample_size"), F.round(F.avg(km), 4).alias("dist_mean_km"), F.round(F.max(km), 4).alias("dist_max_km"),
         *[percent(F.count_if(km < k), F.count(F.lit(1))).alias(f"pct_lt_{k}km") for k in (1, 5, 15)],
         percent(F.count_if(km > 30), F.count(F.lit(1))).alias("pct_gt_30km"),
     )
+    distances = exact_quantiles(samples, keys, "km", [0.5, 0.9], "_km")
+    scores = exact_quantiles(samples, keys, "score", [0.5], "_score")
+    return out.join(distances, keys, "left").join(scores, keys, "left").withColumns(
+        {
+            "dist_median_km": F.round(F.get("_km", F.lit(0)), 4), "dist_p90_km": F.round(F.get("_km", F.lit(1)), 4),
+            "score_median": F.round(F.get("_score", F.lit(0)), 4),
+        }
+    ).drop("_km", "_score")
 
 
 # ---- buildings ---------------------------------------------------------------------------

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from access_spark.functions.geo import haversine_km, lattice_index
 from access_spark.functions.numeric import finite
-from access_spark.operators.keyed import top_per_group
+from access_spark.operators.keyed import small_side, top_per_group
 from access_spark.session import cut_lineage
 
 CELL_DEGREES = 0.25
@@ -404,8 +404,8 @@ def lattice_join(
     The lattice of a country is anchored on its first cell (lowest cell_id); one row per
     country carries the anchor.
     """
-    anchor = cells.groupBy(group).agg(
-        F.min_by("lat", "cell_id").alias("_lat0"), F.min_by("lon", "cell_id").alias("_lon0")
+    anchor = small_side(
+        cells.groupBy(group).agg(F.min_by("lat", "cell_id").alias("_lat0"), F.min_by("lon", "cell_id").alias("_lon0"))
     )
 
     def indexed(df: DataFrame) -> DataFrame:

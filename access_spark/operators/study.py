@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from access_spark.functions.numeric import finite, percent
-from access_spark.operators.keyed import running_total
+from access_spark.operators.keyed import exact_quantiles, running_total, small_side
 
 
 def weighted_stats(rows: DataFrame, keys: Sequence[str], value: str, error: str, weight: str) -> DataFrame:
@@ -94,10 +94,11 @@ def with_decile(df: DataFrame, group: Sequence[str], value: str, name: str, buck
     """Quantile bucket 1..n from exact interpolated edges; equal edges are merged, a value on
     an edge belongs to the lower bucket."""
     keys = list(group)
-    probs = F.array(*[F.lit(i / buckets) for i in range(buckets + 1)])
-    edges = df.groupBy(*keys).agg(F.array_distinct(F.percentile(value, probs)).alias("_edges"))
+    edges = exact_quantiles(df, keys, value, [i / buckets for i in range(buckets + 1)], "_all").select(
+        *keys, F.array_distinct("_all").alias("_edges")
+    )
     below = F.size(F.filter("_edges", lambda e: e < F.col(value)))
-    return df.join(edges, keys).withColumn(name, F.greatest(below, F.lit(1))).drop("_edges")
+    return df.join(small_side(edges), keys).withColumn(name, F.greatest(below, F.lit(1))).drop("_edges")
 
 
 def decile_crosstab(df: DataFrame, group: Sequence[str], wealth: str, poverty: str) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from access_spark import config
 from access_spark.operators.keyed import DuplicateKeyError, duplicate_keys, keep_first, keep_last, union_columns
 from access_spark.plans.finalize import conform
+from access_spark.session import cut_lineage
 
 
 def _fs(spark: SparkSession, path: str):
@@ -71,6 +72,7 @@ def write_cube(new: DataFrame, path: str) -> bool:
     """Publish the cube by country; refuses repeated keys, leaves the table alone when
     there is nothing to write. Returns whether a table was written."""
     spark = new.sparkSession
+    new = cut_lineage(new)  # read three times: emptiness, key test and write
     if new.isEmpty():
         return False
     existing = spark.read.parquet(path) if table_exists(spark, path) else None
