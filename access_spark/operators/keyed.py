@@ -7,6 +7,7 @@ running totals are computed per ordered slice and shifted by slice offsets.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -16,6 +17,8 @@ from access_spark.session import cut_lineage, parallelism
 
 # One row per group is small beside the data; beyond this many rows it is joined by a shuffle.
 BROADCAST_ROWS = 100_000
+# Ordered slices of one group in a prefix sum.
+MAX_SLICES = 4_000
 
 
 class DuplicateKeyError(ValueError):
@@ -94,6 +97,18 @@ def union_columns(*frames: DataFrame) -> DataFrame:
     return out
 
 
+def _block_ends(cuts: str, block: int) -> Column:
+    """Last element of every full block of sorted cut points."""
+    return F.filter(cuts, lambda _, i: (i + 1) % block == 0)
+
+
+def _count_below(cuts: str, ends: str, value: Column, block: int) -> Column:
+    """Number of sorted cut points below a value: whole blocks first, then one block."""
+    blocks = F.size(F.filter(ends, lambda c: c < value))
+    rest = F.slice(cuts, blocks * block + 1, F.lit(block))
+    return blocks * block + F.size(F.filter(rest, lambda c: c < value))
+
+
 def running_total(
     df: DataFrame,
     group: Sequence[str],
@@ -112,29 +127,26 @@ def running_total(
     the cut points, the sums are exact, and only slice sums cross slice borders.
     `value` and `tie` are numeric and not null, (value, tie) is unique in a group.
     """
-    spark = df.sparkSession
-    slices = slices or parallelism(spark)
+    slices = slices or min(parallelism(df.sparkSession), MAX_SLICES)
+    block = max(2, math.isqrt(slices))
     group = list(group)
-    probs = F.array(*[F.lit(i / slices) for i in range(1, slices)])
+    probs = F.expr(f"array({', '.join(f'{i / slices!r}D' for i in range(1, slices))})")
     accuracy = F.lit(max(100, 20 * slices))
     cuts = df.groupBy(*group).agg(
         F.array_distinct(F.percentile_approx(value, probs, accuracy)).alias("_cuts"),
         F.percentile_approx(tie, probs, accuracy).alias("_tie_cuts"),
     )
+    cuts = cuts.withColumns({"_ends": _block_ends("_cuts", block), "_tie_ends": _block_ends("_tie_cuts", block)})
     rows = df.join(small_side(cuts, BROADCAST_ROWS * 20 // slices), group)
-    at_cut = F.array_contains("_cuts", F.col(value))
-    rows = (
-        rows.withColumn(
-            "_slice",
-            2 * F.size(F.filter("_cuts", lambda c: c < F.col(value))) + at_cut.cast("int"),
-        )
-        .withColumn(
-            "_part",
-            F.when(at_cut, F.size(F.filter("_tie_cuts", lambda c: c < F.col(tie)))).otherwise(0),
-        )
-        .withColumn("_weight", weight)
-        .drop("_cuts", "_tie_cuts")
-    )
+    rows = rows.withColumn("_below", _count_below("_cuts", "_ends", F.col(value), block))
+    at_cut = F.coalesce(F.get("_cuts", F.col("_below")) == F.col(value), F.lit(False))
+    rows = rows.withColumns(
+        {
+            "_slice": 2 * F.col("_below") + at_cut.cast("int"),
+            "_part": F.when(at_cut, _count_below("_tie_cuts", "_tie_ends", F.col(tie), block)).otherwise(0),
+            "_weight": weight,
+        }
+    ).drop("_cuts", "_tie_cuts", "_ends", "_tie_ends", "_below")
     sums = rows.groupBy(*group, "_slice", "_part").agg(F.sum("_weight").alias("_sum"))
     # one row per slice: bounded by the number of slices, whatever the group size
     across = Window.partitionBy(*group).orderBy("_slice", "_part")
