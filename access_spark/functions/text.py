@@ -76,9 +76,8 @@ def _unaccent(col: Column, form: str, ascii_only: bool) -> Column:
         rare = f"[{''.join(char for char, _ in multi)}]"
         folded = F.when(col.rlike(rare), spelled).otherwise(col)
     folded = F.translate(folded, single, plain)
-    folded = F.regexp_replace(folded, r"\p{M}+", "")
-    if ascii_only:
-        folded = F.regexp_replace(folded, r"[^\x00-\x7F]+", "")
+    # dropping everything outside ASCII drops the marks as well
+    folded = F.regexp_replace(folded, r"[^\x00-\x7F]+" if ascii_only else r"\p{M}+", "")
     # plain ASCII text, the common case, skips the table
     return F.when(col.rlike(r"[^\x00-\x7F]"), folded).otherwise(col)
 
