@@ -121,7 +121,7 @@ def building_ids(schools: DataFrame, total: DataFrame, regional: DataFrame, skip
 
 
 def building_audit(matched: DataFrame) -> DataFrame:
-    """Rows with bid_match and bid_match_suspect: a real building with several schools of
+    """Rows with building_match and building_match_suspect: a real building with several schools of
     which one stands alone at its point."""
     size = F.coalesce(F.col("qc_cluster_size_exact"), F.lit(0))
     real = F.col("match_path") != "D_synthetic"
@@ -133,7 +133,7 @@ def building_audit(matched: DataFrame) -> DataFrame:
     suspect = (F.col("_n") > 1) & (F.col("_least") <= 1)
     return (
         matched.join(buildings, ["adm0_pcode", "id_edificio"], "left")
-        .withColumns({"bid_match": real, "bid_match_suspect": F.coalesce(suspect, F.lit(False))})
+        .withColumns({"building_match": real, "building_match_suspect": F.coalesce(suspect, F.lit(False))})
         .drop("_n", "_least")
     )
 
@@ -164,9 +164,9 @@ def building_summary(matched: DataFrame) -> DataFrame:
         F.count_if(ok_size & ok_addr).alias("coherent_buildings"),
         F.count_if(~ok_size).alias("incoherent_size"),
         F.count_if(ok_size & ~ok_addr).alias("incoherent_diff_addr"),
-        F.sum(F.when(F.col("least") <= 1, F.col("n")).otherwise(0)).alias("bid_match_suspect_rows"),
+        F.sum(F.when(F.col("least") <= 1, F.col("n")).otherwise(0)).alias("building_match_suspect_rows"),
     )
-    counts = ("real_buildings_multi", "coherent_buildings", "incoherent_size", "incoherent_diff_addr", "bid_match_suspect_rows")
+    counts = ("real_buildings_multi", "coherent_buildings", "incoherent_size", "incoherent_diff_addr", "building_match_suspect_rows")
     out = paths.join(checks, "adm0_pcode", "left").fillna(0, list(counts))
     coherence = F.when(F.col("real_buildings_multi") == 0, 1.0).otherwise(
         F.col("coherent_buildings") / F.col("real_buildings_multi")

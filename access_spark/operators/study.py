@@ -133,7 +133,7 @@ def strongest_target(tests: DataFrame, countries: DataFrame) -> DataFrame:
     done = F.col("_n").isNotNull()
     status = (
         F.when(~F.col("has_wealth"), "no_rwi_data")
-        .when(~F.col("has_adm2"), "no_adm2_bid")
+        .when(~F.col("has_adm2"), "no_adm2_polygons")
         .when(~F.col("has_poverty"), "no_poverty_data")
         .when(F.col("blocked") & ~done, "blocked")
         .when(~done, "pending")

@@ -194,12 +194,12 @@ def _buildings(t: Tables):
     with_views(
         "WITH " + BUILDINGS.strip() + """,
         g AS (SELECT iso, id_edificio, count(*) AS n, min(size) AS least FROM matched WHERE match_path <> 'D_synthetic' GROUP BY ALL)
-        SELECT m.id_centro, m.match_path <> 'D_synthetic' AS bid_match, coalesce(n > 1 AND least <= 1, FALSE) AS bid_match_suspect
+        SELECT m.id_centro, m.match_path <> 'D_synthetic' AS building_match, coalesce(n > 1 AND least <= 1, FALSE) AS building_match_suspect
         FROM matched m LEFT JOIN g USING (iso, id_edificio)"""
     ),
 )
 def _audit(t: Tables):
-    return linkage.building_audit(buildings(t)).select("id_centro", "bid_match", "bid_match_suspect")
+    return linkage.building_audit(buildings(t)).select("id_centro", "building_match", "building_match_suspect")
 
 
 @query(
@@ -209,12 +209,12 @@ def _audit(t: Tables):
         g AS (SELECT iso, id_edificio, count(*) AS n, bool_and(size > 1) AS s_ok, bool_and(NOT diff) AS d_ok, min(size) AS least
           FROM matched WHERE match_path <> 'D_synthetic' GROUP BY ALL HAVING count(*) > 1),
         c AS (SELECT iso, count(*) AS real_buildings_multi, count(*) FILTER (s_ok AND d_ok) AS coherent_buildings, count(*) FILTER (NOT s_ok) AS incoherent_size,
-          count(*) FILTER (s_ok AND NOT d_ok) AS incoherent_diff_addr, cast(coalesce(sum(n) FILTER (least <= 1), 0) AS bigint) AS bid_match_suspect_rows FROM g GROUP BY 1),
+          count(*) FILTER (s_ok AND NOT d_ok) AS incoherent_diff_addr, cast(coalesce(sum(n) FILTER (least <= 1), 0) AS bigint) AS building_match_suspect_rows FROM g GROUP BY 1),
         p AS (SELECT iso, count(*) AS rows, count(*) FILTER (match_path = 'A_total') AS "A_total", count(*) FILTER (match_path = 'B_lac_id') AS "B_lac_id",
           count(*) FILTER (match_path = 'C_lac_coords') AS "C_lac_coords", count(*) FILTER (match_path = 'D_synthetic') AS "D_synthetic" FROM matched GROUP BY 1)
         SELECT iso AS adm0_pcode, rows, "A_total", "B_lac_id", "C_lac_coords", "D_synthetic", coalesce(real_buildings_multi, 0) AS real_buildings_multi,
           coalesce(coherent_buildings, 0) AS coherent_buildings, coalesce(incoherent_size, 0) AS incoherent_size, coalesce(incoherent_diff_addr, 0) AS incoherent_diff_addr,
-          coalesce(bid_match_suspect_rows, 0) AS bid_match_suspect_rows, round(CASE WHEN coalesce(real_buildings_multi, 0) = 0 THEN 1 ELSE coherent_buildings / real_buildings_multi END, 6) AS coherence,
+          coalesce(building_match_suspect_rows, 0) AS building_match_suspect_rows, round(CASE WHEN coalesce(real_buildings_multi, 0) = 0 THEN 1 ELSE coherent_buildings / real_buildings_multi END, 6) AS coherence,
           CASE WHEN coalesce(real_buildings_multi, 0) = 0 THEN TRUE ELSE coherent_buildings / real_buildings_multi >= 0.85 END AS meets_threshold
         FROM p LEFT JOIN c USING (iso)"""
     ),

@@ -104,7 +104,7 @@ def _tests(t: Tables):
     "strongest_target",
     """WITH a AS (SELECT n_name AS iso, n_nationkey AS k, count(*) AS n, sum(c_custkey % 97) % 100 AS h FROM nation JOIN customer ON c_nationkey = n_nationkey GROUP BY 1, 2),
       t AS (SELECT iso, k, n, -(h % 90) / 100e0 AS p, (h * 7 % 90) / 100e0 AS b FROM a),
-      s AS (SELECT *, CASE WHEN k % 5 = 0 THEN 'no_rwi_data' WHEN k % 7 = 0 THEN 'no_adm2_bid' WHEN k % 11 = 0 THEN 'no_poverty_data' WHEN k % 3 = 0 THEN CASE WHEN k % 2 = 0 THEN 'blocked' ELSE 'pending' END ELSE 'completed' END AS st, abs(p) >= b AS first FROM t)
+      s AS (SELECT *, CASE WHEN k % 5 = 0 THEN 'no_rwi_data' WHEN k % 7 = 0 THEN 'no_adm2_polygons' WHEN k % 11 = 0 THEN 'no_poverty_data' WHEN k % 3 = 0 THEN CASE WHEN k % 2 = 0 THEN 'blocked' ELSE 'pending' END ELSE 'completed' END AS st, abs(p) >= b AS first FROM t)
       SELECT iso, st AS status, CASE WHEN st = 'completed' THEN CASE WHEN first THEN 'POVERTY_RATE' ELSE 'NBI_RATE' END END AS target_used, CASE WHEN st = 'completed' THEN n END AS n,
         CASE WHEN st = 'completed' THEN CASE WHEN first THEN p ELSE b END END AS spearman_rho, CASE WHEN st = 'completed' THEN 50e0 END AS decile_within_one, CASE WHEN st = 'completed' THEN round(CASE WHEN first THEN p * p ELSE b * b END, 3) END AS r2,
         CASE WHEN st = 'completed' THEN CASE WHEN first THEN 'NBI_RATE' ELSE 'POVERTY_RATE' END END AS secondary_target, CASE WHEN st = 'completed' THEN CASE WHEN first THEN b ELSE p END END AS secondary_rho FROM s""",
