@@ -6,6 +6,8 @@ carriage return; A-Z count as a-z. Runs inside tasks only.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 _SEED = 20240817
@@ -94,11 +96,28 @@ def word_hashes(texts: list[str | None], keep: np.ndarray | None = None) -> tupl
     return hash_spans(data, starts, ends), firsts
 
 
+def text_groups(texts: list[str | None], most: int = 1 << 20) -> Iterator[list[str | None]]:
+    """The texts in order, in lists of about `most` characters; a longer text stands alone."""
+    group, held = [], 0
+    for t in texts:
+        if group and held + len(t or "") > most:
+            yield group
+            group, held = [], 0
+        group.append(t)
+        held += len(t or "")
+    if group:
+        yield group
+
+
 def shingle_sets(texts: list[str | None], width: int = 5) -> list[np.ndarray]:
     """The sorted distinct hashes of the runs of `width` words of each text.
 
     A text with fewer words is one run; one without words has none.
     """
+    return [s for group in text_groups(texts) for s in _group_sets(group, width)]
+
+
+def _group_sets(texts: list[str | None], width: int) -> list[np.ndarray]:
     words, firsts = word_hashes(texts)
     n = len(words)
     if not n:
@@ -114,10 +133,10 @@ def shingle_sets(texts: list[str | None], width: int = 5) -> list[np.ndarray]:
         if b - a >= width:
             out.append(np.unique(runs[a : b - width + 1]))
         elif b > a:
-            short = np.uint64(b - a)
-            for w in words[a:b]:
-                short = (short * factor + w).astype(np.uint64)
-            out.append(mix64(np.array([short], np.uint64)))
+            short = np.array([b - a], np.uint64)
+            for k in range(a, b):
+                short = short * factor + words[k : k + 1]
+            out.append(mix64(short))
         else:
             out.append(np.zeros(0, np.uint64))
     return out

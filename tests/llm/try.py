@@ -14,7 +14,7 @@ from access_spark.llm.queries import ORACLES, QUERIES  # noqa: E402
 from access_spark.session import local_session  # noqa: E402
 
 if __name__ == "__main__":
-    spark = local_session(8, "llm")
+    spark = local_session(os.environ.get("CORES", "2"), "llm")
     folder = sys.argv[1]
     for name in sys.argv[2:]:
         start = time.time()
