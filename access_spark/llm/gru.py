@@ -114,10 +114,9 @@ def loss_and_gradients(p: dict, words, heads, tails, mask, labels) -> tuple[floa
     return loss, g
 
 
-def train(words, heads, tails, mask, labels, vocabulary: int, epochs: int = 8, batch: int = 128, rate: float = 0.01, decay: float = 1e-3) -> dict:
-    """Fit by Adam on rows of windows; both classes weigh the same number of rows or are
-    drawn so. Embeddings decay a little, which keeps rare words and bytes near zero."""
-    p = initial(vocabulary)
+def train(p: dict, words, heads, tails, mask, labels, epochs: int, batch: int = 128, rate: float = 0.01, decay: float = 1e-3) -> dict:
+    """Go on from parameters by Adam over rows of windows. Embeddings decay a little, which
+    keeps rare words and bytes near zero."""
     first = {k: np.zeros_like(v) for k, v in p.items()}
     second = {k: np.zeros_like(v) for k, v in p.items()}
     rng, step = np.random.default_rng(11), 0

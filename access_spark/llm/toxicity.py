@@ -15,14 +15,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from access_spark.llm.gru import CHAR_BUCKETS, Scorer, sigmoid, train
+from access_spark.llm.gru import CHAR_BUCKETS, Scorer, initial, sigmoid, train
 from access_spark.llm.words import hash_spans, mix64, text_groups, word_spans
 from access_spark.session import cut_lineage
 
 WINDOW, STRIDE = 32, 16
-#: Labelled documents of each class to train on, documents to calibrate on, windows of one
-#: training document, and the windows of different documents that make a word known.
-TRAIN_DOCS, CALIBRATION_DOCS, DOC_WINDOWS, KNOWN_IN = 1500, 3000, 6, 4
+#: Clean and toxic documents to train on at most, documents to calibrate on, windows of one
+#: training document, and the training documents that make a word known.
+TRAIN_DOCS, CALIBRATION_DOCS, DOC_WINDOWS, KNOWN_IN = (2500, 1500), 3000, 16, 12
+#: Windows of a document that count in each round of training, and epochs of the rounds.
+COUNTED, EPOCHS = 4, (3, 2, 3)
 THRESHOLD = 0.3
 
 # letters and digits; bytes of other scripts count as letters
@@ -65,13 +67,13 @@ def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Some windows of each labelled document, spread evenly over its length."""
     for batch in batches:
         rows = []
-        for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        for text, label, doc in zip(*(c.to_pylist() for c in batch.columns)):
             words, heads, tails, firsts = tokens([text])
             start, _ = window_places(firsts)
             for i in np.unique(np.linspace(0, len(start) - 1, DOC_WINDOWS).astype(int)) if len(start) else []:
                 part = slice(start[i], min(start[i] + WINDOW, len(words)))
-                rows.append((label, words[part].tobytes(), heads[part].tobytes(), tails[part].tobytes()))
-        yield pa.RecordBatch.from_pylist([dict(zip(("label", "words", "heads", "tails"), r)) for r in rows], pa.schema([("label", pa.int32()), ("words", pa.binary()), ("heads", pa.binary()), ("tails", pa.binary())]))
+                rows.append((label, doc, words[part].tobytes(), heads[part].tobytes(), tails[part].tobytes()))
+        yield pa.RecordBatch.from_pylist([dict(zip(("label", "doc", "words", "heads", "tails"), r)) for r in rows], pa.schema([("label", pa.int32()), ("doc", pa.int64()), ("words", pa.binary()), ("heads", pa.binary()), ("tails", pa.binary())]))
 
 
 @dataclass
@@ -85,19 +87,40 @@ class Model:
 
 
 def fit(rows: list) -> Model | None:
-    """Train on collected windows; None if a class is missing."""
+    """Train on collected windows, grouped by document; None if a class is missing.
+
+    A label is about a document, so most windows of a toxic one may be harmless. The first
+    round takes windows at random, each later one the windows of each document that the
+    network finds worst: the likely offence of a toxic document, the likely mistake in a
+    clean one.
+    """
     labels = np.array([r.label for r in rows], np.float32)
     if not len(rows) or labels.min() == labels.max():
         return None
+    docs = np.unique([r.doc for r in rows], return_inverse=True)[1]
     parts = [[np.frombuffer(r[c], t) for r in rows] for c, t in (("words", np.uint64), ("heads", np.int32), ("tails", np.int32))]
-    seen, times = np.unique(np.concatenate([np.unique(w) for w in parts[0]]), return_counts=True)
+    pairs = np.unique(np.stack([np.concatenate(parts[0]), np.repeat(docs, [len(w) for w in parts[0]]).astype(np.uint64)]), axis=1)
+    seen, times = np.unique(pairs[0], return_counts=True)
     known = seen[times >= KNOWN_IN]
     size = (len(rows), WINDOW)
     mask, words, heads, tails = np.zeros(size, bool), np.zeros(size, np.int64), np.zeros(size, np.int32), np.zeros(size, np.int32)
     for i, (w, h, t) in enumerate(zip(*parts)):
         n = len(w)
         mask[i, :n], words[i, :n], heads[i, :n], tails[i, :n] = True, word_ids(w, known), h, t
-    return Model(train(words, heads, tails, mask, labels, len(known)), known)
+    params = initial(len(known))
+    rank = np.random.default_rng(5).random(len(rows))
+    for epochs in EPOCHS:
+        order = np.lexsort((-rank, docs))
+        first = np.concatenate([[0], np.flatnonzero(np.diff(docs[order])) + 1])
+        nth = np.arange(len(order)) - np.repeat(first, np.diff(np.concatenate([first, [len(order)]])))
+        rows_now = order[nth < COUNTED]
+        params = train(params, words[rows_now], heads[rows_now], tails[rows_now], mask[rows_now], labels[rows_now], epochs)
+        scorer, flat = Scorer(params), np.arange(WINDOW)[:, None]
+        for k in range(0, len(rows), 2048):
+            part = slice(k, k + 2048)
+            at = flat + np.arange(len(rows[part])) * WINDOW
+            rank[part] = scorer.logits(words[part].reshape(-1), heads[part].reshape(-1), tails[part].reshape(-1), at, mask[part].T)
+    return Model(params, known)
 
 
 def word_ids(words: np.ndarray, known: np.ndarray) -> np.ndarray:
@@ -142,24 +165,31 @@ def _score(held, key_type: pa.DataType):
 
 
 def calibrate(logits: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of a logistic fit by Newton's method, with smoothed targets."""
+    """Slope and offset of a logistic fit by damped Newton steps, with smoothed targets."""
     good = np.isfinite(logits)
     x, y = logits[good], labels[good]
     hits, misses = (y == 1).sum(), (y == 0).sum()
     if not hits or not misses:
         return 1.0, 0.0
     target = np.where(y == 1, (hits + 1) / (hits + 2), 1 / (misses + 2))
-    rows = np.stack([x, np.ones_like(x)], axis=1)
-    beta = np.array([1.0, 0.0])
-    for _ in range(50):
+    middle, spread = x.mean(), x.std() + 1e-6
+    rows = np.stack([(x - middle) / spread, np.ones_like(x)], axis=1)
+
+    def loss(b):
+        return np.sum(np.logaddexp(0, rows @ b) - target * (rows @ b)) + 5e-4 * b @ b
+
+    beta = np.array([0.0, np.log(hits / misses)])
+    for _ in range(100):
         prob = sigmoid(rows @ beta)
         slope = rows.T @ (target - prob) - 1e-3 * beta
-        curve = (rows * (prob * (1 - prob))[:, None]).T @ rows + 1e-3 * np.eye(2)
-        step = np.linalg.solve(curve, slope)
-        beta += np.clip(step, -2, 2)
+        step = np.linalg.solve((rows * (prob * (1 - prob))[:, None]).T @ rows + 1e-3 * np.eye(2), slope)
+        while loss(beta + step) > loss(beta) and np.abs(step).max() > 1e-9:
+            step = step / 2
+        beta = beta + step
         if np.abs(step).max() < 1e-6:
             break
-    return float(max(beta[0], 1e-3)), float(beta[1])
+    scale = max(beta[0], 1e-3) / spread
+    return float(scale), float(beta[1] - scale * middle)
 
 
 def fold(doc_id: Column) -> Column:
@@ -170,19 +200,19 @@ def fold(doc_id: Column) -> Column:
 def train_model(docs: DataFrame, labels: DataFrame, held_out: int = 2) -> Model | None:
     """Learn from labelled rows outside the held-out fold.
 
-    The sample is bounded by TRAIN_DOCS of each class and CALIBRATION_DOCS at their natural
+    The sample is bounded by TRAIN_DOCS and CALIBRATION_DOCS at their natural
     mix, drawn by a hash of the id; its ids are the only broadcast. Null ids and null labels
     are left out, and of several labels of one id the larger counts.
     """
     marks = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("_label"))
     marks = marks.filter(fold(F.col("doc_id")) != held_out).withColumn("_draw", F.xxhash64("doc_id", F.lit("toxic")))
     setting = fold(F.col("doc_id")) == (held_out + 1) % 4
-    parts = [marks.filter(~setting & (F.col("_label") == c)).orderBy("_draw", "doc_id").limit(TRAIN_DOCS).withColumn("_use", F.lit("train")) for c in (0, 1)]
+    parts = [marks.filter(~setting & (F.col("_label") == c)).orderBy("_draw", "doc_id").limit(TRAIN_DOCS[c]).withColumn("_use", F.lit("train")) for c in (0, 1)]
     parts.append(marks.filter(setting).orderBy("_draw", "doc_id").limit(CALIBRATION_DOCS).withColumn("_use", F.lit("calibrate")))
     sample = parts[0].union(parts[1]).union(parts[2]).select(F.col("doc_id").alias("_id"), "_label", "_use")
-    chosen = cut_lineage(docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("_id")).select("text", "_label", "_use"))
-    windows = chosen.filter("_use = 'train'").select("text", "_label").mapInArrow(_window_rows, "label int, words binary, heads binary, tails binary")
-    model = fit(sorted(windows.collect(), key=lambda r: (r.label, bytes(r.words), bytes(r.heads))))
+    chosen = cut_lineage(docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("_id")).select("text", "_label", F.xxhash64("_id").alias("_doc"), "_use"))
+    windows = chosen.filter("_use = 'train'").select("text", "_label", "_doc").mapInArrow(_window_rows, "label int, doc long, words binary, heads binary, tails binary")
+    model = fit(sorted(windows.collect(), key=lambda r: (r.doc, bytes(r.words), bytes(r.heads))))
     if model is None:
         return None
     held = docs.sparkSession.sparkContext.broadcast(model)
