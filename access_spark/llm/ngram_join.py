@@ -30,10 +30,14 @@ from access_spark.session import cut_lineage
 
 #: Buckets of the count table, as a power of two, and the pieces in which tasks send it.
 BUCKET_BITS, CHUNKS = 23, 64
+#: Levels below this are those of rare shingles.
+RARE = 200
 #: Shingles in a very frequent class occur this many times as often as frequent ones must.
 VERY_FREQUENT = 16
 #: Sets of bands with fewer shingles than this index single shingles only.
 LEAST_COMBINED = 16
+#: Size of the bit map of documents whose sets are compared, as a power of two.
+WANTED_BITS = 26
 _MASK = (1 << 64) - 1
 
 
@@ -57,7 +61,9 @@ def _count_shingles(width: int):
     return run
 
 
-def _frequent_bits(limit: float):
+def _levels(mean: float):
+    limit, unit = mean + 4 * mean**0.5 + 8, (mean**0.5 + 1) / 16
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
@@ -65,28 +71,28 @@ def _frequent_bits(limit: float):
                 part = np.frombuffer(zlib.decompress(piece), np.uint16)
                 sums[chunk] = sums[chunk] + part if chunk in sums else part.astype(np.int64)
         for chunk, counts in sums.items():
-            bits = [np.packbits(counts > x).tobytes() for x in (limit, VERY_FREQUENT * limit)]
-            yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), *[pa.array([b], pa.binary()) for b in bits]], ["chunk", "often", "very"])
+            level = np.clip((counts - mean) / unit + 80, 0, RARE - 1)
+            level = np.where(counts > limit, np.where(counts > VERY_FREQUENT * limit, RARE + 1, RARE), level)
+            yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([level.astype(np.uint8).tobytes()], pa.binary())], ["chunk", "levels"])
 
     return run
 
 
-def token_classes(docs: DataFrame, width: int = 5) -> np.ndarray:
-    """Class 0 (rare), 1 (frequent) or 2 (very frequent) of each bucket of shingle hashes.
+def token_levels(docs: DataFrame, width: int = 5) -> np.ndarray:
+    """Level of each bucket of shingle hashes: how often its shingles occur, rarest first.
 
+    Levels below RARE are one class, RARE is the frequent and RARE + 1 the very frequent one.
     A bucket is frequent that counts clearly more occurrences than chance puts there. All
     documents are counted. Tasks send their part of a table of 2**23 counts, compressed;
-    the driver gets two bits per bucket, whatever the number of documents.
+    the driver gets one byte per bucket, whatever the number of documents.
     """
     counted = cut_lineage(docs.select("text").mapInArrow(_count_shingles(width), "chunk int, total long, counts binary"))
     total = counted.agg(F.coalesce(F.sum("total"), F.lit(0))).first()[0]
-    mean = total / (1 << BUCKET_BITS)
     merged = counted.select("chunk", "counts").repartition(CHUNKS, "chunk")
-    bits = merged.mapInArrow(_frequent_bits(mean + 4 * mean**0.5 + 8), "chunk int, often binary, very binary").collect()
-    classes = np.zeros((CHUNKS, (1 << BUCKET_BITS) // CHUNKS), np.uint8)
-    for row in bits:
-        classes[row.chunk] = sum(np.unpackbits(np.frombuffer(row[b], np.uint8)) for b in ("often", "very"))
-    return classes.reshape(-1)
+    levels = np.zeros((CHUNKS, (1 << BUCKET_BITS) // CHUNKS), np.uint8)
+    for row in merged.mapInArrow(_levels(total / (1 << BUCKET_BITS)), "chunk int, levels binary").collect():
+        levels[row.chunk] = np.frombuffer(row.levels, np.uint8)
+    return levels.reshape(-1)
 
 
 def band_edges(percent: int, most: int = 1 << 40) -> np.ndarray:
@@ -124,20 +130,20 @@ def combined_prefix(rest: np.ndarray, classes: np.ndarray, need: int, band: int,
     return found
 
 
-def prefix_signatures(tokens: np.ndarray, kinds: np.ndarray, percent: int, edges: np.ndarray) -> tuple[bool, np.ndarray]:
+def prefix_signatures(tokens: np.ndarray, levels: np.ndarray, percent: int, edges: np.ndarray) -> tuple[bool, np.ndarray]:
     """(whether rare shingles alone fill the prefix, signatures) of a sorted set of shingles."""
     size = len(tokens)
     need = size - (percent * size + 99) // 100 + 1
-    rare = tokens[kinds == 0]
-    if len(rare) >= need:
-        return True, rare[:need]
-    order = np.lexsort((tokens, kinds))[len(rare) :]
-    rest, classes = tokens[order], kinds[order]
+    order = np.argsort(levels, kind="stable")  # by level, then by shingle
+    rare = int((levels < RARE).sum())
+    if rare >= need:
+        return True, tokens[order[:need]]
+    rest = order[rare:]
     band = int(np.searchsorted(edges, size, side="right")) - 1
     found: list[int] = []
     for b in (band, band + 1):
-        found += combined_prefix(rest, classes, need - len(rare), b, int(edges[max(0, b - 1)]))
-    return False, np.concatenate([rare, mix64(np.array(found, np.uint64))])
+        found += combined_prefix(tokens[rest], levels[rest] - (RARE - 1), need - rare, b, int(edges[max(0, b - 1)]))
+    return False, np.concatenate([tokens[order[:rare]], mix64(np.array(found, np.uint64))])
 
 
 def set_key(tokens: np.ndarray) -> int:
@@ -151,16 +157,16 @@ def _longs(parts: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.astype(np.uint64).view(np.int64)))
 
 
-def _sign(width: int, percent: int, classes):
+def _sign(width: int, percent: int, held):
     edges = band_edges(percent)
     shift = np.uint64(64 - BUCKET_BITS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.unpackbits(np.frombuffer(zlib.decompress(classes.value), np.uint8)).reshape(2, -1).sum(axis=0, dtype=np.uint8)
+        table = np.frombuffer(zlib.decompress(held.value), np.uint8)
         for batch in batches:
             sets = shingle_sets(batch.column(1).to_pylist(), width)
-            kinds = [table[(s >> shift).astype(np.int64)] for s in sets]
-            signed = [prefix_signatures(s, k, percent, edges) if len(s) else (True, s) for s, k in zip(sets, kinds)]
+            levels = [table[(s >> shift).astype(np.int64)] for s in sets]
+            signed = [prefix_signatures(s, x, percent, edges) if len(s) else (True, s) for s, x in zip(sets, levels)]
             keys = [set_key(s) if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.int64()),
@@ -171,33 +177,71 @@ def _sign(width: int, percent: int, classes):
     return run
 
 
-def _sets(width: int):
+def _sets(width: int, held):
+    """Sets of the documents whose id may be wanted."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = held.value
         for batch in batches:
-            sets = [s for s in shingle_sets(batch.column(0).to_pylist(), width) if len(s)]
+            at = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            batch = batch.filter(pa.array((bits[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1))
+            sets = [s for s in shingle_sets(batch.column(1).to_pylist(), width) if len(s)]
             yield pa.RecordBatch.from_arrays([pa.array([set_key(s) for s in sets], pa.int64()), _longs(sets)], ["key", "tokens"])
 
     return run
 
 
-def _alike(a: Column, b: Column, percent: int) -> Column:
-    """Whether sizes allow two sets to link."""
-    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
+def _slot(doc_id: Column) -> Column:
+    return F.pmod(F.xxhash64(doc_id), F.lit(1 << WANTED_BITS))
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def wanted_sets(docs: DataFrame, ids: DataFrame, keys: DataFrame, width: int) -> DataFrame:
+    """(key, tokens) of the sets named by `keys`, read from the texts once more.
+
+    A bit map of fixed size, 8 MB, tells tasks which documents to look at, so that texts are
+    not shuffled. It may let others pass; the join on the key drops those.
+    """
+    named = keys.join(ids, "key").select(_slot(F.col("doc_id")).alias("slot"))
+    words = named.groupBy(F.shiftright("slot", 6).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, int(slot & 63))")).alias("bits")).toArrow()
+    bits = np.zeros(1 << (WANTED_BITS - 6), np.uint64)
+    bits[words["at"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
+    held = docs.sparkSession.sparkContext.broadcast(bits)
+    rows = docs.filter("doc_id IS NOT NULL").select(_slot(F.col("doc_id").cast("bigint")), "text")
+    sets = rows.mapInArrow(_sets(width, held), "key long, tokens array<long>")
+    return cut_lineage(sets.join(keys, "key", "left_semi").dropDuplicates(["key"]))
+
+
+def verified(docs: DataFrame, ids: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) of set keys whose Jaccard similarity is percent / 100 or more."""
+    pairs = cut_lineage(pairs)
+    sets = wanted_sets(docs, ids, pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct(), width)
     one, two = (sets.select(F.col("key").alias(k), F.col("tokens").alias(f"{k}_tokens")) for k in ("a", "b"))
-    both = pairs.select("a", "b").join(one, "a").join(two, "b")
+    both = pairs.join(one, "a").join(two, "b")
     common = F.size(F.array_intersect("a_tokens", "b_tokens"))
     union = F.size("a_tokens") + F.size("b_tokens") - F.col("_common")
-    return both.withColumn("_common", common).filter(F.col("_common") * 100 >= union * percent).select("a", "b")
+    both = both.withColumn("_common", common).filter(F.col("_common") * 100 >= union * percent)
+    return cut_lineage(both.select("a", "b"))
 
 
 def _need(size: Column, percent: int) -> Column:
     return size - F.floor((size * percent + 99) / 100).cast("bigint") + 1
 
 
+def possible(pairs: DataFrame, percent: int) -> DataFrame:
+    """Of pairs (a, b, a_size, b_size) with their number of common signatures, `shared`,
+    those that can reach the threshold.
+
+    Sizes are doubled, plus 1 where the prefix has rare shingles alone. For two of these,
+    common shingles are those counted and at most what lies behind the shorter prefix.
+    """
+    a, b = F.floor(F.col("a_size") / 2), F.floor(F.col("b_size") / 2)
+    overlap = F.ceil((a + b) * percent / (100 + percent))
+    bound = overlap - F.greatest(a - _need(a, percent), b - _need(b, percent))
+    simple = (F.col("a_size") % 2 == 1) & (F.col("b_size") % 2 == 1)
+    alike = F.least(a, b) * 100 >= F.greatest(a, b) * percent
+    return pairs.filter(alike & (~simple | (F.col("shared") >= bound))).select("a", "b")
+
+
 def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 75) -> DataFrame:
     """One row per row of `docs` (doc_id, text): doc_id, n_shingles and component_id.
 
@@ -209,33 +253,28 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 75) -> Da
     node. Other columns are ignored; no rows give none.
 
     Candidates are found in two steps, and no step emits all pairs of a group. First every
-    set in the list of a signature is compared with the first of the list. Copies of one
-    text, however many, are then joined already. What is left are lists with sets of
-    different components; their pairs across components are compared, after a bound on the
-    number of common signatures has dropped those that cannot reach the threshold.
+    set in the list of a signature is paired with the first of the list. Copies of one text,
+    however many, are then joined already. What is left are lists with sets of different
+    components; their pairs across components are counted. In both steps a bound on the
+    number of common signatures drops pairs that cannot reach the threshold, and the rest is
+    verified on the whole sets.
     """
-    classes = token_classes(docs, width)
-    bits = zlib.compress(np.packbits(np.stack([classes > 0, classes > 1]), axis=1).tobytes(), 1)
-    held = docs.sparkSession.sparkContext.broadcast(bits)  # two bits per bucket: 2 MB at most
+    levels = token_levels(docs, width)
+    held = docs.sparkSession.sparkContext.broadcast(zlib.compress(levels.tobytes(), 1))  # a byte per bucket: 8 MB at most
     schema = "doc_id long, n_shingles long, key long, simple boolean, signatures array<long>"
     signed = cut_lineage(docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(_sign(width, percent, held), schema))
     named = signed.filter("key IS NOT NULL AND doc_id IS NOT NULL")
-    sets = named.groupBy("key").agg(F.first("n_shingles").alias("size"), F.first("simple").alias("simple"), F.first("signatures").alias("signatures"))
-    listed = sets.select("key", (F.col("size") * 2 + F.col("simple").cast("int")).alias("size"), F.explode("signatures").alias("sig"))
+    ids = cut_lineage(named.groupBy("key").agg(F.min("doc_id").alias("doc_id")))
+    sets = named.groupBy("key").agg(F.first(F.col("n_shingles") * 2 + F.col("simple").cast("int")).alias("size"), F.first("signatures").alias("signatures"))
+    listed = sets.select("key", "size", F.explode("signatures").alias("sig"))
     # a frame that only grows: Spark passes over the rows of a list and holds none of them
     along = Window.partitionBy("sig").orderBy("key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     first = F.first(F.struct(F.col("key").alias("pivot"), F.col("size").alias("pivot_size"))).over(along)
-    stars = listed.withColumn("_p", first).select("sig", "key", "size", "_p.*").filter("key <> pivot")
-    stars = cut_lineage(stars)
-
-    ids = cut_lineage(named.groupBy("key").agg(F.min("doc_id").alias("doc_id")))
-    wanted = stars.select("key").union(stars.select(F.col("pivot").alias("key"))).distinct()
-    texts = docs.select(F.col("doc_id").cast("bigint"), "text").join(wanted.join(ids, "key").select("doc_id"), "doc_id", "left_semi")
-    tokens = cut_lineage(texts.select("text").mapInArrow(_sets(width), "key long, tokens array<long>").dropDuplicates(["key"]))
+    stars = cut_lineage(listed.withColumn("_p", first).select("sig", "key", "size", "_p.*").filter("key <> pivot"))
 
-    tried = stars.select(F.col("key").alias("a"), F.col("pivot").alias("b"), "size", "pivot_size").distinct()
-    tried = tried.filter(_alike(F.floor(F.col("size") / 2), F.floor(F.col("pivot_size") / 2), percent)).select("a", "b")
-    links = cut_lineage(verified(tried, tokens, percent))
+    counted = stars.groupBy(F.col("key").alias("a"), F.col("pivot").alias("b"), F.col("size").alias("a_size"), F.col("pivot_size").alias("b_size"))
+    tried = possible(counted.agg(F.count(F.lit(1)).alias("shared")), percent)
+    links = verified(docs, ids, tried, width, percent)
     groups = cut_lineage(connected_components(links))
 
     mine, theirs = groups.select(F.col("node").alias("key"), "root"), groups.select(F.col("node").alias("pivot"), F.col("root").alias("pivot_root"))
@@ -247,17 +286,10 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 75) -> Da
     members = cut_lineage(
         members.select("sig", "key", "size", "root").union(members.select("sig", "pivot", "pivot_size", "pivot_root").distinct())
     )
-    left = members.select("sig", F.col("key").alias("a"), F.col("size").alias("a_size"), F.col("root").alias("a_root"))
-    right = members.select("sig", F.col("key").alias("b"), F.col("size").alias("b_size"), F.col("root").alias("b_root"))
-    a_size, b_size = F.floor(F.col("a_size") / 2), F.floor(F.col("b_size") / 2)
-    across = left.join(right, "sig").filter((F.col("a") > F.col("b")) & (F.col("a_root") != F.col("b_root")) & _alike(a_size, b_size, percent))
-    shared = across.groupBy("a", "b", "a_size", "b_size").agg(F.count(F.lit(1)).alias("_shared"))
-    # what lies behind the shorter prefix is all that an unseen common shingle can be
-    overlap = F.ceil((a_size + b_size) * percent / (100 + percent))
-    bound = overlap - F.greatest(a_size - _need(a_size, percent), b_size - _need(b_size, percent))
-    both_simple = (F.col("a_size") % 2 == 1) & (F.col("b_size") % 2 == 1)
-    rest = shared.filter(~both_simple | (F.col("_shared") >= bound)).select("a", "b").join(tried, ["a", "b"], "left_anti")
-    links = links.union(cut_lineage(verified(rest, tokens, percent)))
+    left, right = (members.select("sig", F.col("key").alias(k), F.col("size").alias(f"{k}_size"), F.col("root").alias(f"{k}_root")) for k in "ab")
+    across = left.join(right, "sig").filter((F.col("a") > F.col("b")) & (F.col("a_root") != F.col("b_root")))
+    shared = across.groupBy("a", "b", "a_size", "b_size").agg(F.count(F.lit(1)).alias("shared"))
+    links = links.union(verified(docs, ids, possible(shared, percent), width, percent))
     groups = connected_components(links)
 
     nodes = cut_lineage(ids.join(groups.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key")))
