@@ -7,13 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from access_spark.llm import mixing, ngram_join, toxicity, url_rules
+from access_spark.llm import main_text, mixing, ngram_join, pieces, resampling, token_counts, toxicity, url_rules
 from access_spark.llm.common import table
 
+#: Model file of the sentencepiece queries, one of the public vocabularies of the machine.
+PIECE_MODEL = "piece_bpe_32k.model"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def tokenizer_file(name: str) -> bytes:
+    """A vocabulary file of the installed public tokenizers."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), "rb") as file:
+        return file.read()
+
+
 def query(fn: Callable[[SparkSession, str], DataFrame]):
     QUERIES[fn.__name__] = fn
     return fn
@@ -106,3 +117,23 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+@query
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode_documents(table(spark, sf_dir, "documents"), tokenizer_file(PIECE_MODEL), keep=["doc_id"])
+
+
+@query
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_file(PIECE_MODEL), keep=["doc_id"])
+
+
+@query
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extract_pages(table(spark, sf_dir, "pages"))
