@@ -36,6 +36,8 @@ RARE = 200
 VERY_FREQUENT = 16
 #: Sets of bands with fewer shingles than this index single shingles only.
 LEAST_COMBINED = 16
+#: Sets in a list from which on it is compared in blocks, and sets of a block.
+HOT_LIST, BLOCK = 32, 512
 #: Size of the bit map of documents whose sets are compared, as a power of two.
 WANTED_BITS = 26
 _MASK = (1 << 64) - 1
@@ -109,13 +111,15 @@ def combined_prefix(rest: np.ndarray, classes: np.ndarray, need: int, band: int,
     """Signatures of frequent shingles, in prefix order, that count `need` or more.
 
     `least` is the smallest size of a set that is compared within the band; it sets how many
-    groups a class is dealt into, so that a group holds a few shingles of the prefix.
+    groups a class is dealt into, so that a group holds a few shingles of the prefix. Groups
+    that hold too few to count cost at most least / 4 and 2 least / 6 of at least `least`
+    shingles, which leaves more than a prefix has to count.
     """
     small = least < LEAST_COMBINED
     groups: dict[tuple[int, int], list[int]] = {}
     for token, kind in zip(rest.tolist(), classes.tolist()):
         k = 1 if small else kind + 1
-        members = groups.setdefault((k, token % max(1, least // (8 * kind))), [])
+        members = groups.setdefault((k, token % max(1, least // (2 + 2 * kind))), [])
         members.append(token)
         need -= len(members) >= k
         if need <= 0:
@@ -242,6 +246,56 @@ def possible(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.filter(alike & (~simple | (F.col("shared") >= bound))).select("a", "b")
 
 
+def _compare_sets(percent: int):
+    """A few links that join the linked sets of a unit, one block or two."""
+
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        low, high = key[1].as_py(), key[2].as_py()
+        keys, block = table["key"].to_numpy(), table["block"].to_numpy()
+        root = np.unique(table["root"].to_numpy(), return_inverse=True)[1]
+        lists = table["tokens"].combine_chunks()
+        sizes = np.diff(lists.offsets.to_numpy())
+        names, place, times = np.unique(lists.flatten().to_numpy(), return_inverse=True, return_counts=True)
+        rows, n = np.repeat(np.arange(len(keys)), sizes), len(keys)
+        column = np.where(times > 1, np.cumsum(times > 1) - 1, -1)[place]
+        common = np.zeros((n, n), np.float32)
+        for at in range(0, int(column.max(initial=-1)) + 1, 4096):
+            inside = (column >= at) & (column < at + 4096)
+            marks = np.zeros((n, 4096), np.float32)
+            marks[rows[inside], column[inside] - at] = 1
+            common += marks @ marks.T
+        alike = 100 * common >= percent * (sizes[:, None] + sizes[None, :] - common)
+        if low != high:
+            alike &= block[:, None] != block[None, :]
+        a, b = np.nonzero(np.triu(alike & (root[:, None] != root[None, :]), 1))
+        found: list[tuple[int, int]] = []
+        for x, y in zip(a.tolist(), b.tolist()):
+            if root[x] != root[y]:
+                found.append((keys[x], keys[y]))
+                root[root == root[y]] = root[x]
+        return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
+
+    return run
+
+
+def block_links(docs: DataFrame, ids: DataFrame, rows: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links that join the components of all similar sets which share a list of `rows`.
+
+    The lists of one first set are one group: two sets that share a list are in the group of
+    its first. A group is dealt into blocks by a hash, and every two blocks are compared in
+    one task, on the whole sets; equal roots are joined already and passed over.
+    """
+    group = rows.select("pivot", "key", "root").union(rows.select("pivot", F.col("pivot").alias("key"), F.col("pivot_root").alias("root")))
+    group = cut_lineage(group.distinct())
+    blocks = group.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    placed = group.join(blocks, "pivot").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    units = placed.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
+    sets = wanted_sets(docs, ids, group.select("key").distinct(), width)
+    units = units.join(sets, "key").select("pivot", "low", "high", "key", "block", "root", "tokens")
+    return cut_lineage(units.groupBy("pivot", "low", "high").applyInArrow(_compare_sets(percent), "a long, b long"))
+
+
 def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 75) -> DataFrame:
     """One row per row of `docs` (doc_id, text): doc_id, n_shingles and component_id.
 
@@ -254,10 +308,12 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 75) -> Da
 
     Candidates are found in two steps, and no step emits all pairs of a group. First every
     set in the list of a signature is paired with the first of the list. Copies of one text,
-    however many, are then joined already. What is left are lists with sets of different
-    components; their pairs across components are counted. In both steps a bound on the
-    number of common signatures drops pairs that cannot reach the threshold, and the rest is
-    verified on the whole sets.
+    however many, are mostly joined then. What is left are lists with sets of different
+    components. In short lists pairs across components are counted; pairs of long lists are
+    compared in blocks, where tasks keep the pairs to themselves. A pair that shares a long
+    list need not be counted, so a bound on the number of common signatures holds for the
+    others: it drops those that cannot reach the threshold. All that stay are verified on the
+    whole sets.
     """
     levels = token_levels(docs, width)
     held = docs.sparkSession.sparkContext.broadcast(zlib.compress(levels.tobytes(), 1))  # a byte per bucket: 8 MB at most
@@ -281,15 +337,17 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 75) -> Da
     rooted = stars.join(mine, "key", "left").join(theirs, "pivot", "left").withColumns(
         {"root": F.coalesce("root", "key"), "pivot_root": F.coalesce("pivot_root", "pivot")}
     )
-    open_lists = rooted.filter("root <> pivot_root").select("sig").distinct()
-    members = rooted.join(open_lists, "sig", "left_semi")
-    members = cut_lineage(
-        members.select("sig", "key", "size", "root").union(members.select("sig", "pivot", "pivot_size", "pivot_root").distinct())
-    )
+    apart = F.max(F.col("root") != F.col("pivot_root")).alias("apart")
+    lengths = rooted.groupBy("sig").agg((F.count(F.lit(1)) + 1).alias("length"), apart).filter("apart").select("sig", "length")
+    rooted = cut_lineage(rooted.join(lengths, "sig"))
+    short, hot = rooted.filter(F.col("length") <= HOT_LIST), rooted.filter(F.col("length") > HOT_LIST)
+
+    members = short.select("sig", "key", "size", "root").union(short.select("sig", "pivot", "pivot_size", "pivot_root").distinct())
     left, right = (members.select("sig", F.col("key").alias(k), F.col("size").alias(f"{k}_size"), F.col("root").alias(f"{k}_root")) for k in "ab")
     across = left.join(right, "sig").filter((F.col("a") > F.col("b")) & (F.col("a_root") != F.col("b_root")))
     shared = across.groupBy("a", "b", "a_size", "b_size").agg(F.count(F.lit(1)).alias("shared"))
     links = links.union(verified(docs, ids, possible(shared, percent), width, percent))
+    links = links.union(block_links(docs, ids, hot, width, percent))
     groups = connected_components(links)
 
     nodes = cut_lineage(ids.join(groups.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key")))

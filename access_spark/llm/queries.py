@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from access_spark.llm import main_text, mixing, ngram_join, pieces, resampling, token_counts, toxicity, url_rules
+from access_spark.llm import main_text, mixing, near_vectors, neighbours, ngram_join, pieces, resampling, token_counts, toxicity, url_rules
 from access_spark.llm.common import table
 
 #: Model file of the sentencepiece queries, one of the public vocabularies of the machine.
@@ -137,3 +137,13 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text.extract_pages(table(spark, sf_dir, "pages"))
+
+
+@query
+def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query
+def op8_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
