@@ -35,6 +35,7 @@ def local_session(cores: int | str = 8, app: str = "access_spark") -> SparkSessi
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.legacy.timeParserPolicy", "CORRECTED")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in RUNTIME_SETTINGS.items():
         builder = builder.config(key, value)
@@ -43,18 +44,32 @@ def local_session(cores: int | str = 8, app: str = "access_spark") -> SparkSessi
     return spark
 
 
-def _ensure_checkpoint_dir(spark: SparkSession) -> None:
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: the one spark.checkpoint.dir names.
+
+    Only a local session may go without and gets a temporary folder; on a cluster every
+    machine would write to its own disk.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
     context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    # Only a session that names no shared folder (a local test) gets its own.
-    context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="access-checkpoint-"))
+    if not context.master.split("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="access-checkpoint-"))
+    return context.getCheckpointDir()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: survives executor loss and stops the plan growing."""
-    _ensure_checkpoint_dir(df.sparkSession)
+    """Reliable checkpoint: survives executor loss and stops the plan growing.
+
+    Spark deletes the files when the table is no longer used if
+    spark.cleaner.referenceTracking.cleanCheckpoints is set, as `local_session` does.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
