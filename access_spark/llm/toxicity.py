@@ -221,20 +221,29 @@ def train_model(docs: DataFrame, labels: DataFrame, held_out: int = 2) -> Model
     return model
 
 
+def _score_column(docs: DataFrame, labels: DataFrame, held_out: int) -> Column:
+    model = train_model(docs, labels, held_out)
+    if model is None:
+        return F.lit(0.0)
+    return _scores(docs.sparkSession.sparkContext.broadcast(model), F.col("text"))
+
+
 def score_documents(docs: DataFrame, labels: DataFrame, held_out: int = 2, threshold: float = THRESHOLD) -> DataFrame:
     """Every row of `docs` with held_out (boolean), score (0 to 1) and predicted (0 or 1).
 
     Only the text is an input of the score. Null, empty and wordless texts score as low as
     anything can (0.0). A null doc_id is scored like any other. Without labels of both
     classes every score is 0.0. Repeated rows are scored alike; columns named as those added
-    are replaced.
+    are replaced. No rows give none.
     """
-    model = train_model(docs, labels, held_out)
-    score = F.lit(0.0)
-    if model is not None:
-        score = _scores(docs.sparkSession.sparkContext.broadcast(model), F.col("text"))
-    scored = docs.withColumn("held_out", fold(F.col("doc_id")) == held_out).withColumn("score", score)
-    return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    scored = docs.withColumn("score", _score_column(docs, labels, held_out))
+    return scored.withColumns({"held_out": fold(F.col("doc_id")) == held_out, "predicted": (F.col("score") >= threshold).cast("int")})
+
+
+def clean_documents(docs: DataFrame, labels: DataFrame, held_out: int = 2, threshold: float = THRESHOLD) -> DataFrame:
+    """The documents whose score is below the threshold, all columns as they were."""
+    score = _score_column(docs, labels, held_out).alias("_toxicity")
+    return docs.select("*", score).filter(F.col("_toxicity") < threshold).drop("_toxicity")
 
 
 def _scores(held, text: Column) -> Column:
