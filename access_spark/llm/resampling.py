@@ -117,9 +117,8 @@ def _noise(doc_id: Column, text: Column, seed: int) -> Column:
     return -F.log(-F.log(uniform))
 
 
-def weighted_documents(docs: DataFrame, labels: DataFrame, seed: int = 13) -> tuple[DataFrame, float]:
-    """(all rows and columns of `docs` with log_weight, noisy_weight and expected, the share
-    of good documents). See `resample`."""
+def weights(docs: DataFrame, labels: DataFrame, seed: int) -> list[Column]:
+    """Columns log_weight, noisy_weight and expected for rows of `docs`; see `resample`."""
     marks = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy(F.col("doc_id").alias("_id"))
     marks = marks.agg((F.min("quality") > 0).alias("_good"))
     share = marks.agg(F.avg(F.col("_good").cast("double"))).first()[0] or 0.0
@@ -128,11 +127,12 @@ def weighted_documents(docs: DataFrame, labels: DataFrame, seed: int = 13) -> tu
     marked = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("_id"), "left")
     ratios = log_ratios(marked, F.col("_good")) if share else None
     if ratios is None:
-        return docs.withColumns({"log_weight": F.lit(0.0), "noisy_weight": F.lit(0.0), "expected": F.lit(1.0)}), 1.0
+        return [F.lit(0.0).alias("log_weight"), F.lit(0.0).alias("noisy_weight"), F.lit(1.0).alias("expected")]
     held = docs.sparkSession.sparkContext.broadcast(np.round(ratios * UNIT).astype(np.int64))
-    rows = docs.withColumn("log_weight", _weights(held, F.col("text")))
-    expected = F.least(F.lit(1.0), F.lit(share) * F.exp(F.least(F.col("log_weight"), F.lit(50.0))))
-    return rows.withColumns({"noisy_weight": F.col("log_weight") + _noise(F.col("doc_id"), F.col("text"), seed), "expected": expected}), share
+    weight = _weights(held, F.col("text"))
+    expected = F.least(F.lit(1.0), F.lit(share) * F.exp(F.least(weight, F.lit(50.0))))
+    noisy = weight + _noise(F.col("doc_id"), F.col("text"), seed)
+    return [weight.alias("log_weight"), noisy.alias("noisy_weight"), expected.alias("expected")]
 
 
 def cut_of(weighted: DataFrame) -> float:
@@ -159,13 +159,12 @@ def resample(docs: DataFrame, labels: DataFrame, seed: int = 13) -> DataFrame:
     Without good labels every document is kept. Repeated rows are judged alike. Other columns
     are ignored. No rows give none.
     """
-    weighted, _ = weighted_documents(docs.select("doc_id", "text"), labels, seed)
-    weighted = cut_lineage(weighted.drop("text"))
+    weighted = cut_lineage(docs.select("doc_id", *weights(docs, labels, seed)))
     return weighted.withColumn("kept", F.col("noisy_weight") >= cut_of(weighted))
 
 
 def kept_documents(docs: DataFrame, labels: DataFrame, seed: int = 13) -> DataFrame:
-    """The documents that `resample` keeps, all columns."""
-    weighted, _ = weighted_documents(docs.select(*docs.columns), labels, seed)
-    cut = cut_of(cut_lineage(weighted.select("doc_id", "noisy_weight", "expected")))
-    return weighted.filter(F.col("noisy_weight") >= cut).select(*docs.columns)
+    """The documents that `resample` keeps, with all their columns and no others."""
+    columns = weights(docs, labels, seed)
+    cut = cut_of(cut_lineage(docs.select("doc_id", *columns)))
+    return docs.select("*", columns[1].alias("_noisy")).filter(F.col("_noisy") >= cut).drop("_noisy")

@@ -1,7 +1,7 @@
 """URL filters by a sort-merge range join.
 
-A host is turned round (`blog.example.net` becomes `net.example.blog`), so that a rule is an
-interval of keys: all that start with its own key. Keys of urls and starts of rules are
+A host is turned round (`blog.example.net` becomes `net.example.blog`) and followed by the
+path, so that a rule is an interval of keys: all that start with its own key. Keys of urls and starts of rules are
 sorted together and swept: each key looks at the last rule that started, which carries the
 stack of rules it is nested in, and takes the innermost one that has not ended. DataFrame
 functions only.
@@ -35,8 +35,10 @@ def url_path(url: Column) -> Column:
     return F.regexp_extract(after_scheme(url), r"\A[^/?#]*([^?#]*)", 1)
 
 
-def reversed_host(labels: Column) -> Column:
-    return F.array_join(F.reverse(labels), ".")
+def url_key(labels: Column, path: Column) -> Column:
+    """Reversed host and path; no host has the `/` between them, so a key starts with
+    another only if the hosts are equal."""
+    return F.concat(F.array_join(F.reverse(labels), "."), F.lit("/"), path)
 
 
 def rule_intervals(spark: SparkSession, rules: Sequence[tuple[str, str, str]]) -> DataFrame:
@@ -49,7 +51,7 @@ def rule_intervals(spark: SparkSession, rules: Sequence[tuple[str, str, str]]) -
     df = spark.createDataFrame(rows, "verdict string, host string, path string")
     df = df.groupBy("host", "path").agg(F.max("verdict").alias("verdict"))
     rule = F.struct(
-        F.concat(reversed_host(F.split("host", r"\.")), F.col("path")).alias("key"),
+        url_key(F.split("host", r"\."), F.col("path")).alias("key"),
         F.concat("host", "path").alias("rule"), F.col("verdict").alias("verdict"),
     )
     held = df.select(rule.alias("r")).select("r.*")
@@ -83,7 +85,7 @@ def filter_urls(
     below = F.explode(F.sequence(F.lit(1), F.size("_labels")))
     keys = rows.withColumn("_n", below).select(
         key, "host", "path", F.col("_parts").alias("_row"),
-        F.concat(reversed_host(F.slice("_labels", -F.col("_n"), F.col("_n"))), F.col("path")).alias("_key"),
+        url_key(F.slice("_labels", -F.col("_n"), F.col("_n")), F.col("path")).alias("_key"),
     )
     starts = rule_intervals(spark, rules)
     events = keys.withColumn("_stack", F.lit(None).cast(starts.schema["stack"].dataType)).unionByName(

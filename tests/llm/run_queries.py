@@ -1,4 +1,4 @@
-"""Run registered queries of access_spark.llm on a folder: python tests/llm/try.py FOLDER NAME..."""
+"""Run registered queries of access_spark.llm on a folder: python tests/llm/run_queries.py FOLDER NAME..."""
 
 import os
 import sys
