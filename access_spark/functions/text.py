@@ -34,36 +34,67 @@ NAMED_PREFIXES = (
 # Text spellings of a missing value left by earlier exports.
 NULL_WORDS = ("nan", "None", "none")
 
-# Blocks whose letters carry marks or have compatibility forms.
-_FOLD_BLOCKS = (
-    (0x00A0, 0x0250), (0x1E00, 0x1F00), (0x2000, 0x2070), (0xFB00, 0xFB07), (0xFF01, 0xFF5F),
-)
+# Hangul syllables decompose by arithmetic: 19 leads, 21 vowels and 28 tails (one is none).
+_LEADS = "".join(chr(0x1100 + i) for i in range(19))
+_VOWELS = "".join(chr(0x1161 + i) for i in range(21))
+_TAILS = "".join(chr(0x11A8 + i) for i in range(27))
 
 
 @lru_cache(maxsize=4)
 def _fold_table(form: str, ascii_only: bool) -> tuple[str, str, tuple[tuple[str, str], ...]]:
-    """Single-character table and multi-character pairs, derived from Unicode."""
+    """Single-character table and multi-character pairs, derived from all of Unicode."""
     single, plain, multi = [], [], []
-    for start, stop in _FOLD_BLOCKS:
-        for point in range(start, stop):
-            char = chr(point)
-            parts = unicodedata.normalize(form, char)
-            if parts == char:
-                continue
-            kept = "".join(
-                p for p in parts
-                if (ord(p) < 128 if ascii_only else not unicodedata.combining(p))
-            )
-            if kept == char or not kept:
-                continue
-            if len(kept) == 1:
-                single.append(char)
-                plain.append(kept)
-            else:
-                multi.append((char, kept))
+    for point in range(0x80, 0x110000):
+        char = chr(point)
+        if 0xAC00 <= point <= 0xD7A3 or 0xD800 <= point <= 0xDFFF:
+            continue
+        parts = unicodedata.normalize(form, char)
+        if parts == char:
+            continue
+        kept = "".join(
+            p for p in parts
+            if (ord(p) < 128 if ascii_only else not unicodedata.combining(p))
+        )
+        if kept == char or not kept:
+            continue
+        if len(kept) == 1:
+            single.append(char)
+            plain.append(kept)
+        else:
+            multi.append((char, kept))
     return "".join(single), "".join(plain), tuple(multi)
 
 
+@lru_cache(maxsize=2)
+def _marks(form: str) -> str:
+    """Pattern of the characters with a combining class, and of those that decompose into
+    nothing else."""
+    found = [
+        c for c in range(0x80, 0x110000)
+        if not 0xD800 <= c <= 0xDFFF and all(unicodedata.combining(p) for p in unicodedata.normalize(form, chr(c)))
+    ]
+    ranges: list[list[int]] = []
+    for c in found:
+        if ranges and ranges[-1][1] == c - 1:
+            ranges[-1][1] = c
+        else:
+            ranges.append([c, c])
+    return "[" + "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in ranges) + "]+"
+
+
+def _spell_hangul(col: Column) -> Column:
+    """Syllables as their letters."""
+
+    def spell(char: Column) -> Column:
+        at = F.ascii(char) - 0xAC00
+        lead = F.substring(F.lit(_LEADS), F.floor(at / 588).cast("int") + 1, F.lit(1))
+        vowel = F.substring(F.lit(_VOWELS), F.floor(at % 588 / 28).cast("int") + 1, F.lit(1))
+        tail = F.when(at % 28 > 0, F.substring(F.lit(_TAILS), (at % 28).cast("int"), F.lit(1))).otherwise("")
+        return F.when(at.between(0, 11171), F.concat(lead, vowel, tail)).otherwise(char)
+
+    return F.array_join(F.transform(F.split(col, ""), spell), "")
+
+
 def _unaccent(col: Column, form: str, ascii_only: bool) -> Column:
     single, plain, multi = _fold_table(form, ascii_only)
     folded = col
@@ -71,13 +102,15 @@ def _unaccent(col: Column, form: str, ascii_only: bool) -> Column:
         # ligatures, fractions and the like: one letter each, followed by its plain form
         pairs = F.split(F.lit("\n".join(char + plain_form for char, plain_form in multi)), "\n")
         spelled = F.aggregate(
-            pairs, col, lambda text, pair: F.replace(text, F.substring(pair, 1, 1), F.substring(pair, 2, 9))
+            pairs, col, lambda text, pair: F.replace(text, F.substring(pair, 1, 1), F.substring(pair, 2, 32))
         )
         rare = f"[{''.join(char for char, _ in multi)}]"
         folded = F.when(col.rlike(rare), spelled).otherwise(col)
     folded = F.translate(folded, single, plain)
     # dropping everything outside ASCII drops the marks as well
-    folded = F.regexp_replace(folded, r"[^\x00-\x7F]+" if ascii_only else r"\p{M}+", "")
+    folded = F.regexp_replace(folded, r"[^\x00-\x7F]+" if ascii_only else _marks(form), "")
+    if not ascii_only:
+        folded = F.when(col.rlike("[\uac00-\ud7a3]"), _spell_hangul(folded)).otherwise(folded)
     # plain ASCII text, the common case, skips the table
     return F.when(col.rlike(r"[^\x00-\x7F]"), folded).otherwise(col)
 

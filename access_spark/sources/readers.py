@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from access_spark.functions.text import fuzzy_column
+from access_spark.operators.keyed import number_rows, running_total
+from access_spark.session import cut_lineage
 
 # Spark decodes these by name; anything else is staged as UTF-8 beforehand.
 ENCODINGS = {"latin-1": "ISO-8859-1", "iso-8859-1": "ISO-8859-1", "utf-8": "UTF-8", "utf-8-sig": "UTF-8"}
@@ -17,6 +20,59 @@ def _headers(columns: Sequence[str]) -> list[str]:
     return [c.replace("﻿", "").replace("ï»¿", "").strip() for c in columns]
 
 
+def numbered_lines(spark: SparkSession, path: str, encoding: str = "utf-8") -> DataFrame:
+    """Lines of a file as (line_no, value), numbered from 0 in file order, blank ones too.
+
+    Lines are read in parallel. Those of one split of the file have rising ids, so a line's
+    number is its place in the split plus the lines of the splits before it, of which there
+    is one row each.
+    """
+    name = ENCODINGS.get(encoding, encoding)
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_split"),
+        F.monotonically_increasing_id().alias("_id"), F.decode(F.col("value").cast("binary"), name).alias("value"),
+    )
+    lines = cut_lineage(lines)
+    splits = lines.groupBy("_file", "_split").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    earlier = Window.orderBy("_file", "_split").rowsBetween(Window.unboundedPreceding, -1)
+    starts = splits.select("_file", "_split", "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    return lines.join(starts, ["_file", "_split"]).select((F.col("_before") + F.col("_id") - F.col("_first")).alias("line_no"), "value")
+
+
+def _records(lines: DataFrame) -> DataFrame:
+    """Lines joined to records where a quoted field goes over a line break.
+
+    A line goes on with the record before it if the quotes so far are odd in number; both
+    running sums are taken over slices of the file (`running_total`).
+    """
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    if lines.agg(F.coalesce(F.max(quotes % 2), F.lit(0))).first()[0] == 0:
+        return lines
+    rows = lines.withColumns({"_all": F.lit(0), "_tie": F.lit(0), "_quotes": quotes})
+    rows = running_total(rows, ["_all"], "line_no", "_tie", F.col("_quotes"), "_sum").drop("_sum_total")
+    starts = ((F.col("_sum") - F.col("_quotes")) % 2 == 0).cast("bigint")
+    rows = running_total(rows.withColumn("_start", starts), ["_all"], "line_no", "_tie", F.col("_start"), "_record")
+    parts = F.array_sort(F.collect_list(F.struct("line_no", "value")))
+    return rows.groupBy("_record").agg(F.min("line_no").alias("line_no"), parts.alias("_p")).select(
+        "line_no", F.array_join(F.transform("_p", lambda x: x["value"]), "\n").alias("value")
+    )
+
+
+def _parsed(lines: DataFrame, sep: str, skip: int, repair=lambda text: text) -> DataFrame:
+    """Rows after `skip` title lines (blank ones count) and a header, with `row_seq`, their
+    number in file order. Titles and header go by position, so equal data lines stay; blank
+    data lines are no rows. An empty file has no columns but row_seq."""
+    head = lines.filter(F.col("line_no") == skip).first()
+    if head is None:
+        return lines.limit(0).select(F.col("line_no").alias("row_seq"))
+    header = _headers(next(csv.reader([head["value"]], delimiter=sep)))
+    schema = ", ".join(f"`{c}` string" for c in header)
+    body = _records(lines.filter(F.col("line_no") > skip)).filter(F.trim("value") != "")
+    row = F.from_csv(repair(F.col("value")), schema, {"sep": sep, "multiLine": "true", "escape": '"'})
+    numbered = number_rows(body.withColumns({"_all": F.lit(0), "_tie": F.lit(0)}), ["_all"], "line_no", "_tie", "row_seq", start=0)
+    return numbered.select("row_seq", row.alias("r")).select("row_seq", "r.*")
+
+
 def read_delimited(
     spark: SparkSession,
     path: str,
@@ -24,73 +80,52 @@ def read_delimited(
     encoding: str = "utf-8",
     columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Delimited registry with a header, all columns as text; unknown headers are matched
-    after folding accents and case. Only the asked columns are read."""
-    df = spark.read.csv(path, header=True, sep=sep, encoding=ENCODINGS.get(encoding, encoding), inferSchema=False)
-    df = df.toDF(*_headers(df.columns))
+    """Delimited registry with a header, all columns as text, and `row_seq`, the row's number
+    in file order; unknown headers are matched after folding accents and case."""
+    df = _parsed(numbered_lines(spark, path, encoding), sep, 0)
     if columns is None:
         return df
     found = {c: fuzzy_column(df.columns, c) for c in columns}
     missing = [c for c, f in found.items() if f is None]
     if missing:
         raise ValueError(f"{path}: columns not found: {missing}")
-    return df.select(*[F.col(f"`{f}`").alias(c) for c, f in found.items()])
+    return df.select("row_seq", *[F.col(f"`{f}`").alias(c) for c, f in found.items()])
 
 
 def read_after_title(spark: SparkSession, path: str, skip: int, sep: str = ",", encoding: str = "utf-8") -> DataFrame:
-    """Delimited file whose header follows `skip` title lines.
-
-    The first skip + 1 lines name the columns (metadata only); data lines are parsed in
-    parallel, title and header lines are recognised by their text.
-    """
-    name = ENCODINGS.get(encoding, encoding)
-    lines = spark.read.option("encoding", name).csv(path, sep="\x01", header=False, quote="", schema="value string")
-    head = [r[0] for r in lines.limit(skip + 1).collect()]
-    header = _headers(head[skip].split(sep))
-    # a title or header line is dropped wherever it occurs; data lines never equal them
-    body = lines.filter(~F.col("value").isin(*head))
-    schema = ", ".join(f"`{c}` string" for c in header)
-    return body.select(F.from_csv("value", schema, {"sep": sep}).alias("r")).select("r.*")
+    """Delimited file whose header follows `skip` title lines, blank lines among them."""
+    return _parsed(numbered_lines(spark, path, encoding), sep, skip)
 
 
 def read_repaired(
     spark: SparkSession, path: str, replacements: Mapping[str, str], sep: str = ",", encoding: str = "utf-8"
 ) -> DataFrame:
     """Delimited text with known unquoted separators replaced before parsing."""
-    name = ENCODINGS.get(encoding, encoding)
-    lines = spark.read.option("encoding", name).csv(path, sep="\x01", header=False, quote="", schema="value string")
-    text = F.col("value")
-    for source, target in replacements.items():
-        text = F.replace(text, F.lit(source), F.lit(target))
-    first = lines.limit(1).collect()[0][0]
-    header = _headers(first.split(sep))
-    schema = ", ".join(f"`{c}` string" for c in header)
-    body = lines.filter(F.col("value") != first)
-    return body.select(F.from_csv(text, schema, {"sep": sep}).alias("r")).select("r.*")
 
+    def repair(text):
+        for source, target in replacements.items():
+            text = F.replace(text, F.lit(source), F.lit(target))
+        return text
+
+    return _parsed(numbered_lines(spark, path, encoding), sep, 0, repair)
 
-def least_garbled(spark: SparkSession, path: str, candidates: Sequence[str] = ("UTF-8", "ISO-8859-1"), sample: int = 100) -> str:
-    """Encoding whose reading of the first lines has the fewest C1 control characters.
 
-    The choice looks at a sample of lines, as it only has to tell encodings apart; text
-    that is not valid in an encoding rules it out.
+def least_garbled(spark: SparkSession, path: str, candidates: Sequence[str] = ("UTF-8", "ISO-8859-1")) -> str:
+    """Encoding whose reading of the file has the fewest C1 control characters.
+
+    All lines are read, in one aggregate; text that is not valid in an encoding rules it out.
     """
-    head = spark.read.format("text").load(path).limit(sample).select(F.col("value").cast("binary").alias("raw"))
-    best, fewest = candidates[-1], None
-    for name in candidates:
-        if name == "UTF-8":
-            text = F.try_validate_utf8(F.col("raw").cast("string"))
-        else:
-            text = F.decode("raw", name)
-        row = head.select(text.alias("t")).agg(
-            F.count_if(F.col("t").isNull()).alias("bad"),
-            F.coalesce(F.sum(F.regexp_count("t", F.lit(r"[\x80-\x9F]"))), F.lit(0)).alias("c1"),
-        ).first()
-        if row["bad"]:
-            continue
-        if fewest is None or row["c1"] < fewest:
-            best, fewest = name, row["c1"]
-    return best
+    raw = F.col("value").cast("binary")
+    checks = []
+    for i, name in enumerate(candidates):
+        text = F.try_validate_utf8(raw.cast("string")) if name == "UTF-8" else F.decode(raw, name)
+        checks += [
+            F.count_if(text.isNull()).alias(f"bad{i}"),
+            F.coalesce(F.sum(F.regexp_count(text, F.lit(r"[\x80-\x9F]"))), F.lit(0)).alias(f"c1{i}"),
+        ]
+    row = spark.read.text(path).agg(*checks).first()
+    valid = [i for i in range(len(candidates)) if not row[f"bad{i}"]]
+    return candidates[min(valid, key=lambda i: row[f"c1{i}"])] if valid else candidates[-1]
 
 
 def column_by_values(df: DataFrame, allowed: Sequence[int]) -> str | None:

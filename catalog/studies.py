@@ -10,7 +10,7 @@ from catalog.domain import Tables, with_views
 from catalog.registry import query
 
 UNITS = """
-    w AS (SELECT iso, k AS tile_seq, box_lat + off_lat AS lat, box_lon + off_lon AS lon, c_acctbal / 1e3 AS rwi, (k % 10) / 1e1 AS rwi_error, k * 7 % 50 AS row, k * 13 % 60 AS col FROM {school_base}),
+    w AS (SELECT iso, k AS tile_seq, box_lat + off_lat AS lat, box_lon + off_lon AS lon, c_acctbal / 1047.1975e0 AS rwi, (k % 10) / 10.471975e0 AS rwi_error, k * 7 % 50 AS row, k * 13 % 60 AS col FROM {school_base}),
     p AS (SELECT w.iso, w.tile_seq, any_value(w.lat) AS lat, any_value(w.lon) AS lon, any_value(rwi) AS rwi, any_value(rwi_error) AS er, coalesce(sum(greatest(coalesce(f.value, 0), 0)), 0) AS pop
       FROM w LEFT JOIN {fine} f ON f.iso = w.iso AND f.row BETWEEN w.row - 2 AND w.row + 2 AND f.col BETWEEN w.col - 2 AND w.col + 2 GROUP BY 1, 2),
     i AS (SELECT p.*, 'N' || nk || CASE WHEN lat - y0 < lon - x0 THEN 'E' ELSE 'W' END AS unit FROM p JOIN {corner} k ON k.iso = p.iso AND lon > x0 AND lon < x1 AND lat > y0 AND lat < y1 AND (lat - y0) <> (lon - x0)),
@@ -18,11 +18,12 @@ UNITS = """
     v AS (SELECT iso, unit, CASE WHEN sum(pop) > 0 THEN sum(pop * (rwi - mean) * (rwi - mean)) / sum(pop) END AS var FROM i JOIN m USING (iso, unit) GROUP BY 1, 2)"""
 
 
+# a divisor that puts no mean on the border of two roundings
 def tiles_of(t: Tables):
     k = F.col("k")
     return t.school_base.select(
         "iso", k.alias("tile_seq"), (F.col("box_lat") + F.col("off_lat")).alias("lat"), (F.col("box_lon") + F.col("off_lon")).alias("lon"),
-        (F.col("c_acctbal") / 1e3).alias("rwi"), ((k % 10) / F.lit(10.0)).alias("rwi_error"), (k * 7 % 50).alias("row"), (k * 13 % 60).alias("col"),
+        (F.col("c_acctbal") / 1047.1975).alias("rwi"), ((k % 10) / F.lit(10.471975)).alias("rwi_error"), (k * 7 % 50).alias("row"), (k * 13 % 60).alias("col"),
     )
 
 
@@ -46,12 +47,12 @@ def _units(t: Tables):
 
 @query(
     "weighted_stats",
-    """WITH m AS (SELECT p_brand, count(*) AS n_cells, sum(p_retailprice) AS pop_total, sum(p_retailprice * p_size) / sum(p_retailprice) AS wm, avg(p_size) AS um, avg(p_partkey) AS em FROM part GROUP BY 1)
+    """WITH m AS (SELECT p_brand, count(*) AS n_cells, sum(p_retailprice) AS pop_total, sum(p_retailprice * p_size) / sum(p_retailprice) AS wm, avg(p_size) AS um, avg(p_partkey) AS em FROM (SELECT * REPLACE (p_size / 10.471975e0 AS p_size, p_partkey / 10.471975e0 AS p_partkey) FROM part) GROUP BY 1)
       SELECT p_brand, any_value(n_cells) AS n_cells, round(any_value(pop_total), 4) AS pop_total, round(any_value(wm), 6) AS weighted_mean, round(any_value(um), 6) AS unweighted_mean, round(any_value(em), 6) AS error_mean,
-        round(sum(p_retailprice * (p_size - wm) * (p_size - wm)) / sum(p_retailprice), 6) AS weighted_var FROM part JOIN m USING (p_brand) GROUP BY 1""",
+        round(sum(p_retailprice * (p_size - wm) * (p_size - wm)) / sum(p_retailprice), 6) AS weighted_var FROM (SELECT * REPLACE (p_size / 10.471975e0 AS p_size) FROM part) JOIN m USING (p_brand) GROUP BY 1""",
 )
 def _weighted(t: Tables):
-    out = study.weighted_stats(t.part, ["p_brand"], "p_size", "p_partkey", "p_retailprice")
+    out = study.weighted_stats(t.part.withColumns({c: F.col(c) / 10.471975 for c in ("p_size", "p_partkey")}), ["p_brand"], "p_size", "p_partkey", "p_retailprice")
     return out.select("p_brand", "n_cells", F.round("pop_total", 4).alias("pop_total"), *[F.round(c, 6).alias(c) for c in ("weighted_mean", "unweighted_mean", "error_mean", "weighted_var")])
 
 

@@ -173,3 +173,19 @@ def test_resolver(spark, change, policy, expected):
     ev = quality.evidence(set(df.columns))
     got = df.select(quality.coordinate_quality(ev, F.lit(policy)).alias("q")).first()["q"]
     assert (got["label"], got["reason"]) == expected
+
+
+def test_folding_is_that_of_unicode(spark):
+    """Every code point with a decomposition or a combining class, and a part of the others."""
+    import unicodedata
+
+    points = [
+        chr(c) for c in range(0x20, 0x110000)
+        if not 0xD800 <= c <= 0xDFFF and (unicodedata.normalize("NFKD", chr(c)) != chr(c) or unicodedata.combining(chr(c)) or c % 97 == 0)
+    ]
+    df = spark.createDataFrame([(p,) for p in points], "t string")
+    for form, ascii_only in (("NFKD", True), ("NFKD", False), ("NFD", False)):
+        got = {r.t: r.o for r in df.select("t", text._unaccent(F.col("t"), form, ascii_only).alias("o")).collect()}
+        for p in points:
+            parts = unicodedata.normalize(form, p)
+            assert got[p] == "".join(c for c in parts if (ord(c) < 128 if ascii_only else not unicodedata.combining(c))), hex(ord(p))

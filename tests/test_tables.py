@@ -100,7 +100,36 @@ def test_repaired_and_titled(spark, tmp_path):
     assert values(df, "id", "place") == [("1", "Bogotá D.C."), ("2", "Cali")]
     path = tmp_path / "d.csv"
     path.write_text("Title\n\nid,v\n1,a\n", encoding="utf-8")
-    assert values(readers.read_after_title(spark, str(path), 1), "id", "v") == [("1", "a")]
+    assert values(readers.read_after_title(spark, str(path), 2), "id", "v") == [("1", "a")]
+
+
+def test_rows_keep_their_place(spark, tmp_path):
+    """Titles and headers go by position, equal data lines stay, numbers follow the file."""
+    path = tmp_path / "e.csv"
+    path.write_text("1,a\n\nid,v\n1,a\n\nid,v\n1,a\n2,b\n", encoding="utf-8")
+    df = readers.read_after_title(spark, str(path), 2)
+    assert values(df, "row_seq", "id", "v") == [(0, "1", "a"), (1, "id", "v"), (2, "1", "a"), (3, "2", "b")]
+    path.write_text('id,v\n1,"two\nlines, ""x"""\n2,b\n2,b\n', encoding="utf-8")
+    df = readers.read_repaired(spark, str(path), {})
+    assert values(df, "row_seq", "id", "v") == [(0, "1", 'two\nlines, "x"'), (1, "2", "b"), (2, "2", "b")]
+    path.write_text("", encoding="utf-8")
+    assert readers.read_repaired(spark, str(path), {}).columns == ["row_seq"]
+
+
+def test_many_splits_and_late_bytes(spark, tmp_path):
+    path = tmp_path / "f.csv"
+    lines = ["id;v"] + [f"{i};{'x' * (i % 50)}" for i in range(4000)]
+    path.write_bytes(("\n".join(lines) + "\nlast;ñ\n").encode("latin-1"))
+    assert readers.least_garbled(spark, str(path)) == "ISO-8859-1"
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1000")
+    try:
+        rows = readers.read_delimited(spark, str(path), sep=";", encoding="latin-1").orderBy("row_seq").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert [r.id for r in rows] == [str(i) for i in range(4000)] + ["last"]
+    assert [r.row_seq for r in rows] == list(range(4001)) and rows[-1].v == "ñ"
 
 
 def test_column_by_values(spark):
