@@ -65,10 +65,10 @@ def evaluate(
     points = rows.select(*keys, F.explode(ends).alias("p")).filter("p IS NOT NULL").select(
         *keys, F.col("iso").alias("adm0_pcode"), "p.*"
     )
-    inside = spatial.polygons_of_points(points, edges.filter("level > 0"), [*keys, "side"]).filter("inside")
-    units = boundaries.select("level", "pcode", "name", "poly_seq")
+    inside = spatial.polygons_of_points(points, edges.filter("level > 0"), [*keys, "adm0_pcode", "side"]).filter("inside")
+    units = boundaries.select("adm0_pcode", "level", "pcode", "name", "poly_seq")
     unit = F.struct("poly_seq", "pcode", "name")
-    located = inside.join(units, ["level", "pcode"]).groupBy(*keys).agg(
+    located = inside.join(units, ["adm0_pcode", "level", "pcode"]).groupBy(*keys).agg(
         *[
             F.min(F.when((F.col("side") == side) & (F.col("level") == lv), unit)).alias(f"_{side}{lv}")
             for side in ("g", "o")

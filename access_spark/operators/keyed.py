@@ -13,25 +13,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from access_spark.session import cut_lineage, parallelism
-
-# One row per group is small beside the data; beyond this many rows it is joined by a shuffle.
-BROADCAST_ROWS = 100_000
-# Ordered slices of one group in a prefix sum.
-MAX_SLICES = 4_000
-
+from access_spark.session import parallelism
 
 class DuplicateKeyError(ValueError):
     """A table that must be unique on its key is not."""
 
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """A table of group facts, materialised and counted: broadcast when it is small enough,
-    so that the large side is not shuffled on a few hot keys, left as it is otherwise."""
-    held = cut_lineage(df)
-    return F.broadcast(held) if held.count() <= max_rows else held
-
-
 def keep_first(df: DataFrame, keys: Sequence[str], order: Column) -> DataFrame:
     """The row with the lowest order value per key, by a partial aggregate."""
     rest = [c for c in df.columns if c not in keys]
@@ -127,7 +114,7 @@ def running_total(
     the cut points, the sums are exact, and only slice sums cross slice borders.
     `value` and `tie` are numeric and not null, (value, tie) is unique in a group.
     """
-    slices = slices or min(parallelism(df.sparkSession), MAX_SLICES)
+    slices = slices or parallelism(df.sparkSession)
     block = max(2, math.isqrt(slices))
     group = list(group)
     probs = F.expr(f"array({', '.join(f'{i / slices!r}D' for i in range(1, slices))})")
@@ -137,7 +124,7 @@ def running_total(
         F.percentile_approx(tie, probs, accuracy).alias("_tie_cuts"),
     )
     cuts = cuts.withColumns({"_ends": _block_ends("_cuts", block), "_tie_ends": _block_ends("_tie_cuts", block)})
-    rows = df.join(small_side(cuts, BROADCAST_ROWS * 20 // slices), group)
+    rows = df.join(cuts, group)
     rows = rows.withColumn("_below", _count_below("_cuts", "_ends", F.col(value), block))
     at_cut = F.coalesce(F.get("_cuts", F.col("_below")) == F.col(value), F.lit(False))
     rows = rows.withColumns(

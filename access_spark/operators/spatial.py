@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from access_spark.functions.geo import haversine_km, lattice_index
 from access_spark.functions.numeric import finite
-from access_spark.operators.keyed import small_side, top_per_group
+from access_spark.operators.keyed import top_per_group
 from access_spark.session import cut_lineage
 
 CELL_DEGREES = 0.25
@@ -122,8 +122,10 @@ def locate(
 ) -> DataFrame:
     """First polygon (lowest poly_seq) strictly containing each point; one row per match."""
     inside = polygons_of_points(points, edges, keys, size).filter("inside")
-    names = polygons.select("level", "pcode", "poly_seq", *[c for c in columns if c != "pcode"])
-    named = inside.select(*keys, "level", "pcode").join(names, ["level", "pcode"])
+    # codes are unique within a country only
+    on = [*(["adm0_pcode"] if "adm0_pcode" in keys else []), "level", "pcode"]
+    names = polygons.select(*on, "poly_seq", *[c for c in columns if c not in on])
+    named = inside.select(*keys, "level", "pcode").join(names, on)
     first = F.min(F.struct("poly_seq", *columns)).alias("m")
     return named.groupBy(*keys).agg(first).select(*keys, *[F.col(f"m.{c}").alias(c) for c in columns])
 
@@ -210,9 +212,13 @@ def nearest_items(
     Level by level, cells of queries meet boxes of items. A box is dropped when k items are
     certainly nearer to the whole query cell; a query cell is done when few candidates are
     left. So work follows local density: a crowded spot is split further instead of meeting
-    everything, and no step pairs all rows of a group. Only cell-sized tables are
-    checkpointed; the result is (group, query_key, item columns, d2, rank).
+    everything, and no step pairs all rows of a group. Queries leave with the level that
+    finishes their cell; only the others go on. Points that are null, NaN or infinite are on
+    neither side. The result is (group, query_key, item columns, d2, rank).
     """
+    whole = [finite(F.col(c)).isNotNull() for c in ("x", "y", "x1", "y1", "x2", "y2")]
+    queries = queries.filter(whole[0] & whole[1])
+    items = items.filter(whole[2] & whole[3] & whole[4] & whole[5])
     q_ext, i_ext = _extent(queries, ["x"], ["y"]), _extent(items, ["x1", "x2"], ["y1", "y2"])
     columns = [group, query_key, *item_columns, order]
     if q_ext is None or i_ext is None:
@@ -252,13 +258,17 @@ def nearest_items(
     cell = [group, "qx", "qy"]
     limit = 4 * k + 2 * leaf
     finished: list[DataFrame] = []
+    nodes: list[DataFrame] = []
+    pending = q
     for level in range(depth + 1):
         near, far = _rect_distances(span / (1 << level), (ox, oy))
         measured = pairs.withColumns({"near": near, "far": far})
         ranked = measured
         if owner:
             ranked = measured.groupBy(*cell, owner).agg(F.min("far").alias("far")).withColumn("n", F.lit(1))
-        # the distance within which k items are certain; pruned pairs keep this list short
+        # the distance within which k items are certain: the k nearest boxes hold k items at least
+        close = F.row_number().over(Window.partitionBy(*cell).orderBy("far"))
+        ranked = ranked.withColumn("_close", close).filter(F.col("_close") <= k)
         ordered = F.array_sort(F.collect_list(F.struct("far", F.col("n").cast("bigint").alias("n"))))
         start = F.struct(F.lit(0).cast("bigint").alias("seen"), F.lit(0.0).alias("bound"))
         bound = ranked.groupBy(*cell).agg(
@@ -276,7 +286,10 @@ def nearest_items(
         kept = cut_lineage(kept.join(totals, cell).drop("near", "far", "bound"))
         # boxes that are not crowded are no smaller than the query cell, so few remain
         split = (F.col("total") > limit) & F.col("busy") & F.lit(level < depth)
-        finished.append(kept.filter(~split).select(*cell, *node[1:], "nl", F.lit(level).alias("ql")))
+        here = pending.withColumns({"qx": at("qcx", level), "qy": at("qcy", level)})
+        done = kept.filter(~split).select(*cell, *node[1:], "nl")
+        finished.append(here.join(done, cell).drop("qcx", "qcy", "qx", "qy"))
+        nodes.append(done.select(*node, "nl").distinct())
         active = kept.filter(split).drop("total", "busy")
         if level == depth or active.isEmpty():
             break
@@ -292,8 +305,9 @@ def nearest_items(
         )
         opened = crowded.select(*cell, *node).withColumnsRenamed({"nx": "px", "ny": "py"}).join(children, parent)
         down = opened.drop("px", "py").unionByName(calm)
+        pending = cut_lineage(here.join(active.select(*cell).distinct(), cell, "left_semi").drop("qx", "qy"))
         finer = (
-            q.select(
+            pending.select(
                 group, at("qcx", level).alias("qx"), at("qcy", level).alias("qy"),
                 at("qcx", level + 1).alias("fx"), at("qcy", level + 1).alias("fy"),
             )
@@ -301,25 +315,18 @@ def nearest_items(
         )
         pairs = down.join(finer, cell).drop("qx", "qy").withColumnsRenamed({"fx": "qx", "fy": "qy"})
 
-    plan = finished[0]
-    for part in finished[1:]:
-        plan = plan.unionByName(part)
-    q_levels = F.explode(F.array(*[F.lit(i) for i in range(len(finished))])).alias("ql")
-    queries_at = q.select("*", q_levels).withColumns(
-        {
-            "qx": F.expr(f"shiftright(qcx, {depth} - ql)"),
-            "qy": F.expr(f"shiftright(qcy, {depth} - ql)"),
-        }
-    )
-    items_at = it.select("*", F.explode(F.array(*[F.lit(i) for i in range(len(finished))])).alias("nl")).withColumns(
+    found, wanted_nodes = finished[0], nodes[0]
+    for part, own in zip(finished[1:], nodes[1:]):
+        found, wanted_nodes = found.unionByName(part), wanted_nodes.union(own)
+    levels = F.explode(F.array(*[F.lit(i) for i in range(len(finished))])).alias("nl")
+    items_at = it.select("*", levels).withColumns(
         {
             "nx": F.expr(f"shiftright(ncx, {depth} - nl)"),
             "ny": F.expr(f"shiftright(ncy, {depth} - nl)"),
         }
     )
     node_key = [*node, "nl"]
-    wanted = items_at.join(plan.select(*node_key).distinct(), node_key, "left_semi").drop("ncx", "ncy")
-    found = queries_at.drop("qcx", "qcy").join(plan, [*cell, "ql"]).drop("qx", "qy", "ql")
+    wanted = items_at.join(wanted_nodes.distinct(), node_key, "left_semi").drop("ncx", "ncy")
     scored = found.join(wanted, node_key).select(*columns, distance2().alias("d2"))
     if owner:
         scored = scored.groupBy(group, query_key, owner).agg(
@@ -404,9 +411,7 @@ def lattice_join(
     The lattice of a country is anchored on its first cell (lowest cell_id); one row per
     country carries the anchor.
     """
-    anchor = small_side(
-        cells.groupBy(group).agg(F.min_by("lat", "cell_id").alias("_lat0"), F.min_by("lon", "cell_id").alias("_lon0"))
-    )
+    anchor = cells.groupBy(group).agg(F.min_by("lat", "cell_id").alias("_lat0"), F.min_by("lon", "cell_id").alias("_lon0"))
 
     def indexed(df: DataFrame) -> DataFrame:
         return df.join(anchor, group, "left").withColumns(

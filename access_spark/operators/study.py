@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from access_spark.functions.numeric import finite, percent
-from access_spark.operators.keyed import exact_quantiles, running_total, small_side
+from access_spark.operators.keyed import exact_quantiles, running_total
 
 
 def weighted_stats(rows: DataFrame, keys: Sequence[str], value: str, error: str, weight: str) -> DataFrame:
@@ -98,7 +98,7 @@ def with_decile(df: DataFrame, group: Sequence[str], value: str, name: str, buck
         *keys, F.array_distinct("_all").alias("_edges")
     )
     below = F.size(F.filter("_edges", lambda e: e < F.col(value)))
-    return df.join(small_side(edges), keys).withColumn(name, F.greatest(below, F.lit(1))).drop("_edges")
+    return df.join(edges, keys).withColumn(name, F.greatest(below, F.lit(1))).drop("_edges")
 
 
 def decile_crosstab(df: DataFrame, group: Sequence[str], wealth: str, poverty: str) -> DataFrame:

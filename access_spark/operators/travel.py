@@ -118,31 +118,28 @@ def snap_sources(sources: DataFrame, valid: DataFrame, radius: int = 3) -> DataF
 
 
 def least_cost_minutes(
-    friction: DataFrame, sources: DataFrame, height_m: float, widths: DataFrame, cap: float = 60.0, max_rounds: int = 2000
+    friction: DataFrame, sources: DataFrame, height_m: float, widths: DataFrame, max_rounds: int = 20_000, merge_every: int = 8
 ) -> DataFrame:
-    """Minutes from every passable cell to its nearest source over eight neighbours.
+    """Minutes from every passable cell that a source can reach to its nearest source, over
+    eight neighbours.
 
-    A step costs its length times the mean friction (minutes per metre) of both cells.
-    Each round extends only cells that improved in the round before and stops at `cap`
-    minutes, so rounds follow the number of steps a trip within the cap can have.
-    `widths` has iso and width_m. Reported as least-cost time: movement is restricted to
-    eight directions.
+    A step costs its length times the mean friction (minutes per metre) of both cells. Each
+    round extends only the cells that improved in the round before, and writes only what it
+    improves; these tables are merged by their minimum every few rounds. `widths` has iso and
+    width_m. Reported as least-cost time: movement is restricted to eight directions.
     """
-    grid = cut_lineage(
-        friction.select("iso", "row", "col", F.col("value").alias("f")).join(widths, "iso")
-    )
+    key = ["iso", "row", "col"]
+    grid = cut_lineage(friction.select(*key, F.col("value").alias("f")).join(widths, "iso"))
     moves = F.array(
         *[
             F.struct(F.lit(dr).alias("dr"), F.lit(dc).alias("dc"))
             for dr in (-1, 0, 1) for dc in (-1, 0, 1) if (dr, dc) != (0, 0)
         ]
     )
-    start = sources.select("iso", "row", "col").distinct().join(grid.select("iso", "row", "col"), ["iso", "row", "col"])
-    best = cut_lineage(start.withColumns({"minutes": F.lit(0.0), "fresh": F.lit(True)}))
-    key = ["iso", "row", "col"]
+    fresh = cut_lineage(sources.select(*key).distinct().join(grid, key).withColumn("minutes", F.lit(0.0)))
+    known = [fresh.select(*key, "minutes")]
     for _ in range(max_rounds):
-        frontier = best.filter("fresh").select(*key, "minutes").join(grid, key)
-        steps = frontier.select(
+        steps = fresh.select(
             "iso", "minutes", F.col("f").alias("f0"), "width_m", F.col("row").alias("r0"), F.col("col").alias("c0"),
             F.explode(moves).alias("m"),
         ).select(
@@ -152,21 +149,25 @@ def least_cost_minutes(
             ).alias("length"),
         )
         reached = (
-            steps.join(grid.select(*key, "f"), key)
+            steps.join(grid, key)
             .withColumn("minutes", F.col("minutes") + F.col("length") * (F.col("f0") + F.col("f")) / 2.0)
-            .filter(F.col("minutes") <= cap)
-            .groupBy(*key).agg(F.min("minutes").alias("new"))
-        )
-        merged = best.select(*key, "minutes").join(reached, key, "full_outer")
-        better = F.coalesce(F.col("new") < F.col("minutes"), F.col("minutes").isNull())
-        best = cut_lineage(
-            merged.select(*key, F.least("minutes", "new").alias("minutes"), better.alias("fresh"))
+            .groupBy(*key, "f", "width_m").agg(F.min("minutes").alias("minutes"))
         )
-        if best.filter("fresh").isEmpty():
-            break
-    else:
-        raise RuntimeError("travel time did not settle")
-    return best.select(*key, "minutes")
+        held = known[0]
+        for part in known[1:]:
+            held = held.union(part)
+        held = held.groupBy(*key).agg(F.min("minutes").alias("_held"))
+        better = F.col("_held").isNull() | (F.col("minutes") < F.col("_held"))
+        fresh = cut_lineage(reached.join(held, key, "left").filter(better).drop("_held"))
+        if fresh.isEmpty():
+            return held.select(*key, F.col("_held").alias("minutes"))
+        known.append(fresh.select(*key, "minutes"))
+        if len(known) > merge_every:
+            merged = known[0]
+            for part in known[1:]:
+                merged = merged.union(part)
+            known = [cut_lineage(merged.groupBy(*key).agg(F.min("minutes").alias("minutes")))]
+    raise RuntimeError("travel time did not settle")
 
 
 def polygon_mean_latitude(edges: DataFrame, key: str = "adm0_pcode") -> DataFrame:

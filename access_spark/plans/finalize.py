@@ -79,9 +79,9 @@ def _located(df: DataFrame, boundaries: DataFrame, edges: DataFrame) -> DataFram
     points = df.filter((F.abs(lat) <= 90) & (F.abs(lon) <= 180)).select(
         "adm0_pcode", "_row", "qc_in_bounds", lon.alias("x"), lat.alias("y")
     )
-    hits = spatial.polygons_of_points(points, edges, ["_row", "qc_in_bounds"])
-    units = boundaries.filter(F.col("level") > 0).select("level", "pcode", "name", "poly_seq")
-    named = hits.join(units, ["level", "pcode"], "left")
+    hits = spatial.polygons_of_points(points, edges, ["adm0_pcode", "_row", "qc_in_bounds"])
+    units = boundaries.filter(F.col("level") > 0).select("adm0_pcode", "level", "pcode", "name", "poly_seq")
+    named = hits.join(units, ["adm0_pcode", "level", "pcode"], "left")
     unit = F.struct("poly_seq", "pcode", "name")
     usable = F.col("inside") & F.col("qc_in_bounds")
     found = named.groupBy("_row").agg(

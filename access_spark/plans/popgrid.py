@@ -25,9 +25,9 @@ def assign_admin(cells: DataFrame, boundaries: DataFrame, edges: DataFrame) -> D
     ).drop("_fine")
     points = cells.select(F.col("iso").alias("adm0_pcode"), "row", "col", F.col("lon").alias("x"), F.col("lat").alias("y"))
     hits = spatial.polygons_of_points(points, used, ["adm0_pcode", "row", "col"]).filter("inside")
-    units = boundaries.select("level", "pcode", "adm1_pcode", "poly_seq")
+    units = boundaries.select("adm0_pcode", "level", "pcode", "adm1_pcode", "poly_seq")
     last = F.max(F.struct("poly_seq", "level", "pcode", "adm1_pcode")).alias("u")
-    found = hits.join(units, ["level", "pcode"]).groupBy(F.col("adm0_pcode").alias("iso"), "row", "col").agg(last)
+    found = hits.join(units, ["adm0_pcode", "level", "pcode"]).groupBy(F.col("adm0_pcode").alias("iso"), "row", "col").agg(last)
     codes = found.select(
         "iso", "row", "col", F.col("u.adm1_pcode").alias("adm1_pcode"), F.when(F.col("u.level") == 2, F.col("u.pcode")).alias("adm2_pcode")
     )

@@ -320,7 +320,7 @@ def _snapped(t: Tables):
     "least_cost_minutes",
     with_views(
         """WITH RECURSIVE fr AS (SELECT iso, row, col, 2e-3 + (row * 31 + col * 17) % 7 * 1e-3 AS f FROM {fine} WHERE value > 0),
-        src AS (SELECT DISTINCT f.iso, f.row, f.col FROM {school_base} b JOIN fr f ON f.iso = b.iso AND f.row = b.k * 7 % 50 AND f.col = b.k * 13 % 60 WHERE b.k % 40 < 5),
+        src AS (SELECT DISTINCT f.iso, f.row, f.col FROM {school_base} b JOIN fr f ON f.iso = b.iso AND f.row = b.k * 7 % 50 AND f.col = b.k * 13 % 60),
         step AS (SELECT a.iso, a.row, a.col, b.row AS r2, b.col AS c2,
             sqrt(abs(b.row - a.row) * 1e3 * 1e3 + abs(b.col - a.col) * 9e2 * 9e2) * (a.f + b.f) / 2 AS w
           FROM fr a JOIN fr b ON b.iso = a.iso AND b.row BETWEEN a.row - 1 AND a.row + 1 AND b.col BETWEEN a.col - 1 AND a.col + 1 AND (a.row <> b.row OR a.col <> b.col)),
@@ -329,7 +329,7 @@ def _snapped(t: Tables):
           UNION
           (SELECT s.iso, s.r2, s.c2, min(t.m + s.w) FROM t JOIN step s ON s.iso = t.iso AND s.row = t.row AND s.col = t.col
             LEFT JOIN recurring.t AS old ON old.iso = s.iso AND old.row = s.r2 AND old.col = s.c2
-            WHERE t.m + s.w <= 20 AND t.m + s.w < coalesce(old.m, 1e9) GROUP BY 1, 2, 3))
+            WHERE t.m + s.w < coalesce(old.m, 1e9) GROUP BY 1, 2, 3))
         SELECT iso, row, col, round(m, 6) AS minutes FROM t"""
     ),
 )
@@ -337,9 +337,9 @@ def _least_cost(t: Tables):
     friction = _valid(t).select(
         "iso", "row", "col", (2e-3 + ((F.col("row") * 31 + F.col("col") * 17) % 7) * 1e-3).alias("value")
     )
-    sources = t.school_base.filter("k % 40 < 5").select("iso", (F.col("k") * 7 % 50).alias("row"), (F.col("k") * 13 % 60).alias("col"))
+    sources = t.school_base.select("iso", (F.col("k") * 7 % 50).alias("row"), (F.col("k") * 13 % 60).alias("col"))
     widths = t.region.select(F.col("r_name").alias("iso"), F.lit(900.0).alias("width_m"))
-    return travel.least_cost_minutes(friction, sources, 1000.0, widths, cap=20.0).withColumn("minutes", F.round("minutes", 6))
+    return travel.least_cost_minutes(friction, sources, 1000.0, widths).withColumn("minutes", F.round("minutes", 6))
 
 
 @query(
