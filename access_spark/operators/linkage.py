@@ -180,9 +180,12 @@ def building_summary(matched: DataFrame) -> DataFrame:
 
 
 def compare_vintages(old: DataFrame, new: DataFrame, keys: Sequence[str] = ("adm0_pcode", "id_centro")) -> DataFrame:
-    """State of every school between two vintages of a registry, with the move in km."""
-    a = old.select(*keys, F.col("latitud").alias("lat_prev"), F.col("longitud").alias("lon_prev"), F.lit(True).alias("_old"))
-    b = new.select(*keys, F.col("latitud").alias("lat_new"), F.col("longitud").alias("lon_new"), F.lit(True).alias("_new"))
+    """State of every school between two vintages of a registry, with the move in km. A
+    coordinate outside the globe counts as missing."""
+    lat = F.when(F.abs("latitud") <= 90, F.col("latitud"))
+    lon = F.when(F.abs("longitud") <= 180, F.col("longitud"))
+    a = old.select(*keys, lat.alias("lat_prev"), lon.alias("lon_prev"), F.lit(True).alias("_old"))
+    b = new.select(*keys, lat.alias("lat_new"), lon.alias("lon_new"), F.lit(True).alias("_new"))
     pair = a.join(b, list(keys), "full_outer")
     km = haversine_km(F.col("lat_prev"), F.col("lon_prev"), F.col("lat_new"), F.col("lon_new"), MEAN_EARTH_RADIUS_KM)
     state = (

@@ -75,6 +75,7 @@ class Rule:
     collapse: str | None = None  # 'first' row per id, or 'school': merge the rows of an id
     merge_all: bool = False  # rows without a level still give a school its name and point
     before: Callable[[DataFrame, Frames], DataFrame] | None = None  # joins on the raw rows
+    kept: Callable[[DataFrame, Frames], DataFrame] | None = None  # changes to the rows that `keep` leaves
     after: Callable[[DataFrame, Frames], DataFrame] | None = None  # joins on registry rows
 
 
@@ -109,6 +110,8 @@ def standardize(rule: Rule, frames: Frames) -> DataFrame:
     if rule.before:
         rows = rule.before(rows, frames)
     rows = rows.filter(F.coalesce(rule.keep(), F.lit(False)))
+    if rule.kept:
+        rows = rule.kept(rows, frames)
     sector = F.when(F.coalesce(rule.unknown(), F.lit(False)), "Unknown").when(
         F.coalesce(rule.private(), F.lit(False)), "Private"
     ).otherwise("Public")
@@ -153,6 +156,15 @@ def _attach_points(key: Callable[[Column], Column], columns: Mapping[str, Sequen
     return join
 
 
+def _cri_points(*points):
+    """Coordinates by the id as a whole number, which is also the id that is published."""
+
+    def join(rows: DataFrame, frames: Frames) -> DataFrame:
+        return _attach_points(*points)(rows, frames).withColumn("id_centro", integer_id(c("id_centro")))
+
+    return join
+
+
 def _bra_points(rows: DataFrame, frames: Frames) -> DataFrame:
     sources = [frames[n].select("id_centro", "latitud", "longitud", "row_seq") for n in ("survey", "connected", "geojson") if n in frames]
     return linkage.coordinate_cascade(rows, sources).drop("coord_source_rank")
@@ -163,11 +175,16 @@ def _chl_admission(rows: DataFrame, frames: Frames) -> DataFrame:
     codes = (10, 110, 310, 410, 510, 610, 710, 810, 910)
     listed = working_columns(frames["admission"], {"rbd": ("=rbd",), "code": ("cod ense",)})
     wanted = listed.filter(number(c("code")).isin(*codes)).select(integer_id(c("rbd")).alias("_k")).distinct()
+    # every column of education codes, however many there are
+    main = frames["main"]
+    held = [F.col(f"`{h}`").cast("string") for h in main.columns if fold_header(h).startswith("ens ")]
+    codes_of = main.select("row_seq", (F.array(*held) if held else F.array().cast("array<string>")).alias("_ens"))
+    rows = rows.join(codes_of, "row_seq")
     return rows.withColumn("_k", integer_id(c("id"))).join(wanted.withColumn("_listed", F.lit(True)), "_k", "left")
 
 
 def _chl_codes(*codes: int) -> Column:
-    return F.greatest(*[flag(number(c(f"ens{i}")).isin(*codes)) for i in range(1, 13)]) == 1
+    return F.exists("_ens", lambda x: F.coalesce(number(x).isin(*codes), F.lit(False)))
 
 
 def _col_services(rows: DataFrame, frames: Frames) -> DataFrame:
@@ -179,12 +196,13 @@ def _col_services(rows: DataFrame, frames: Frames) -> DataFrame:
 
 
 def _cri_ids(rows: DataFrame, frames: Frames) -> DataFrame:
-    """Rows without a valid code get numbered ids per sector, in row order."""
+    """Rows without a valid code get numbered ids per sector, in row order of the rows kept;
+    codes stay as they are written."""
     bad = F.coalesce(c("id"), F.lit("")).isin("0", "0.0", "0000", "nan", "None", "")
     keyed = rows.withColumn("_kind", F.when(upper("dependency").isin("PRI", "SUB"), "PRI").otherwise("PUB"))
     numbered = number_rows(keyed.filter(bad).select("_kind", "row_seq"), ["_kind"], "row_seq", "row_seq", "_n", start=0)
     made = numbered.select("row_seq", F.format_string("CR_%s_%05d", c("_kind"), c("_n")).alias("_made"))
-    return keyed.join(made, "row_seq", "left").withColumn("id", F.coalesce("_made", integer_id(c("id")))).drop("_made", "_kind")
+    return keyed.join(made, "row_seq", "left").withColumn("id", F.coalesce("_made", c("id").cast("string"))).drop("_made", "_kind")
 
 
 def _dom_years(rows: DataFrame, frames: Frames) -> DataFrame:
@@ -339,7 +357,6 @@ RULES: dict[str, Rule] = {
             "CHL",
             {
                 "id": ("=rbd",), "name": ("=nom rbd",), "dependency": ("=cod depe",), "lat": ("=latitud",), "lon": ("=longitud",),
-                **{f"ens{i}": (f"=ens {i:02d}",) for i in range(1, 13)},
             },
             before=_chl_admission,
             keep=lambda: F.coalesce(c("_listed"), F.lit(False)) | (number(c("dependency")) == 4),
@@ -371,8 +388,8 @@ RULES: dict[str, Rule] = {
         Rule(
             "CRI",
             {"id": ("codigo", "presup"), "name": ("nombre", "institucion"), "dependency": ("depend",), "circuit": ("circuit",), "sheet": ("=sheet",)},
-            before=_cri_ids,
             keep=lambda: c("circuit").isNotNull(),
+            kept=_cri_ids,
             primary=lambda: c("sheet") == "I y II Ciclos",
             lower=lambda: c("sheet") == "Colegios",
             upper=lambda: c("sheet") == "Colegios",
@@ -380,7 +397,7 @@ RULES: dict[str, Rule] = {
             lat=lambda: F.lit(None).cast("double"),
             lon=lambda: F.lit(None).cast("double"),
             collapse="school",
-            after=_attach_points(
+            after=_cri_points(
                 integer_id, {"id": ("codpres", "cod pres", "id centro"), "lat": ("lat",), "lon": ("lon", "lng")}, lambda: number(c("lat")), lambda: number(c("lon"))
             ),
         ),

@@ -43,13 +43,18 @@ def publish(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(staging)
     fs, target = _fs(spark, path)
     _, fresh = _fs(spark, staging)
+    old = None
     if fs.exists(target):
         _, old = _fs(spark, f"{path}.old-{uuid.uuid4().hex}")
-        fs.rename(target, old)
-        fs.rename(fresh, target)
+        if not fs.rename(target, old):
+            fs.delete(fresh, True)
+            raise OSError(f"{path}: the old version could not be moved, nothing was changed")
+    if not fs.rename(fresh, target):
+        if old is not None:
+            fs.rename(old, target)
+        raise OSError(f"{path}: the new version could not be moved, the old one is back")
+    if old is not None:
         fs.delete(old, True)
-    else:
-        fs.rename(fresh, target)
 
 
 def upsert_partitions(existing: DataFrame | None, new: DataFrame, key: str = "iso") -> DataFrame:
@@ -86,8 +91,10 @@ def write_cube(new: DataFrame, path: str) -> bool:
 
 
 def merge_ledger(existing: DataFrame, run: DataFrame, keys: Sequence[str] = ("iso", "id_centro")) -> DataFrame:
-    """Append a run to the ledger, the latest row per school stays; both sides carry run_seq."""
-    return keep_last(union_columns(existing, run), keys, F.col("run_seq"))
+    """Append a run to the ledger, the latest row per school stays; both sides carry run_seq.
+    Of rows with the same run_seq the one of the run stays."""
+    both = union_columns(existing.withColumn("_run", F.lit(0)), run.withColumn("_run", F.lit(1)))
+    return keep_last(both, keys, F.struct("run_seq", "_run")).drop("_run")
 
 
 def latest(ledger: DataFrame, keys: Sequence[str] = ("iso", "id_centro")) -> DataFrame:

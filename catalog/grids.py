@@ -241,7 +241,7 @@ COMBOS = """
         AND CASE lv WHEN 'primaria' THEN k % 3 <> 1 WHEN 'secbaja' THEN k % 4 < 2 ELSE k % 5 = 0 END),
     near AS (SELECT * FROM (SELECT g.cell_id, g.iso, e.lv, e.sec, e.k, g.lat AS glat, g.lon AS glon, e.lat, e.lon,
         row_number() OVER (PARTITION BY g.cell_id, e.lv, e.sec ORDER BY (g.lat - e.lat) * (g.lat - e.lat) + (g.lon - e.lon) * (g.lon - e.lon), e.k) AS rank
-      FROM {grid} g JOIN el e USING (iso)) WHERE rank <= 5),
+      FROM {grid} g JOIN el e USING (iso)) WHERE rank <= 50),
     cost AS (SELECT *, 2 * 6371.0 * asin(sqrt(pow(sin(radians(lat - glat) / 2), 2) + cos(radians(glat)) * cos(radians(lat)) * pow(sin(radians(lon - glon) / 2), 2))) * 1000 / (5000e0 / 3600) AS s FROM near),
     capped AS (SELECT *, CASE WHEN s <= 1800 THEN s END AS sec_s FROM cost)"""
 
@@ -277,7 +277,7 @@ def _eligible(t: Tables):
     ),
 )
 def _all_combos(t: Tables):
-    """Five nearest candidates for each level and sector, each pair costed once."""
+    """Fifty nearest candidates for each level and sector, each pair costed once."""
     key = F.concat_ws("|", "iso", "level", "served_sector").alias("combo")
     schools = eligible(t)
     targets = schools.select(key, "school_seq", "school_id", F.col("latitud").alias("ty"), F.col("longitud").alias("tx"))
@@ -286,7 +286,7 @@ def _all_combos(t: Tables):
     )
     cells = t.grid.select("iso", "cell_id", F.col("lon").alias("x"), F.col("lat").alias("y"))
     queries = cells.join(combos, "iso").withColumn("q", F.concat_ws("|", "combo", "cell_id"))
-    near = spatial.k_nearest_points(queries.select("combo", "q", "x", "y"), targets, 5, "combo", "q", ["school_id"], "school_seq")
+    near = spatial.k_nearest_points(queries.select("combo", "q", "x", "y"), targets, 50, "combo", "q", ["school_id"], "school_seq")
     candidates = near.select("q", "school_id", "school_seq").join(queries.select("q", "cell_id", "level", "served_sector"), "q")
     pairs = candidates.select("cell_id", "school_id").distinct()
     places = schools.select("school_id", "latitud", "longitud").distinct()

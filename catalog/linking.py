@@ -224,8 +224,8 @@ def _summary(t: Tables):
 
 
 VINTAGE = """
-    o AS (SELECT id_centro, latitud AS la, longitud AS lo, TRUE AS f FROM {school} WHERE row_seq % 7 <> 0 AND abs(coalesce(latitud, 0)) <= 90),
-    n AS (SELECT id_centro, CASE WHEN row_seq % 6 = 0 THEN NULL WHEN row_seq % 4 = 0 THEN latitud + (row_seq % 50) / 50e0 ELSE latitud END AS la2, longitud AS lo2, TRUE AS f2 FROM {school} WHERE row_seq % 11 <> 0 AND abs(coalesce(latitud, 0)) <= 90),
+    o AS (SELECT id_centro, CASE WHEN abs(latitud) <= 90 THEN latitud END AS la, longitud AS lo, TRUE AS f FROM {school} WHERE row_seq % 7 <> 0),
+    n AS (SELECT id_centro, CASE WHEN row_seq % 6 = 0 OR abs(latitud + CASE WHEN row_seq % 4 = 0 THEN (row_seq % 50) / 50e0 ELSE 0 END) > 90 THEN NULL WHEN row_seq % 4 = 0 THEN latitud + (row_seq % 50) / 50e0 ELSE latitud END AS la2, longitud AS lo2, TRUE AS f2 FROM {school} WHERE row_seq % 11 <> 0),
     j AS (SELECT coalesce(o.id_centro, n.id_centro) AS id_centro, la, lo, la2, lo2, f, f2,
       2 * 6371.0088 * asin(sqrt(pow(sin(radians(la2 - la) / 2), 2) + cos(radians(la)) * cos(radians(la2)) * pow(sin(radians(lo2 - lo) / 2), 2))) AS km
       FROM o FULL JOIN n ON o.id_centro = n.id_centro),
@@ -235,7 +235,7 @@ VINTAGE = """
 
 def vintages(t: Tables):
     k = F.col("row_seq")
-    rows = t.school.filter(F.abs(F.coalesce("latitud", F.lit(0.0))) <= 90)
+    rows = t.school
     old = rows.filter(k % 7 != 0)
     moved = F.when(k % 6 == 0, F.lit(None)).when(k % 4 == 0, F.col("latitud") + (k % 50) / 50.0).otherwise(F.col("latitud"))
     new = rows.filter(k % 11 != 0).withColumn("latitud", moved)

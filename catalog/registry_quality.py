@@ -256,7 +256,7 @@ def _cover(t: Tables):
             """SELECT s.id_centro, s.longitud AS x, s.latitud AS y, e.sx, e.sy, e.ex, e.ey
             FROM {school} s JOIN {school_base} b ON b.k = s.row_seq
             JOIN {edge} e ON e.level = 2 AND e.pcode = 'N' || b.nk || CASE WHEN b.off_lat < b.off_lon THEN 'E' ELSE 'W' END
-            WHERE s.latitud IS NOT NULL AND s.longitud IS NOT NULL AND abs(s.latitud) <= 90"""
+            WHERE s.latitud IS NOT NULL AND s.longitud IS NOT NULL"""
         )
         + ") GROUP BY 1"
     ),
@@ -267,7 +267,7 @@ def _declared(t: Tables):
         F.concat(F.lit("N"), F.col("nk").cast("string"), F.when(F.col("off_lat") < F.col("off_lon"), "E").otherwise("W")).alias("pcode"),
     )
     points = (
-        t.school.filter("latitud IS NOT NULL AND longitud IS NOT NULL AND abs(latitud) <= 90")
+        t.school.filter("latitud IS NOT NULL AND longitud IS NOT NULL")
         .join(named, "row_seq")
         .select("id_centro", "pcode", F.col("longitud").alias("x"), F.col("latitud").alias("y"))
     )
@@ -279,7 +279,7 @@ def _declared(t: Tables):
     "two_nearest_polygons",
     with_views(
         """WITH pts AS (SELECT id_centro, adm0_pcode, latitud AS y, longitud AS x FROM {school}
-          WHERE latitud IS NOT NULL AND longitud IS NOT NULL AND abs(latitud) <= 90),
+          WHERE latitud IS NOT NULL AND longitud IS NOT NULL),
         d AS (SELECT id_centro, pcode, poly_seq, min(d2) AS d2 FROM ("""
         + _foot_km(
             """SELECT p.id_centro, p.x, p.y, e.pcode, b.poly_seq, e.sx, e.sy, e.ex, e.ey FROM pts p
@@ -291,7 +291,7 @@ def _declared(t: Tables):
     ),
 )
 def _two_polygons(t: Tables):
-    points = t.school.filter("latitud IS NOT NULL AND longitud IS NOT NULL AND abs(latitud) <= 90").select(
+    points = t.school.filter("latitud IS NOT NULL AND longitud IS NOT NULL").select(
         "adm0_pcode", "id_centro", F.col("longitud").alias("x"), F.col("latitud").alias("y")
     )
     polygons = t.boundary.filter("level = 1").select("pcode", "poly_seq")

@@ -7,22 +7,16 @@ from pyspark.sql import functions as F
 from access_spark import config
 from access_spark.functions.geo import haversine_km
 from access_spark.operators import clusters, fill, marts
-from access_spark.session import cut_lineage
 from access_spark.sources import tables
 from catalog.domain import Tables, with_views
 from catalog.linking import BUILDINGS, buildings
 from catalog.registry import query
 from catalog.registry_quality import FINAL, finalized
 
-_WRITTEN: dict = {}
-
 
 def registry_table(t: Tables):
-    """The finalised registry, written once per session and folder and read by every mart."""
-    key = (t.spark.sparkContext.applicationId, t.sf_dir)
-    if key not in _WRITTEN:
-        _WRITTEN[key] = cut_lineage(finalized(t).withColumnRenamed("adm0_pcode", "iso"))
-    return _WRITTEN[key]
+    """The finalised registry under its published column names."""
+    return finalized(t).withColumnRenamed("adm0_pcode", "iso")
 
 
 REGISTRY = FINAL + """,
@@ -318,13 +312,13 @@ _LEDGER_COUNTS = """count(*) FILTER (target_type = 'compare' AND acceptance = 'K
     with_views(
         f"""SELECT count(*) AS geocoder_universe_total, count(*) FILTER (target_type = 'compare') AS compare_universe, count(*) FILTER (target_type = 'fill') AS fill_universe,
           string_agg(DISTINCT iso, ',' ORDER BY iso) AS processed_country_isos, count(DISTINCT iso) AS processed_countries, count(DISTINCT iso) FILTER (target_type = 'compare') AS compare_countries,
-          count(DISTINCT iso) FILTER (target_type = 'fill') AS fill_countries, {_LEDGER_COUNTS}, 50000 AS total_schools, greatest(50000 - count(*), 0) AS outside_geocoder_universe,
-          round_even(100e0 * greatest(50000 - count(*), 0) / 50000, 1) AS outside_geocoder_universe_pct, round_even(100e0 * count(*) FILTER (target_type = 'compare') / 50000, 1) AS compare_universe_pct,
-          round_even(100e0 * count(*) FILTER (target_type = 'fill') / 50000, 1) AS fill_universe_pct FROM {{ledger}}"""
+          count(DISTINCT iso) FILTER (target_type = 'fill') AS fill_countries, {_LEDGER_COUNTS}, (SELECT count(*) FROM {{school}}) AS total_schools, greatest((SELECT count(*) FROM {{school}}) - count(*), 0) AS outside_geocoder_universe,
+          round_even(100e0 * greatest((SELECT count(*) FROM {{school}}) - count(*), 0) / (SELECT count(*) FROM {{school}}), 1) AS outside_geocoder_universe_pct, round_even(100e0 * count(*) FILTER (target_type = 'compare') / (SELECT count(*) FROM {{school}}), 1) AS compare_universe_pct,
+          round_even(100e0 * count(*) FILTER (target_type = 'fill') / (SELECT count(*) FROM {{school}}), 1) AS fill_universe_pct FROM {{ledger}}"""
     ),
 )
 def _overview(t: Tables):
-    return marts.geocoding_overview(t.ledger, 50_000)
+    return marts.geocoding_overview(t.ledger, t.school.count())
 
 
 SAMPLES = """
@@ -537,7 +531,10 @@ def gap_results(t: Tables):
     everyone = t.address.withColumnRenamed("adm0_pcode", "iso").withColumn("nombre_centro", F.lit(""))
     asked = fill.query_cascade(everyone, F.col("iso")).select("query").distinct()
     n = F.length("query")
-    cache = asked.join(t.box, F.expr("contains(query, concat(lower(n_name), ', ', iso))")).select(
+    # a query ends with the first level unit and the country
+    place = F.substring_index("query", ", ", -2)
+    boxes = t.box.withColumn("_place", F.concat(F.lower("n_name"), F.lit(", "), F.col("iso")))
+    cache = asked.withColumn("_place", place).join(boxes, "_place").select(
         "query", (n % 3 != 0).alias("hit"), (F.col("y0") + 0.5 + (n % 7) / F.lit(2.0)).alias("lat"),
         (F.col("x0") + 0.25 + (n * 7 % 11) / F.lit(3.1)).alias("lon"), F.lit("arcgis").alias("source"), F.when(n % 5 != 0, 85.0 + n % 16).alias("score"),
     )

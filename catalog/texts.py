@@ -96,22 +96,22 @@ def _mojibake(t: Tables):
 @query(
     "specific_names",
     """WITH n AS (SELECT doc_id, CASE doc_id % 6 WHEN 0 THEN 'Colegio ' || word WHEN 1 THEN 'Escuela Rural ' || word
-        WHEN 2 THEN 'Institución Educativa ' || word || ' ' || word WHEN 3 THEN 'Liceo ' || left(word, 3)
+        WHEN 2 THEN 'Institución Educativa ' || word || ' ' || word WHEN 3 THEN 'Liceo ' || right(word, 3)
         WHEN 4 THEN 'Institucion Educativa' ELSE word END AS name
-      FROM (SELECT doc_id, left(split_part(text, ' ', 1), 12) AS word FROM documents))
+      FROM (SELECT doc_id, text AS word FROM documents))
       SELECT doc_id, name, CASE WHEN length(name) < 8 THEN FALSE
         WHEN (starts_with(lower(trim(name)), 'colegio ') AND length(lower(trim(name))) > 11) OR (starts_with(lower(trim(name)), 'liceo ') AND length(lower(trim(name))) > 9) THEN TRUE
         WHEN starts_with(lower(trim(name)), 'escuela') THEN FALSE
         ELSE (contains(lower(trim(name)), 'institucion educativa') OR contains(lower(trim(name)), 'institución educativa')) AND length(lower(trim(name))) > 30 END AS specific FROM n""",
 )
 def _specific(t: Tables):
-    word = F.substring(F.split_part(F.col("text"), F.lit(" "), F.lit(1)), 1, 12)
+    word = F.col("text")
     which = F.col("doc_id") % 6
     name = (
         F.when(which == 0, F.concat(F.lit("Colegio "), word))
         .when(which == 1, F.concat(F.lit("Escuela Rural "), word))
         .when(which == 2, F.concat(F.lit("Institución Educativa "), word, F.lit(" "), word))
-        .when(which == 3, F.concat(F.lit("Liceo "), F.substring(word, 1, 3)))
+        .when(which == 3, F.concat(F.lit("Liceo "), F.right(word, F.lit(3))))
         .when(which == 4, F.lit("Institucion Educativa"))
         .otherwise(word)
     )
@@ -264,11 +264,11 @@ def _cascade(t: Tables):
 @query(
     "admin_match",
     with_views(
-        """WITH m AS (SELECT id_centro, lower(raw_adm1) AS r, lower(n_name) AS p, lower(left(n_name, 8)) AS p8
+        """WITH m AS (SELECT id_centro, lower(raw_adm1) AS r, lower(n_name) AS p
           FROM {address} a JOIN {school_base} b ON cast(b.k AS string) = a.id_centro)
         SELECT id_centro, CASE WHEN r = '' THEN 'NO_RAW_ADM' WHEN contains(p, r) OR contains(r, p) THEN 'MATCH' ELSE 'MISMATCH' END AS loose,
-          CASE WHEN r = '' THEN 'NO_DATA' WHEN r = p8 THEN 'MATCH'
-            WHEN (contains(r, p8) OR contains(p8, r)) AND least(length(r), length(p8)) / greatest(length(r), length(p8)) > 0.8 THEN 'PARTIAL' ELSE 'MISMATCH' END AS strict
+          CASE WHEN r = '' THEN 'NO_DATA' WHEN r = p THEN 'MATCH'
+            WHEN (contains(r, p) OR contains(p, r)) AND least(length(r), length(p)) / greatest(length(r), length(p)) > 0.8 THEN 'PARTIAL' ELSE 'MISMATCH' END AS strict
         FROM m"""
     ),
 )
@@ -277,7 +277,7 @@ def _admin_match(t: Tables):
     return rows.select(
         "id_centro",
         quality.admin_match(F.col("raw_adm1"), F.col("n_name"), F.col("iso")).alias("loose"),
-        quality.admin_match_strict(F.col("raw_adm1"), F.substring("n_name", 1, 8), F.col("iso")).alias("strict"),
+        quality.admin_match_strict(F.col("raw_adm1"), F.col("n_name"), F.col("iso")).alias("strict"),
     )
 
 

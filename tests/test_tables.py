@@ -246,7 +246,7 @@ def test_least_cost_uniform(spark):
     cells = spark.createDataFrame([("T", r, c, 0.01) for r in range(7) for c in range(7)], "iso string, row bigint, col bigint, value double")
     source = spark.createDataFrame([("T", 3, 3)], "iso string, row bigint, col bigint")
     widths = spark.createDataFrame([("T", 100.0)], "iso string, width_m double")
-    got = {(r["row"], r["col"]): r["minutes"] for r in travel.least_cost_minutes(cells, source, 100.0, widths, cap=60.0).collect()}
+    got = {(r["row"], r["col"]): r["minutes"] for r in travel.least_cost_minutes(cells, source, 100.0, widths).collect()}
     for (r, c), minutes in got.items():
         a, b = abs(r - 3), abs(c - 3)
         assert abs(minutes - (min(a, b) * 2**0.5 + abs(a - b))) < 1e-9
@@ -292,6 +292,61 @@ def test_dom_prior_year(spark):
     assert values(out, "id_centro", "sector", "latitud", "longitud", "nivel_secalta") == [("02334", "Public", 19.8321, -71.01, 0), ("1", "Private", 18.5, -70.1, 1)]
 
 
+def test_cri_numbers_only_rows_that_stay_and_collapses_written_codes(spark):
+    raw = spark.createDataFrame(
+        [(1, "0", "A", "PRI", None, "Colegios"), (2, "0", "B", "PRI", "1", "Colegios"), (3, "0077", "C", "PUB", "1", "Colegios"), (4, "77", "D", "PUB", "1", "Colegios")],
+        "row_seq bigint, `CODIGO PRESUP` string, NOMBRE string, DEPENDENCIA string, CIRCUITO string, sheet string",
+    )
+    points = spark.createDataFrame([], "row_seq bigint, CODPRES string, LATITUD string, LONGITUD string")
+    out = registries.standardize(registries.RULES["CRI"], {"main": raw, "points": points})
+    assert values(out, "id_centro", "nombre_centro") == [("77", "C"), ("77", "D"), ("CR_PRI_00000", "B")]
+
+
+def test_ledger_ties_go_to_the_run(spark):
+    old = spark.createDataFrame([("A", "1", 5, "old")], "iso string, id_centro string, run_seq int, v string")
+    new = spark.createDataFrame([("A", "1", 5, "new")], "iso string, id_centro string, run_seq int, v string")
+    assert values(tables.merge_ledger(old, new), "v") == [("new",)]
+    assert values(tables.merge_ledger(new, old), "v") == [("old",)]
+
+
+def test_failed_rename_leaves_the_old_table(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    tables.publish(spark.range(3), path)
+    real = tables._fs
+
+    class Refuses:
+        def __init__(self, fs):
+            self.fs = fs
+
+        def rename(self, source, target):
+            return False if "staging" in str(source) else self.fs.rename(source, target)
+
+        def __getattr__(self, name):
+            return getattr(self.fs, name)
+
+    monkeypatch.setattr(tables, "_fs", lambda s, p: (Refuses(real(s, p)[0]), real(s, p)[1]))
+    with pytest.raises(OSError):
+        tables.publish(spark.range(9), path)
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_nearest_passes_over_points_that_are_not_finite(spark):
+    import random
+
+    rnd = random.Random(2)
+    nan, inf = float("nan"), float("inf")
+    queries = [("g", i, rnd.random(), rnd.random()) for i in range(300)]
+    targets = [("g", i, rnd.random(), rnd.random()) for i in range(300)]
+    bad = [("g", 900, nan, 0.5), ("g", 901, 0.5, inf), ("g", 902, -inf, nan)]
+    q = spark.createDataFrame(queries + bad + [("g", 903, None, 0.1)], "grp string, q int, x double, y double")
+    t = spark.createDataFrame(targets + bad, "grp string, seq int, tx double, ty double")
+    got = {r.q: (r.seq, r.d2) for r in spatial.k_nearest_points(q, t, 1, "grp", "q", [], "seq").collect()}
+    assert set(got) == {i for _, i, _, _ in queries}
+    for _, i, x, y in queries:
+        d2, seq = min(((x - tx) ** 2 + (y - ty) ** 2, s) for _, s, tx, ty in targets)
+        assert got[i][0] == seq and abs(got[i][1] - d2) < 1e-12
+
+
 def test_cri_and_slv(spark):
     raw = spark.createDataFrame(
         [(1, "0", "A", "PRI", "1", "Colegios"), (2, "0", "B", "SUB", "1", "Colegios"), (3, "77.0", "C", "PUB", "1", "I y II Ciclos"), (4, "9", "D", "PUB", None, "Colegios")],
