@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from access_spark.functions.numeric import finite, percent
@@ -48,32 +48,75 @@ def correlations(df: DataFrame, group: Sequence[str], x: str, y: str) -> DataFra
     ranked = average_ranks(average_ranks(rows, keys, "_x", "_rx"), keys, "_y", "_ry")
     return ranked.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"), F.corr("_rx", "_ry").alias("spearman_rho"), F.corr("_x", "_y").alias("pearson_r")
-    ).filter("n >= 2")
+    ).filter("n >= 2").withColumns(
+        {"spearman_p": correlation_p_value(F.col("spearman_rho"), F.col("n")), "pearson_p": correlation_p_value(F.col("pearson_r"), F.col("n"))}
+    )
+
+
+def poisson_borders(bits: int = 40) -> list[int]:
+    """Borders of the Poisson(1) counts among whole numbers of so many bits: a number has as
+    many copies as there are borders at or below it. They go on until the bits cannot tell."""
+    borders, cumulative, p, k = [], 0.0, 0.36787944117144233, 0
+    while True:
+        cumulative += p
+        border = round(cumulative * (1 << bits))
+        if border >= 1 << bits:
+            return borders
+        borders.append(border)
+        k += 1
+        p /= k
+
+
+def correlation_p_value(r: Column, n: Column) -> Column:
+    """Two-sided p-value of a correlation of n pairs by Student's t with n - 2 degrees.
+
+    The tail is the regularised incomplete beta function, as a finite sum for whole degrees;
+    null below 3 pairs, 0 for a perfect correlation.
+    """
+    df = n - 2
+    x = 1 - r * r  # cos^2 of the angle whose tangent is t / sqrt(df)
+    angle = F.asin(F.least(F.abs(r), F.lit(1.0)))
+    terms = F.floor((df - F.when(df % 2 == 0, 2).otherwise(3)) / 2).cast("int")
+    # a sum of (x^k times the product of odd over even numbers) up to the degrees
+    state = F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("sum"))
+    steps = F.when(terms >= 1, F.sequence(F.lit(1), F.greatest(terms, F.lit(1)))).otherwise(F.array().cast("array<int>"))
+    odd_degrees = df % 2 == 1
+
+    def grow(acc: Column, k: Column) -> Column:
+        ratio = F.when(odd_degrees, (2.0 * k) / (2.0 * k + 1)).otherwise((2.0 * k - 1) / (2.0 * k))
+        term = acc["term"] * ratio * x
+        return F.struct(term.alias("term"), (acc["sum"] + term).alias("sum"))
+
+    total = F.aggregate(steps, state, grow)["sum"]
+    inside_even = F.abs(r) * total
+    inside_odd = 2.0 / 3.141592653589793 * (angle + F.when(df > 1, F.abs(r) * F.sqrt(x) * total).otherwise(0.0))
+    inside = F.when(odd_degrees, inside_odd).otherwise(inside_even)
+    return F.when(df >= 1, F.greatest(1.0 - inside, F.lit(0.0)))
 
 
 def bootstrap_interval(df: DataFrame, group: Sequence[str], x: str, y: str, draws: int = 1000, seed: int = 42) -> DataFrame:
     """Percentile interval of the Spearman correlation from resampled rows.
 
-    Each row's number of copies in a draw is a Poisson(1) count hashed from (row, draw), the
-    large-sample limit of drawing with replacement: rows are weighted instead of copied, and
-    the draws are grouped independently. Ranks within a draw follow the weights.
+    Each row's number of copies in a draw is a Poisson(1) count, the large-sample limit of
+    drawing with replacement: rows are weighted instead of copied, and the draws are grouped
+    independently. The uniform number behind it is the first 40 bits of the md5 of (row,
+    draw, seed), so any engine can repeat it. Ranks within a draw follow the weights. Meant
+    for administrative units; the rows of a group are repeated for each draw.
     """
     keys = list(group)
     base = df.select(*keys, "unit_id", finite(F.col(x)).alias("_x"), finite(F.col(y)).alias("_y")).filter("_x IS NOT NULL AND _y IS NOT NULL")
-    u = (F.pmod(F.xxhash64("unit_id", "draw", F.lit(seed)), F.lit(1 << 40)) + 0.5) / float(1 << 40)
-    cumulative, copies, p = 0.0, F.lit(None).cast("int"), 0.36787944117144233
-    for k in range(9):
-        cumulative += p
-        copies = F.coalesce(copies, F.when(u < cumulative, F.lit(k)))
-        p = p / (k + 1)
-    rows = base.withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(draws)))).withColumn("w", F.coalesce(copies, F.lit(9))).filter("w > 0")
+    digest = F.md5(F.concat_ws("|", F.col("unit_id").cast("string"), F.col("draw").cast("string"), F.lit(str(seed))))
+    bits = F.conv(F.substring(digest, 1, 10), 16, 10).cast("bigint")
+    copies = F.size(F.filter(F.array(*[F.lit(b) for b in poisson_borders()]), lambda b: b <= F.col("_bits")))
+    drawn = base.withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(draws)))).withColumn("_bits", bits)
+    rows = drawn.withColumn("w", copies).drop("_bits").filter("w > 0")
 
     def ranks(frame: DataFrame, value: str, name: str) -> DataFrame:
         by = [*keys, "draw"]
         counts = frame.groupBy(*by, value).agg(F.sum("w").alias("_n"))
-        ranked = running_total(counts.withColumn("_tie", F.lit(0)), by, value, "_tie", F.col("_n"), "_cum", slices=2).select(
-            *by, value, (F.col("_cum") - (F.col("_n") - 1) / 2.0).alias(name)
-        )
+        # one draw of one group at a time, over distinct values; the sort behind it can spill
+        upto = Window.partitionBy(*by).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        ranked = counts.select(*by, value, (F.sum("_n").over(upto) - (F.col("_n") - 1) / 2.0).alias(name))
         return frame.join(ranked, [*by, value])
 
     ranked = ranks(ranks(rows, "_x", "rx"), "_y", "ry")

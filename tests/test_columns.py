@@ -189,3 +189,31 @@ def test_folding_is_that_of_unicode(spark):
         for p in points:
             parts = unicodedata.normalize(form, p)
             assert got[p] == "".join(c for c in parts if (ord(c) < 128 if ascii_only else not unicodedata.combining(c))), hex(ord(p))
+
+
+def test_p_values(spark):
+    """Against the tail of Student's t, integrated numerically."""
+    import math
+
+    def tail(r, n):
+        df, t = n - 2, abs(r) * math.sqrt((n - 2) / (1 - r * r))
+        norm = math.exp(math.lgamma((df + 1) / 2) - math.lgamma(df / 2)) / math.sqrt(df * math.pi)
+        steps = 20_000
+        area = sum(norm * (1 + ((i + 0.5) * t / steps) ** 2 / df) ** (-(df + 1) / 2) for i in range(steps)) * t / steps
+        return max(0.0, 1 - 2 * area)
+
+    from access_spark.operators import study
+
+    rows = [(r, n) for r in (-0.9, -0.2, 0.0, 0.35, 0.8) for n in (3, 4, 5, 6, 9, 20, 57)]
+    got = spark.createDataFrame(rows, "r double, n int").select("r", "n", study.correlation_p_value(F.col("r"), F.col("n")).alias("p")).collect()
+    assert all(abs(x.p - tail(x.r, x.n)) < 1e-6 for x in got)
+    ends = spark.createDataFrame([(1.0, 5), (0.5, 2)], "r double, n int").select(study.correlation_p_value(F.col("r"), F.col("n")).alias("p")).collect()
+    assert abs(ends[0].p) < 1e-12 and ends[1].p is None
+
+
+def test_poisson_borders_reach_the_end():
+    from access_spark.operators import study
+
+    borders = study.poisson_borders()
+    assert borders == sorted(set(borders)) and len(borders) > 10
+    assert abs(borders[0] / 2**40 - 0.36787944) < 1e-8 and borders[-1] < 2**40
