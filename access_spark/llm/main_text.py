@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from access_spark.llm.url_rules import url_host
+from access_spark.session import cut_lineage, parallelism
 
 # Roles of HTML elements and usual names of what is not main text.
 RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "template", "xmp", "noembed", "noframes"}
@@ -239,10 +240,12 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def host_paths(pages: DataFrame) -> DataFrame:
-    """(host, path): the path of most votes on each host; ties go to the shorter path."""
+    """(host, path, weight): the path of most votes on each host and the host's votes; ties
+    go to the shorter path."""
     rows = pages.select(url_host(F.col("url")).alias("host"), "html")
     votes = rows.mapInArrow(_votes, "host string, path string, votes long").groupBy("host", "path").agg(F.sum("votes").alias("votes"))
-    return votes.groupBy("host").agg(F.max_by("path", F.struct("votes", -F.length("path"), "path")).alias("path"))
+    best = F.max_by("path", F.struct("votes", -F.length("path"), "path"))
+    return votes.groupBy("host").agg(best.alias("path"), F.sum("votes").alias("weight"))
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:
@@ -252,8 +255,17 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     joined by line feeds in page order. A null or empty html gives an empty text. Pages whose
     url is null or has no host vote together under an empty host. Repeated rows vote as often
     as they occur. Other columns are ignored; no rows give none.
+
+    A host may hold any share of the pages. Hosts with more than a partition's share of the
+    votes, of which there are fewer than partitions, meet their pages by a broadcast; only
+    the pages of the others are shuffled by host.
     """
     rows = pages.select("html", url_host(F.col("url")).alias("host"), "page_id", "url")
-    placed = rows.join(host_paths(pages), "host", "left").select("html", "path", "page_id", "url")
+    paths = cut_lineage(host_paths(pages))
+    total = paths.agg(F.coalesce(F.sum("weight"), F.lit(0))).first()[0]
+    large = F.col("weight") * parallelism(pages.sparkSession) > total
+    hot, others = F.broadcast(paths.filter(large).select("host", "path")), paths.filter(~large).select("host", "path")
+    placed = rows.join(hot, "host").unionByName(rows.join(hot, "host", "left_anti").join(others, "host", "left"))
+    placed = placed.select("html", "path", "page_id", "url")
     kinds = dict(placed.dtypes)
     return placed.mapInArrow(_extract, f"page_id {kinds['page_id']}, url string, text string, n_chars long")
