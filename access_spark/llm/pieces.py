@@ -19,10 +19,10 @@ from pyspark.sql import DataFrame
 from access_spark.llm.piece_model import BYTE, CONTROL, SPACE, UNUSED, CharacterMap, PieceModel, normalise, parse
 
 #: Stretches whose merges a task remembers.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 
 
-@dataclass
+@dataclass(slots=True)
 class Stretch:
     """Pieces of a stretch: ids, their decimals, characters of each, and the decoded text."""
 
