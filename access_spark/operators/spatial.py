@@ -150,17 +150,36 @@ def _planar2(x: Column, y: Column, fx: Column, fy: Column) -> Column:
     return (x - fx) * (x - fx) + (y - fy) * (y - fy)
 
 
-def distance_to_boundary(points: DataFrame, edges: DataFrame, keys: Sequence[str], on: Sequence[str]) -> DataFrame:
+def distance_to_boundary(
+    points: DataFrame, edges: DataFrame, keys: Sequence[str], on: Sequence[str], size: float = CELL_DEGREES
+) -> DataFrame:
     """Kilometres from each point to the edge of the polygon it names.
 
     The nearest edge point is found in degrees, its distance is great-circle. `on` lists
-    the columns that name the polygon on both sides.
+    the columns that name the polygon on both sides. The sides of a polygon are grouped by
+    lattice cells; a point meets the boxes of the cells, and then only the sides of those
+    boxes that may be nearer than the farthest corner of the nearest box.
     """
     x, y = F.col("x"), F.col("y")
-    joined = points.join(edges, list(on))
-    fx, fy = _foot(x, y)
-    best = F.min(F.struct(_planar2(x, y, fx, fy).alias("d2"), haversine_km(y, x, fy, fx).alias("km")))
-    return joined.groupBy(*keys).agg(best.alias("b")).select(*keys, F.col("b.km").alias("km"))
+    key, cell = list(keys), [*on, "_ecx", "_ecy"]
+    placed = edges.withColumns({"_ecx": _cell((F.col("sx") + F.col("ex")) / 2.0, size), "_ecy": _cell((F.col("sy") + F.col("ey")) / 2.0, size)})
+    boxes = placed.groupBy(*cell).agg(
+        F.min(F.least("sx", "ex")).alias("_x1"), F.max(F.greatest("sx", "ex")).alias("_x2"),
+        F.min(F.least("sy", "ey")).alias("_y1"), F.max(F.greatest("sy", "ey")).alias("_y2"),
+    )
+    gx = F.greatest(F.lit(0.0), F.col("_x1") - x, x - F.col("_x2"))
+    gy = F.greatest(F.lit(0.0), F.col("_y1") - y, y - F.col("_y2"))
+    fx = F.greatest(F.abs(F.col("_x1") - x), F.abs(F.col("_x2") - x))
+    fy = F.greatest(F.abs(F.col("_y1") - y), F.abs(F.col("_y2") - y))
+    bounds = points.select(*dict.fromkeys([*key, *on]), "x", "y").join(boxes, list(on)).withColumns(
+        {"_near": gx * gx + gy * gy, "_far": fx * fx + fy * fy}
+    ).drop("_x1", "_x2", "_y1", "_y2")
+    least = bounds.groupBy(*key).agg(F.min("_far").alias("_least"))
+    near = bounds.join(least, key).filter(F.col("_near") <= F.col("_least") * (1 + 1e-9) + 1e-18).drop("_near", "_far", "_least")
+    joined = near.join(placed.select(*cell, "sx", "sy", "ex", "ey"), cell)
+    ex, ey = _foot(x, y)
+    best = F.min(F.struct(_planar2(x, y, ex, ey).alias("d2"), haversine_km(y, x, ey, ex).alias("km")))
+    return joined.groupBy(*key).agg(best.alias("b")).select(*key, F.col("b.km").alias("km"))
 
 
 # ---- nearest items -----------------------------------------------------------------------
