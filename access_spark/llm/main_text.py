@@ -11,6 +11,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html import unescape
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -23,9 +24,11 @@ from access_spark.session import cut_lineage, parallelism
 RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "template", "xmp", "noembed", "noframes"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 CONTAINERS = {"html", "body", "main", "article", "section", "div", "td", "th", "table", "tbody", "thead", "tfoot", "tr", "center", "details", "fieldset"}
-ASIDE = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "button", "select", "svg", "canvas", "object", "audio", "video", "map", "head", "math", "datalist", "label"}
+ASIDE = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "button", "select", "svg", "canvas", "audio", "video", "map", "head", "datalist", "annotation", "annotation-xml"}
+#: Never text of the page, whatever they hold.
+UNSEEN = {"button", "select", "svg", "canvas", "audio", "video", "map", "head", "datalist", "annotation", "annotation-xml"}
 TEXT_BLOCKS = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "ul", "ol", "dl", "dt", "dd", "blockquote", "pre", "figure", "figcaption", "address", "summary", "caption", "hgroup"}
-BLOCKS = CONTAINERS | ASIDE - {"button", "select", "label", "svg"} | TEXT_BLOCKS
+BLOCKS = CONTAINERS | ASIDE - {"button", "select", "svg", "annotation", "annotation-xml"} | TEXT_BLOCKS
 #: What an opening tag ends, if it is open inside the element given last.
 ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"})}
 NOT_MAIN = set(
@@ -35,6 +38,13 @@ NOT_MAIN = set(
     "subscribe subscription signup login signin share sharing social related recommended recommendations widget pagination pager "
     "search form skip hidden".split()
 )
+#: Of these, names of what visitors, advertisers and the site's own dialogs say.
+FOREIGN = set(
+    "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored comment comments commentlist reply replies respond "
+    "discussion disqus cookie cookies consent gdpr modal popup overlay lightbox newsletter subscribe subscription signup login signin".split()
+)
+#: A class name that begins so tells of a wrapper's layout, not what it is.
+LAYOUT = {"has", "no", "with", "without", "overflow"}
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "dialog", "alertdialog", "menu", "menubar"}
 MAIN = set("content article post entry story main text articlebody body".split())
 
@@ -44,23 +54,51 @@ _NAME = re.compile(r"[a-z]+|\d+")
 _DIGITS = re.compile(r"\d+")
 
 
+class Mark(NamedTuple):
+    """Why an element may not be main text: a name shared by all elements marked for the same
+    reason, whether its tag or role says so, and how much more text than the rest of its page
+    shows that the mark is wrong (0: no amount)."""
+
+    name: str
+    aside: bool
+    times: int
+
+
 @dataclass
 class Node:
-    """An open element: its tag, generalised path, whether it is left out, and the container
-    paths from the outermost to it."""
+    """An open element: its tag, generalised path, whether it is never text, the container
+    paths from the outermost to it, the marks around it, and the article (its number; -1 for
+    `main`) inside the last of these."""
 
     tag: str
     path: str
     out: bool
     inside: tuple[str, ...]
     main: bool
+    marks: tuple[Mark, ...] = ()
+    article: int = 0
+
+
+class Block(NamedTuple):
+    """Text, characters in links, container paths around it, marks and article as in Node."""
+
+    text: str
+    linked: int
+    inside: tuple[str, ...]
+    marks: tuple[Mark, ...]
+    article: int
+
+    @property
+    def own(self) -> int:
+        """Characters that are not links; none if most are."""
+        return len(self.text) - self.linked if 2 * self.linked <= len(self.text) else 0
 
 
 @dataclass
 class Page:
-    """Blocks of kept text (text, characters in links, container paths around it), in order."""
+    """Blocks of kept text, in order."""
 
-    blocks: list[tuple[str, int, tuple[str, ...]]] = field(default_factory=list)
+    blocks: list[Block] = field(default_factory=list)
 
 
 def _label(tag: str, given: dict[str, str]) -> str:
@@ -70,31 +108,83 @@ def _label(tag: str, given: dict[str, str]) -> str:
     return tag + "".join(f".{n}" for n in names) + (f"#{ident}" if ident else "")
 
 
-def _left_out(tag: str, given: dict[str, str], in_main: bool) -> bool:
-    if tag == "header":
-        return not in_main
-    if tag in ASIDE:
+def _mark(tag: str, given: dict[str, str], in_main: bool) -> Mark | bool:
+    """True for what is never text, False for what may be, else the mark of the element."""
+    if tag in UNSEEN:
         return True
+    if tag == "header" and in_main:
+        return False
+    if tag == "form":
+        return Mark(tag, False, 1)
+    if tag in ASIDE:
+        return Mark(tag, True, 0)
     if tag in ("html", "body", "main", "article"):
         names = set(_NAME.findall(given.get("class", "").lower())) if tag == "article" else set()
-        return bool(names & {"comment", "comments", "reply", "replies"})
+        return Mark("article.comment", False, 0) if names & {"comment", "comments", "reply", "replies"} else False
     if not given:
         return False
-    if "hidden" in given or given.get("aria-hidden", "").lower() == "true" or given.get("role", "").lower() in ROLES:
+    role = given.get("role", "").lower()
+    if "hidden" in given or given.get("aria-hidden", "").lower() == "true":
         return True
     if "none" in given.get("style", "") and re.search(r"display\s*:\s*none", given["style"], re.I):
         return True
-    return bool(NOT_MAIN & set(_NAME.findall(f"{given.get('class', '')} {given.get('id', '')}".lower())))
+    if role in ROLES:
+        return Mark(f"role={role}", role != "form", role == "form")
+    names = {n: _NAME.findall(n) for n in f"{given.get('class', '')} {given.get('id', '')}".lower().split()}
+    found = {n: NOT_MAIN & set(words) for n, words in names.items() if words and words[0] not in LAYOUT}
+    found = {n: words for n, words in found.items() if words}
+    if not found:
+        return False
+    if any(words & FOREIGN for words in found.values()):
+        times = 4 * any(n in MAIN - {"text", "body"} for n in names)
+    else:
+        times = 1 if any(words and words[-1] in MAIN for words in names.values()) else 4
+    return Mark(_DIGITS.sub("0", min(found, key=lambda n: (len(n), n))), False, times)
 
 
-def parse(html: str) -> Page:
-    """Blocks of a page. Broken markup is read as browsers do, as far as blocks go: a block
+def _kept(blocks: list[Block]) -> list[Block]:
+    """The blocks without those whose marks are right.
+
+    Blocks with the same marks are judged together, those with most text first. The marks are
+    wrong if `main` lies inside them, or an article with more text than all that is kept, or
+    if they hold more than `times` as much text as is kept: then they name a wrapper of the
+    main text. If nothing is kept, only tags and roles count, not names.
+    """
+    sums: dict[tuple[Mark, ...], list] = {}
+    plain = 0
+    for b in blocks:
+        if not b.marks:
+            plain += b.own
+        elif b.own:
+            group = sums.setdefault(b.marks, [False, 0, {}])
+            group[0] |= b.article < 0
+            group[1] += b.own
+            group[2][b.article] = group[2].get(b.article, 0) + b.own
+    right = {b.marks for b in blocks if b.marks}
+    for marks, (main, own, articles) in sorted(sums.items(), key=lambda g: (-g[1][0], -g[1][1], g[0])):
+        times = max(m.times for m in marks)
+        if any(not m.times and not m.aside for m in marks):
+            continue
+        article = max((n for a, n in articles.items() if a), default=0)
+        if main or article > plain or not any(m.aside for m in marks) and own > times * plain:
+            plain += own
+            right -= {marks[:k] for k in range(1, len(marks) + 1)}
+    if not right:
+        return blocks
+    kept = [b for b in blocks if b.marks not in right]
+    if not kept and any(b.own and not any(m.aside for m in b.marks) for b in blocks):
+        kept = [b for b in blocks if not any(m.aside for m in b.marks)]
+    return kept
+
+
+def parse(html: str, wanted: str | None = None) -> Page:
+    """Blocks of a page; what holds the path `wanted` is not left out. Broken markup is read as browsers do, as far as blocks go: a block
     ends an open paragraph, an end tag without its start is passed over, and what is open at
     the end is closed."""
     page = Page()
     stack = [Node("", "", False, (), False)]
     held: list[str] = []
-    linked = links = 0
+    linked = links = articles = 0
     low = None
 
     def flush() -> None:
@@ -102,8 +192,10 @@ def parse(html: str) -> Page:
         if held:
             text = " ".join("".join(held).split())
             held.clear()
-            if text and not stack[-1].out:
-                page.blocks.append((text, min(linked, len(text)), stack[-1].inside))
+            if text:
+                # what is held stood before the elements never text that are open
+                top = next(n for n in reversed(stack) if not n.out)
+                page.blocks.append(Block(text, min(linked, len(text)), top.inside, top.marks, top.article))
         linked = 0
 
     def add(text: str) -> None:
@@ -137,7 +229,8 @@ def parse(html: str) -> Page:
             elif tag in BLOCKS or tag in ASIDE:
                 for k in range(len(stack) - 1, 0, -1):
                     if stack[k].tag == tag:
-                        flush()
+                        if not stack[k].out:
+                            flush()
                         del stack[k:]
                         break
                     if tag in TEXT_BLOCKS and stack[k].tag in CONTAINERS:
@@ -161,24 +254,34 @@ def parse(html: str) -> Page:
         if tag not in BLOCKS and tag not in ASIDE:
             continue
         if tag in BLOCKS:
-            flush()
+            if not stack[-1].out:
+                flush()
             links = 0
             if stack[-1].tag == "p":
                 stack.pop()
             closes, within = ENDS.get(tag, ((), ()))
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].tag in closes:
+                    if not stack[k].out:
+                        flush()
                     del stack[k:]
                     break
                 if stack[k].tag in within or not closes:
                     break
         given = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(found["rest"])} if found["rest"].strip(" /") else {}
         top = stack[-1]
-        out = top.out or _left_out(tag, given, top.main)
         path = f"{top.path}>{_label(tag, given)}"
+        mark = top.out or _mark(tag, given, top.main)
+        out, marks, article = mark is True, top.marks, top.article
+        if isinstance(mark, Mark) and not (wanted and f"{wanted}>".startswith(f"{path}>")):
+            marks, article = (*marks, mark), 0
+        if tag == "main" or tag == "article" and article == 0:
+            articles += 1
+            article = -1 if tag == "main" else articles
         inside = (*top.inside, path) if tag in CONTAINERS and not out else top.inside
-        stack.append(Node(tag, path, out, inside, top.main or tag in ("article", "main")))
+        stack.append(Node(tag, path, out, inside, top.main or tag in ("article", "main"), marks, article))
     flush()
+    page.blocks = _kept(page.blocks)
     return page
 
 
@@ -186,9 +289,9 @@ def container_scores(page: Page) -> dict[str, float]:
     """Score of each container path: characters of its blocks that are not links, less with
     each level between, more for elements and names that stand for main text."""
     scores: dict[str, float] = {}
-    for text, linked, inside in page.blocks:
-        own = len(text) - linked if 2 * linked <= len(text) else 0
-        for depth, path in enumerate(reversed(inside)):
+    for block in page.blocks:
+        own = block.own
+        for depth, path in enumerate(reversed(block.inside)):
             if own:
                 scores[path] = scores.get(path, 0.0) + own * 0.8**depth
     for path in scores:
@@ -211,7 +314,7 @@ def text_at(page: Page, path: str | None, scores: dict[str, float]) -> str:
     own = best_path(scores)
     if path is None or scores.get(path, 0.0) < 0.2 * scores.get(own or "", 0.0) or path not in scores:
         path = own
-    return "\n".join(text for text, _, inside in page.blocks if path is None or path in inside)
+    return "\n".join(b.text for b in page.blocks if path is None or path in b.inside)
 
 
 def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,7 +336,7 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = []
         for html, path in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            page = parse(html or "")
+            page = parse(html or "", path)
             texts.append(text_at(page, path, container_scores(page)))
         added = [pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())]
         yield pa.RecordBatch.from_arrays([*batch.columns[2:], *added], [*batch.schema.names[2:], "text", "n_chars"])

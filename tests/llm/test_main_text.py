@@ -28,6 +28,36 @@ def test_frames():
             assert own_text(frame % body) == "\n".join(PLAIN), (name, own_text(frame % body))
 
 
+WRAPPERS = [
+    "<body><div class='content has-sidebar'>%s</div><p>Foot</p>",
+    "<body><div class='no-sidebar overflow-hidden'><div class=text>%s</div></div>",
+    "<body><div class='elementor-widget elementor-widget-theme-post-content'>%s</div><p>Foot</p>",
+    "<body><form id=aspnetForm><div id=sidebar><p>Side</p></div><div class=c>%s</div><form class=search>Find</form></form>",
+    "<body><p>Head</p><div class='social-page'><article>%s</article></div><div class=social-links><p>Follow us</p></div>",
+    "<body><aside><main>%s</main></aside><div class=c><p>Elsewhere</p></div>",
+    "<body><div class=comments-open>%s</div>",
+]
+
+
+def test_wrappers_with_names_of_what_is_left_out():
+    for wrapper in WRAPPERS:
+        for body in (PARAS, OPEN):
+            assert own_text(wrapper % body) == "\n".join(PLAIN), (wrapper, own_text(wrapper % body))
+    # long comments, dialogs and asides with articles do not oust a short text
+    for beside in ("<div class=comments>%s</div>", "<div id=cookie-consent>%s</div>", "<aside><p>%s</p></aside>", "<footer>%s</footer>", "<article class=comment>%s</article>"):
+        assert own_text("<body><div class=c><p>A short text.</p></div>" + beside % ("Long. " * 99)) == "A short text."
+    assert own_text("<body><nav>a</nav><footer>b</footer></body>") == ""
+    assert own_text("<article><p>Say <button><div>no</div></button>so <svg><text>no</text></svg>here.</p><li>a<svg>no<li>b</article>") == "Say so here.\na\nb"
+    assert own_text("<article><p>So <math><mi>x</mi><mo>=</mo><annotation>x=1</annotation></math> and <label>y</label> <object>z</object>.</p></article>") == "So x= and y z."
+
+
+def test_a_host_tells_a_page_what_wraps_its_text(spark):
+    frame = "<body><div class=c>%s</div><div class=widget><p>%s</p></div>"
+    rows = [(i, "http://h.net/x", frame % ("", PLAIN[0])) for i in range(9)] + [(9, "http://h.net/y", frame % ("<p>Side</p>", "Short text"))]
+    out = main_text.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert {r.page_id: r.text for r in out.collect()} == {**dict.fromkeys(range(9), PLAIN[0]), 9: "Short text"}
+
+
 def test_broken_and_odd_markup():
     assert own_text("") == own_text("   \n") == own_text("<br><img src=x>") == ""
     assert own_text("just text\n here") == "just text here"
