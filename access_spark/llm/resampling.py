@@ -20,8 +20,8 @@ from access_spark.llm.words import hash_spans, mix64, text_groups, word_spans
 from access_spark.session import cut_lineage
 
 BUCKETS = 1 << 15
-#: Labelled good documents that the target model counts at most.
-TARGET_DOCS = 20_000
+#: Buckets whose counts make one row between tasks.
+SEGMENT = 1 << 9
 #: Log-ratios are whole multiples of 1 / UNIT.
 UNIT = 1 << 20
 #: Words of the raw model that the target model of each bucket starts with, as if counted: a
@@ -61,32 +61,52 @@ def grams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of a task: all documents, then those of the target."""
+    """Counts of a task: documents of the raw model and those of the target (the second
+    column tells which)."""
     raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
     for batch in batches:
         texts, wanted = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         at = 0
         for group in text_groups(texts):
             buckets, firsts = grams(group)
-            raw += np.bincount(buckets.reshape(-1), minlength=BUCKETS)
-            good = np.repeat(np.array(wanted[at : at + len(group)], bool), np.diff(firsts))
-            target += np.bincount(buckets[good].reshape(-1), minlength=BUCKETS)
+            of_target = np.repeat(np.array(wanted[at : at + len(group)], bool), np.diff(firsts))
+            raw += np.bincount(buckets[~of_target].reshape(-1), minlength=BUCKETS)
+            target += np.bincount(buckets[of_target].reshape(-1), minlength=BUCKETS)
             at += len(group)
-    used = np.flatnonzero(raw)
-    yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(raw[used], pa.int64()), pa.array(target[used], pa.int64())], ["bucket", "raw", "target"])
+    yield from _segments(raw, target)
 
 
-def log_ratios(docs: DataFrame, good: Column) -> np.ndarray | None:
+def _segments(raw: np.ndarray, target: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The segments that have counts, as rows of lists."""
+    rows = [a.reshape(-1, SEGMENT) for a in (raw, target)]
+    used = np.flatnonzero((rows[0] + rows[1]).any(axis=1))
+    yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), *[pa.array(list(a[used]), pa.list_(pa.int64())) for a in rows]], ["segment", "raw", "target"])
+
+
+def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of the segments of a task."""
+    sums = np.zeros((2, BUCKETS // SEGMENT, SEGMENT), np.int64)
+    for batch in batches:
+        for k in (0, 1):
+            np.add.at(sums[k], batch.column(0).to_numpy(), batch.column(k + 1).flatten().to_numpy().reshape(-1, SEGMENT))
+    yield from _segments(sums[0].reshape(-1), sums[1].reshape(-1))
+
+
+def log_ratios(docs: DataFrame, good: DataFrame) -> np.ndarray | None:
     """log(target probability / raw probability) of each bucket; None without a target.
 
-    Every document of the corpus is counted, in its task first; the driver gets one row per
-    bucket, of which there are BUCKETS at most.
+    The raw model counts every document, the target every one whose id is in `good` (doc_id).
+    For the target, texts meet the ids by a shuffle. The driver gets the counts of each bucket
+    once, of which there are BUCKETS.
     """
-    counts = docs.select("text", F.coalesce(good, F.lit(False)).alias("good")).mapInArrow(_count, "bucket int, raw long, target long")
-    rows = counts.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).collect()
+    # labels grow with the documents, so the plan is the one for large tables at any size
+    target = docs.select("doc_id", "text").join(good.hint("merge"), "doc_id", "left_semi")
+    parts = docs.select("text", F.lit(False).alias("target")).union(target.select("text", F.lit(True)))
+    kinds = "segment int, raw array<long>, target array<long>"
+    counts = parts.mapInArrow(_count, kinds).repartition("segment").mapInArrow(_add, kinds)
     table = np.zeros((2, BUCKETS))
-    for r in rows:
-        table[:, r.bucket] = (r.raw, r.target)
+    for r in counts.collect():
+        table[:, r.segment * SEGMENT : (r.segment + 1) * SEGMENT] = (r.raw, r.target)
     raw, target = table
     if not target.sum():
         return None
@@ -122,10 +142,8 @@ def weights(docs: DataFrame, labels: DataFrame, seed: int) -> list[Column]:
     marks = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy(F.col("doc_id").alias("_id"))
     marks = marks.agg((F.min("quality") > 0).alias("_good"))
     share = marks.agg(F.avg(F.col("_good").cast("double"))).first()[0] or 0.0
-    # a bounded sample of the labelled ids, the only broadcast
-    sample = marks.filter("_good").orderBy(F.xxhash64("_id", F.lit("target")), "_id").limit(TARGET_DOCS)
-    marked = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("_id"), "left")
-    ratios = log_ratios(marked, F.col("_good")) if share else None
+    good = marks.filter("_good").select(F.col("_id").alias("doc_id"))
+    ratios = log_ratios(docs, good) if share else None
     if ratios is None:
         return [F.lit(0.0).alias("log_weight"), F.lit(0.0).alias("noisy_weight"), F.lit(1.0).alias("expected")]
     held = docs.sparkSession.sparkContext.broadcast(np.round(ratios * UNIT).astype(np.int64))
@@ -153,7 +171,7 @@ def resample(docs: DataFrame, labels: DataFrame, seed: int = 13) -> DataFrame:
     models expect: with the share p of good ones among the labelled, a document is good with
     probability min(1, p * weight) (`expected`), and k is the sum, rounded.
 
-    The raw model counts all documents, the target model at most TARGET_DOCS labelled ones.
+    The raw model counts all documents, the target model all those labelled good.
     Texts that are null, empty or without words weigh 1. Rows with null ids are judged like
     others; null qualities are left out, and of several labels of an id the lower counts.
     Without good labels every document is kept. Repeated rows are judged alike. Other columns

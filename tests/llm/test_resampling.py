@@ -60,6 +60,18 @@ def test_weights_are_those_of_the_two_models(spark):
         assert abs(r.log_weight - ratio[resampling.grams([rows[r.doc_id][1]])[0]].sum()) < 1e-3
 
 
+def test_every_good_document_counts(spark):
+    """More labelled good documents than fit a sample, and few of a group with its own words."""
+    from pyspark.sql import functions as F
+
+    rare = F.concat_ws(" ", *[F.concat(F.lit("qx"), (F.col("id") * 7 + k).cast("string")) for k in range(4)])
+    docs = spark.range(40_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 4000 == 1, F.repeat(F.concat(rare, F.lit(" ")), 100)).otherwise("a b c").alias("text"))
+    labels = docs.select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    out = resampling.resample(docs, labels).agg(F.min("log_weight"), F.max("log_weight"), F.min("kept")).first()
+    # the two models are the same
+    assert abs(out[0]) < 1e-2 and abs(out[1]) < 1e-2 and out[2]
+
+
 def test_noise_is_gumbel(spark):
     from pyspark.sql import functions as F
 
