@@ -8,6 +8,7 @@ won. A page that has nothing there is read at its own best path.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html import unescape
@@ -80,13 +81,15 @@ class Node:
 
 
 class Block(NamedTuple):
-    """Text, characters in links, container paths around it, marks and article as in Node."""
+    """Text, characters in links, container paths around it, marks and article as in Node, and
+    whether it is a heading of the first level."""
 
     text: str
     linked: int
     inside: tuple[str, ...]
     marks: tuple[Mark, ...]
     article: int
+    title: bool
 
     @property
     def own(self) -> int:
@@ -195,7 +198,7 @@ def parse(html: str, wanted: str | None = None) -> Page:
             if text:
                 # what is held stood before the elements never text that are open
                 top = next(n for n in reversed(stack) if not n.out)
-                page.blocks.append(Block(text, min(linked, len(text)), top.inside, top.marks, top.article))
+                page.blocks.append(Block(text, min(linked, len(text)), top.inside, top.marks, top.article, top.tag == "h1"))
         linked = 0
 
     def add(text: str) -> None:
@@ -295,25 +298,64 @@ def container_scores(page: Page) -> dict[str, float]:
             if own:
                 scores[path] = scores.get(path, 0.0) + own * 0.8**depth
     for path in scores:
-        last = path.rsplit(">", 1)[1]
-        tag = re.split(r"[.#]", last, maxsplit=1)[0]
+        tag, named = _stands_for_main(path)
         if tag in ("article", "main"):
             scores[path] *= 1.6
-        elif MAIN & set(_NAME.findall(last[len(tag) :])):
+        elif named:
             scores[path] *= 1.3
     return scores
 
 
+def _stands_for_main(path: str) -> tuple[str, bool]:
+    """Tag of the last element of a path, and whether that or its names stand for main text."""
+    last = path.rsplit(">", 1)[1]
+    tag = re.split(r"[.#]", last, maxsplit=1)[0]
+    return tag, tag in ("article", "main") or bool(MAIN & set(_NAME.findall(last[len(tag) :])))
+
+
 def best_path(scores: dict[str, float]) -> str | None:
     return min(scores, key=lambda p: (-scores[p], len(p), p)) if scores else None
 
 
+def _whole(page: Page, path: str) -> str:
+    """The highest path above, or the path itself, that is main text as a whole.
+
+    The enclosing article or main is. Other elements are whose further blocks are not mostly
+    links, if they or their names stand for main text or a title is among those blocks; html
+    and body are not.
+    """
+    chain = next(b.inside[: b.inside.index(path) + 1] for b in page.blocks if path in b.inside)
+    length, linked, titles = ([0] * (len(chain) + 1) for _ in range(3))
+    for b in page.blocks:
+        # paths the block shares with the chain: the first ones
+        shared = bisect_left(range(min(len(chain), len(b.inside))), True, key=lambda d: chain[d] != b.inside[d])
+        length[shared] += len(b.text)
+        linked[shared] += b.linked
+        titles[shared] += b.title
+    best = len(chain) - 1
+    more = links = heads = 0
+    enclosed = _stands_for_main(path)[0] in ("article", "main")
+    for at in range(best - 1, -1, -1):
+        more, links, heads = more + length[at + 1], links + linked[at + 1], heads + titles[at + 1]
+        tag, named = _stands_for_main(chain[at])
+        if tag in ("html", "body"):
+            continue
+        enclosing = tag in ("article", "main") and not enclosed
+        if enclosing or 2 * links <= more and (named or heads):
+            best, more, links, heads = at, 0, 0, 0
+        enclosed |= tag in ("article", "main")
+    return chain[best]
+
+
 def text_at(page: Page, path: str | None, scores: dict[str, float]) -> str:
-    """Text of the blocks under a path; under the page's own best one where the given path
-    has less than a fifth of its score; all blocks kept if no container scores."""
+    """Text of the blocks under a path and under what it is the body of; under the page's own
+    best one where the given path has less than a fifth of its score; all blocks kept if no
+    container scores."""
     own = best_path(scores)
     if path is None or scores.get(path, 0.0) < 0.2 * scores.get(own or "", 0.0) or path not in scores:
         path = own
+    if path is not None:
+        path = _whole(page, path)
     return "\n".join(b.text for b in page.blocks if path is None or path in b.inside)
 
 

@@ -58,6 +58,29 @@ def test_a_host_tells_a_page_what_wraps_its_text(spark):
     assert {r.page_id: r.text for r in out.collect()} == {**dict.fromkeys(range(9), PLAIN[0]), 9: "Short text"}
 
 
+BODY = "".join(f"<p>{p}</p>" for p in [PLAIN[0]] * 60)
+HEADS = [
+    "<body><div class=post><h1>Title</h1><p>Lead</p><div class=entry-content>%s</div><div class=part><p>More</p></div></div>",
+    "<body><article><h1>Title</h1><p>Lead</p><div class=entry-content>%s</div><p>More</p></article>",
+    "<body><main><div class=c1><div><h1>Title</h1></div><p>Lead</p></div><div class=c2><div>%s</div></div><div><p>More</p></div></main>",
+    "<body><div id=page><div><h1>Title</h1><p>Lead</p><div class=text>%s</div><p>More</p></div><ul><li><a href=x>Links of the page</a></ul></div>",
+]
+
+
+def test_title_and_lead_beside_the_body(spark):
+    want = "\n".join(["Title", "Lead", *[PLAIN[0]] * 60, "More"])
+    for head in HEADS:
+        assert own_text(head % BODY) == want, head
+    rows = [(i, f"http://h{i % 4}.net/x", HEADS[i % 4] % BODY) for i in range(40)]
+    out = main_text.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert {r.text for r in out.collect()} == {want}
+    # what is mostly links, or beside a container without a name or title, is not the same text
+    links = "<li><a href=x>A link to another page</a>" * 3
+    assert own_text(f"<body><div class=main><ul>{links}</ul><div class=text>{PARAS}</div></div>") == "\n".join(PLAIN)
+    assert own_text(f"<body><div class=text>{PARAS}</div><p>Foot</p>") == "\n".join(PLAIN)
+    assert own_text("<div>" * 3000 + "deep" + "</div>" * 3000) == "deep"
+
+
 def test_broken_and_odd_markup():
     assert own_text("") == own_text("   \n") == own_text("<br><img src=x>") == ""
     assert own_text("just text\n here") == "just text here"
