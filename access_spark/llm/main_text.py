@@ -51,6 +51,7 @@ MAIN = set("content article post entry story main text articlebody body".split()
 
 _MARKUP = re.compile(r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*>?|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>?", re.S)
 _ATTRIBUTE = re.compile(r"(class|id|role|hidden|style|aria-hidden|itemprop)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?(?=[\s/>]|\Z)", re.I)
+_RAW_ENDS = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.I | re.A) for tag in RAW}
 _NAME = re.compile(r"[a-z]+|\d+")
 _DIGITS = re.compile(r"\d+")
 
@@ -188,7 +189,6 @@ def parse(html: str, wanted: str | None = None) -> Page:
     stack = [Node("", "", False, (), False)]
     held: list[str] = []
     linked = links = articles = 0
-    low = None
 
     def flush() -> None:
         nonlocal linked
@@ -240,9 +240,8 @@ def parse(html: str, wanted: str | None = None) -> Page:
                         break
             continue
         if tag in RAW:
-            low = html.lower() if low is None else low
-            end = low.find(f"</{tag}", at)
-            close = html.find(">", end) if end >= 0 else -1
+            end = _RAW_ENDS[tag].search(html, at)
+            close = html.find(">", end.end()) if end else -1
             at = close + 1 if close >= 0 else len(html)
             continue
         if tag == "a":

@@ -81,6 +81,11 @@ def test_title_and_lead_beside_the_body(spark):
     assert own_text("<div>" * 3000 + "deep" + "</div>" * 3000) == "deep"
 
 
+def test_scripts_after_letters_whose_lower_case_is_longer():
+    part = "<p>" + "İstanbul'da İyi " * 5 + "</p><script>if (a) '<p>no</p>'</SCRIPT><script>x='</scripts>'</script ><title>no</TİTLE></title>"
+    assert own_text(f"<article>{part * 20}<p>End</p></article>") == "\n".join([("İstanbul'da İyi " * 5).strip()] * 20 + ["End"])
+
+
 def test_broken_and_odd_markup():
     assert own_text("") == own_text("   \n") == own_text("<br><img src=x>") == ""
     assert own_text("just text\n here") == "just text here"
