@@ -38,8 +38,9 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def tokens_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of every document's pieces, their digest and that of the decoded text."""
-    return pieces.encode_documents(docs, tokenizer_file(PIECE_MODEL), keep=["doc_id", "source"])
+    """Ids of every document's pieces, the bytes of the original at which they end, the digests
+    of the ids and of the decoded text."""
+    return pieces.encode_documents(docs, tokenizer_file(PIECE_MODEL), keep=["doc_id", "source"], spans=True)
 
 
 STAGES = [

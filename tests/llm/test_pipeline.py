@@ -6,7 +6,7 @@ import shutil
 import pytest
 
 import corpus_pipeline
-from access_spark.llm import ngram_join, resampling, toxicity
+from access_spark.llm import ngram_join, pieces, resampling, toxicity
 from tests.llm.helpers import DOCS, documents, prose
 
 COLUMNS = [c.split()[0] for c in DOCS.split(", ")]
@@ -61,6 +61,15 @@ def test_stages(spark, folder, tmp_path):
     assert len([x for x in ids[2] if x != "None" and int(x) < 420]) >= 0.97 * 300
 
 
+def test_tokens_are_written(spark, tmp_path):
+    docs = documents(spark, [(1, "Some words, été 😀", "s"), (2, None, "s"), (None, "", None)])
+    corpus_pipeline.tokens_stage(spark, docs, "").write.parquet(f"{tmp_path}/tokens")
+    rows = spark.read.parquet(f"{tmp_path}/tokens").collect()
+    whole = pieces.encode_documents(docs, corpus_pipeline.tokenizer_file(corpus_pipeline.PIECE_MODEL), keep=["doc_id"], spans=True).collect()
+    assert {r.doc_id: (r.ids, r.ends) for r in rows} == {r.doc_id: (r.ids, r.ends) for r in whole}
+    assert all(len(r.ids) == len(r.ends) == r.n_tokens and r.ends[-1] == r.n_bytes for r in rows)
+
+
 def test_run_and_empty_tables(spark, folder, tmp_path):
     assert corpus_pipeline.ORACLE_SQL is None
     out = corpus_pipeline.run(spark, folder)
