@@ -182,22 +182,38 @@ def _utf8(data: bytes) -> str:
     return "".join(out)
 
 
+#: Ids and ends that a task holds before it hands them on; a longer text stands alone.
+HELD_IDS = 1 << 18
+
+
 def _encode(held, spans: bool):
+    names = ["n_tokens", "ids_sha256", "decoded_sha256", "n_bytes"] + ["ids", "ends"] * spans
+    kinds = [pa.int64(), pa.string(), pa.string(), pa.int64()] + [pa.list_(pa.int32()), pa.list_(pa.int64())] * spans
+
+    def batch_of(batch: pa.RecordBatch, rows: list) -> pa.RecordBatch:
+        columns = list(zip(*rows)) or [[]] * len(names)
+        added = pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+        return pa.RecordBatch.from_arrays([*batch.columns[1:], added], [*batch.schema.names[1:], "_pieces"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(held.value)
         for batch in batches:
-            rows = []
+            rows, first, n_held = [], 0, 0
             for text in batch.column(0).to_pylist():
                 own, ends = codec.encode(text or "")
                 decimals = b" ".join([s.decimals for s in own] + [b"%d" % codec.model.end_id])
                 decoded = codec.decode_stretches(own).encode("utf-8", "surrogatepass")
                 row = [len(ends) + 1, hashlib.sha256(decimals).hexdigest(), hashlib.sha256(decoded).hexdigest(), int(ends[-1]) if len(ends) else 0]
-                rows.append([*row, [i for s in own for i in s.ids] + [codec.model.end_id], [*ends.tolist(), row[3]]] if spans else row)
-            names = ["n_tokens", "ids_sha256", "decoded_sha256", "n_bytes"] + ["ids", "ends"] * spans
-            columns = list(zip(*rows)) or [[]] * len(names)
-            kinds = [pa.int64(), pa.string(), pa.string(), pa.int64()] + [pa.list_(pa.int32()), pa.list_(pa.int64())] * spans
-            added = pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], added], [*batch.schema.names[1:], "_pieces"])
+                if spans:
+                    ids = np.fromiter((i for s in own for i in s.ids), np.int32, len(ends))
+                    row += [np.append(ids, np.int32(codec.model.end_id)), np.append(ends, row[3]).astype(np.int64)]
+                    n_held += row[0]
+                rows.append(row)
+                if n_held >= HELD_IDS:
+                    yield batch_of(batch.slice(first, len(rows)), rows)
+                    rows, first, n_held = [], first + len(rows), 0
+            if rows or not first:
+                yield batch_of(batch.slice(first), rows)
 
     return run
 
