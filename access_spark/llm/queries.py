@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from access_spark.llm import main_text, mixing, near_vectors, neighbours, ngram_join, pieces, resampling, token_counts, toxicity, url_rules
+from access_spark.llm import main_text, mixing, near_vectors, neighbours, ngram_join, pieces, repeats, resampling, token_counts, toxicity, url_rules
 from access_spark.llm.common import table
 
 #: Model file of the sentencepiece queries, one of the public vocabularies of the machine.
@@ -147,3 +147,8 @@ def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"), keep=["doc_id"])

@@ -18,7 +18,7 @@ def table(spark, name):
 
 
 def test_every_operator_has_one_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == [*range(1, 11), 13]
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -80,3 +80,11 @@ def test_op2_op8(spark):
     unit = x / np.linalg.norm(x, axis=1, keepdims=True)
     links = dict(zip(ids, ((unit @ unit.T) >= 0.9).sum(axis=1) - 1))
     assert {r.vec_id: r.n_links for r in QUERIES["op8_near_vectors"](spark, SF_DIR).collect()} == links
+
+
+def test_op13(spark):
+    from tests.llm.test_repeats import by_hand
+
+    rows = table(spark, "documents").collect()
+    out = {r.doc_id: tuple(r)[1:] for r in QUERIES["op13_repeats"](spark, SF_DIR).collect()}
+    assert [out[r.doc_id] for r in rows] == by_hand([r.text for r in rows], 200)
