@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from access_spark.llm import main_text, mixing, near_vectors, neighbours, ngram_join, pieces, repeats, resampling, token_counts, toxicity, url_rules
+from access_spark.llm import main_text, mixing, near_vectors, neighbours, ngram_join, pieces, ranked_search, repeats, resampling, token_counts, toxicity, url_rules
 from access_spark.llm.common import table
 
 #: Model file of the sentencepiece queries, one of the public vocabularies of the machine.
@@ -152,3 +152,37 @@ def op8_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op13_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents"), keep=["doc_id"])
+
+
+@query
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+_TERMS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+ORACLES["op12_ranked_search"] = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS own FROM documents WHERE text IS NOT NULL
+), sized AS (
+  SELECT r, doc_id, CAST(len(own) AS BIGINT) AS size, own FROM docs WHERE len(own) > 0
+), whole AS (
+  SELECT CAST(count(*) AS BIGINT) AS all_docs, CAST(sum(size) AS BIGINT) AS all_terms FROM sized
+), counted AS (
+  SELECT r, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT r, unnest(own) AS term FROM sized) GROUP BY r, term
+), asked AS (
+  SELECT i, item_id, term, CAST(count(*) AS BIGINT) AS times
+  FROM (SELECT row_number() OVER () AS i, item_id, unnest({_TERMS}) AS term FROM benchmark WHERE text IS NOT NULL)
+  GROUP BY i, item_id, term
+), weighed AS (
+  SELECT term, CAST(floor(1000 * ln((2 * all_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE)) AS BIGINT) AS w
+  FROM (SELECT term, CAST(count(*) AS BIGINT) AS df FROM counted GROUP BY term), whole
+), scored AS (
+  SELECT a.i, a.item_id, s.doc_id, CAST(sum(a.times * (w.w * ((1000000000 * c.tf) // (1000 * c.tf + 12 * (75 + (25 * s.size * all_docs) // all_terms))))) AS BIGINT) AS score
+  FROM asked a JOIN counted c ON a.term = c.term JOIN weighed w ON w.term = a.term JOIN sized s ON s.r = c.r, whole
+  GROUP BY a.i, a.item_id, s.r, s.doc_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS place FROM scored WHERE score > 0
+)
+SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM ranked WHERE place <= 20
+"""
