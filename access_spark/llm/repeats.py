@@ -115,8 +115,8 @@ def _surroundings(length: int):
     """The bytes of every undecided position: rows of (a, h, text, copies, undecided)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["a", "h", "first", "n", "gram", "many", "hot", "bytes"]
-        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.bool_(), pa.bool_(), pa.binary()]
+        names = ["a", "h", "first", "n", "gram", "many", "bytes"]
+        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.bool_(), pa.binary()]
         for batch in batches:
             texts = _bytes_of(batch.column("text"))
             columns = [batch.column(c).to_pylist() for c in ("a", "h", "undecided")]
@@ -124,7 +124,7 @@ def _surroundings(length: int):
             for text, a, h, undecided in zip(texts, *columns):
                 for u in undecided:
                     own = text[u["first"] : u["first"] + u["n"] + length - 1].tobytes()
-                    rows.append((a, h, u["first"], u["n"], u["gram"], u["many"], u["hot"], own))
+                    rows.append((a, h, u["first"], u["n"], u["gram"], u["many"], own))
                     size += len(own)
                     if size >= 16 << 20:
                         yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
@@ -268,25 +268,27 @@ def remove_repeats(
     text = F.coalesce(F.col("text"), F.lit(""))
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.xxhash64(text).alias("a"), F.hash(text).alias("h"), text.alias("text"))
     distinct = keyed.groupBy("a", "h").agg(F.min("text").cast("binary").alias("text"), F.count(F.lit(1)).alias("copies"))
-    # all uses below read this one exchange of the texts
+    # Texts are shuffled once. What is used more than once below asks for the same columns of
+    # `distinct` and `places` each time, so that Spark reads the same shuffle again.
     span = "a long, h int, first int, n int"
     places = distinct.mapInArrow(_ranked(length, gram), f"{span}, gram long, whole long")
 
     shared = places.groupBy("gram").agg(F.count(F.lit(1)).alias("m"), F.min("whole").alias("low"), F.max("whole").alias("high"))
-    shared = shared.filter("m > 1").select("gram", (F.col("low") == F.col("high")).alias("same"))
-    repeated = places.join(shared, "gram")
-    open_ = repeated.filter("NOT same")
-    classes = open_.groupBy("gram", "whole").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("a", "h", "first", "n")).alias("at"))
-    again = open_.join(classes.filter("m > 1").select("gram", "whole"), ["gram", "whole"])
-    sizes = classes.groupBy("gram").agg((F.count(F.lit(1)) > together).alias("hot"))
-    undecided = classes.join(sizes, "gram").select("at.a", "at.h", F.struct("at.first", "at.n", "gram", (F.col("m") > 1).alias("many"), "hot").alias("u"))
-    undecided = undecided.groupBy("a", "h").agg(F.collect_list("u").alias("undecided"))  # bounded by the text
-    around = distinct.join(undecided, ["a", "h"]).mapInArrow(_surroundings(length), f"{span}, gram long, many boolean, hot boolean, bytes binary")
-
-    few = around.filter("NOT hot").select("a", "h", "first", "n", "gram", "many", "bytes")
-    few = few.repartition("gram").sortWithinPartitions("gram").mapInArrow(_compared(length), span)
-    hot = ranks_by_doubling(around.filter("hot"), length)
-    found = repeated.filter("same").select("a", "h", "first", "n").union(again.select("a", "h", "first", "n")).union(few).union(hot.select("a", "h", "first", "n"))
+    repeated = places.join(shared.filter("m > 1").select("gram", "low", "high"), "gram").filter("whole <= high")
+    settled = repeated.filter("low = high").select("a", "h", "first", "n")
+    open_ = repeated.filter("low < high").select("gram", "whole", F.struct("a", "h", "first", "n").alias("at"))
+    classes = open_.groupBy("gram", "whole").agg(F.count(F.lit(1)).alias("m"), F.min("at").alias("least"))
+    copies = open_.join(classes.filter("m > 1"), ["gram", "whole"]).filter("least <= at").select("at.*")
+    sizes = classes.groupBy("gram").agg((F.count("least") > together).alias("hot"))
+    undecided = classes.join(sizes, "gram").select("least.a", "least.h", F.struct("least.first", "least.n", "gram", (F.col("m") > 1).alias("many")).alias("u"), "hot")
+
+    def around(rows: DataFrame) -> DataFrame:
+        of_text = rows.groupBy("a", "h").agg(F.collect_list("u").alias("undecided"))  # bounded by the text
+        return distinct.join(of_text, ["a", "h"]).mapInArrow(_surroundings(length), f"{span}, gram long, many boolean, bytes binary")
+
+    few = around(undecided.filter("NOT hot")).repartition("gram").sortWithinPartitions("gram").mapInArrow(_compared(length), span)
+    hot = ranks_by_doubling(around(undecided.filter("hot")), length)
+    found = settled.union(copies).union(few).union(hot)
     spans = found.select("a", "h", (F.shiftleft(F.col("first").cast("bigint"), 32) + F.col("n")).alias("s"))
     spans = spans.groupBy("a", "h").agg(F.collect_list("s").alias("spans"))  # bounded by the text
 
