@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from access_spark.llm import main_text, mixing, near_vectors, neighbours, ngram_join, pieces, ranked_search, repeats, resampling, token_counts, toxicity, url_rules
+from access_spark.llm import alignment, main_text, mixing, near_vectors, neighbours, ngram_join, pieces, ranked_search, repeats, resampling, token_counts, toxicity, url_rules
 from access_spark.llm.common import table
 
 #: Model file of the sentencepiece queries, one of the public vocabularies of the machine.
@@ -186,3 +186,12 @@ WITH docs AS (
 )
 SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM ranked WHERE place <= 20
 """
+
+
+#: Byte-level file of op11.
+BYTE_MODEL = "byte_bpe_50k.json"
+
+
+@query
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_tokens(table(spark, sf_dir, "documents"), tokenizer_file(BYTE_MODEL), tokenizer_file(PIECE_MODEL), keep=["doc_id"])
