@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import heapq
+import math
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -117,56 +121,146 @@ def snap_sources(sources: DataFrame, valid: DataFrame, radius: int = 3) -> DataF
     return hit.groupBy("iso", "source_id").agg(best).select("iso", "source_id", "b.row", "b.col")
 
 
+TILE_COLUMNS = ("iso", "tr", "tc", "kind", "width_m", "rows", "cols", "f", "minutes")
+TILE_SCHEMA = (
+    "iso string, tr long, tc long, kind string, width_m double, rows array<long>, cols array<long>, f array<double>, minutes array<double>"
+)
+#: Neighbouring tiles, as (rows, columns) apart.
+AROUND = [(dr, dc) for dr in (-1, 0, 1) for dc in (-1, 0, 1) if (dr, dc) != (0, 0)]
+
+
+def _cells(rows: pa.Table, name: str) -> np.ndarray:
+    return rows[name].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+
+
+def _cross_tile(tile: int, height_m: float):
+    """Spread what reached one tile over it. Rows of a tile by kind: its `grid`, the `cost` of
+    cells found in earlier rounds, `seed` cells of its own and `edge` cells of its neighbours.
+    Gives the cells that improved (`cost`) and, for every neighbour, those on its border (`edge`).
+    """
+
+    def run(rows: pa.Table) -> pa.Table:
+        iso, tr, tc = (rows[k][0].as_py() for k in ("iso", "tr", "tc"))
+        kinds = np.array(rows["kind"].to_pylist())
+        parts = {k: rows.filter(pa.array(kinds == k)) for k in ("grid", "cost", "seed", "edge")}
+        if not parts["grid"].num_rows:
+            return pa.Table.from_pylist([], TILE_ARROW)
+        width = parts["grid"]["width_m"][0].as_py()
+        wide, top, left = tile + 2, tr * tile - 1, tc * tile - 1  # one cell of frame, never passable
+        steps = [(dr * wide + dc, math.sqrt(abs(dr) * height_m * height_m + abs(dc) * width * width)) for dr, dc in AROUND]
+
+        def placed(part: pa.Table) -> np.ndarray:
+            return (_cells(part, "rows") - top) * wide + _cells(part, "cols") - left
+
+        friction, minutes = np.full(wide * wide, np.inf), np.full(wide * wide, np.inf)
+        np.minimum.at(friction, placed(parts["grid"]), _cells(parts["grid"], "f"))
+        np.minimum.at(minutes, placed(parts["cost"]), _cells(parts["cost"], "minutes"))
+        before = minutes.copy()
+        f, m = friction.tolist(), minutes.tolist()
+        heap: list[tuple[float, int]] = []
+
+        def reach(j: int, cost: float) -> None:
+            if f[j] != math.inf and cost < m[j]:
+                m[j] = cost
+                heapq.heappush(heap, (cost, j))
+
+        for j in placed(parts["seed"]).tolist():
+            reach(j, 0.0)
+        edge = parts["edge"]
+        if edge.num_rows:
+            for r, c, f0, m0 in zip(*(_cells(edge, k).tolist() for k in ("rows", "cols", "f", "minutes"))):
+                for (dr, dc), (_, length) in zip(AROUND, steps):
+                    y, x = r + dr - top, c + dc - left
+                    if 0 < y <= tile and 0 < x <= tile:
+                        j = y * wide + x
+                        reach(j, m0 + length * (f0 + f[j]) / 2.0)
+        while heap:
+            m0, i = heapq.heappop(heap)
+            if m0 > m[i]:
+                continue
+            f0 = f[i]
+            for d, length in steps:
+                j = i + d
+                cost = m0 + length * (f0 + f[j]) / 2.0
+                if cost < m[j]:  # an impassable cell costs infinitely much
+                    m[j] = cost
+                    heapq.heappush(heap, (cost, j))
+
+        minutes = np.array(m)
+        new = np.flatnonzero(minutes < before)
+        y, x = new // wide, new % wide
+
+        def told(kind: str, at: tuple[int, int], some: np.ndarray) -> dict:
+            own = new[some]
+            return {
+                "iso": iso, "tr": at[0], "tc": at[1], "kind": kind, "width_m": None, "rows": y[some] + top, "cols": x[some] + left,
+                "f": friction[own], "minutes": minutes[own],
+            }
+
+        out = [told("cost", (tr, tc), np.ones(len(new), bool))] if len(new) else []
+        for dr, dc in AROUND:
+            some = ((y == (0, tile, 1)[dr]) | (dr == 0)) & ((x == (0, tile, 1)[dc]) | (dc == 0))
+            if some.any():
+                out.append(told("edge", (tr + dr, tc + dc), some))
+        return pa.Table.from_pylist(out, TILE_ARROW)
+
+    return run
+
+
+TILE_ARROW = pa.schema(
+    [("iso", pa.string()), ("tr", pa.int64()), ("tc", pa.int64()), ("kind", pa.string()), ("width_m", pa.float64())]
+    + [("rows", pa.list_(pa.int64())), ("cols", pa.list_(pa.int64())), ("f", pa.list_(pa.float64())), ("minutes", pa.list_(pa.float64()))]
+)
+
+
 def least_cost_minutes(
-    friction: DataFrame, sources: DataFrame, height_m: float, widths: DataFrame, max_rounds: int = 20_000, merge_every: int = 8
+    friction: DataFrame, sources: DataFrame, height_m: float, widths: DataFrame, tile: int = 128, max_rounds: int = 20_000, merge_every: int = 8
 ) -> DataFrame:
     """Minutes from every passable cell that a source can reach to its nearest source, over
     eight neighbours.
 
-    A step costs its length times the mean friction (minutes per metre) of both cells. Each
-    round extends only the cells that improved in the round before, and writes only what it
-    improves; these tables are merged by their minimum every few rounds. `widths` has iso and
-    width_m. Reported as least-cost time: movement is restricted to eight directions.
+    A step costs its length times the mean friction (minutes per metre) of both cells. The
+    grid is cut into tiles of tile x tile cells. A round takes the tiles that something new
+    has reached, spreads it over each with a priority queue in one task, and hands improved
+    border cells to the neighbours; so rounds follow the tile borders that a path crosses, not
+    its cells, and no task holds more than a tile. Of a repeated cell the least friction
+    counts. `widths` has iso and width_m. Reported as least-cost time: movement is restricted
+    to eight directions.
     """
-    key = ["iso", "row", "col"]
-    grid = cut_lineage(friction.select(*key, F.col("value").alias("f")).join(widths, "iso"))
-    moves = F.array(
-        *[
-            F.struct(F.lit(dr).alias("dr"), F.lit(dc).alias("dc"))
-            for dr in (-1, 0, 1) for dc in (-1, 0, 1) if (dr, dc) != (0, 0)
-        ]
+    key = ["iso", "tr", "tc"]
+    spot = [F.col("iso"), *[F.floor(F.col(c) / tile).cast("bigint").alias(k) for c, k in (("row", "tr"), ("col", "tc"))]]
+    cells = friction.select(*spot, F.col("row").cast("bigint").alias("row"), F.col("col").cast("bigint").alias("col"), F.col("value").cast("double").alias("f")).join(widths, "iso")
+    own = F.collect_list(F.struct("row", "col", "f"))  # a tile's cells
+    grid = cells.groupBy(*key).agg(F.first("width_m").cast("double").alias("width_m"), own.alias("c")).select(
+        *key, F.lit("grid").alias("kind"), "width_m", *[F.col(f"c.{c}").alias(n) for c, n in (("row", "rows"), ("col", "cols"), ("f", "f"))],
+        F.lit(None).cast("array<double>").alias("minutes"),
+    )
+    grid = cut_lineage(grid)
+    seeds = sources.select(*spot, F.struct(F.col("row").cast("bigint").alias("row"), F.col("col").cast("bigint").alias("col")).alias("s")).distinct()
+    seeds = seeds.groupBy(*key).agg(F.collect_list("s").alias("s")).select(
+        *key, F.lit("seed").alias("kind"), F.lit(None).cast("double").alias("width_m"), F.col("s.row").alias("rows"), F.col("s.col").alias("cols"),
+        F.lit(None).cast("array<double>").alias("f"), F.lit(None).cast("array<double>").alias("minutes"),
     )
-    fresh = cut_lineage(sources.select(*key).distinct().join(grid, key).withColumn("minutes", F.lit(0.0)))
-    known = [fresh.select(*key, "minutes")]
+    reached, found = seeds, []
     for _ in range(max_rounds):
-        steps = fresh.select(
-            "iso", "minutes", F.col("f").alias("f0"), "width_m", F.col("row").alias("r0"), F.col("col").alias("c0"),
-            F.explode(moves).alias("m"),
-        ).select(
-            "iso", "minutes", "f0", (F.col("r0") + F.col("m.dr")).alias("row"), (F.col("c0") + F.col("m.dc")).alias("col"),
-            F.sqrt(
-                F.abs(F.col("m.dr")) * F.lit(height_m * height_m) + F.abs(F.col("m.dc")) * F.col("width_m") * F.col("width_m")
-            ).alias("length"),
-        )
-        reached = (
-            steps.join(grid, key)
-            .withColumn("minutes", F.col("minutes") + F.col("length") * (F.col("f0") + F.col("f")) / 2.0)
-            .groupBy(*key, "f", "width_m").agg(F.min("minutes").alias("minutes"))
-        )
-        held = known[0]
-        for part in known[1:]:
-            held = held.union(part)
-        held = held.groupBy(*key).agg(F.min("minutes").alias("_held"))
-        better = F.col("_held").isNull() | (F.col("minutes") < F.col("_held"))
-        fresh = cut_lineage(reached.join(held, key, "left").filter(better).drop("_held"))
-        if fresh.isEmpty():
-            return held.select(*key, F.col("_held").alias("minutes"))
-        known.append(fresh.select(*key, "minutes"))
-        if len(known) > merge_every:
-            merged = known[0]
-            for part in known[1:]:
-                merged = merged.union(part)
-            known = [cut_lineage(merged.groupBy(*key).agg(F.min("minutes").alias("minutes")))]
+        held = grid
+        for part in found:
+            held = held.unionByName(part)
+        active = held.join(reached.select(*key).distinct(), key, "left_semi").unionByName(reached)
+        out = cut_lineage(active.select(*TILE_COLUMNS).groupBy(*key).applyInArrow(_cross_tile(tile, height_m), TILE_SCHEMA))
+        found.append(out.filter("kind = 'cost'"))
+        reached = out.filter("kind = 'edge'")
+        if reached.isEmpty():
+            cost = found[0]
+            for part in found[1:]:
+                cost = cost.unionByName(part)
+            each = cost.select("iso", F.explode(F.arrays_zip("rows", "cols", "minutes")).alias("c"))
+            return each.groupBy("iso", F.col("c.rows").alias("row"), F.col("c.cols").alias("col")).agg(F.min("c.minutes").alias("minutes"))
+        if len(found) > merge_every:
+            merged = found[0]
+            for part in found[1:]:
+                merged = merged.unionByName(part)
+            found = [cut_lineage(merged)]
     raise RuntimeError("travel time did not settle")
 
 

@@ -253,6 +253,58 @@ def test_least_cost_uniform(spark):
     assert len(got) == 49
 
 
+def _least_cost_by_hand(cells, sources, height, width):
+    """Relax all steps until nothing changes."""
+    best = {c: 0.0 for c in sources if c in cells}
+    changed = True
+    while changed:
+        changed = False
+        for (r, c), f in cells.items():
+            for dr in (-1, 0, 1):
+                for dc in (-1, 0, 1):
+                    other = (r + dr, c + dc)
+                    if (dr, dc) != (0, 0) and other in best and other in cells:
+                        length = (abs(dr) * height * height + abs(dc) * width * width) ** 0.5
+                        cost = best[other] + length * (f + cells[other]) / 2
+                        if cost < best.get((r, c), float("inf")) - 1e-12:
+                            best[(r, c)], changed = cost, True
+    return best
+
+
+def _least_cost(spark, cells, sources, tile):
+    friction = spark.createDataFrame([("T", r, c, f) for (r, c), f in cells.items()], "iso string, row bigint, col bigint, value double")
+    starts = spark.createDataFrame([("T", r, c) for r, c in sources], "iso string, row bigint, col bigint")
+    widths = spark.createDataFrame([("T", 90.0)], "iso string, width_m double")
+    out = travel.least_cost_minutes(friction, starts, 100.0, widths, tile=tile)
+    return {(r["row"], r["col"]): r["minutes"] for r in out.collect()}
+
+
+@pytest.mark.parametrize("tile", [4, 7, 128])
+def test_least_cost_over_tiles(spark, tile):
+    """Walls, high friction, negative rows and columns, a cell out of reach, a source on no cell."""
+    cells = {(r, c): 0.001 * (1 + (r * 31 + c * 17) % 9) for r in range(-6, 12) for c in range(-5, 14) if (r * 7 + c * 5) % 11}
+    cells[(40, 40)] = 0.001
+    sources = [(-6, -5), (3, 3), (11, 13), (99, 99)]
+    got, expected = _least_cost(spark, cells, sources, tile), _least_cost_by_hand(cells, sources, 100.0, 90.0)
+    assert got.keys() == expected.keys() and (40, 40) not in got
+    assert all(abs(got[c] - m) < 1e-9 for c, m in expected.items())
+
+
+def test_least_cost_on_a_snake_needs_rounds_by_tiles(spark, monkeypatch):
+    """A passage one cell wide that winds through all tiles: rounds follow borders, not cells."""
+    path = [(r, c) for r in range(0, 40, 2) for c in (range(41) if r % 4 == 0 else range(40, -1, -1))]
+    path += [(r, 40 if r % 4 == 1 else 0) for r in range(1, 38, 2)]
+    cells = {c: 0.002 for c in path}
+    rounds = []
+    cut = travel.cut_lineage
+    monkeypatch.setattr(travel, "cut_lineage", lambda df: rounds.append(1) or cut(df))
+    got = _least_cost(spark, cells, [(0, 0)], 64)
+    assert len(got) == len(cells) > 800 and len(rounds) <= 3
+    rounds.clear()
+    assert _least_cost(spark, cells, [(0, 0)], 21) == pytest.approx(got)
+    assert len(rounds) < 60
+
+
 def test_cube_ignores_absent_sector_and_null_keys(spark):
     from access_spark.operators import cube
 
