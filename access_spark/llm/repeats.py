@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from access_spark.session import tune
+
 #: Bytes of a first rank. Shorter grams leave fewer positions and more to decide later.
 GRAM = 64
 #: Surroundings of one gram that one task compares; beyond it pairs are sorted by Spark.
@@ -263,6 +265,7 @@ def remove_repeats(
     replaces it. No rows give none. Texts count as equal if two hashes of 96 bits together
     are; surroundings of an equal gram if a hash of 64 bits is.
     """
+    tune(docs.sparkSession)  # adaptive joins split a gram of very many positions
     added = ["n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept", "cuts"] * texts
     kept = [c for c in (keep if keep is not None else docs.columns) if c != "text" and c not in added]
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -272,6 +275,7 @@ def remove_repeats(
     # `distinct` and `places` each time, so that Spark reads the same shuffle again.
     span = "a long, h int, first int, n int"
     places = distinct.mapInArrow(_ranked(length, gram), f"{span}, gram long, whole long")
+    places = places.filter("a IS NOT NULL AND h IS NOT NULL AND gram IS NOT NULL AND whole IS NOT NULL")  # always; said for all uses alike
 
     shared = places.groupBy("gram").agg(F.count(F.lit(1)).alias("m"), F.min("whole").alias("low"), F.max("whole").alias("high"))
     repeated = places.join(shared.filter("m > 1").select("gram", "low", "high"), "gram").filter("whole <= high")
@@ -279,7 +283,7 @@ def remove_repeats(
     open_ = repeated.filter("low < high").select("gram", "whole", F.struct("a", "h", "first", "n").alias("at"))
     classes = open_.groupBy("gram", "whole").agg(F.count(F.lit(1)).alias("m"), F.min("at").alias("least"))
     copies = open_.join(classes.filter("m > 1"), ["gram", "whole"]).filter("least <= at").select("at.*")
-    sizes = classes.groupBy("gram").agg((F.count("least") > together).alias("hot"))
+    sizes = classes.groupBy("gram").agg((F.count(F.when(F.col("m") > 0, F.col("least"))) > together).alias("hot"))
     undecided = classes.join(sizes, "gram").select("least.a", "least.h", F.struct("least.first", "least.n", "gram", (F.col("m") > 1).alias("many")).alias("u"), "hot")
 
     def around(rows: DataFrame) -> DataFrame:
