@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import csv
+import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from access_spark.functions.text import fuzzy_column
-from access_spark.operators.keyed import number_rows, running_total
+from access_spark.operators.keyed import number_rows
 from access_spark.session import cut_lineage
 
 # Spark decodes these by name; anything else is staged as UTF-8 beforehand.
@@ -20,13 +21,8 @@ def _headers(columns: Sequence[str]) -> list[str]:
     return [c.replace("﻿", "").replace("ï»¿", "").strip() for c in columns]
 
 
-def numbered_lines(spark: SparkSession, path: str, encoding: str = "utf-8") -> DataFrame:
-    """Lines of a file as (line_no, value), numbered from 0 in file order, blank ones too.
-
-    Lines are read in parallel. Those of one split of the file have rising ids, so a line's
-    number is its place in the split plus the lines of the splits before it, of which there
-    is one row each.
-    """
+def _lines(spark: SparkSession, path: str, encoding: str) -> DataFrame:
+    """Lines with the split of the file they came from: (_file, _split, _id, line_no, value)."""
     name = ENCODINGS.get(encoding, encoding)
     lines = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_split"),
@@ -34,43 +30,111 @@ def numbered_lines(spark: SparkSession, path: str, encoding: str = "utf-8") -> D
     )
     lines = cut_lineage(lines)
     splits = lines.groupBy("_file", "_split").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    earlier = Window.orderBy("_file", "_split").rowsBetween(Window.unboundedPreceding, -1)
-    starts = splits.select("_file", "_split", "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    return lines.join(starts, ["_file", "_split"]).select((F.col("_before") + F.col("_id") - F.col("_first")).alias("line_no"), "value")
+    starts = splits.select("_file", "_split", "_first", F.coalesce(F.sum("_n").over(_earlier()), F.lit(0)).alias("_before"))
+    line_no = F.col("_before") + F.col("_id") - F.col("_first")
+    return lines.join(starts, ["_file", "_split"]).select("_file", "_split", "_id", line_no.alias("line_no"), "value")
+
+
+def _earlier():
+    """The splits before one; a file has one row for each."""
+    return Window.orderBy("_file", "_split").rowsBetween(Window.unboundedPreceding, -1)
+
+
+def numbered_lines(spark: SparkSession, path: str, encoding: str = "utf-8") -> DataFrame:
+    """Lines of a file as (line_no, value), numbered from 0 in file order, blank ones too.
 
+    Lines are read in parallel. Those of one split of the file have rising ids, so a line's
+    number is its place in the split plus the lines of the splits before it, of which there
+    is one row each.
+    """
+    return _lines(spark, path, encoding).select("line_no", "value")
 
-def _records(lines: DataFrame) -> DataFrame:
-    """Lines joined to records where a quoted field goes over a line break.
 
-    A line goes on with the record before it if the quotes so far are odd in number; both
-    running sums are taken over slices of the file (`running_total`).
+def _patterns(sep: str) -> tuple[str, str]:
+    """(an open quoted field at the end of a text, one field up to its separator).
+
+    A quote opens a field only at its start. Inside, two quotes are one; after the closing
+    quote the rest up to the separator belongs to the field as it is.
     """
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    if lines.agg(F.coalesce(F.max(quotes % 2), F.lit(0))).first()[0] == 0:
-        return lines
-    rows = lines.withColumns({"_all": F.lit(0), "_tie": F.lit(0), "_quotes": quotes})
-    rows = running_total(rows, ["_all"], "line_no", "_tie", F.col("_quotes"), "_sum").drop("_sum_total")
-    starts = ((F.col("_sum") - F.col("_quotes")) % 2 == 0).cast("bigint")
-    rows = running_total(rows.withColumn("_start", starts), ["_all"], "line_no", "_tie", F.col("_start"), "_record")
-    parts = F.array_sort(F.collect_list(F.struct("line_no", "value")))
-    return rows.groupBy("_record").agg(F.min("line_no").alias("line_no"), parts.alias("_p")).select(
-        "line_no", F.array_join(F.transform("_p", lambda x: x["value"]), "\n").alias("value")
+    s = re.escape(sep)
+    inside = '"[^"]*+(?:""[^"]*+)*+'
+    field = f'{inside}"(?:[^"{s}][^{s}]*+)?|[^"{s}][^{s}]*+|'
+    return f"(?s)^(?:(?:{field}){s})*+{inside}$", f"(?s)({field}){s}"
+
+
+def _records(lines: DataFrame, sep: str) -> DataFrame:
+    """Lines joined to records where a quoted field goes over a line break: (line_no, value),
+    line_no being that of the first line.
+
+    A line maps what it starts in (no field or an open quoted field) to what it ends in. The
+    map of a line is constant, or keeps or swaps its argument; maps are composed inside each
+    split and then over one row per split, so splits are worked on in parallel. A field that
+    is never closed takes the rest of the file, as the csv module does.
+    """
+    if lines.filter(F.contains("value", F.lit('"'))).isEmpty():
+        return lines.select("line_no", "value")
+    opens, _ = _patterns(sep)
+    plain, quoted = F.col("value").rlike(opens), F.concat(F.lit('"'), F.col("value")).rlike(opens)
+    mapped = lines.withColumns({"_plain": plain, "_quoted": quoted})
+    order = Window.partitionBy("_file", "_split").orderBy("line_no")
+    before, here = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    swap = (F.col("_plain") & ~F.col("_quoted")).cast("int")
+    mapped = mapped.withColumns({"_swaps": F.sum(swap).over(here), "_fixed": F.col("_plain") == F.col("_quoted")})
+    fixed = F.when(F.col("_fixed"), F.struct(F.col("_plain").alias("to"), F.col("_swaps").alias("at")))
+    mapped = mapped.withColumns({"_known": F.last(fixed, True).over(before), "_so_far": F.coalesce(F.lag("_swaps").over(order), F.lit(0))})
+
+    # what a split does to the state it starts in
+    last = F.max_by(F.struct("_known", "_fixed", "_plain", "_swaps"), "line_no").alias("l")
+    whole = mapped.groupBy("_file", "_split").agg(last).select("_file", "_split", "l.*")
+    ends = F.when(F.col("_fixed"), F.col("_plain")).otherwise(F.col("_known.to") != ((F.col("_swaps") - F.col("_known.at")) % 2 == 1))
+    whole = whole.select("_file", "_split", F.col("_swaps").alias("_turns"), ends.alias("_ends"))
+    turned = F.coalesce(F.sum("_turns").over(_earlier()), F.lit(0))
+    settled = F.last(F.when(F.col("_ends").isNotNull(), F.struct(F.col("_ends").alias("to"), F.col("_after").alias("at"))), True).over(_earlier())
+    whole = whole.withColumn("_turned", turned).withColumn("_after", F.col("_turned") + F.col("_turns")).withColumn("_settled", settled)
+    start = F.coalesce(F.col("_settled.to"), F.lit(False)) != ((F.col("_turned") - F.coalesce(F.col("_settled.at"), F.lit(0))) % 2 == 1)
+    starts = whole.select("_file", "_split", start.alias("_start"))
+
+    known = F.coalesce(F.col("_known.to"), F.col("_start")) != ((F.col("_so_far") - F.coalesce(F.col("_known.at"), F.lit(0))) % 2 == 1)
+    rows = mapped.join(starts, ["_file", "_split"]).select("_file", "_split", "line_no", "value", known.alias("_inside"))
+    first = F.when(~F.col("_inside"), F.col("line_no"))
+    rows = rows.withColumn("_first", F.last(first, True).over(here))
+    carried = rows.groupBy("_file", "_split").agg(F.max("_first").alias("_last")).select(
+        "_file", "_split", F.max("_last").over(_earlier()).alias("_carried")
     )
+    rows = rows.join(carried, ["_file", "_split"]).select(F.coalesce("_first", "_carried").alias("line_no"), F.col("line_no").alias("_at"), "value")
+    parts = F.array_sort(F.collect_list(F.struct("_at", "value")))
+    return rows.groupBy("line_no").agg(F.array_join(F.transform(parts, lambda x: x["value"]), "\n").alias("value"))
+
+
+def _fields(sep: str) -> Column:
+    """Fields of a record: unquoted ones that are empty are null."""
+    opens, field = _patterns(sep)
+    text = F.when(F.col("value").rlike(opens), F.concat("value", F.lit('"'))).otherwise(F.col("value"))
+    inner, rest = '(?s)^"([^"]*+(?:""[^"]*+)*+)".*$', '(?s)^"[^"]*+(?:""[^"]*+)*+"(.*)$'
+
+    def bare(x: Column) -> Column:
+        content = F.concat(F.replace(F.regexp_extract(x, inner, 1), F.lit('""'), F.lit('"')), F.regexp_extract(x, rest, 1))
+        return F.when(x.startswith('"'), content).when(x != "", x)
+
+    parts = F.regexp_extract_all(F.concat(text, F.lit(sep)), F.lit(field), F.lit(1))
+    simple = F.transform(F.split("value", re.escape(sep), -1), lambda x: F.when(x != "", x))
+    return F.when(F.contains("value", F.lit('"')), F.transform(parts, bare)).otherwise(simple)
 
 
 def _parsed(lines: DataFrame, sep: str, skip: int, repair=lambda text: text) -> DataFrame:
     """Rows after `skip` title lines (blank ones count) and a header, with `row_seq`, their
     number in file order. Titles and header go by position, so equal data lines stay; blank
-    data lines are no rows. An empty file has no columns but row_seq."""
+    data lines are no rows. Rows with fewer fields than the header are filled with nulls,
+    further fields are left out. An empty file has no columns but row_seq."""
     head = lines.filter(F.col("line_no") == skip).first()
     if head is None:
         return lines.limit(0).select(F.col("line_no").alias("row_seq"))
     header = _headers(next(csv.reader([head["value"]], delimiter=sep)))
-    schema = ", ".join(f"`{c}` string" for c in header)
-    body = _records(lines.filter(F.col("line_no") > skip)).filter(F.trim("value") != "")
-    row = F.from_csv(repair(F.col("value")), schema, {"sep": sep, "multiLine": "true", "escape": '"'})
+    body = lines.filter(F.col("line_no") > skip).withColumn("value", repair(F.col("value")))
+    body = _records(body, sep).filter(F.trim("value") != "")
     numbered = number_rows(body.withColumns({"_all": F.lit(0), "_tie": F.lit(0)}), ["_all"], "line_no", "_tie", "row_seq", start=0)
-    return numbered.select("row_seq", row.alias("r")).select("row_seq", "r.*")
+    numbered = numbered.select("row_seq", _fields(sep).alias("r"))
+    return numbered.select("row_seq", *[F.get("r", F.lit(i)).alias(c) for i, c in enumerate(header)])
 
 
 def read_delimited(
@@ -82,7 +146,7 @@ def read_delimited(
 ) -> DataFrame:
     """Delimited registry with a header, all columns as text, and `row_seq`, the row's number
     in file order; unknown headers are matched after folding accents and case."""
-    df = _parsed(numbered_lines(spark, path, encoding), sep, 0)
+    df = _parsed(_lines(spark, path, encoding), sep, 0)
     if columns is None:
         return df
     found = {c: fuzzy_column(df.columns, c) for c in columns}
@@ -94,7 +158,7 @@ def read_delimited(
 
 def read_after_title(spark: SparkSession, path: str, skip: int, sep: str = ",", encoding: str = "utf-8") -> DataFrame:
     """Delimited file whose header follows `skip` title lines, blank lines among them."""
-    return _parsed(numbered_lines(spark, path, encoding), sep, skip)
+    return _parsed(_lines(spark, path, encoding), sep, skip)
 
 
 def read_repaired(
@@ -107,7 +171,7 @@ def read_repaired(
             text = F.replace(text, F.lit(source), F.lit(target))
         return text
 
-    return _parsed(numbered_lines(spark, path, encoding), sep, 0, repair)
+    return _parsed(_lines(spark, path, encoding), sep, 0, repair)
 
 
 def least_garbled(spark: SparkSession, path: str, candidates: Sequence[str] = ("UTF-8", "ISO-8859-1")) -> str:

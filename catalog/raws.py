@@ -3,9 +3,13 @@ the given ones."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from access_spark.plans import addresses, preprocess, registries
+from access_spark.session import shared_dir
+from access_spark.sources import readers
 from catalog.domain import Tables
 from catalog.registry import query
 
@@ -110,6 +114,55 @@ def _standardized(t: Tables):
     return out.withColumns({c: F.round(c, 6) for c in ("latitud", "longitud")})
 
 
+def _as_text(df, sep: str, folder: str, titles: int = 0, quote: bool = True):
+    """Write a raw table as delimited text, rows in their order after a header: fields that
+    hold the separator, a line break or a leading quote are quoted, other quotes stay bare."""
+
+    def field(name: str):
+        value = F.coalesce(F.col(f"`{name}`").cast("string"), F.lit(""))
+        wrapped = F.concat(F.lit('"'), F.replace(value, F.lit('"'), F.lit('""')), F.lit('"'))
+        needed = F.contains(value, F.lit(sep)) | F.contains(value, F.lit("\n")) | value.startswith('"')
+        return F.when(needed, wrapped).otherwise(value) if quote else value
+
+    names = [c for c in df.columns if c != "row_seq"]
+    head = [f"title {i}" for i in range(titles)] + [sep.join(names)]
+    lines = df.select("row_seq", F.concat_ws(sep, *[field(c) for c in names]).alias("value"))
+    top = df.sparkSession.createDataFrame([(i - len(head), h) for i, h in enumerate(head)], "row_seq long, value string")
+    top.union(lines).orderBy("row_seq").select("value").write.text(folder)
+    return folder
+
+
+@query(
+    "registry_from_text",
+    STANDARD.split(" SELECT iso AS adm0_pcode")[0].strip()
+    + """,
+    named AS (SELECT c_name AS nm, c_custkey AS k FROM customer),
+    a AS (SELECT arg.iso, id, sector, p, b, a, la, lo, CASE k % 3 WHEN 0 THEN n.nm || ' 5" red' WHEN 1 THEN n.nm || ', "x"' || chr(10) || 'y' ELSE '"' || n.nm || '"' END AS nm
+      FROM arg JOIN named n ON cast(k AS varchar) = id),
+    b AS (SELECT iso, id, sector, p, b, a, la, lo, nm FROM bol AS t(iso, id, nm, sector, p, b, a, la, lo)),
+    m AS (SELECT iso, id, sector, p, b, a, la, lo, 'No. 1 Norte ' || nm AS nm FROM mex AS t(iso, id, nm, sector, p, b, a, la, lo))
+    SELECT iso AS adm0_pcode, id AS id_centro, nm AS nombre_centro, sector, p AS nivel_primaria, b AS nivel_secbaja, a AS nivel_secalta, round(la, 6) AS latitud, round(lo, 6) AS longitud
+    FROM (SELECT * FROM a UNION ALL SELECT * FROM b UNION ALL SELECT * FROM m) WHERE p + b + a > 0""",
+)
+def _from_text(t: Tables):
+    """Files of three registries, read in parallel and standardised: bare, quoted and doubled
+    quotes and line breaks inside fields; title lines; separators that need a repair."""
+    raws, k, folder = raw_registries(t), F.col("row_seq"), f"{shared_dir(t.spark)}/registries-{uuid.uuid4().hex}"
+    name = F.col("Nombre")
+    spoilt = F.when(k % 3 == 0, F.concat(name, F.lit(' 5" red'))).when(k % 3 == 1, F.concat(name, F.lit(', "x"\ny'))).otherwise(F.concat(F.lit('"'), name, F.lit('"')))
+    arg = _as_text(raws["ARG"]["main"].withColumn("Nombre", spoilt), ",", f"{folder}/arg")
+    bol = _as_text(raws["BOL"]["main"], ";", f"{folder}/bol", titles=2)
+    mex = raws["MEX"]["main"].withColumn("nombre_centro", F.concat(F.lit("No. 1, Norte "), "nombre_centro"))
+    mex = _as_text(mex, ",", f"{folder}/mex", quote=False)
+    read = {
+        "ARG": {"main": readers.read_delimited(t.spark, arg)},
+        "BOL": {"main": readers.read_after_title(t.spark, bol, 2, ";")},
+        "MEX": {"main": readers.read_repaired(t.spark, mex, {"No. 1, Norte": "No. 1 Norte"})},
+    }
+    out = registries.standardize_all(read).drop("row_seq")
+    return out.withColumns({c: F.round(c, 6) for c in ("latitud", "longitud")})
+
+
 @query(
     "extracted_addresses",
     """WITH c AS (SELECT c_custkey AS k, c_name AS nm, c_mktsegment AS m FROM customer),

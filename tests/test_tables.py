@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import csv
+import io
 import json
+import random
 
 import pytest
 from conftest import values
@@ -132,6 +135,46 @@ def test_many_splits_and_late_bytes(spark, tmp_path):
     assert [r.row_seq for r in rows] == list(range(4001)) and rows[-1].v == "ñ"
 
 
+def _as_csv(text, sep):
+    """Rows of the csv module, blank lines left out, filled and cut to the header; an empty
+    field that is not quoted cannot be told there, so empty fields are ''."""
+    rows = [r for r in csv.reader(io.StringIO(text, newline=""), delimiter=sep) if r]
+    width = len(rows[0])
+    return [tuple((r + [""] * width)[:width]) for r in rows[1:]]
+
+
+@pytest.fixture
+def small_splits(spark):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    yield
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+@pytest.mark.parametrize("sep", [",", ";", "|", "\t"])
+def test_quotes_read_as_the_csv_module(spark, tmp_path, small_splits, sep):
+    """Only a quote that opens a field counts, also over lines and borders of splits."""
+    rnd = random.Random(sep)
+    parts = ["a", "é", '"', '""', sep, sep, "\n", "\n", 'b"c', f'{sep}"x', f'y"{sep}', f'{sep}"l\nm"{sep}']
+    for n in range(3):
+        body = "".join(rnd.choice(parts) for _ in range(700))
+        if n % 2:  # close what is open now and then
+            body = "\n".join(f'{i}{sep}{line}"\n"{i}{sep}tube 5" red{sep}"two\nlines ""{i}"""' for i, line in enumerate(body.split("\n")))
+        text = f"p{sep}q{sep}r\n1{sep}tube 5\" red{sep}x\n" + body.rstrip("\n")
+        path = tmp_path / f"q{n}.csv"
+        path.write_text(text, encoding="utf-8", newline="")
+        rows = readers.read_delimited(spark, str(path), sep=sep).orderBy("row_seq").collect()
+        assert [r.row_seq for r in rows] == list(range(len(rows)))
+        assert [(r.p or "", r.q or "", r.r or "") for r in rows] == _as_csv(text, sep)
+
+
+def test_stray_quote_keeps_the_rows_after_it(spark, tmp_path):
+    path = tmp_path / "stray.csv"
+    path.write_text('id,v\n1,tube 5" red\n2,a\n3,"b ""c"""\n4,""\n5,\n', encoding="utf-8")
+    assert values(readers.read_delimited(spark, str(path)), "id", "v") == [("1", 'tube 5" red'), ("2", "a"), ("3", 'b "c"'), ("4", ""), ("5", None)]
+
+
 def test_column_by_values(spark):
     df = spark.createDataFrame([("a", 1, "20232024"), ("b", 20222023, "20222023")], "x string, n int, y string")
     assert readers.column_by_values(df, (20222023, 20232024)) == "y"
