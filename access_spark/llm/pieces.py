@@ -8,9 +8,13 @@ projected on the bytes of the original.
 from __future__ import annotations
 
 import hashlib
+import heapq
+import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +24,10 @@ from access_spark.llm.piece_model import BYTE, CONTROL, SPACE, UNUSED, Character
 
 #: Stretches whose merges a task remembers.
 REMEMBERED = 400_000
+#: Characters up to which a stretch is merged by looking at all its pairs.
+SCANNED = 60
+#: Numbers of characters that are no pieces start here; bits of such a number.
+OTHER, ID_BITS = 1 << 20, 22
 
 
 @dataclass(slots=True)
@@ -32,6 +40,23 @@ class Stretch:
     text: str
 
 
+_DECIMALS, _WIDTHS, _TEXT = map(attrgetter, ("decimals", "widths", "text"))
+
+
+class Remembered(dict):
+    """Stretches met so far; too many are forgotten together."""
+
+    def __init__(self, encode) -> None:
+        self.encode = encode
+
+    def __missing__(self, text: str) -> Stretch:
+        found = self.encode(text)
+        if len(self) >= REMEMBERED:
+            self.clear()
+        self[text] = found
+        return found
+
+
 class Codec:
     """Encoder and decoder of a BPE model."""
 
@@ -52,29 +77,57 @@ class Codec:
             self.stretches = re.compile(f"{SPACE}+[^{SPACE}{gaps}]*|[{gaps}]|[^{SPACE}{gaps}]+")
         else:
             self.stretches = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
-        self.known: dict[str, Stretch] = {}
+        self.decimals = [b"%d" % i for i in range(len(m.pieces))]
+        self.sizes = list(map(len, m.pieces))
+        self.pairs = self._pairs()
+        self.known = Remembered(self.encoded)
+
+    def _pairs(self) -> dict[int, int] | None:
+        """Two neighbours to what they merge to, all as numbers; None if some pieces are only
+        used on the way to others. Pieces of equal scores, which only their place orders, are
+        left to the other ways: `tied` finds the texts that may hold one.
+
+        A neighbour is the id of a piece or, for a character that is none, OTHER + its code
+        point. The value orders by score and holds the id in its lower bits.
+        """
+        m = self.model
+        times = Counter(self.rank.values())
+        starts = {p[:2] for p, r in self.rank.items() if times[r] > 1 and len(p) > 1}
+        self.tied = re.compile("|".join(map(re.escape, sorted(starts))) or "(?!)").search
+        if self.unused or len(m.pieces) > OTHER:
+            return None
+        order = {p: k << ID_BITS | m.ids[p] for k, p in enumerate(sorted(self.rank, key=self.rank.get))}
+        number = {p: i for p, i in m.ids.items()}
+        pairs = {}
+        for p, value in order.items():
+            for cut in range(1, len(p)):
+                a, b = (number.get(x, OTHER + ord(x) if len(x) == 1 else None) for x in (p[:cut], p[cut:]))
+                if a is not None and b is not None:
+                    pairs[a << ID_BITS | b] = value
+        return pairs
+
+    def _merged_ids(self, text: str) -> list[int]:
+        """As `_merged_scan`, on numbers; characters that are no pieces stay OTHER + code point."""
+        ids, pair, none = self.model.ids.get, self.pairs.get, 1 << 62
+        codes = [i if (i := ids(c)) is not None else OTHER + ord(c) for c in text]
+        values = [pair(a << ID_BITS | b, none) for a, b in zip(codes, codes[1:])]
+        while values:
+            best = min(values)
+            if best == none:
+                break
+            at = values.index(best)
+            new = codes[at] = best & OTHER - 1
+            del codes[at + 1], values[at]
+            if at:
+                values[at - 1] = pair(codes[at - 1] << ID_BITS | new, none)
+            if at < len(values):
+                values[at] = pair(new << ID_BITS | codes[at + 1], none)
+        return codes
 
     def merged(self, text: str) -> list[str]:
         """Symbols of a stretch after all merges: the best pair first, of equals the leftmost."""
-        symbols, rank = list(text), self.rank
-        scores = [rank.get(a + b) for a, b in zip(symbols, symbols[1:])]
         split: dict[str, tuple[str, str]] = {}
-        while True:
-            best, at = None, -1
-            for i, s in enumerate(scores):
-                if s is not None and (best is None or s < best):
-                    best, at = s, i
-            if best is None:
-                break
-            joined = symbols[at] + symbols[at + 1]
-            if joined in self.unused:
-                split[joined] = (symbols[at], symbols[at + 1])
-            symbols[at : at + 2] = [joined]
-            del scores[at]
-            if at:
-                scores[at - 1] = rank.get(symbols[at - 1] + joined)
-            if at < len(scores):
-                scores[at] = rank.get(joined + symbols[at + 1])
+        symbols = self._merged_scan(text, split) if len(text) <= SCANNED else self._merged_heap(text, split)
         if split:
             done: list[str] = []
             stack = symbols[::-1]
@@ -87,28 +140,82 @@ class Codec:
             symbols = done
         return symbols
 
+    def _merged_scan(self, text: str, split: dict[str, tuple[str, str]]) -> list[str]:
+        """For short stretches: every merge looks at all pairs, which is quick while they are few."""
+        symbols, rank, none = list(text), self.rank.get, math.inf
+        scores = [rank(a + b, none) for a, b in zip(text, text[1:])]
+        while scores:
+            best = min(scores)
+            if best == none:
+                break
+            at = scores.index(best)
+            joined = symbols[at] + symbols[at + 1]
+            if joined in self.unused:
+                split[joined] = (symbols[at], symbols[at + 1])
+            symbols[at : at + 2] = [joined]
+            del scores[at]
+            if at:
+                scores[at - 1] = rank(symbols[at - 1] + joined, none)
+            if at < len(scores):
+                scores[at] = rank(joined + symbols[at + 1], none)
+        return symbols
+
+    def _merged_heap(self, text: str, split: dict[str, tuple[str, str]]) -> list[str]:
+        """For long stretches: linked symbols and a heap of pairs, n log n in the length."""
+        symbols, rank, n = list(text), self.rank.get, len(text)
+        before, after = list(range(-1, n - 1)), [*range(1, n), -1]
+        heap = [(r, i, i + 1, 2) for i in range(n - 1) if (r := rank(text[i] + text[i + 1])) is not None]
+        heapq.heapify(heap)
+        while heap:
+            _, i, j, size = heapq.heappop(heap)
+            # either side has been merged since if the sizes differ
+            if after[i] != j or len(symbols[i]) + len(symbols[j]) != size:
+                continue
+            joined = symbols[i] + symbols[j]
+            if joined in self.unused:
+                split[joined] = (symbols[i], symbols[j])
+            symbols[i], symbols[j] = joined, ""
+            after[i] = k = after[j]
+            after[j] = -2
+            for left, right in ((before[i], i), (i, k)):
+                if left >= 0 and right >= 0:
+                    r = rank(symbols[left] + symbols[right])
+                    if r is not None:
+                        heapq.heappush(heap, (r, left, right, len(symbols[left]) + len(symbols[right])))
+            if k >= 0:
+                before[k] = i
+        return [s for s in symbols if s]
+
     def stretch(self, text: str) -> Stretch:
-        found = self.known.get(text)
-        if found is None:
-            m, ids, widths = self.model, [], []
-            for s in self.merged(text):
-                i = m.ids.get(s)
-                if i is not None:
-                    ids.append(i)
-                    widths.append(len(s))
-                elif m.byte_fallback:
+        return self.known[text]
+
+    def encoded(self, text: str) -> Stretch:
+        """Pieces of a stretch that is not remembered."""
+        m = self.model
+        if self.pairs is not None and len(text) <= SCANNED and not self.tied(text):
+            ids = self._merged_ids(text)
+            if max(ids) < OTHER:
+                return Stretch(tuple(ids), b" ".join(map(self.decimals.__getitem__, ids)), bytes(map(self.sizes.__getitem__, ids)), text.replace(SPACE, " "))
+            symbols = [m.pieces[i] if i < OTHER else chr(i - OTHER) for i in ids]
+        else:
+            symbols = self.merged(text)
+        ids = list(map(m.ids.get, symbols))
+        widths = list(map(len, symbols))
+        shown = text.replace(SPACE, " ")  # pieces and the bytes of characters give back their text
+        if None in ids:
+            found, ids, sizes, widths = list(zip(ids, symbols)), [], widths, []
+            for (i, s), size in zip(found, sizes):
+                if i is None and m.byte_fallback:
                     own = s.encode()
                     ids += [m.byte_ids[b] for b in own]
                     # the bytes of a character share its place; the last one ends it
-                    widths += [0] * (len(own) - 1) + [len(s)]
+                    widths += [0] * (len(own) - 1) + [size]
                 else:
-                    ids.append(m.unknown_id)
-                    widths.append(len(s))
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
-            found = Stretch(tuple(ids), b" ".join(b"%d" % i for i in ids), bytes(widths), self.joined(ids))
-            self.known[text] = found
-        return found
+                    ids.append(m.unknown_id if i is None else i)
+                    widths.append(size)
+            if not m.byte_fallback:
+                shown = self.joined(ids)
+        return Stretch(tuple(ids), b" ".join(map(self.decimals.__getitem__, ids)), bytes(widths), shown)
 
     def joined(self, ids: list[int] | tuple[int, ...]) -> str:
         """Text of a run of pieces, spaces in place of their sign, before the first is cut.
@@ -135,8 +242,8 @@ class Codec:
     def encode(self, text: str) -> tuple[list[Stretch], np.ndarray]:
         """(stretches in order, end byte in the original of every piece)."""
         normal, origin = normalise(text, self.model, self.charmap)
-        own = [self.stretch(s) for s in self.stretches.findall(normal)]
-        ends = np.cumsum(np.frombuffer(b"".join(s.widths for s in own), np.uint8), dtype=np.int64)
+        own = list(map(self.known.__getitem__, self.stretches.findall(normal)))
+        ends = np.cumsum(np.frombuffer(b"".join(map(_WIDTHS, own)), np.uint8), dtype=np.int64)
         if origin is not None:
             places = np.array(origin, np.int64)
         elif text.isascii():
@@ -158,7 +265,7 @@ class Codec:
     def decode_stretches(self, own: list[Stretch]) -> str:
         """As `decode` of their ids. No run of bytes goes over from one stretch to the next:
         they end with whole characters."""
-        return self._cut("".join(s.text for s in own))
+        return self._cut("".join(map(_TEXT, own)))
 
     def _cut(self, text: str) -> str:
         if self.model.trim_spaces:
@@ -201,7 +308,7 @@ def _encode(held, spans: bool):
             rows, first, n_held = [], 0, 0
             for text in batch.column(0).to_pylist():
                 own, ends = codec.encode(text or "")
-                decimals = b" ".join([s.decimals for s in own] + [b"%d" % codec.model.end_id])
+                decimals = b" ".join([*map(_DECIMALS, own), b"%d" % codec.model.end_id])
                 decoded = codec.decode_stretches(own).encode("utf-8", "surrogatepass")
                 row = [len(ends) + 1, hashlib.sha256(decimals).hexdigest(), hashlib.sha256(decoded).hexdigest(), int(ends[-1]) if len(ends) else 0]
                 if spans:

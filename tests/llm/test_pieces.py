@@ -34,6 +34,27 @@ def test_equals_the_library(model):
         assert len(ends) == len(ids) and (not len(ids) or ends[-1] == len(text.encode()))
 
 
+def test_long_stretches_without_spaces(model):
+    """Merged by a heap: equal to the library, and the time does not follow the square."""
+    import time
+
+    library = sentencepiece.SentencePieceProcessor(model_proto=model)
+    codec = pieces.Codec(model)
+    rnd = random.Random(11)
+    for alphabet in ("abcdefghijklmnop", "aab", "漢字日本語テキスト", "é🤖x", "ABCDEFGH0123456789+/="):
+        for size in (61, 200, 3_000):
+            text = "".join(rnd.choice(alphabet) for _ in range(size))
+            assert codec.ids(text, end=False) == library.encode(text)
+            short = codec._merged_scan(text[:60], {})
+            assert codec._merged_heap(text[:60], {}) == short
+            assert [codec.model.pieces[i] if i < pieces.OTHER else chr(i - pieces.OTHER) for i in codec._merged_ids(text[:60])] == short
+    text = "".join(rnd.choice("thequickbrownfoxes") for _ in range(1_000_000))
+    start = time.time()
+    own, ends = codec.encode(text)
+    assert time.time() - start < 60 and ends[-1] == len(text)
+    assert codec.decode_stretches(own) == text
+
+
 def test_ends_are_those_of_the_library(model):
     library = sentencepiece.SentencePieceProcessor(model_proto=model)
     codec = pieces.Codec(model)
