@@ -79,7 +79,8 @@ def _marks(form: str) -> str:
             ranges[-1][1] = c
         else:
             ranges.append([c, c])
-    return "[" + "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in ranges) + "]+"
+    marks = "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in ranges)
+    return rf"(?:(?=[^\x00-\x7F])[{marks}])+"  # ASCII, most of a text, is passed over at once
 
 
 def _spell_hangul(col: Column) -> Column:
@@ -99,13 +100,12 @@ def _unaccent(col: Column, form: str, ascii_only: bool) -> Column:
     single, plain, multi = _fold_table(form, ascii_only)
     folded = col
     if multi:
-        # ligatures, fractions and the like: one letter each, followed by its plain form
-        pairs = F.split(F.lit("\n".join(char + plain_form for char, plain_form in multi)), "\n")
-        spelled = F.aggregate(
-            pairs, col, lambda text, pair: F.replace(text, F.substring(pair, 1, 1), F.substring(pair, 2, 32))
-        )
-        rare = f"[{''.join(char for char, _ in multi)}]"
-        folded = F.when(col.rlike(rare), spelled).otherwise(col)
+        # ligatures, fractions and the like stand for several letters: only those that the
+        # text holds are looked up, among its few characters outside ASCII
+        keys, forms = "".join(char for char, _ in multi), F.split(F.lit("\n".join(plain_form for _, plain_form in multi)), "\n")
+        strange = F.regexp_replace(col, r"[\x00-\x7F]+", "")
+        held = F.array_distinct(F.regexp_extract_all(strange, F.lit(f"[{keys}]"), F.lit(0)))
+        folded = F.aggregate(held, col, lambda text, char: F.replace(text, char, F.element_at(forms, F.position(char, F.lit(keys)))))
     folded = F.translate(folded, single, plain)
     # dropping everything outside ASCII drops the marks as well
     folded = F.regexp_replace(folded, r"[^\x00-\x7F]+" if ascii_only else _marks(form), "")

@@ -18,8 +18,8 @@ NORM = (
 
 @query("normalize_name", f"SELECT doc_id, {NORM.format(c='text')} AS name_norm, length({NORM.format(c='text')}) AS n FROM documents")
 def _normalize(t: Tables):
-    name = text.normalize_name(F.col("text"))
-    return t.documents.select("doc_id", name.alias("name_norm"), F.length(name).cast("bigint").alias("n"))
+    named = t.documents.select("doc_id", text.normalize_name(F.col("text")).alias("name_norm"))
+    return named.withColumn("n", F.length("name_norm").cast("bigint"))
 
 
 @query(
