@@ -14,6 +14,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def whole_row(docs: DataFrame) -> Column:
+    """All columns as one, `doc`: what is added beside it cannot clash with their names."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+
+
 def partitions_for(spark: SparkSession, rows: float, rows_each: int) -> int:
     """Partitions that hold about `rows_each` rows, at least as many as Spark's own setting."""
     return max(parallelism(spark), int(rows // rows_each) + 1)

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from access_spark.llm.common import sums_before
+from access_spark.llm.common import sums_before, whole_row
 from access_spark.session import cut_lineage
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -25,7 +25,8 @@ def word_count(text: Column) -> Column:
 
 
 def _text_key() -> Column:
-    return F.xxhash64("doc_id", "source", "text")
+    parts = ("doc_id", "source", "text")
+    return F.struct(F.xxhash64(*parts).alias("a"), F.hash(*parts).alias("b"))
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[float], max_repeats: int) -> DataFrame:
@@ -64,7 +65,7 @@ def mix_sources(
     Order within a source: md5 of the id and the seed, so reruns agree. Text null or without
     words: size 0, taken 0, queued once. A null source is a source of its own, the last. A
     null doc_id is kept and sorts as an empty string. Repeated rows count as often as they
-    occur. No rows: no result. `_text_key` (hash of
+    occur. No rows: no result. `_text_key` (two hashes of
     id, source and text) finds the rows again.
     """
     rows = docs.select(
@@ -102,7 +103,7 @@ def mixed_documents(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), max_r
     Rows equal in id, source and text share their copies; if their other columns differ,
     any of them stands for the rest.
     """
-    counts = mix_sources(docs, weights, max_repeats).groupBy("_text_key").agg(F.sum("copies").alias("_n"))
-    one = docs.withColumn("_text_key", _text_key()).dropDuplicates(["_text_key"])
-    taken = one.join(counts.filter("_n > 0"), "_text_key")
-    return taken.withColumn("_k", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int")))).select(*docs.columns)
+    counts = mix_sources(docs, weights, max_repeats).groupBy("_text_key").agg(F.sum("copies").alias("n"))
+    one = docs.select(whole_row(docs), _text_key().alias("_text_key")).dropDuplicates(["_text_key"])
+    taken = one.join(counts.filter("n > 0"), "_text_key")
+    return taken.select("doc", F.explode(F.sequence(F.lit(1), F.col("n").cast("int")))).select("doc.*")

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from access_spark.llm.common import connected_components
+from access_spark.llm.common import connected_components, whole_row
 from access_spark.llm.words import mix64, shingle_sets
 from access_spark.session import cut_lineage
 
@@ -359,8 +359,19 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 75) -> Da
 
 
 def one_of_each(docs: DataFrame, width: int = 5, percent: int = 75) -> DataFrame:
-    """The documents whose doc_id names their component; a null doc_id stays. Of repeated
-    rows with that id one stays."""
-    found = jaccard_components(docs, width, percent).filter("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(found, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(docs.columns).union(docs.filter("doc_id IS NULL"))
+    """One row of every component of similar texts, the one with the smallest doc_id, all
+    columns as they were.
+
+    Components are those of rows, so texts under a repeated doc_id are told apart. Of rows
+    that have the same id and text one stays. Rows with a null doc_id, and rows whose text
+    has no words and so links with nothing, stay.
+    """
+    row = F.xxhash64("doc_id", "text").alias("row")
+    named = docs.filter("doc_id IS NOT NULL")
+    groups = jaccard_components(named.select(row.alias("doc_id"), "text"), width, percent).select(F.col("doc_id").alias("row"), "component_id").distinct()
+    ids = named.select(row, F.col("doc_id").cast("bigint").alias("id")).distinct().join(groups, "row")
+    first = ids.groupBy("component_id").agg(F.min(F.struct("id", "row")).alias("first")).select("first.row").distinct()
+    # the id, the length and a second hash beside the first: rows that differ are not taken for copies
+    keyed = named.select(whole_row(docs), row, F.col("doc_id").alias("id"), F.octet_length("text").alias("size"), F.hash("text").alias("check"))
+    kept = keyed.join(first, "row", "left_semi").dropDuplicates(["row", "id", "size", "check"]).select("doc.*")
+    return kept.union(docs.filter("doc_id IS NULL"))

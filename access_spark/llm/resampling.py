@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from access_spark.llm.common import sums_before
+from access_spark.llm.common import sums_before, whole_row
 from access_spark.llm.words import hash_spans, mix64, text_groups, word_spans
 from access_spark.session import cut_lineage
 
@@ -185,4 +185,4 @@ def kept_documents(docs: DataFrame, labels: DataFrame, seed: int = 13) -> DataFr
     """The documents that `resample` keeps, with all their columns and no others."""
     columns = weights(docs, labels, seed)
     cut = cut_of(cut_lineage(docs.select("doc_id", *columns)))
-    return docs.select("*", columns[1].alias("_noisy")).filter(F.col("_noisy") >= cut).drop("_noisy")
+    return docs.select(whole_row(docs), columns[1].alias("noisy")).filter(F.col("noisy") >= cut).select("doc.*")

@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from access_spark.llm.common import whole_row
 from access_spark.llm.gru import CHAR_BUCKETS, Scorer, initial, sigmoid, train
 from access_spark.llm.words import hash_spans, mix64, text_groups, word_spans
 from access_spark.session import cut_lineage
@@ -242,8 +243,8 @@ def score_documents(docs: DataFrame, labels: DataFrame, held_out: int = 2, thres
 
 def clean_documents(docs: DataFrame, labels: DataFrame, held_out: int = 2, threshold: float = THRESHOLD) -> DataFrame:
     """The documents whose score is below the threshold, all columns as they were."""
-    score = _score_column(docs, labels, held_out).alias("_toxicity")
-    return docs.select("*", score).filter(F.col("_toxicity") < threshold).drop("_toxicity")
+    score = _score_column(docs, labels, held_out).alias("score")
+    return docs.select(whole_row(docs), score).filter(F.col("score") < threshold).select("doc.*")
 
 
 def _scores(held, text: Column) -> Column:

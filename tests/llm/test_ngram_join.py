@@ -114,3 +114,14 @@ def test_nulls_repeats_and_no_rows(spark):
     )
     kept = ngram_join.one_of_each(documents(spark, rows))
     assert sorted((r.doc_id for r in kept.collect()), key=str) == [3, None, None]
+
+
+def test_one_of_each_tells_texts_under_a_repeated_id_apart(spark):
+    """The copy goes, the only row of the other text stays; ids never stand for texts."""
+    a, b, near = prose(1, 60), prose(2, 60), prose(2, 60).split()
+    near[30] = "edit"
+    rows = [(1, a, "s"), (5, a, "s"), (5, b, "s"), (5, b, "s"), (7, " ".join(near), "s"), (8, None, "s"), (9, "", "s")]
+    docs = documents(spark, rows, "1 AS row;2 AS size;3 AS component_id;4 AS id;5 AS doc")
+    kept = ngram_join.one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id, r.text or "") for r in kept.collect()) == sorted([(1, a), (5, b), (8, ""), (9, "")])

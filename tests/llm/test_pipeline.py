@@ -70,6 +70,16 @@ def test_tokens_are_written(spark, tmp_path):
     assert all(len(r.ids) == len(r.ends) == r.n_tokens and r.ends[-1] == r.n_bytes for r in rows)
 
 
+def test_stages_keep_columns_of_any_name(spark, folder):
+    """Columns named like those that the stages add come out as they went in."""
+    names = ["_toxicity", "score", "_noisy", "noisy", "_n", "n", "_k", "_text_key", "doc", "row", "id", "size", "copies", "_copy"]
+    docs = spark.read.parquet(f"{folder}/documents.parquet").filter("doc_id < 60").selectExpr("*", *[f"{i} AS {n}" for i, n in enumerate(names)])
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(spark, docs, folder)
+        assert out.columns == docs.columns, name
+        assert out.select(*names).distinct().collect() == [tuple(range(len(names)))], name
+
+
 def test_run_and_empty_tables(spark, folder, tmp_path):
     assert corpus_pipeline.ORACLE_SQL is None
     out = corpus_pipeline.run(spark, folder)
@@ -80,18 +90,14 @@ def test_run_and_empty_tables(spark, folder, tmp_path):
 
 
 def test_library_works_without_this_part():
-    """The entry module imports in a copy of the repository without the deleted folders."""
+    """The entry module imports in a copy of the whole repository without the deleted folders."""
     import subprocess
     import sys
     import tempfile
 
     root = os.path.dirname(os.path.abspath(corpus_pipeline.__file__))
-    copy = tempfile.mkdtemp(prefix="entry-")
-    for part in ("__spark_entry__.py", "access_spark", "catalog"):
-        source = os.path.join(root, part)
-        if os.path.isdir(source):
-            shutil.copytree(source, os.path.join(copy, part), ignore=shutil.ignore_patterns("llm", "__pycache__"))
-        else:
-            shutil.copy(source, copy)
+    copy = os.path.join(tempfile.mkdtemp(prefix="entry-"), "repo")
+    shutil.copytree(root, copy, ignore=shutil.ignore_patterns("llm", "__pycache__", ".git", ".pytest_cache"))
     code = "import __spark_entry__ as e; n = e.queries(); assert len(n) > 100 and not [x for x in n if x[:2] == 'op' or x == 'pipeline'] and set(e.oracle_sql()) <= set(n)"
+    assert os.path.exists(os.path.join(copy, "corpus_pipeline.py"))
     subprocess.run([sys.executable, "-c", code], cwd=copy, check=True, env={**os.environ, "PYTHONPATH": copy})
