@@ -219,8 +219,9 @@ def nearest_items(
     order: str,
     distance2: Callable[[], Column],
     owner: str | None = None,
-    leaf: int = 128,
+    leaf: int | None = None,
     depth: int = 24,
+    step: int = 2,
 ) -> DataFrame:
     """Exact k nearest items per query point, by a joint descent of two quadtrees.
 
@@ -228,13 +229,15 @@ def nearest_items(
     item columns and a bounding box x1, y1, x2, y2; `distance2` gives the squared distance
     from the columns of both. With `owner`, items of one owner count once.
 
-    Level by level, cells of queries meet boxes of items. A box is dropped when k items are
-    certainly nearer to the whole query cell; a query cell is done when few candidates are
-    left. So work follows local density: a crowded spot is split further instead of meeting
-    everything, and no step pairs all rows of a group. Queries leave with the level that
-    finishes their cell; only the others go on. Points that are null, NaN or infinite are on
-    neither side. The result is (group, query_key, item columns, d2, rank).
+    `step` levels at a time, cells of queries meet boxes of items. A box is dropped when k
+    items are certainly nearer to the whole query cell; a query cell is done when few
+    candidates are left. So work follows local density: a crowded spot is split further
+    instead of meeting everything, and no step pairs all rows of a group. Only cells and
+    boxes descend, with one written table a step; queries meet their candidates once, at the
+    level that finished their cell. Points that are null, NaN or infinite are on neither
+    side. The result is (group, query_key, item columns, d2, rank).
     """
+    leaf = leaf or max(32, k)
     whole = [finite(F.col(c)).isNotNull() for c in ("x", "y", "x1", "y1", "x2", "y2")]
     queries = queries.filter(whole[0] & whole[1])
     items = items.filter(whole[2] & whole[3] & whole[4] & whole[5])
@@ -265,21 +268,22 @@ def nearest_items(
     )
     node = [group, "nx", "ny"] + ([owner] if owner else [])
     box = [F.min("x1").alias("x1"), F.min("y1").alias("y1"), F.max("x2").alias("x2"), F.max("y2").alias("y2")]
-    roots = it.withColumns({"nx": at("ncx", 0), "ny": at("ncy", 0)}).groupBy(*node).agg(
+    roots = it.withColumns({"nx": at("ncx", step), "ny": at("ncy", step)}).groupBy(*node).agg(
         F.count(F.lit(1)).alias("n"), *box
     )
+    query_cells = cut_lineage(q.select(group, "qcx", "qcy").distinct())
     pairs = (
-        q.select(group, F.lit(0).cast("bigint").alias("qx"), F.lit(0).cast("bigint").alias("qy"))
+        query_cells.select(group, at("qcx", step).alias("qx"), at("qcy", step).alias("qy"))
         .distinct()
-        .join(roots, group)
-        .withColumn("nl", F.lit(0))
+        .join(roots, group)  # at most 4 ^ step on either side
+        .withColumn("nl", F.lit(step))
     )
     cell = [group, "qx", "qy"]
     limit = 4 * k + 2 * leaf
     finished: list[DataFrame] = []
     nodes: list[DataFrame] = []
-    pending = q
-    for level in range(depth + 1):
+    for level in range(step, depth + 1, step):
+        last = level + step > depth
         near, far = _rect_distances(span / (1 << level), (ox, oy))
         measured = pairs.withColumns({"near": near, "far": far})
         ranked = measured
@@ -304,40 +308,36 @@ def nearest_items(
         totals = kept.groupBy(*cell).agg(F.sum("n").alias("total"), F.max(busy).alias("busy"))
         kept = cut_lineage(kept.join(totals, cell).drop("near", "far", "bound"))
         # boxes that are not crowded are no smaller than the query cell, so few remain
-        split = (F.col("total") > limit) & F.col("busy") & F.lit(level < depth)
-        here = pending.withColumns({"qx": at("qcx", level), "qy": at("qcy", level)})
+        split = (F.col("total") > limit) & F.col("busy") & F.lit(not last)
+        here = q.withColumns({"qx": at("qcx", level), "qy": at("qcy", level)})
         done = kept.filter(~split).select(*cell, *node[1:], "nl")
         finished.append(here.join(done, cell).drop("qcx", "qcy", "qx", "qy"))
         nodes.append(done.select(*node, "nl").distinct())
         active = kept.filter(split).drop("total", "busy")
-        if level == depth or active.isEmpty():
+        if last or active.isEmpty():
             break
         crowded, calm = active.filter(busy), active.filter(~busy)
         parent = [group, "px", "py"] + ([owner] if owner else [])
         children = (
             it.withColumns({"px": at("ncx", level), "py": at("ncy", level)})
             .join(crowded.select(*node).distinct().withColumnsRenamed({"nx": "px", "ny": "py"}), parent, "left_semi")
-            .withColumns({"nx": at("ncx", level + 1), "ny": at("ncy", level + 1)})
+            .withColumns({"nx": at("ncx", level + step), "ny": at("ncy", level + step)})
             .groupBy(*parent, "nx", "ny")
             .agg(F.count(F.lit(1)).alias("n"), *box)
-            .withColumn("nl", F.lit(level + 1))
+            .withColumn("nl", F.lit(level + step))
         )
         opened = crowded.select(*cell, *node).withColumnsRenamed({"nx": "px", "ny": "py"}).join(children, parent)
         down = opened.drop("px", "py").unionByName(calm)
-        pending = cut_lineage(here.join(active.select(*cell).distinct(), cell, "left_semi").drop("qx", "qy"))
-        finer = (
-            pending.select(
-                group, at("qcx", level).alias("qx"), at("qcy", level).alias("qy"),
-                at("qcx", level + 1).alias("fx"), at("qcy", level + 1).alias("fy"),
-            )
-            .distinct()
-        )
+        finer = query_cells.select(
+            group, at("qcx", level).alias("qx"), at("qcy", level).alias("qy"),
+            at("qcx", level + step).alias("fx"), at("qcy", level + step).alias("fy"),
+        ).join(active.select(*cell).distinct(), cell, "left_semi").distinct()
         pairs = down.join(finer, cell).drop("qx", "qy").withColumnsRenamed({"fx": "qx", "fy": "qy"})
 
     found, wanted_nodes = finished[0], nodes[0]
     for part, own in zip(finished[1:], nodes[1:]):
         found, wanted_nodes = found.unionByName(part), wanted_nodes.union(own)
-    levels = F.explode(F.array(*[F.lit(i) for i in range(len(finished))])).alias("nl")
+    levels = F.explode(F.array(*[F.lit((i + 1) * step) for i in range(len(finished))])).alias("nl")
     items_at = it.select("*", levels).withColumns(
         {
             "nx": F.expr(f"shiftright(ncx, {depth} - nl)"),
