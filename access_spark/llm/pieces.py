@@ -26,8 +26,9 @@ from access_spark.llm.piece_model import BYTE, CONTROL, SPACE, UNUSED, Character
 REMEMBERED = 400_000
 #: Characters up to which a stretch is merged by looking at all its pairs.
 SCANNED = 60
-#: Numbers of characters that are no pieces start here; bits of such a number.
-OTHER, ID_BITS = 1 << 20, 22
+#: Bits of an id in the value of a pair.
+ID_BITS = 24
+ID_MASK = (1 << ID_BITS) - 1
 
 
 @dataclass(slots=True)
@@ -82,46 +83,51 @@ class Codec:
         self.pairs = self._pairs()
         self.known = Remembered(self.encoded)
 
-    def _pairs(self) -> dict[int, int] | None:
-        """Two neighbours to what they merge to, all as numbers; None if some pieces are only
-        used on the way to others. Pieces of equal scores, which only their place orders, are
-        left to the other ways: `tied` finds the texts that may hold one.
+    def _pairs(self) -> list[dict[int, int]] | None:
+        """For each piece, as the left of two neighbours, what it merges to with which right
+        one; the last entry stands for characters that are no pieces. None if some pieces are
+        only used on the way to others or hold such a character. Pieces of equal scores, which
+        only their place orders, are left to the other ways: `tied` finds texts that may hold
+        one.
 
-        A neighbour is the id of a piece or, for a character that is none, OTHER + its code
-        point. The value orders by score and holds the id in its lower bits.
+        A value orders by score and holds the id in its lower bits.
         """
         m = self.model
         times = Counter(self.rank.values())
         starts = {p[:2] for p, r in self.rank.items() if times[r] > 1 and len(p) > 1}
         self.tied = re.compile("|".join(map(re.escape, sorted(starts))) or "(?!)").search
-        if self.unused or len(m.pieces) > OTHER:
+        letters = {c: i for c, i in m.ids.items() if len(c) == 1}
+        if self.unused or any(c not in letters for p in m.ids for c in p):
             return None
-        order = {p: k << ID_BITS | m.ids[p] for k, p in enumerate(sorted(self.rank, key=self.rank.get))}
-        number = {p: i for p, i in m.ids.items()}
-        pairs = {}
-        for p, value in order.items():
+        nothing: dict[int, int] = {}
+        pairs = [nothing] * (len(m.pieces) + 1)
+        for k, p in enumerate(sorted(self.rank, key=self.rank.get)):
             for cut in range(1, len(p)):
-                a, b = (number.get(x, OTHER + ord(x) if len(x) == 1 else None) for x in (p[:cut], p[cut:]))
+                a, b = m.ids.get(p[:cut]), m.ids.get(p[cut:])
                 if a is not None and b is not None:
-                    pairs[a << ID_BITS | b] = value
+                    if pairs[a] is nothing:
+                        pairs[a] = {}
+                    pairs[a][b] = k << ID_BITS | m.ids[p]
+        self.letters, self.other = letters, len(m.pieces)
         return pairs
 
     def _merged_ids(self, text: str) -> list[int]:
-        """As `_merged_scan`, on numbers; characters that are no pieces stay OTHER + code point."""
-        ids, pair, none = self.model.ids.get, self.pairs.get, 1 << 62
-        codes = [i if (i := ids(c)) is not None else OTHER + ord(c) for c in text]
-        values = [pair(a << ID_BITS | b, none) for a, b in zip(codes, codes[1:])]
+        """As `_merged_scan`, on ids; characters that are no pieces are all `other`."""
+        pairs, none, other = self.pairs, 1 << 62, self.other
+        letter = self.letters.get
+        codes = [letter(c, other) for c in text]
+        values = [pairs[a].get(b, none) for a, b in zip(codes, codes[1:])]
         while values:
             best = min(values)
             if best == none:
                 break
             at = values.index(best)
-            new = codes[at] = best & OTHER - 1
+            new = codes[at] = best & ID_MASK
             del codes[at + 1], values[at]
             if at:
-                values[at - 1] = pair(codes[at - 1] << ID_BITS | new, none)
+                values[at - 1] = pairs[codes[at - 1]].get(new, none)
             if at < len(values):
-                values[at] = pair(new << ID_BITS | codes[at + 1], none)
+                values[at] = pairs[new].get(codes[at + 1], none)
         return codes
 
     def merged(self, text: str) -> list[str]:
@@ -194,11 +200,9 @@ class Codec:
         m = self.model
         if self.pairs is not None and len(text) <= SCANNED and not self.tied(text):
             ids = self._merged_ids(text)
-            if max(ids) < OTHER:
+            if self.other not in ids:
                 return Stretch(tuple(ids), b" ".join(map(self.decimals.__getitem__, ids)), bytes(map(self.sizes.__getitem__, ids)), text.replace(SPACE, " "))
-            symbols = [m.pieces[i] if i < OTHER else chr(i - OTHER) for i in ids]
-        else:
-            symbols = self.merged(text)
+        symbols = self.merged(text)
         ids = list(map(m.ids.get, symbols))
         widths = list(map(len, symbols))
         shown = text.replace(SPACE, " ")  # pieces and the bytes of characters give back their text
