@@ -6,6 +6,7 @@ rename, so a failed job leaves the published table as it was.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Mapping, Sequence
 
@@ -68,26 +69,101 @@ def upsert_partitions(existing: DataFrame | None, new: DataFrame, key: str = "is
     return union_columns(kept, new)
 
 
-def replace_cube(existing: DataFrame | None, new: DataFrame) -> DataFrame:
-    """Cube with the incoming countries replaced."""
-    return upsert_partitions(existing, new, "isoalpha3").select(*config.CUBE_COLUMNS)
+# ---- the published cube: versions of countries under a manifest -----------------------------
+#
+# <path>/data/version=<id>/isoalpha3=<country>/...   written once, never changed
+# <path>/manifest/<number>.json                      country -> version; the highest counts
+
+
+def _manifests(spark: SparkSession, path: str) -> list[int]:
+    fs, folder = _fs(spark, f"{path}/manifest")
+    names = [f.getPath().getName() for f in fs.listStatus(folder)] if fs.exists(folder) else []
+    return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
+
+
+def _manifest(spark: SparkSession, path: str, number: int) -> dict[str, str]:
+    rows = spark.read.text(f"{path}/manifest/{number:012d}.json", wholetext=True).collect()
+    return json.loads(rows[0][0])
+
+
+def _add_manifest(spark: SparkSession, path: str, number: int, versions: Mapping[str, str]) -> bool:
+    """Put a manifest in place by one rename, which fails if that number is taken."""
+    fs, target = _fs(spark, f"{path}/manifest/{number:012d}.json")
+    _, staged = _fs(spark, f"{path}/manifest/.{uuid.uuid4().hex}")
+    out = fs.create(staged, False)
+    try:
+        out.write(bytearray(json.dumps(dict(versions), sort_keys=True).encode()))
+    finally:
+        out.close()
+    if not fs.exists(target) and fs.rename(staged, target):
+        return True
+    fs.delete(staged, False)
+    return False
 
 
 def write_cube(new: DataFrame, path: str) -> bool:
-    """Publish the cube by country; refuses repeated keys, leaves the table alone when
-    there is nothing to write. Returns whether a table was written."""
+    """Publish the countries of `new`; refuses repeated keys, leaves the cube alone when there
+    is nothing to write. Returns whether something was written.
+
+    Only the files of these countries are written. They become visible with one renamed
+    manifest, so a reader sees all of the old rows of a country or all of the new ones, and a
+    failed job leaves the cube as it was. If another writer comes first, its manifest is taken
+    over and the next number tried.
+    """
     spark = new.sparkSession
-    new = cut_lineage(new)  # read three times: emptiness, key test and write
-    if new.isEmpty():
+    new = cut_lineage(new.select(*config.CUBE_COLUMNS))  # read several times: countries, key test and write
+    countries = [r[0] for r in new.select("isoalpha3").distinct().collect()]
+    if not countries:
         return False
-    existing = spark.read.parquet(path) if table_exists(spark, path) else None
-    merged = replace_cube(existing, new)
-    clash = duplicate_keys(merged, config.CUBE_KEY)
-    if not clash.isEmpty():
-        raise DuplicateKeyError(f"{path}: repeated cube keys, table not written")
+    if None in countries:
+        raise ValueError(f"{path}: rows without a country, nothing written")
+    if not duplicate_keys(new, config.CUBE_KEY).isEmpty():
+        raise DuplicateKeyError(f"{path}: repeated cube keys, nothing written")
+    version = uuid.uuid4().hex
     # range partitioning and sorting give a stable order on disk
-    publish(merged.repartitionByRange(*config.CUBE_KEY).sortWithinPartitions(*config.CUBE_KEY), path)
-    return True
+    ordered = new.repartitionByRange(*config.CUBE_KEY).sortWithinPartitions(*config.CUBE_KEY)
+    ordered.write.mode("errorifexists").partitionBy("isoalpha3").parquet(f"{path}/data/version={version}")
+    for _ in range(100):
+        numbers = _manifests(spark, path)
+        held = _manifest(spark, path, numbers[-1]) if numbers else {}
+        if _add_manifest(spark, path, numbers[-1] + 1 if numbers else 1, held | dict.fromkeys(countries, version)):
+            return True
+    raise OSError(f"{path}: other writers were always faster, nothing published")
+
+
+def read_cube(spark: SparkSession, path: str, countries: Sequence[str] | None = None) -> DataFrame:
+    """The published cube, or some of its countries; only their files are listed and read.
+    No cube or no such country means no rows."""
+    numbers = _manifests(spark, path)
+    held = _manifest(spark, path, numbers[-1]) if numbers else {}
+    chosen = {c: v for c, v in held.items() if countries is None or c in countries}
+    types = {"value": "double", "population_base": "double", "year": "int"}
+    schema = ", ".join(f"{c} {types.get(c, 'string')}" for c in config.CUBE_COLUMNS)
+    if not chosen:
+        return spark.createDataFrame([], schema)
+    folders = [f"{path}/data/version={v}/isoalpha3={c}" for c, v in sorted(chosen.items())]
+    stored = spark.read.schema(schema).option("basePath", f"{path}/data/").parquet(*folders)
+    return stored.select(*config.CUBE_COLUMNS)
+
+
+def vacuum_cube(spark: SparkSession, path: str, keep: int = 2) -> int:
+    """Delete the manifests before the last `keep` and the files that none of those names.
+    Returns the number of deleted country folders. Readers older than that may lose files."""
+    numbers = _manifests(spark, path)
+    wanted = {(v, c) for n in numbers[-keep:] for c, v in _manifest(spark, path, n).items()}
+    fs, data = _fs(spark, f"{path}/data")
+    gone = 0
+    for version in fs.listStatus(data) if fs.exists(data) else []:
+        parts = [p for p in fs.listStatus(version.getPath()) if p.getPath().getName().startswith("isoalpha3=")]
+        old = [p for p in parts if (version.getPath().getName()[8:], p.getPath().getName()[10:]) not in wanted]
+        for part in old:
+            fs.delete(part.getPath(), True)
+        gone += len(old)
+        if len(old) == len(parts):
+            fs.delete(version.getPath(), True)
+    for n in numbers[:-keep]:
+        fs.delete(_fs(spark, f"{path}/manifest/{n:012d}.json")[1], False)
+    return gone
 
 
 def merge_ledger(existing: DataFrame, run: DataFrame, keys: Sequence[str] = ("iso", "id_centro")) -> DataFrame:

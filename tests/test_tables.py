@@ -26,15 +26,51 @@ def cube_rows(spark, *rows):
 
 def test_cube_writer(spark, tmp_path):
     path = str(tmp_path / "cube")
+    assert tables.read_cube(spark, path).count() == 0 and tables.read_cube(spark, path).columns == list(config.CUBE_COLUMNS)
     assert tables.write_cube(cube_rows(spark, ("ARG", 1.0)), path)
     assert tables.write_cube(cube_rows(spark, ("BRA", 2.0)), path)
     for _ in range(3):
         assert tables.write_cube(cube_rows(spark, ("ARG", 5.0)), path)
-    assert values(spark.read.parquet(path), "isoalpha3", "value") == [("ARG", 5.0), ("BRA", 2.0)]
+    assert values(tables.read_cube(spark, path), "isoalpha3", "value") == [("ARG", 5.0), ("BRA", 2.0)]
     assert not tables.write_cube(cube_rows(spark, ("ARG", 9.0)).limit(0), path)
     with pytest.raises(keyed.DuplicateKeyError):
         tables.write_cube(cube_rows(spark, ("PER", 1.0), ("PER", 2.0)), path)
-    assert values(spark.read.parquet(path), "isoalpha3", "value") == [("ARG", 5.0), ("BRA", 2.0)]
+    assert values(tables.read_cube(spark, path), "isoalpha3", "value") == [("ARG", 5.0), ("BRA", 2.0)]
+    assert values(tables.read_cube(spark, path, ["BRA", "PER"]), "isoalpha3", "value") == [("BRA", 2.0)]
+
+
+def test_cube_writes_only_what_changed(spark, tmp_path):
+    """Files of other countries stay; a reader that began before a swap sees the old rows."""
+    path = tmp_path / "cube"
+    tables.write_cube(cube_rows(spark, ("ARG", 1.0), ("BRA", 2.0)), str(path))
+    files = {f: f.stat().st_mtime_ns for f in (path / "data").rglob("*.parquet")}
+    before = tables.read_cube(spark, str(path))
+    tables.write_cube(cube_rows(spark, ("ARG", 7.0)), str(path))
+    assert {f: f.stat().st_mtime_ns for f in files} == files
+    added = set((path / "data").rglob("*.parquet")) - set(files)
+    assert added and all("isoalpha3=ARG" in str(f) for f in added)
+    assert values(before, "isoalpha3", "value") == [("ARG", 1.0), ("BRA", 2.0)]
+    assert values(tables.read_cube(spark, str(path)), "isoalpha3", "value") == [("ARG", 7.0), ("BRA", 2.0)]
+    tables.write_cube(cube_rows(spark, ("ARG", 8.0)), str(path))
+    assert tables.vacuum_cube(spark, str(path), keep=1) == 2
+    assert values(tables.read_cube(spark, str(path)), "isoalpha3", "value") == [("ARG", 8.0), ("BRA", 2.0)]
+
+
+def test_cube_writers_that_meet(spark, tmp_path, monkeypatch):
+    """A number that another writer took is not overwritten; both changes are kept."""
+    path = str(tmp_path / "cube")
+    tables.write_cube(cube_rows(spark, ("ARG", 1.0)), path)
+    add, raced = tables._add_manifest, []
+
+    def late(spark, path, number, versions):
+        if not raced:
+            raced.append(number)
+            tables.write_cube(cube_rows(spark, ("BRA", 2.0)), path)
+        return add(spark, path, number, versions)
+
+    monkeypatch.setattr(tables, "_add_manifest", late)
+    tables.write_cube(cube_rows(spark, ("PER", 3.0)), path)
+    assert values(tables.read_cube(spark, path), "isoalpha3", "value") == [("ARG", 1.0), ("BRA", 2.0), ("PER", 3.0)]
 
 
 def test_upsert_keeps_columns(spark):
