@@ -69,11 +69,22 @@ def lookup_join(
     return left.join(right, list(on), "left")
 
 
+def guarded_unique(df: DataFrame, keys: Sequence[str], what: str) -> DataFrame:
+    """The same rows under a plan that fails, with a message that names the key, as soon as a
+    task meets a key twice. No action of its own: the test is a streamed row number in the
+    partitioning that a join on the keys needs anyway."""
+    number = F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(0)))
+    shown = F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in keys])
+    message = F.concat(F.lit(f"{what}: duplicate keys {list(keys)}, e.g. "), shown)
+    held = df.withColumn("_times", number)
+    return held.filter(F.when(F.col("_times") > 1, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))).drop("_times")
+
+
 def one_to_one_join(left: DataFrame, right: DataFrame, on: Sequence[str], what: str) -> DataFrame:
-    """Left join that refuses repeated keys on either side."""
-    require_unique(left, on, f"{what} (left side)")
-    require_unique(right, on, f"{what} (right side)")
-    return left.join(right, list(on), "left")
+    """Left join that refuses repeated keys on either side, null keys among them, when it runs."""
+    one = guarded_unique(left, on, f"{what} (left side)")
+    other = guarded_unique(right, on, f"{what} (right side)")
+    return one.join(other, list(on), "left")
 
 
 def union_columns(*frames: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from access_spark.functions.geo import haversine_km
 from access_spark.functions.numeric import flag, percent, round_even
 from access_spark.functions.text import normalize_id
-from access_spark.operators.keyed import exact_quantiles, keep_first, number_rows, union_columns
+from access_spark.operators.keyed import exact_quantiles, keep_first, number_rows, one_to_one_join, union_columns
 
 MEAN_EARTH_RADIUS_KM = 6371.0088
 CONFIRMED_KM = 0.1
@@ -252,10 +252,11 @@ def add_extra_rows(base: DataFrame, extra: DataFrame, key: str = "id_centro") ->
 
 
 def school_context(schools: DataFrame, flags: DataFrame, cells: DataFrame, inherit: Sequence[str], pitch: float) -> DataFrame:
-    """Schools with the registry flags (one to one) and the attributes of their grid cell."""
+    """Schools with the registry flags and the attributes of their grid cell; running it fails
+    if a school or its flags occur twice."""
     from access_spark.operators.spatial import lattice_join
 
-    joined = schools.join(flags, ["iso", "id_centro"], "left")
+    joined = one_to_one_join(schools, flags, ["iso", "id_centro"], "school context")
     return lattice_join(joined, cells, inherit, pitch)
 
 

@@ -100,9 +100,23 @@ def test_year_and_id(spark):
 
 
 def test_one_to_one(spark):
-    df = spark.createDataFrame([("a",), ("a",)], "k string")
-    with pytest.raises(keyed.DuplicateKeyError):
-        keyed.one_to_one_join(df, df.distinct().withColumn("v", F.lit(1)), ["k"], "test")
+    """The plan itself fails on a repeated key, on either side; building it runs nothing."""
+    twice = spark.createDataFrame([("a",), ("b",), ("a",)], "k string")
+    once = twice.distinct().withColumn("v", F.lit(1))
+    assert keyed.one_to_one_join(once, once.withColumnRenamed("v", "w"), ["k"], "test").count() == 2
+    for left, right in ((twice, once), (once.drop("v"), twice.withColumn("v", F.lit(1)))):
+        joined = keyed.one_to_one_join(left, right, ["k"], "test")
+        with pytest.raises(Exception, match="duplicate keys"):
+            joined.select("k").collect()
+
+
+def test_school_context_refuses_repeated_flags(spark):
+    schools = spark.createDataFrame([("T", "1", 0.004, 0.004), ("T", "2", 0.004, 0.004)], "iso string, id_centro string, lat double, lon double")
+    cells = spark.createDataFrame([("T", 0, 0.004, 0.004)], "iso string, cell_id bigint, lat double, lon double")
+    flags = spark.createDataFrame([("T", "1", True), ("T", "2", False)], "iso string, id_centro string, include_in_spatial_indicators boolean")
+    assert linkage.school_context(schools, flags, cells, ["cell_id"], 8e-3).count() == 2
+    with pytest.raises(Exception, match="school context"):
+        linkage.school_context(schools, flags.union(flags), cells, ["cell_id"], 8e-3).collect()
 
 
 def test_crosswalk_fails_on_missing(spark):
