@@ -1,4 +1,4 @@
-"""Readers for raw registries: delimited text, repaired text, GeoJSON and stored matrices."""
+"""Readers for raw registries: delimited text, repaired text and stored matrices."""
 
 from __future__ import annotations
 
@@ -203,24 +203,6 @@ def column_by_values(df: DataFrame, allowed: Sequence[int]) -> str | None:
     return next((c for i, c in enumerate(df.columns) if row[f"n{i}"] and row[f"ok{i}"]), None)
 
 
-def read_geojson_points(spark: SparkSession, path: str, key: str = "id_centro") -> DataFrame:
-    """Feature ids with coordinates from the properties, else from the point geometry."""
-    schema = (
-        f"features array<struct<properties: struct<{key}: string, latitud: double, longitud: double>,"
-        " geometry: struct<type: string, coordinates: array<double>>>>"
-    )
-    features = spark.read.schema(schema).json(path, multiLine=True).select(F.posexplode("features").alias("row_seq", "f"))
-    point = F.when(F.col("f.geometry.type") == "Point", F.col("f.geometry.coordinates"))
-    lat, lon = F.col("f.properties.latitud"), F.col("f.properties.longitud")
-    given = lat.isNotNull() & lon.isNotNull()
-    return features.select(
-        F.col("row_seq").cast("bigint"),
-        F.col(f"f.properties.{key}").alias(key),
-        F.when(given, lat).otherwise(F.get(point, F.lit(1))).alias("latitud"),
-        F.when(given, lon).otherwise(F.get(point, F.lit(0))).alias("longitud"),
-    ).filter("latitud IS NOT NULL AND longitud IS NOT NULL")
-
-
 def read_matrix(spark: SparkSession, path: str, columns: Sequence[str] = ("iso", "cell_id", "mode", "level", "sector", "time_to_nearest_min")) -> DataFrame:
     """Stored travel matrices, partitioned by iso, mode, level and sector; only the named
     columns are scanned and partition filters prune folders. No folder means no rows."""

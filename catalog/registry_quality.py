@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from access_spark.operators import clusters, quality, spatial
 from access_spark.plans import finalize
+from access_spark.session import shared_dir
+from access_spark.sources import geojson
 from catalog.domain import Tables, with_views
 from catalog.registry import query
 
@@ -218,6 +223,35 @@ def _finalized(t: Tables):
 # ---- single operators ------------------------------------------------------------------------
 
 
+@query(
+    "point_in_polygon_with_holes",
+    with_views(
+        """
+        WITH pts AS (SELECT id_centro, adm0_pcode, latitud - k.y0 AS y, longitud - k.x0 AS x, k.nk FROM {school} JOIN {corner} k ON k.iso = adm0_pcode WHERE latitud IS NOT NULL AND longitud IS NOT NULL)
+        SELECT id_centro, 'N' || nk AS pcode FROM pts
+        WHERE x > 0 AND x < 4 AND y > 0 AND y < 4 AND NOT (x BETWEEN 1 AND 2.5 AND y BETWEEN 0.5 AND 2)"""
+    ),
+)
+def _holes(t: Tables):
+    """Boundaries from a GeoJSON file: features cut out in parallel, rings with holes to edges."""
+    box = lambda a, b, c, d: F.array(*[F.array(F.col("x0") + x, F.col("y0") + y) for x, y in ((a, b), (c, b), (c, d), (a, d), (a, b))])
+    feature = F.struct(
+        F.lit("Feature").alias("type"), F.struct(F.col("iso").alias("country"), F.concat(F.lit("N"), F.col("nk").cast("string")).alias("code"), F.lit('a "}" in a name').alias("name")).alias("properties"),
+        F.struct(F.lit("Polygon").alias("type"), F.array(box(0.0, 0.0, 4.0, 4.0), box(1.0, 0.5, 2.5, 2.0)).alias("coordinates")).alias("geometry"),
+    )
+    path = f"{shared_dir(t.spark)}/boundaries-{uuid.uuid4().hex}"
+    body = t.corner.select(F.col("nk").cast("bigint").alias("n"), F.to_json(feature).alias("value"))
+    first = F.lag("n").over(Window.orderBy("n")).isNull()  # a boundary file: one row per unit
+    body = body.select("n", F.concat(F.when(first, "").otherwise(","), "value").alias("value"))
+    ends = t.spark.createDataFrame([(-1, '{"type": "FeatureCollection", "features": ['), (1 << 40, "]}")], "n long, value string")
+    body.union(ends).coalesce(1).sortWithinPartitions("n").select("value").write.text(path)
+    rings = geojson.ring_edges(geojson.read_features(t.spark, path, "country: string, code: string"))
+    edges = rings.select(F.lit(2).alias("level"), F.col("properties.country").alias("adm0_pcode"), F.col("properties.code").alias("pcode"), "row_seq", "sx", "sy", "ex", "ey")
+    polygons = edges.select("level", "adm0_pcode", "pcode", F.col("row_seq").alias("poly_seq")).distinct()
+    points = t.school.select("id_centro", "adm0_pcode", F.col("longitud").alias("x"), F.col("latitud").alias("y"))
+    return spatial.locate(points, polygons, edges.drop("row_seq"), ["id_centro"], ("pcode",)).select("id_centro", "pcode")
+
+
 @query(
     "point_in_polygon",
     with_views(

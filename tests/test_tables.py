@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from access_spark import config
 from access_spark.operators import keyed, linkage, marts, settlements, spatial, travel
 from access_spark.plans import registries
-from access_spark.sources import readers, tables
+from access_spark.sources import geojson, readers, tables
 
 
 def cube_rows(spark, *rows):
@@ -225,6 +225,36 @@ def test_stray_quote_keeps_the_rows_after_it(spark, tmp_path):
     assert values(readers.read_delimited(spark, str(path)), "id", "v") == [("1", 'tube 5" red'), ("2", "a"), ("3", 'b "c"'), ("4", ""), ("5", None)]
 
 
+def test_features_are_cut_by_depth(spark, tmp_path, small_splits):
+    """Braces and quotes in strings, nested objects, other members, any line breaks, many splits."""
+    features = [
+        {"type": "Feature", "properties": {"id_centro": str(i), "note": 'a } "b" { \\\\ \\" ' + "x" * (i % 40), "deep": {"a": {"b": [i, {"c": "}"}]}}},
+         "geometry": {"type": "Point", "coordinates": [i + 0.5, -i]}}
+        for i in range(200)
+    ]
+    for n, indent in enumerate((None, 2)):
+        whole = {"type": "FeatureCollection", "name": "n", "crs": {"type": "name", "properties": {"name": "urn"}}, "features": features, "tail": {"x": 1}}
+        if n:
+            del whole["crs"], whole["tail"]
+        path = tmp_path / f"f{n}.json"
+        path.write_text(json.dumps(whole, indent=indent), encoding="utf-8")
+        assert spark.read.option("lineSep", "}").text(str(path)).rdd.getNumPartitions() > 4
+        rows = geojson.read_geojson_points(spark, str(path)).orderBy("row_seq").collect()
+        assert [(r.id_centro, r.longitud, r.latitud) for r in rows] == [(str(i), i + 0.5, float(-i)) for i in range(200)]
+    assert geojson.read_geojson_points(spark, str(tmp_path)).count() == 400
+    (tmp_path / "e.json").write_text('{"type": "FeatureCollection", "features": []}')
+    assert geojson.read_geojson_points(spark, str(tmp_path / "e.json")).count() == 0
+
+
+def test_rings_become_directed_edges(spark):
+    square = [[0, 0], [0, 4], [4, 4], [4, 0], [0, 0]]  # clockwise in the file
+    hole = [[1, 1], [2, 1], [2, 2], [1, 2]]  # counterclockwise and open
+    rows = [(0, "Polygon", json.dumps([square, hole])), (1, "MultiPolygon", json.dumps([[hole], [square]])), (2, "Point", "[1, 2]"), (3, None, None)]
+    out = geojson.ring_edges(spark.createDataFrame(rows, "row_seq long, kind string, coordinates string"))
+    area = out.groupBy("row_seq", "part", "ring").agg(F.sum(F.expr("sx * ey - ex * sy") / 2).alias("a"), F.count(F.lit(1)).alias("n"))
+    assert values(area, "row_seq", "part", "ring", "a", "n") == [(0, 0, 0, 16.0, 4), (0, 0, 1, -1.0, 4), (1, 0, 0, 1.0, 4), (1, 1, 0, 16.0, 4)]
+
+
 def test_column_by_values(spark):
     df = spark.createDataFrame([("a", 1, "20232024"), ("b", 20222023, "20222023")], "x string, n int, y string")
     assert readers.column_by_values(df, (20222023, 20232024)) == "y"
@@ -238,7 +268,7 @@ def test_geojson(spark, tmp_path):
         {"type": "Feature", "properties": {"id_centro": "3"}, "geometry": None},
     ]
     path.write_text(json.dumps({"type": "FeatureCollection", "features": features}))
-    assert values(readers.read_geojson_points(spark, str(path)), "id_centro", "latitud", "longitud") == [("1", 5.0, 6.0), ("2", 8.0, 7.0)]
+    assert values(geojson.read_geojson_points(spark, str(path)), "id_centro", "latitud", "longitud") == [("1", 5.0, 6.0), ("2", 8.0, 7.0)]
 
 
 # ---- ordered operators -------------------------------------------------------------------
