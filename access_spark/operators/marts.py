@@ -333,25 +333,27 @@ def scope_totals(country: DataFrame) -> DataFrame:
     return sums.withColumns({f"pct_{n[2:]}": percent(F.col(n), F.col("total_schools")) for n in shares})
 
 
+def _shares_of_total(country: DataFrame, prefix: str, names: Sequence[str], label: str, rest: str | None = None) -> DataFrame:
+    """Counts of the columns prefix + name by scope, with their share of all schools; `rest`
+    names a row for what they leave, where they leave something. One pass over the summary."""
+    sums = _by_scope(country).groupBy("scope").agg(
+        F.sum(F.coalesce("current_total", F.lit(0))).alias("_total"), *[F.sum(F.coalesce(F.col(f"{prefix}{n}"), F.lit(0))).alias(f"_{n}") for n in names]
+    )
+    rows = [F.struct(F.lit(n).alias(label), F.col(f"_{n}").alias("count")) for n in names]
+    if rest is not None:
+        seen = sum((F.col(f"_{n}") for n in names), F.lit(0))
+        rows.append(F.when(seen != F.col("_total"), F.struct(F.lit(rest).alias(label), (F.col("_total") - seen).alias("count"))))
+    long = sums.select("scope", "_total", F.explode(F.array(*rows)).alias("x")).filter("x IS NOT NULL")
+    return long.select("scope", f"x.{label}", "x.count", percent(F.col("x.count"), F.col("_total")).alias("pct_of_total"))
+
+
 def quality_totals(country: DataFrame) -> DataFrame:
     """Count and share per quality label and scope, with a remainder row when labels are missing."""
-    labels = F.array(*[F.struct(F.lit(q).alias("quality"), F.coalesce(F.col(f"q_{q}"), F.lit(0)).alias("count")) for q in config.QUALITY_LABELS])
-    sums = _by_scope(country).select("scope", F.coalesce("current_total", F.lit(0)).alias("t"), F.explode(labels).alias("x"))
-    counts = sums.groupBy("scope", F.col("x.quality").alias("quality")).agg(F.sum("x.count").alias("count"))
-    totals = _by_scope(country).groupBy("scope").agg(F.sum(F.coalesce("current_total", F.lit(0))).alias("_total"))
-    rest = (
-        counts.groupBy("scope").agg(F.sum("count").alias("_seen")).join(totals, "scope").filter("_seen <> _total")
-        .select("scope", F.lit("unclassified").alias("quality"), (F.col("_total") - F.col("_seen")).alias("count"))
-    )
-    return counts.unionByName(rest).join(totals, "scope").withColumn("pct_of_total", percent(F.col("count"), F.col("_total"))).drop("_total")
+    return _shares_of_total(country, "q_", config.QUALITY_LABELS, "quality", "unclassified")
 
 
 def rollup_totals(country: DataFrame) -> DataFrame:
-    groups = F.array(*[F.struct(F.lit(g).alias("bucket"), F.coalesce(F.col(f"qg_{g}"), F.lit(0)).alias("count")) for g in QUALITY_GROUPS])
-    rows = _by_scope(country).select("scope", F.explode(groups).alias("x"))
-    counts = rows.groupBy("scope", F.col("x.bucket").alias("bucket")).agg(F.sum("x.count").alias("count"))
-    totals = _by_scope(country).groupBy("scope").agg(F.sum(F.coalesce("current_total", F.lit(0))).alias("_total"))
-    return counts.join(totals, "scope").withColumn("pct_of_total", percent(F.col("count"), F.col("_total"))).drop("_total")
+    return _shares_of_total(country, "qg_", list(QUALITY_GROUPS), "bucket")
 
 
 def build_summary(registry: DataFrame) -> DataFrame:
@@ -363,18 +365,22 @@ def build_summary(registry: DataFrame) -> DataFrame:
 
 def registry_profile(df: DataFrame, categories: Sequence[str], keys: Sequence[str], coords: Sequence[str]) -> DataFrame:
     """Long profile: rows, values per category, rows beyond the first of a repeated key, and
-    missing coordinates."""
-    def line(part: str, value: Column, count: str) -> list[Column]:
-        return [F.lit(part).alias("part"), value.cast("string").alias("value"), F.col(count).cast("bigint").alias("n")]
-
-    whole = df.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(F.col(c).isNull()).alias(f"_{c}") for c in coords])
-    out = whole.select(*line("rows", F.lit(""), "n"))
-    for c in coords:
-        out = out.unionByName(whole.select(*line("null", F.lit(c), f"_{c}")))
-    for c in categories:
-        out = out.unionByName(df.groupBy(c).agg(F.count(F.lit(1)).alias("n")).select(*line(c, F.col(c), "n")))
-    repeated = df.groupBy(*keys).agg((F.count(F.lit(1)) - 1).alias("extra")).agg(F.sum("extra").alias("n"))
-    return out.unionByName(repeated.select(*line("duplicates", F.lit("+".join(keys)), "n")))
+    missing coordinates. Every row of the one scan gives its lines, which are summed."""
+    def line(part: str, value: Column, n: Column) -> Column:
+        return F.struct(F.lit(part).alias("part"), value.cast("string").alias("value"), n.cast("bigint").alias("n"))
+
+    one = F.lit(1)
+    lines = [line("rows", F.lit(""), one), *[line("null", F.lit(c), F.col(c).isNull().cast("int")) for c in coords]]
+    lines += [line(c, F.col(c), one) for c in categories]
+    # keys are told apart by their JSON text, nulls among them; a prefix keeps them from categories
+    key = F.to_json(F.struct(*keys), {"ignoreNullFields": "false"})
+    lines = [F.struct(F.lit(False).alias("keyed"), x.alias("x")) for x in lines] + [F.struct(F.lit(True).alias("keyed"), line("duplicates", key, one).alias("x"))]
+    long = df.select(F.explode(F.array(*lines)).alias("l")).select("l.keyed", "l.x.*")
+    empty = [(False, "rows", "", 0), *[(False, "null", c, 0) for c in coords], (True, "duplicates", None, 1)]  # lines of a table without rows
+    long = long.union(df.sparkSession.createDataFrame(empty, "keyed boolean, part string, value string, n long"))
+    counts = long.groupBy("keyed", "part", "value").agg(F.sum("n").alias("n"))
+    shown = F.when(F.col("keyed"), "+".join(keys)).otherwise(F.col("value"))
+    return counts.groupBy("keyed", "part", shown.alias("value")).agg(F.sum(F.when(F.col("keyed"), F.col("n") - 1).otherwise(F.col("n"))).alias("n")).drop("keyed")
 
 
 def label_crosstab(registry: DataFrame, base: DataFrame, label: str) -> DataFrame:

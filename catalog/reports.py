@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 from access_spark import config
 from access_spark.functions.geo import haversine_km
 from access_spark.operators import clusters, fill, marts
+from access_spark.session import cut_lineage
 from access_spark.sources import tables
 from catalog.domain import Tables, with_views
 from catalog.linking import BUILDINGS, buildings
-from catalog.registry import query
+from catalog.registry import ORACLES, query
 from catalog.registry_quality import FINAL, finalized
 
 
@@ -153,17 +154,20 @@ def _prepass(t: Tables):
           sector_scope = 'public' AND total_universe_est > public_universe * 1.05 AS private_gap_flag FROM u LEFT JOIN c USING (iso)"""
     ),
 )
-def _coverage(t: Tables):
+def _coverage(t: Tables, registry=None):
     universe = t.country.select(
         "iso", (200 + 50 * F.col("rk")).alias("public_universe"), (300 + 40 * F.col("rk")).alias("total_universe_est"),
         F.when(F.col("rk") < 3, "public").otherwise("public+private").alias("sector_scope"),
     )
-    return marts.coverage(registry_table(t), universe)
+    return marts.coverage(registry_table(t) if registry is None else registry, universe)
+
+
+def _countries(t: Tables):
+    return t.country.select("iso", "pipeline_enabled", "analysis_included", "final_match_level", "validation_tier", "data_status")
 
 
 def summary(t: Tables):
-    countries = t.country.select("iso", "pipeline_enabled", "analysis_included", "final_match_level", "validation_tier", "data_status")
-    return marts.country_summary(registry_table(t), countries)
+    return marts.country_summary(registry_table(t), _countries(t))
 
 
 _Q = ", ".join(f"count(*) FILTER (q = '{q}') AS q_{q}" for q in config.QUALITY_LABELS)
@@ -440,17 +444,39 @@ def _subset(t: Tables):
     return marts.box_subset(t.tile, (4.2, 19.0, 9.1, 19.75)).select("tile_seq", "iso")
 
 
-@query(
-    "mart_bundle",
-    with_views("SELECT 'sectors' AS mart, sector, count(*) AS n FROM {school} GROUP BY sector UNION ALL SELECT 'acceptance', acceptance, count(*) FROM {school} GROUP BY acceptance"),
+#: Marts of the bundle, each a query of its own with its own check.
+BUNDLED = (
+    "country_summary", "scope_totals", "quality_totals", "quality_rollup", "build_summary", "coverage", "inclusion_share",
+    "funnel_counts", "geocoding_by_country", "building_kinds", "ground_truth",
 )
+
+
+def _bundle_sql() -> str:
+    """Every field of every record of the marts, by the checks of their own queries."""
+    parts = [
+        f"SELECT '{name}' AS mart, j.key AS field, try_cast(json_extract_string(j.value, '$') AS double) AS number, json_extract_string(j.value, '$') AS shown FROM ({ORACLES[name]}) m, json_each(to_json(m)) j"
+        for name in BUNDLED
+    ]
+    return f"SELECT mart, field, round(number, 6) AS number, CASE WHEN number IS NULL THEN shown END AS word FROM ({' UNION ALL '.join(parts)}) WHERE shown IS NOT NULL"
+
+
+@query("mart_bundle", _bundle_sql())
 def _bundle(t: Tables):
+    """The marts of a report as one table of JSON records, here field by field. The finalised
+    registry is computed once, and the country summary once for the marts that add it up."""
+    registry = cut_lineage(registry_table(t))
+    country = cut_lineage(marts.country_summary(registry, _countries(t)))
+    k12 = registry.filter("nivel_primaria + nivel_secbaja + nivel_secalta > 0")
     parts = {
-        "sectors": t.school.groupBy(F.col("sector").alias("value")).agg(F.count(F.lit(1)).alias("n")),
-        "acceptance": t.school.groupBy(F.col("acceptance").alias("value")).agg(F.count(F.lit(1)).alias("n")),
+        "country_summary": country, "scope_totals": marts.scope_totals(country), "quality_totals": marts.quality_totals(country),
+        "quality_rollup": marts.rollup_totals(country), "build_summary": marts.build_summary(registry), "coverage": _coverage(t, registry),
+        "inclusion_share": marts.inclusion_share(registry, k12), "funnel_counts": _funnel_counts(t), "geocoding_by_country": _by_country(t),
+        "building_kinds": _kinds(t), "ground_truth": _ground_truth(t),
     }
-    out = tables.bundle(parts)
-    return out.select("mart", F.get_json_object("record", "$.value").alias("sector"), F.get_json_object("record", "$.n").cast("bigint").alias("n"))
+    records = tables.bundle({name: parts[name] for name in BUNDLED})
+    fields = records.select("mart", F.explode(F.from_json("record", "map<string, string>")).alias("field", "shown")).filter("shown IS NOT NULL")
+    number = F.expr("try_cast(shown AS double)")
+    return fields.select("mart", "field", F.round(number, 6).alias("number"), F.when(number.isNull(), F.col("shown")).alias("word"))
 
 
 @query(
