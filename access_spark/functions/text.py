@@ -265,8 +265,3 @@ def fuzzy_column(columns: list[str], wanted: str | None) -> str | None:
         )
 
     return next((c for c in columns if fold(c) == fold(wanted)), None)
-
-
-def first_column_with(columns: list[str], *tokens: str) -> str | None:
-    """First header that contains one of the tokens."""
-    return next((c for c in columns if any(t in c for t in tokens)), None)

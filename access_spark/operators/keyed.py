@@ -37,38 +37,10 @@ def keep_last(df: DataFrame, keys: Sequence[str], order: Column) -> DataFrame:
     return df.groupBy(*keys).agg(row).select(*keys, "_row.*").select(*df.columns)
 
 
-def first_known(col: Column, order: Column) -> Column:
-    """Aggregate: the first value that is not null in the given order."""
-    return F.min_by(F.when(col.isNotNull(), col), F.when(col.isNotNull(), order))
-
-
-def with_group_facts(df: DataFrame, keys: Sequence[str], *aggregates: Column) -> DataFrame:
-    """Add aggregates of each row's key group. Null keys keep the row and get nulls."""
-    facts = df.groupBy(*keys).agg(*aggregates)
-    return df.join(facts, list(keys), "left")
-
-
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 1")
 
 
-def require_unique(df: DataFrame, keys: Sequence[str], what: str) -> DataFrame:
-    """Raise when a key repeats; at most three examples reach the driver."""
-    clash = duplicate_keys(df, keys).limit(3).collect()
-    if clash:
-        raise DuplicateKeyError(f"{what}: duplicate keys {list(keys)}, e.g. {clash}")
-    return df
-
-
-def lookup_join(
-    left: DataFrame, right: DataFrame, on: Sequence[str], order: Column | None = None
-) -> DataFrame:
-    """Left join to a lookup with one row per key; `order` picks the row that counts."""
-    if order is not None:
-        right = keep_first(right, on, order)
-    return left.join(right, list(on), "left")
-
-
 def guarded_unique(df: DataFrame, keys: Sequence[str], what: str) -> DataFrame:
     """The same rows under a plan that fails, with a message that names the key, as soon as a
     task meets a key twice. No action of its own: the test is a streamed row number in the

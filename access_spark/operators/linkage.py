@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from access_spark.functions.geo import haversine_km
 from access_spark.functions.numeric import flag, percent, round_even
 from access_spark.functions.text import normalize_id
-from access_spark.operators.keyed import exact_quantiles, keep_first, number_rows, one_to_one_join, union_columns
+from access_spark.operators.keyed import exact_quantiles, number_rows, one_to_one_join, union_columns
 
 MEAN_EARTH_RADIUS_KM = 6371.0088
 CONFIRMED_KM = 0.1
@@ -284,7 +284,3 @@ def k12_summary(joined: DataFrame) -> DataFrame:
         F.count("lat").alias("n_georef"),
         F.count("cell_id").alias("n_cell_matched"),
     )
-
-
-def first_rows(df: DataFrame, key: str, order: str = "row_seq") -> DataFrame:
-    return keep_first(df, [key], F.col(order))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from access_spark import config
 from access_spark.functions.geo import dms_to_degrees, in_box, looks_swapped
 from access_spark.functions.numeric import number
-from access_spark.functions.text import blank_null_words, clean_text, normalize_name
+from access_spark.functions.text import blank_null_words, normalize_name
 from access_spark.operators import quality, spatial
 from access_spark.operators.clusters import with_exact_clusters, with_near_clusters
 from access_spark.operators.keyed import keep_first
@@ -303,7 +303,3 @@ def conform(df: DataFrame, contract: Mapping[str, str]) -> DataFrame:
             for c, t in contract.items()
         ]
     )
-
-
-def clean_registry_text(df: DataFrame, *columns: str) -> DataFrame:
-    return df.withColumns({c: clean_text(F.col(c)) for c in columns})

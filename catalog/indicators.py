@@ -6,7 +6,6 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from access_spark import config
 from access_spark.operators import cube, travel
 from access_spark.session import shared_dir
 from access_spark.sources import readers, tables

@@ -615,6 +615,38 @@ def _centroids(t: Tables):
     return out.withColumns({c: F.round(c, 6) for c in ("centroid_lat", "centroid_lon")})
 
 
+@query(
+    "centroids_applied",
+    with_views(
+        """WITH a AS (SELECT adm0_pcode AS iso, id_centro, lower(raw_adm1) AS a1, lower(raw_locality) AS l FROM {address}),
+        c AS (SELECT iso, lower(n_name) AS a1, 'loc ' || i AS l, y0 + i / 9e0 AS lat, x0 + i / 9e0 AS lon FROM {box}, (SELECT unnest([0, 1, 2, 3, 4, 5, 6, 7]) AS i))
+        SELECT s.adm0_pcode AS iso, s.id_centro, round(CASE WHEN s.latitud IS NULL THEN lat ELSE s.latitud END, 6) AS latitud,
+          round(CASE WHEN s.latitud IS NULL AND lat IS NOT NULL THEN lon ELSE s.longitud END, 6) AS longitud,
+          CASE WHEN s.latitud IS NULL AND lat IS NOT NULL THEN 'centroid_cascade' ELSE s.coordinate_source END AS coordinate_source,
+          CASE WHEN s.latitud IS NULL AND lat IS NOT NULL THEN 'ACCEPT_CENTROID' ELSE s.acceptance END AS acceptance
+        FROM {school} s LEFT JOIN a ON a.iso = s.adm0_pcode AND a.id_centro = s.id_centro LEFT JOIN c ON c.iso = a.iso AND c.a1 = a.a1 AND c.l = a.l"""
+    ),
+)
+def _centroids_applied(t: Tables):
+    """The whole registry with the matched centroids written in."""
+    registry = t.school.withColumnRenamed("adm0_pcode", "iso")
+    out = fill.apply_centroids(registry, _centroids(t))
+    return out.select("iso", "id_centro", *[F.round(c, 6).alias(c) for c in ("latitud", "longitud")], "coordinate_source", "acceptance")
+
+
+@query(
+    "answers_within_margin",
+    with_views(
+        """SELECT adm0_pcode AS iso, id_centro FROM {school} JOIN {country} ON iso = adm0_pcode
+        WHERE latitud BETWEEN lat_min - 1 AND lat_max + 1 AND longitud BETWEEN lon_min - 1 AND lon_max + 1"""
+    ),
+)
+def _within(t: Tables):
+    answers = t.school.select(F.col("adm0_pcode").alias("iso"), "id_centro", F.col("latitud").alias("lat"), F.col("longitud").alias("lon"))
+    boxes = t.country.select("iso", "lat_min", "lat_max", "lon_min", "lon_max")
+    return fill.within_margin(answers, boxes).select("iso", "id_centro")
+
+
 @query(
     "refreshed_compare",
     with_views(
