@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from access_spark import config
@@ -10,6 +12,9 @@ from access_spark.functions.geo import cell_area_km2
 from access_spark.functions.numeric import finite, percent, round_even
 from access_spark.session import cut_lineage
 
+TILE = 256  # side of the squares of cells in which components are found first
+WIDE = 1 << 31  # a cell's number is its row times this, plus its column
+
 
 def block_sum(raster: DataFrame, block: int, rows: Column | None = None, cols: Column | None = None) -> DataFrame:
     """Fine cells summed into blocks; missing values count as zero and so does a negative
@@ -29,45 +34,47 @@ def block_sum(raster: DataFrame, block: int, rows: Column | None = None, cols: C
     return sums.withColumn("value", F.greatest(F.col("value"), F.lit(0.0)))
 
 
-def row_runs(cells: DataFrame) -> DataFrame:
-    """Runs of touching cells in a row, the nodes of the settlement graph.
+def _labelled_tile(cells: pd.DataFrame) -> pd.DataFrame:
+    """Cells of one tile with the smallest cell number of those that hang together in it.
 
-    A row's window holds at most one row of the raster, whose width is bounded.
+    Runs of touching cells in a row are the nodes; two runs of neighbouring rows touch,
+    corners included, if one starts no later than just past the end of the other. Roots hook
+    onto the smallest root they touch until nothing changes.
     """
-    along = Window.partitionBy("iso", "row").orderBy("col")
-    starts = F.coalesce((F.col("col") - F.lag("col").over(along)) != 1, F.lit(True))
-    first = F.last(F.when(F.col("_start"), F.col("col")), ignorenulls=True).over(
-        along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    return cells.withColumn("_start", starts).withColumn("run", first).drop("_start")
+    cells = cells.sort_values(["row", "col"], ignore_index=True)
+    row, col = cells["row"].to_numpy(), cells["col"].to_numpy()
+    first = np.ones(len(cells), bool)
+    first[1:] = (np.diff(row) != 0) | (np.diff(col) > 1)
+    starts = np.flatnonzero(first)
+    ends = np.append(starts[1:], len(cells)) - 1
+    stride = 2 * TILE  # wider than a tile and the columns just past it
+    line, base = row - row[0], col.min() - 1
+    start_key, end_key = line[starts] * stride + col[starts] - base, line[ends] * stride + col[ends] - base
+    low = np.searchsorted(end_key, start_key + stride - 1)
+    counts = np.maximum(np.searchsorted(start_key, end_key + stride + 1, side="right") - low, 0)
+    upper = np.repeat(np.arange(len(starts)), counts)
+    lower = np.repeat(low - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+    root = np.arange(len(starts))
+    while True:
+        least, before = np.minimum(root[upper], root[lower]), root
+        root = before.copy()
+        np.minimum.at(root, before[upper], least)
+        np.minimum.at(root, before[lower], least)
+        while not np.array_equal(root, root[root]):
+            root = root[root]
+        if np.array_equal(root, before):
+            break
+    number = row[starts] * WIDE + col[starts]
+    return cells[["iso", "row", "col"]].assign(label=number[root][np.cumsum(first) - 1])
 
 
-def connected_runs(runs: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """Component of every run: runs of neighbouring rows that touch, corners included.
+def smallest_reachable(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+    """The smallest node that each node of a graph (iso, a, b) reaches, as (iso, node, root).
 
     Alternates large-star and small-star steps (Kiveris et al., 2014): each step points
     nodes at the smallest neighbour, and the number of steps grows with the logarithm of
-    the graph, not with the length of a component. Adds `component`, the smallest node of
-    the component; node ids order by (row, first column).
+    the graph, not with the length of a component.
     """
-    wide = F.lit(1 << 31)
-    spans = runs.groupBy("iso", "row", "run").agg(F.max("col").alias("end")).select(
-        "iso", "row", "run", "end", (F.col("row") * wide + F.col("run")).alias("node")
-    )
-    spans = cut_lineage(spans)
-    # a run looks at the columns just past its ends in the next row; equal columns make
-    # the join an equi-join on (iso, row, col)
-    below = runs.select("iso", "row", "run", "col")
-    reach = runs.select(
-        "iso", (F.col("row") + 1).alias("row"), F.col("run").alias("upper"),
-        F.explode(F.array(F.col("col") - 1, F.col("col"), F.col("col") + 1)).alias("col"),
-    )
-    edges = reach.join(below, ["iso", "row", "col"]).select(
-        "iso",
-        ((F.col("row") - 1) * wide + F.col("upper")).alias("a"),
-        (F.col("row") * wide + F.col("run")).alias("b"),
-    ).distinct()
-    edges = cut_lineage(edges)
     for _ in range(max_rounds):
         both = edges.select("iso", "a", "b").union(edges.select("iso", F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("iso", "a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
@@ -75,31 +82,42 @@ def connected_runs(runs: DataFrame, max_rounds: int = 60) -> DataFrame:
             both.filter("b > a").join(low, ["iso", "a"])
             .select("iso", F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
         )
-        large = cut_lineage(large)
         down = large.select("iso", F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         least = down.groupBy("iso", "a").agg(F.min("b").alias("m"))
         small = (
             down.join(least, ["iso", "a"]).select("iso", F.col("b").alias("a"), F.col("m").alias("b"))
             .union(least.select("iso", "a", F.col("m").alias("b"))).filter("a <> b").distinct()
         )
-        small = cut_lineage(small)
+        edges = cut_lineage(small)
         # finished when every node hangs directly on its smallest node
-        chained = small.join(small.select("iso", F.col("a").alias("b")).distinct(), ["iso", "b"], "left_semi")
-        edges = small
+        chained = edges.join(edges.select("iso", F.col("a").alias("b")).distinct(), ["iso", "b"], "left_semi")
         if chained.isEmpty():
-            break
-    else:
-        raise RuntimeError("settlement labelling did not settle")
-    roots = edges.groupBy("iso", F.col("a").alias("node")).agg(F.min("b").alias("root"))
-    return spans.join(roots, ["iso", "node"], "left").select(
-        "iso", "row", "run", F.coalesce("root", "node").alias("component")
-    )
+            return edges.groupBy("iso", F.col("a").alias("node")).agg(F.min("b").alias("root"))
+    raise RuntimeError("settlement labelling did not settle")
 
 
 def dense_components(cells: DataFrame) -> DataFrame:
-    """Cells (iso, row, col) with the component of touching cells they belong to."""
-    runs = cut_lineage(row_runs(cells.select("iso", "row", "col")))
-    return runs.join(connected_runs(runs), ["iso", "row", "run"]).select("iso", "row", "col", "component")
+    """Cells (iso, row, col) with the component of touching cells they belong to, corners
+    included; `component` numbers its smallest cell, in the order (row, col).
+
+    Components are found inside tiles first, each tile in one task. Only cells on tile
+    borders then look across, and only labels that meet there are joined to components.
+    """
+    tile = [F.floor(F.col(c) / TILE).alias(f"_{c}") for c in ("row", "col")]
+    places = cells.select("iso", F.col("row").cast("bigint").alias("row"), F.col("col").cast("bigint").alias("col")).na.drop(subset=["row", "col"])
+    types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in places.schema)
+    labelled = cut_lineage(places.groupBy("iso", *tile).applyInPandas(_labelled_tile, f"{types}, label bigint"))
+    at_border = F.pmod("row", F.lit(TILE)).isin(0, TILE - 1) | F.pmod("col", F.lit(TILE)).isin(0, TILE - 1)
+    border = labelled.filter(at_border)
+    back = F.array(*[F.struct(F.lit(r).alias("r"), F.lit(c).alias("c")) for r, c in ((-1, -1), (-1, 0), (-1, 1), (0, -1))])
+    looks = border.select("iso", "row", "col", F.col("label").alias("a"), F.explode(back).alias("d")).select(
+        "iso", (F.col("row") + F.col("d.r")).alias("row"), (F.col("col") + F.col("d.c")).alias("col"), "a"
+    )
+    edges = looks.join(border.withColumnRenamed("label", "b"), ["iso", "row", "col"]).filter("a <> b").select("iso", "a", "b").distinct()
+    roots = smallest_reachable(cut_lineage(edges))
+    return labelled.join(roots.withColumnRenamed("node", "label"), ["iso", "label"], "left").select(
+        "iso", "row", "col", F.coalesce("root", "label").alias("component")
+    )
 
 
 def classify_area(grid: DataFrame, pitch: float = config.GRID_PITCH) -> DataFrame:

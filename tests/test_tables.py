@@ -365,6 +365,23 @@ def test_settlements_against_flood_fill(spark):
     assert all(len(g) == 1 for g in groups.values()) and len({next(iter(g)) for g in groups.values()}) == len(groups)
 
 
+def test_settlements_across_tiles(spark):
+    side = 2 * settlements.TILE
+    snake = {(r, c) for r in range(-20, 21, 4) for c in range(-3, side)}  # through three columns of tiles
+    snake |= {(r + d, side - 1 if i % 2 else -3) for i, r in enumerate(range(-20, 20, 4)) for d in (1, 2, 3)}
+    corner = {(side - 1, side - 1), (side, side)}  # two tiles that meet in a corner
+    other = {(side - 1, side + 1), (side - 2, side + 2), (100, 7), (102, 7)}
+    rows = [("T", r, c) for r, c in snake | corner | other] + [("U", 5, 5), ("U", None, 3)]
+    df = spark.createDataFrame(rows, "iso string, row bigint, col bigint")
+    got = {(r["iso"], r["row"], r["col"]): r["component"] for r in settlements.dense_components(df).collect()}
+    number = lambda r, c: r * settlements.WIDE + c
+    want = {("T", *cell): number(-20, -3) for cell in snake}
+    want |= {("T", *cell): number(side - 2, side + 2) for cell in corner | {(side - 1, side + 1), (side - 2, side + 2)}}
+    want |= {("T", 100, 7): number(100, 7), ("T", 102, 7): number(102, 7), ("U", 5, 5): number(5, 5)}
+    assert got == want
+    assert settlements.dense_components(df.limit(0)).count() == 0
+
+
 def test_least_cost_uniform(spark):
     cells = spark.createDataFrame([("T", r, c, 0.01) for r in range(7) for c in range(7)], "iso string, row bigint, col bigint, value double")
     source = spark.createDataFrame([("T", 3, 3)], "iso string, row bigint, col bigint")
