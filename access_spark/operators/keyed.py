@@ -79,23 +79,12 @@ def _count_below(cuts: str, ends: str, value: Column, block: int) -> Column:
     return blocks * block + F.size(F.filter(rest, lambda c: c < value))
 
 
-def running_total(
-    df: DataFrame,
-    group: Sequence[str],
-    value: str,
-    tie: str,
-    weight: Column,
-    name: str,
-    slices: int | None = None,
-) -> DataFrame:
-    """Running sum of `weight` in the order (value, tie) inside each group.
+def ordered_slices(df: DataFrame, group: Sequence[str], value: str, tie: str, slices: int | None = None) -> DataFrame:
+    """Rows with the slice of their group that they belong to, in the order of `value`.
 
-    Adds `name` (running sum including the row), `<name>_total` (group sum).
-    A group may hold any share of the table: its rows are cut into ordered slices at
-    approximate quantiles of `value` (and of `tie` for rows that equal a cut point, so
-    one repeated value is split as well). The slice of a row depends only on the row and
-    the cut points, the sums are exact, and only slice sums cross slice borders.
-    `value` and `tie` are numeric and not null, (value, tie) is unique in a group.
+    Cuts are approximate quantiles. Odd slices hold one value, equal to a cut; they are
+    split by `tie` into parts, so a value may hold any share of the rows. Adds `_slice`,
+    `_part` and the group's size `_group_rows`.
     """
     slices = slices or parallelism(df.sparkSession)
     block = max(2, math.isqrt(slices))
@@ -105,18 +94,40 @@ def running_total(
     cuts = df.groupBy(*group).agg(
         F.array_distinct(F.percentile_approx(value, probs, accuracy)).alias("_cuts"),
         F.percentile_approx(tie, probs, accuracy).alias("_tie_cuts"),
+        F.count(F.lit(1)).alias("_group_rows"),
     )
     cuts = cuts.withColumns({"_ends": _block_ends("_cuts", block), "_tie_ends": _block_ends("_tie_cuts", block)})
     rows = df.join(cuts, group)
     rows = rows.withColumn("_below", _count_below("_cuts", "_ends", F.col(value), block))
     at_cut = F.coalesce(F.get("_cuts", F.col("_below")) == F.col(value), F.lit(False))
-    rows = rows.withColumns(
+    return rows.withColumns(
         {
             "_slice": 2 * F.col("_below") + at_cut.cast("int"),
             "_part": F.when(at_cut, _count_below("_tie_cuts", "_tie_ends", F.col(tie), block)).otherwise(0),
-            "_weight": weight,
         }
     ).drop("_cuts", "_tie_cuts", "_ends", "_tie_ends", "_below")
+
+
+def running_total(
+    df: DataFrame,
+    group: Sequence[str],
+    value: str,
+    tie: str,
+    weight: Column,
+    name: str,
+    slices: int | None = None,
+) -> DataFrame:
+    """Running sum of `weight` in the order (value, tie) inside each group.
+
+    Adds `name` (running sum including the row), `<name>_total` (group sum).
+    A group may hold any share of the table: its rows are cut into ordered slices at
+    approximate quantiles of `value` (and of `tie` for rows that equal a cut point, so
+    one repeated value is split as well). The slice of a row depends only on the row and
+    the cut points, the sums are exact, and only slice sums cross slice borders.
+    `value` and `tie` are numeric and not null, (value, tie) is unique in a group.
+    """
+    group = list(group)
+    rows = ordered_slices(df, group, value, tie, slices).drop("_group_rows").withColumn("_weight", weight)
     sums = rows.groupBy(*group, "_slice", "_part").agg(F.sum("_weight").alias("_sum"))
     # one row per slice: bounded by the number of slices, whatever the group size
     across = Window.partitionBy(*group).orderBy("_slice", "_part")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from access_spark.operators import spatial, study
+from access_spark.operators.bootstrap import bootstrap_interval
 from access_spark.session import cut_lineage
 
 MIN_TILES = 5
@@ -48,6 +49,6 @@ def correlation_tests(
     keys = ["iso", "target"]
     return (
         study.correlations(rows, keys, "weighted_mean", "rate")
-        .join(study.bootstrap_interval(rows, keys, "weighted_mean", "rate", draws, seed), keys, "left")
+        .join(bootstrap_interval(rows, keys, "weighted_mean", "rate", draws, seed), keys, "left")
         .join(study.decile_agreement(rows, keys, "weighted_mean", "rate"), keys, "left")
     )

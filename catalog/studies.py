@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from access_spark.operators import spatial, study
+from access_spark.operators import bootstrap, spatial, study
 from access_spark.plans import study as plan
 from catalog.domain import Tables, with_views
 from catalog.registry import query
@@ -94,7 +94,7 @@ DRAWS = """
       sum(w) OVER (PARTITION BY iso, draw ORDER BY y) - (sum(w) OVER (PARTITION BY iso, draw, y) - 1) / 2e0 AS c FROM ws WHERE w > 0),
     sm AS (SELECT iso, draw, sum(w) AS sw, sum(w * a) AS sa, sum(w * c) AS sc, sum(w * a * c) AS sac, sum(w * a * a) AS saa, sum(w * c * c) AS scc FROM rk GROUP BY ALL),
     rh AS (SELECT iso, CASE WHEN saa - sa * sa / sw > 0 AND scc - sc * sc / sw > 0 THEN (sac - sa * sc / sw) / sqrt((saa - sa * sa / sw) * (scc - sc * sc / sw)) END AS rho FROM sm)""".replace(
-    "@BORDERS@", str(study.poisson_borders())
+    "@BORDERS@", str(bootstrap.poisson_borders())
 )
 
 
@@ -104,7 +104,7 @@ DRAWS = """
 )
 def _bootstrap(t: Tables):
     """Percentile interval of 1,000 resampled correlations."""
-    out = study.bootstrap_interval(pairs(t), ["iso"], "wealth", "poverty")
+    out = bootstrap.bootstrap_interval(pairs(t), ["iso"], "wealth", "poverty")
     return out.select("iso", F.round("spearman_ci_lo", 6).alias("spearman_ci_lo"), F.round("spearman_ci_hi", 6).alias("spearman_ci_hi"))
 
 

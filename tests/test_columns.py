@@ -212,8 +212,8 @@ def test_p_values(spark):
 
 
 def test_poisson_borders_reach_the_end():
-    from access_spark.operators import study
+    from access_spark.operators.bootstrap import poisson_borders
 
-    borders = study.poisson_borders()
+    borders = poisson_borders()
     assert borders == sorted(set(borders)) and len(borders) > 10
     assert abs(borders[0] / 2**40 - 0.36787944) < 1e-8 and borders[-1] < 2**40
