@@ -41,13 +41,20 @@ def average_ranks(df: DataFrame, group: Sequence[str], value: str, name: str) ->
     return df.join(ranked, [*keys, value], "left")
 
 
+def correlation(x: str, y: str) -> Column:
+    """Aggregate: Pearson correlation, null where a side has no spread (`corr` would fail on it)."""
+    spread = F.nullif(F.stddev_pop(x) * F.stddev_pop(y), F.lit(0.0))
+    return F.when(spread.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.covar_pop(x, y) / spread)))
+
+
 def correlations(df: DataFrame, group: Sequence[str], x: str, y: str) -> DataFrame:
-    """Spearman and Pearson correlation per group over rows with both values."""
+    """Spearman and Pearson correlation per group over rows with both values; null, like its
+    p-value, where one of them is the same in all rows."""
     keys = list(group)
     rows = df.select(*keys, finite(F.col(x)).alias("_x"), finite(F.col(y)).alias("_y")).filter("_x IS NOT NULL AND _y IS NOT NULL")
     ranked = average_ranks(average_ranks(rows, keys, "_x", "_rx"), keys, "_y", "_ry")
     return ranked.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.corr("_rx", "_ry").alias("spearman_rho"), F.corr("_x", "_y").alias("pearson_r")
+        F.count(F.lit(1)).alias("n"), correlation("_rx", "_ry").alias("spearman_rho"), correlation("_x", "_y").alias("pearson_r")
     ).filter("n >= 2").withColumns(
         {"spearman_p": correlation_p_value(F.col("spearman_rho"), F.col("n")), "pearson_p": correlation_p_value(F.col("pearson_r"), F.col("n"))}
     )

@@ -108,11 +108,63 @@ def _bootstrap(t: Tables):
     return out.select("iso", F.round("spearman_ci_lo", 6).alias("spearman_ci_lo"), F.round("spearman_ci_hi", 6).alias("spearman_ci_hi"))
 
 
-@query("correlation_tests")
+# over pr (iso with target, k, w, p): the tail of Student's t by its finite sums, from logarithms of factorials
+TESTED = f"""
+    {DRAWS.strip()},
+    ci AS (SELECT iso, quantile_cont(rho, 0.025) AS lo, quantile_cont(rho, 0.975) AS hi FROM rh GROUP BY 1),
+    rr AS (SELECT *, (rank() OVER (PARTITION BY iso ORDER BY w) + count(*) OVER (PARTITION BY iso, w) / 2.0 - 0.5) AS rw, (rank() OVER (PARTITION BY iso ORDER BY p) + count(*) OVER (PARTITION BY iso, p) / 2.0 - 0.5) AS rp FROM pr),
+    co AS (SELECT iso, count(*) AS n, CASE WHEN min(w) < max(w) AND min(p) < max(p) THEN corr(rw, rp) END AS a, CASE WHEN min(w) < max(w) AND min(p) < max(p) THEN corr(w, p) END AS b FROM rr GROUP BY 1 HAVING count(*) >= 2),
+    qe AS (SELECT iso, list_distinct(quantile_cont(w, [0, .1, .2, .3, .4, .5, .6, .7, .8, .9, 1])) AS ew, list_distinct(quantile_cont(p, [0, .1, .2, .3, .4, .5, .6, .7, .8, .9, 1])) AS ep FROM pr GROUP BY 1),
+    qd AS (SELECT iso, abs(11 - greatest(len(list_filter(ew, lambda z: z < w)), 1) - greatest(len(list_filter(ep, lambda z: z < p)), 1)) AS gap FROM pr JOIN qe USING (iso)),
+    ag AS (SELECT iso, avg(cast(gap = 0 AS int)) AS same, avg(cast(gap <= 1 AS int)) AS near FROM qd GROUP BY 1),
+    tl AS (SELECT iso, side, n - 2 AS df, abs(CASE side WHEN 'a' THEN a ELSE b END) AS r FROM co, (SELECT unnest(['a', 'b']) AS side)),
+    pv AS (SELECT iso, side, CASE WHEN df >= 1 AND r IS NOT NULL THEN greatest(0, 1 - CASE WHEN df % 2 = 0
+        THEN r * coalesce(list_sum(list_transform(range(0, df // 2), lambda j: exp(lgamma(2 * j + 1) - 2 * lgamma(j + 1) - j * ln(4)) * pow(greatest(1 - r * r, 0), j))), 0)
+        ELSE 2 / pi() * (asin(least(r, 1)) + r * sqrt(greatest(1 - r * r, 0)) * coalesce(list_sum(list_transform(range(0, (df - 1) // 2), lambda j: exp(j * ln(4) + 2 * lgamma(j + 1) - lgamma(2 * j + 2)) * pow(greatest(1 - r * r, 0), j))), 0)) END) END AS tail FROM tl)
+    SELECT split_part(co.iso, '|', 1) AS iso, split_part(co.iso, '|', 2) AS target, n, round(a, 6) AS spearman_rho, round(b, 6) AS pearson_r, round(x.tail, 6) AS spearman_p, round(y.tail, 6) AS pearson_p,
+      round(lo, 6) AS spearman_ci_lo, round(hi, 6) AS spearman_ci_hi, round(same, 6) AS decile_exact_match, round(near, 6) AS decile_within_one
+    FROM co JOIN pv x ON x.iso = co.iso AND x.side = 'a' JOIN pv y ON y.iso = co.iso AND y.side = 'b' LEFT JOIN ci ON ci.iso = co.iso LEFT JOIN ag ON ag.iso = co.iso"""
+
+TARGETS = """pr AS (SELECT iso || '|POVERTY_RATE' AS iso, k, w, poverty_rate::double AS p FROM tested WHERE poverty_rate IS NOT NULL
+      UNION ALL SELECT iso || '|NBI_RATE', k, w, nbi_rate::double FROM tested WHERE nbi_rate IS NOT NULL)"""
+
+
+def _rounded_tests(tests):
+    return tests.select("iso", "target", "n", *[F.round(c, 6).alias(c) for c in tests.columns if c not in ("iso", "target", "n")])
+
+
+@query(
+    "correlation_tests",
+    with_views(
+        "WITH " + UNITS.strip() + f""",
+    tested AS (SELECT m.iso, unit AS k, mean AS w, poverty_rate, nbi_rate FROM m JOIN {{poverty}} ON {{poverty}}.iso = m.iso AND adm2_pcode = unit WHERE n >= 5 AND sw > 0),
+    {TARGETS}, {TESTED.strip()}"""
+    ),
+)
 def _tests(t: Tables):
-    """The study's test table on the units of every country (interval as above)."""
-    out = plan.correlation_tests(units_of(t), t.poverty)
-    return out.select("iso", "target", "n", *[F.round(c, 6).alias(c) for c in out.columns if c not in ("iso", "target", "n")])
+    """The study's test table on the units of every country, interval included."""
+    return _rounded_tests(plan.correlation_tests(units_of(t), t.poverty))
+
+
+@query(
+    "correlation_tests_many_units",
+    f"""WITH tested AS (SELECT p_brand AS iso, 'U' || p_partkey AS k, p_size::double AS w, CASE WHEN p_partkey % 7 <> 0 THEN (p_partkey * 31 % 83) - p_size * 1.5e0 END AS poverty_rate,
+      CASE WHEN p_partkey % 3 = 0 THEN p_partkey * 17 % 61 END AS nbi_rate FROM part WHERE p_partkey % 12 >= 5 AND p_partkey % 17 <> 0),
+    {TARGETS}, {TESTED.strip()}""",
+)
+def _many_units(t: Tables):
+    """The same table where a country has many units: some too small or without people."""
+    k = F.col("p_partkey")
+    unit = F.concat(F.lit("U"), k.cast("string")).alias("adm2_pcode")
+    units = t.part.select(
+        F.col("p_brand").alias("iso"), unit, (k % 12).alias("n_cells"), F.when(k % 17 != 0, F.col("p_retailprice")).otherwise(0.0).alias("pop_total"),
+        F.col("p_size").cast("double").alias("weighted_mean"),
+    )
+    poverty = t.part.select(
+        F.col("p_brand").alias("iso"), unit, F.when(k % 7 != 0, (k * 31 % 83) - F.col("p_size") * 1.5).alias("poverty_rate"),
+        F.when(k % 3 == 0, k * 17 % 61).alias("nbi_rate"),
+    )
+    return _rounded_tests(plan.correlation_tests(units, poverty))
 
 
 @query(

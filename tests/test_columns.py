@@ -217,3 +217,13 @@ def test_poisson_borders_reach_the_end():
     borders = poisson_borders()
     assert borders == sorted(set(borders)) and len(borders) > 10
     assert abs(borders[0] / 2**40 - 0.36787944) < 1e-8 and borders[-1] < 2**40
+
+
+def test_correlation_without_spread_is_null(spark):
+    from access_spark.operators import study
+
+    rows = [("flat", 1.0, float(i)) for i in range(4)] + [("even", float(i), 2.0 * i) for i in range(4)] + [("one", 1.0, 1.0)]
+    out = study.correlations(spark.createDataFrame(rows, "g string, x double, y double"), ["g"], "x", "y").collect()
+    got = {r.g: (r.n, r.spearman_rho, r.pearson_r, r.spearman_p) for r in out}
+    assert got["flat"] == (4, None, None, None) and set(got) == {"flat", "even"}
+    assert all(abs(v - w) < 1e-12 for v, w in zip(got["even"], (4, 1.0, 1.0, 0.0)))
