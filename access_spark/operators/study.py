@@ -64,7 +64,7 @@ def correlation_p_value(r: Column, n: Column) -> Column:
     """Two-sided p-value of a correlation of n pairs by Student's t with n - 2 degrees.
 
     The tail is the regularised incomplete beta function, as a finite sum for whole degrees;
-    null below 3 pairs, 0 for a perfect correlation.
+    null below 3 pairs or without a correlation, 0 for a perfect one.
     """
     df = n - 2
     x = 1 - r * r  # cos^2 of the angle whose tangent is t / sqrt(df)
@@ -84,7 +84,7 @@ def correlation_p_value(r: Column, n: Column) -> Column:
     inside_even = F.abs(r) * total
     inside_odd = 2.0 / 3.141592653589793 * (angle + F.when(df > 1, F.abs(r) * F.sqrt(x) * total).otherwise(0.0))
     inside = F.when(odd_degrees, inside_odd).otherwise(inside_even)
-    return F.when(df >= 1, F.greatest(1.0 - inside, F.lit(0.0)))
+    return F.when((df >= 1) & r.isNotNull(), F.greatest(1.0 - inside, F.lit(0.0)))
 
 
 def with_decile(df: DataFrame, group: Sequence[str], value: str, name: str, buckets: int = 10) -> DataFrame:
