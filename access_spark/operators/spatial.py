@@ -9,8 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from access_spark.functions.geo import haversine_km, lattice_index
 from access_spark.functions.numeric import finite
@@ -19,6 +23,8 @@ from access_spark.session import cut_lineage
 
 CELL_DEGREES = 0.25
 POLYGON = ("adm0_pcode", "level", "pcode")
+Distance = Callable[..., np.ndarray]  # of x, y and the coordinates of items
+Reduce = Callable[[np.ndarray, np.ndarray, pa.Table, np.ndarray], dict]  # of x, y, items and the places of the nearest
 
 
 def _cell(value: Column, size: float) -> Column:
@@ -184,29 +190,143 @@ def distance_to_boundary(
 
 # ---- nearest items -----------------------------------------------------------------------
 
+FAN_BITS = 6  # 64 neighbouring items are a leaf, 64 leaves a node of the next level, and so on
+BLOCK_BITS = (10, 5, 0)  # 1,024 neighbouring queries are a block; one that meets too much is cut
+WIDE = 200_000  # items that a block of queries may meet
+TOGETHER, MATRIX = 64, 1 << 20  # queries compared at once, and distances held at once
 
-def _rect_distances(edge: float, origin: tuple[float, float]) -> tuple[Column, Column]:
-    """Smallest and largest distance between a query cell and the box of a node."""
-    slack = edge * 1e-9
-    bounds = []
-    for i, axis in enumerate(("x", "y")):
-        low = F.col(f"q{axis}") * edge + (origin[i] - slack)
-        high = (F.col(f"q{axis}") + 1) * edge + (origin[i] + slack)
-        gap = F.greatest(F.lit(0.0), F.col(f"{axis}1") - high, low - F.col(f"{axis}2"))
-        far = F.greatest(F.abs(F.col(f"{axis}2") - low), F.abs(high - F.col(f"{axis}1")))
-        bounds.append((gap, far))
-    (gx, fx), (gy, fy) = bounds
-    return F.sqrt(gx * gx + gy * gy), F.sqrt(fx * fx + fy * fy)
-
-
-def _extent(df: DataFrame, xs: Sequence[str], ys: Sequence[str]):
-    row = df.agg(
-        F.min(F.least(*map(F.col, xs))) if len(xs) > 1 else F.min(xs[0]),
-        F.max(F.greatest(*map(F.col, xs))) if len(xs) > 1 else F.max(xs[0]),
-        F.min(F.least(*map(F.col, ys))) if len(ys) > 1 else F.min(ys[0]),
-        F.max(F.greatest(*map(F.col, ys))) if len(ys) > 1 else F.max(ys[0]),
+
+def _extent(df: DataFrame, xs: Sequence[str], ys: Sequence[str], *more: Column):
+    return df.agg(
+        *[pick(F.col(c)) for names in (xs, ys) for pick, c in ((F.min, names[0]), (F.max, names[-1]))], *more
     ).first()
-    return None if row[0] is None else tuple(float(v) for v in row)
+
+
+def _on_curve(rows: DataFrame, lead: Sequence[str], x: str, y: str, tie: str, start: tuple[float, float], span: float) -> DataFrame:
+    """Rows numbered (`_at`) along a Z curve inside each value of `lead`, written once: rows of
+    neighbouring numbers lie close to each other, however crowded a spot is."""
+    bits = 24
+    codes = {
+        name: F.least(F.floor((F.col(c) - low) / span * (1 << bits)).cast("bigint"), F.lit((1 << bits) - 1))
+        for name, c, low in (("_cx", x, start[0]), ("_cy", y, start[1]))
+    }
+    curve = sum(
+        F.shiftleft(F.shiftright(c, i).bitwiseAND(F.lit(1).cast("bigint")), 2 * i + odd)
+        for i in range(bits) for odd, c in enumerate(("_cy", "_cx"))
+    )
+    order = [*lead, "_z", tie]
+    placed = rows.withColumns(codes).withColumn("_z", curve).repartitionByRange(*order).sortWithinPartitions(*order)
+    return cut_lineage(placed.withColumn("_at", F.monotonically_increasing_id()).drop("_cx", "_cy", "_z"))
+
+
+def _near_boxes(pairs: DataFrame, k: int, key: Sequence[str], owner: str | None) -> DataFrame:
+    """Pairs of a block of queries and a box of items without the boxes that cannot matter.
+
+    Whether one place is nearer than another is linear in the query, so what holds at the
+    four corners of a block holds inside. A box goes if at every corner it is farther than
+    the farthest point of boxes that hold k items (or items of k owners): those that are
+    nearest to the middle of the block.
+    """
+
+    def gap(axis: str, at: Column) -> Column:
+        return F.greatest(F.lit(0.0), F.col(f"{axis}1") - at, at - F.col(f"{axis}2"))
+
+    def reach(axis: str, at: Column) -> Column:
+        return F.greatest(F.abs(F.col(f"{axis}1") - at), F.abs(F.col(f"{axis}2") - at))
+
+    corners = [(F.col(cx), F.col(cy)) for cx in ("qx1", "qx2") for cy in ("qy1", "qy2")]
+    square = lambda a, b: a * a + b * b
+    middle = [(F.col(f"q{a}1") + F.col(f"q{a}2")) / 2.0 for a in "xy"]
+    measured = pairs.withColumn("_mid", square(reach("x", middle[0]), reach("y", middle[1])))
+    counted = F.col("n")
+    if owner:
+        once = F.row_number().over(Window.partitionBy(*key, owner).orderBy("_mid", "node"))
+        measured, counted = measured.withColumn("_own", once), F.when(F.col("_own") == 1, 1).otherwise(0)
+    by = Window.partitionBy(*key)
+    before = F.sum(counted).over(by.orderBy("_mid", "node", *([owner] if owner else [])).rowsBetween(Window.unboundedPreceding, -1))
+    measured = measured.withColumn("_sure", (F.coalesce(before, F.lit(0)) < k) & (counted > 0))
+    farthest = [F.max(F.when(F.col("_sure"), square(reach("x", cx), reach("y", cy)))).over(by) for cx, cy in corners]
+    measured = measured.withColumns({f"_r{i}": far for i, far in enumerate(farthest)})
+    close = [square(gap("x", cx), gap("y", cy)) <= F.col(f"_r{i}") * (1 + 1e-9) for i, (cx, cy) in enumerate(corners)]
+    kept = measured.filter(close[0] | close[1] | close[2] | close[3])
+    return kept.drop("_mid", "_own", "_sure", *[f"_r{i}" for i in range(4)])
+
+
+def _possible(x: np.ndarray, y: np.ndarray, boxes: list[np.ndarray], k: int, owners: np.ndarray | None) -> np.ndarray:
+    """`_near_boxes` for some queries and single items: places of those that can be among the k nearest."""
+    x1, y1, x2, y2 = boxes
+    if len(x1) <= 2 * k:
+        return np.arange(len(x1))
+    left, right, low, high = x.min(), x.max(), y.min(), y.max()
+
+    def far(cx: float, cy: float, of: np.ndarray | slice) -> np.ndarray:
+        fx = np.maximum(np.abs(x1[of] - cx), np.abs(x2[of] - cx))
+        fy = np.maximum(np.abs(y1[of] - cy), np.abs(y2[of] - cy))
+        return fx * fx + fy * fy
+
+    middle = far((left + right) / 2, (low + high) / 2, slice(None))
+    least = middle
+    if owners is not None:
+        least = np.full(owners.max() + 1, np.inf)
+        np.minimum.at(least, owners, middle)
+    sure = np.flatnonzero(middle <= np.partition(least, min(k, len(least)) - 1)[min(k, len(least)) - 1])
+    keep = np.zeros(len(x1), bool)
+    for cx in (left, right):
+        gx = np.maximum(0.0, np.maximum(x1 - cx, cx - x2))
+        for cy in (low, high):
+            gy = np.maximum(0.0, np.maximum(y1 - cy, cy - y2))
+            keep |= gx * gx + gy * gy <= far(cx, cy, sure).max() * (1 + 1e-9)
+    return np.flatnonzero(keep)
+
+
+def _best(d2: np.ndarray, k: int, owners: np.ndarray | None) -> np.ndarray:
+    """Places of the k smallest of each row, the earlier one of equal ones; of an owner once."""
+    if owners is not None:
+        rows = []
+        for ordered in np.argsort(d2, axis=1, kind="stable"):
+            rows.append(ordered[np.sort(np.unique(owners[ordered], return_index=True)[1])[:k]])
+        return np.stack(rows)
+    if k == 1:
+        return d2.argmin(axis=1)[:, None]
+    if d2.shape[1] > 2 * k:
+        border = np.partition(d2, k - 1, axis=1)[:, k - 1 : k]
+        columns = np.flatnonzero((d2 <= border).any(axis=0))
+        return columns[np.argsort(d2[:, columns], axis=1, kind="stable")[:, :k]]
+    return np.argsort(d2, axis=1, kind="stable")[:, :k]
+
+
+def _block_search(k: int, lead: list[str], columns: list[str], order: str, shape: Sequence[str], distance2: Distance, owner: str | None, reduce: Reduce | None):
+    """The k nearest of every query of a block, among the items that the block meets."""
+
+    def run(queries: pa.Table, items: pa.Table) -> pa.Table:
+        queries = queries.sort_by("_at")
+        items = items.take(pc.sort_indices(items, sort_keys=[(order, "ascending")], null_placement="at_start"))
+        x, y = (queries[c].to_numpy() for c in ("x", "y"))
+        ends = [items[c].to_numpy() for c in shape]
+        boxes = [np.minimum(ends[0], ends[2]), np.minimum(ends[1], ends[3]), np.maximum(ends[0], ends[2]), np.maximum(ends[1], ends[3])]
+        owners = items[owner].combine_chunks().dictionary_encode().indices.to_numpy() if owner else None
+        found, distances = [np.zeros((0, 0), np.int64)], [np.zeros((0, 0))]
+        todo = [(a, min(a + TOGETHER, len(x))) for a in reversed(range(0, len(x), TOGETHER))] if len(items) else []
+        while todo:
+            a, b = todo.pop()
+            some = _possible(x[a:b], y[a:b], boxes, k, owners)
+            if b - a > 1 and (b - a) * len(some) > MATRIX:
+                todo += [((a + b) // 2, b), (a, (a + b) // 2)]
+                continue
+            d2 = distance2(x[a:b, None], y[a:b, None], *[e[some] for e in ends])
+            best = _best(d2, k, None if owners is None else owners[some])
+            found.append(some[best])
+            distances.append(np.take_along_axis(d2, best, axis=1))
+        place, d2 = (np.concatenate(p[min(1, len(p) - 1):]) for p in (found, distances))
+        if reduce:
+            own = {c: queries[c].slice(0, len(place)) for c in lead}
+            return pa.table(own | reduce(x[: len(place)], y[: len(place)], items, place))
+        row = np.repeat(np.arange(len(place)), place.shape[1])
+        out = {c: queries[c].take(pa.array(row)) for c in lead} | {c: items[c].take(pa.array(place.reshape(-1))) for c in columns}
+        rank = np.tile(np.arange(1, place.shape[1] + 1, dtype=np.int32), len(place))
+        return pa.table(out | {"d2": pa.array(d2.reshape(-1), pa.float64()), "rank": pa.array(rank, pa.int32())})
+
+    return run
 
 
 def nearest_items(
@@ -217,156 +337,98 @@ def nearest_items(
     query_key: str,
     item_columns: Sequence[str],
     order: str,
-    distance2: Callable[[], Column],
+    shape: Sequence[str],
+    distance2: Distance,
     owner: str | None = None,
-    leaf: int | None = None,
-    depth: int = 24,
-    step: int = 2,
+    reduce: Reduce | None = None,
+    reduced: Sequence[StructField] = (),
 ) -> DataFrame:
-    """Exact k nearest items per query point, by a joint descent of two quadtrees.
+    """Exact k nearest items per query point: blocks of queries descend a tree of boxes of items.
 
     `queries` has (group, query_key, x, y). `items` has the group, `order` (tie rank), the
-    item columns and a bounding box x1, y1, x2, y2; `distance2` gives the squared distance
-    from the columns of both. With `owner`, items of one owner count once.
-
-    `step` levels at a time, cells of queries meet boxes of items. A box is dropped when k
-    items are certainly nearer to the whole query cell; a query cell is done when few
-    candidates are left. So work follows local density: a crowded spot is split further
-    instead of meeting everything, and no step pairs all rows of a group. Only cells and
-    boxes descend, with one written table a step; queries meet their candidates once, at the
-    level that finished their cell. Points that are null, NaN or infinite are on neither
-    side. The result is (group, query_key, item columns, d2, rank).
+    item columns and the coordinates `shape` names: both ends of a side, or a point twice;
+    `distance2` gives squared distances from arrays of both. With `owner`, items of one
+    owner count once.
+
+    Both sides are numbered along a curve; neighbouring numbers are a block of queries, a leaf
+    of items, a node of leaves and so on, so a crowded spot only means more blocks there.
+    Level by level a block drops the boxes that cannot matter to any of its queries, and meets
+    the items of the leaves that are left in one task; blocks that would meet too many are cut
+    into smaller ones, down to single queries. Blocks and boxes travel, never pairs of a query
+    and an item. Points that are null, NaN or infinite are on neither side. The result is
+    (group, query_key, item columns, d2, rank), or one row per query with the fields that
+    `reduce` makes of its nearest items.
     """
-    leaf = leaf or max(32, k)
-    whole = [finite(F.col(c)).isNotNull() for c in ("x", "y", "x1", "y1", "x2", "y2")]
-    queries = queries.filter(whole[0] & whole[1])
-    items = items.filter(whole[2] & whole[3] & whole[4] & whole[5])
-    q_ext, i_ext = _extent(queries, ["x"], ["y"]), _extent(items, ["x1", "x2"], ["y1", "y2"])
-    columns = [group, query_key, *item_columns, order]
-    if q_ext is None or i_ext is None:
-        empty = queries.join(items, group).limit(0)
-        return empty.select(*columns, F.lit(0.0).alias("d2"), F.lit(1).alias("rank"))
-    ox, oy = min(q_ext[0], i_ext[0]), min(q_ext[2], i_ext[2])
-    span = max(max(q_ext[1], i_ext[1]) - ox, max(q_ext[3], i_ext[3]) - oy) * (1 + 1e-9) or 1.0
-    cells = 1 << depth
-
-    def code(value: Column, start: float) -> Column:
-        return F.least(F.floor((value - start) / span * cells).cast("bigint"), F.lit(cells - 1))
-
-    def at(name: str, level: int) -> Column:
-        return F.shiftright(F.col(name), depth - level)
-
-    # both sides are read at every level, so their coded forms are written once
-    q = cut_lineage(queries.withColumns({"qcx": code(F.col("x"), ox), "qcy": code(F.col("y"), oy)}))
-    it = cut_lineage(
-        items.withColumns(
-            {
-                "ncx": code((F.col("x1") + F.col("x2")) / 2.0, ox),
-                "ncy": code((F.col("y1") + F.col("y2")) / 2.0, oy),
-            }
-        )
+    ends = list(dict.fromkeys(shape))
+    columns = list(dict.fromkeys([*item_columns, order]))
+    items = items.withColumns(
+        {f"{a}{i + 1}": pick(F.col(one), F.col(other)) for a, one, other in (("x", shape[0], shape[2]), ("y", shape[1], shape[3])) for i, pick in enumerate((F.least, F.greatest))}
     )
-    node = [group, "nx", "ny"] + ([owner] if owner else [])
+    whole = [finite(F.col(c)).isNotNull() for c in ("x", "y", "x1", "y1", "x2", "y2")]
+    queries = queries.filter(whole[0] & whole[1]).filter(F.col(group).isNotNull()).select(group, query_key, "x", "y")
+    items = items.filter(whole[2] & whole[3] & whole[4] & whole[5]).filter(F.col(group).isNotNull())
+    types = {f.name: f for f in [*items.schema, *queries.schema]}
+    lead = [group, query_key]
+    fields = list(reduced) if reduce else [*[types[c] for c in columns], StructField("d2", DoubleType()), StructField("rank", IntegerType())]
+    schema = StructType([*[types[c] for c in lead], *fields])
+    sizes = items.groupBy(group).agg(F.count(F.lit(1)).alias("n"), *[f(c).alias(c) for f, c in ((F.min, "x1"), (F.max, "x2"), (F.min, "y1"), (F.max, "y2"))])
+    q_ext, i_ext = _extent(queries, ["x"], ["y"]), _extent(sizes, ["x1", "x2"], ["y1", "y2"], F.max("n"))
+    if q_ext[0] is None or i_ext[0] is None:
+        return queries.sparkSession.createDataFrame([], schema)
+    start = (float(min(q_ext[0], i_ext[0])), float(min(q_ext[2], i_ext[2])))
+    span = max(max(q_ext[1], i_ext[1]) - start[0], max(q_ext[3], i_ext[3]) - start[1]) * (1 + 1e-9) or 1.0
+    top = 0
+    while i_ext[4] >> (FAN_BITS * (top + 1)) > 1 << FAN_BITS:
+        top += 1
+
+    centred = items.withColumns({f"_m{a}": (F.col(f"{a}1") + F.col(f"{a}2")) / 2.0 for a in "xy"})
+    own = [owner] if owner else []
+    it = _on_curve(centred, [group, *own], "_mx", "_my", order, start, span).drop("_mx", "_my")
+    q = _on_curve(queries, [group], "x", "y", query_key, start, span)
     box = [F.min("x1").alias("x1"), F.min("y1").alias("y1"), F.max("x2").alias("x2"), F.max("y2").alias("y2")]
-    roots = it.withColumns({"nx": at("ncx", step), "ny": at("ncy", step)}).groupBy(*node).agg(
-        F.count(F.lit(1)).alias("n"), *box
-    )
-    query_cells = cut_lineage(q.select(group, "qcx", "qcy").distinct())
-    pairs = (
-        query_cells.select(group, at("qcx", step).alias("qx"), at("qcy", step).alias("qy"))
-        .distinct()
-        .join(roots, group)  # at most 4 ^ step on either side
-        .withColumn("nl", F.lit(step))
-    )
-    cell = [group, "qx", "qy"]
-    limit = 4 * k + 2 * leaf
-    finished: list[DataFrame] = []
-    nodes: list[DataFrame] = []
-    for level in range(step, depth + 1, step):
-        last = level + step > depth
-        near, far = _rect_distances(span / (1 << level), (ox, oy))
-        measured = pairs.withColumns({"near": near, "far": far})
-        ranked = measured
-        if owner:
-            ranked = measured.groupBy(*cell, owner).agg(F.min("far").alias("far")).withColumn("n", F.lit(1))
-        # the distance within which k items are certain: the k nearest boxes hold k items at least
-        close = F.row_number().over(Window.partitionBy(*cell).orderBy("far"))
-        ranked = ranked.withColumn("_close", close).filter(F.col("_close") <= k)
-        ordered = F.array_sort(F.collect_list(F.struct("far", F.col("n").cast("bigint").alias("n"))))
-        start = F.struct(F.lit(0).cast("bigint").alias("seen"), F.lit(0.0).alias("bound"))
-        bound = ranked.groupBy(*cell).agg(
-            F.aggregate(
-                ordered,
-                start,
-                lambda acc, item: F.when(acc["seen"] >= k, acc).otherwise(
-                    F.struct((acc["seen"] + item["n"]).alias("seen"), item["far"].alias("bound"))
-                ),
-            )["bound"].alias("bound")
-        )
-        kept = measured.join(bound, cell).filter(F.col("near") <= F.col("bound") * (1 + 1e-9))
-        busy = (F.col("n") > leaf) & (F.col("nl") == level)
-        totals = kept.groupBy(*cell).agg(F.sum("n").alias("total"), F.max(busy).alias("busy"))
-        kept = cut_lineage(kept.join(totals, cell).drop("near", "far", "bound"))
-        # boxes that are not crowded are no smaller than the query cell, so few remain
-        split = (F.col("total") > limit) & F.col("busy") & F.lit(not last)
-        here = q.withColumns({"qx": at("qcx", level), "qy": at("qcy", level)})
-        done = kept.filter(~split).select(*cell, *node[1:], "nl")
-        finished.append(here.join(done, cell).drop("qcx", "qcy", "qx", "qy"))
-        nodes.append(done.select(*node, "nl").distinct())
-        active = kept.filter(split).drop("total", "busy")
-        if last or active.isEmpty():
-            break
-        crowded, calm = active.filter(busy), active.filter(~busy)
-        parent = [group, "px", "py"] + ([owner] if owner else [])
-        children = (
-            it.withColumns({"px": at("ncx", level), "py": at("ncy", level)})
-            .join(crowded.select(*node).distinct().withColumnsRenamed({"nx": "px", "ny": "py"}), parent, "left_semi")
-            .withColumns({"nx": at("ncx", level + step), "ny": at("ncy", level + step)})
-            .groupBy(*parent, "nx", "ny")
-            .agg(F.count(F.lit(1)).alias("n"), *box)
-            .withColumn("nl", F.lit(level + step))
-        )
-        opened = crowded.select(*cell, *node).withColumnsRenamed({"nx": "px", "ny": "py"}).join(children, parent)
-        down = opened.drop("px", "py").unionByName(calm)
-        finer = query_cells.select(
-            group, at("qcx", level).alias("qx"), at("qcy", level).alias("qy"),
-            at("qcx", level + step).alias("fx"), at("qcy", level + step).alias("fy"),
-        ).join(active.select(*cell).distinct(), cell, "left_semi").distinct()
-        pairs = down.join(finer, cell).drop("qx", "qy").withColumnsRenamed({"fx": "qx", "fy": "qy"})
-
-    found, wanted_nodes = finished[0], nodes[0]
-    for part, own in zip(finished[1:], nodes[1:]):
-        found, wanted_nodes = found.unionByName(part), wanted_nodes.union(own)
-    levels = F.explode(F.array(*[F.lit((i + 1) * step) for i in range(len(finished))])).alias("nl")
-    items_at = it.select("*", levels).withColumns(
-        {
-            "nx": F.expr(f"shiftright(ncx, {depth} - nl)"),
-            "ny": F.expr(f"shiftright(ncy, {depth} - nl)"),
-        }
-    )
-    node_key = [*node, "nl"]
-    wanted = items_at.join(wanted_nodes.distinct(), node_key, "left_semi").drop("ncx", "ncy")
-    scored = found.join(wanted, node_key).select(*columns, distance2().alias("d2"))
-    if owner:
-        scored = scored.groupBy(group, query_key, owner).agg(
-            F.min(F.struct("d2", order, *[c for c in item_columns if c != owner])).alias("m")
-        ).select(group, query_key, owner, "m.*").select(*columns, "d2")
-    if k == 1:
-        best = F.min(F.struct("d2", order, *[c for c in item_columns])).alias("m")
-        return scored.groupBy(group, query_key).agg(best).select(
-            group, query_key, *[F.col(f"m.{c}").alias(c) for c in item_columns], F.col(f"m.{order}").alias(order),
-            F.col("m.d2").alias("d2"), F.lit(1).alias("rank"),
-        )
-    rank = F.row_number().over(Window.partitionBy(group, query_key).orderBy("d2", order))
-    return scored.withColumn("rank", rank).filter(F.col("rank") <= k)
 
-
-def _as_boxes(points: DataFrame, x: str, y: str) -> DataFrame:
-    return points.withColumns({"x1": F.col(x), "x2": F.col(x), "y1": F.col(y), "y2": F.col(y)})
-
-
-def _point_distance2() -> Column:
-    return _planar2(F.col("x"), F.col("y"), F.col("x1"), F.col("y1"))
+    def nodes(level: int) -> DataFrame:
+        node = F.shiftright("_at", FAN_BITS * (level + 1)).alias("node")
+        return it.groupBy(group, *own, node).agg(F.count(F.lit(1)).alias("n"), *box)
+
+    key = [group, "block"]
+    edges = [f(c).alias(f"q{c}{i}") for c in "xy" for i, f in ((1, F.min), (2, F.max))]
+    search = _block_search(k, lead, columns, order, shape, distance2, owner, reduce)
+    found = None
+    for bits in BLOCK_BITS:
+        here = q.withColumn("block", F.shiftright("_at", bits))
+        blocks = here.groupBy(*key).agg(*edges)
+        kept = _near_boxes(blocks.join(nodes(top), group), k, key, owner)
+        for level in reversed(range(top)):
+            below = nodes(level).withColumn("up", F.shiftright("node", FAN_BITS))
+            opened = kept.select(*key, *own, "qx1", "qx2", "qy1", "qy2", F.col("node").alias("up"))
+            kept = _near_boxes(opened.join(below, [group, *own, "up"]).drop("up"), k, key, owner)
+        met = F.sum("n").over(Window.partitionBy(*key)).alias("met")
+        kept = cut_lineage(kept.select(*key, *own, "node", met))
+        fits = F.col("met") <= (WIDE if bits else 1 << 62)
+        leaves = it.withColumn("node", F.shiftright("_at", FAN_BITS))
+        meets = leaves.join(kept.filter(fits).drop("met"), [group, *own, "node"])
+        # names of their own: both sides of the search come from one table of queries
+        meets = meets.select(*[F.col(c).alias(c) for c in dict.fromkeys([*key, *columns, *own, *ends])])
+        part = here.groupBy(*key).cogroup(meets.groupBy(*key)).applyInArrow(search, schema)
+        found = part if found is None else found.unionByName(part)
+        crowded = kept.filter(~fits).select(*key).distinct()
+        if not bits or crowded.isEmpty():
+            return found
+        q = here.join(crowded, key, "left_semi").drop("block")
+    return found
+
+
+def _to_point2(x: np.ndarray, y: np.ndarray, tx: np.ndarray, ty: np.ndarray, *_: np.ndarray) -> np.ndarray:
+    return (x - tx) * (x - tx) + (y - ty) * (y - ty)
+
+
+def _to_side2(x: np.ndarray, y: np.ndarray, sx: np.ndarray, sy: np.ndarray, ex: np.ndarray, ey: np.ndarray) -> np.ndarray:
+    dx, dy = ex - sx, ey - sy
+    length2 = dx * dx + dy * dy
+    along = ((x - sx) * dx + (y - sy) * dy) / np.where(length2 == 0, 1.0, length2)
+    t = np.where(length2 == 0, 0.0, np.clip(along, 0.0, 1.0))
+    return _to_point2(x, y, sx + t * dx, sy + t * dy)
 
 
 def k_nearest_points(
@@ -377,6 +439,8 @@ def k_nearest_points(
     query_key: str,
     target_columns: Sequence[str],
     order: str,
+    reduce: Reduce | None = None,
+    reduced: Sequence[StructField] = (),
 ) -> DataFrame:
     """k nearest target points in degrees; ties go to the lower `order`.
 
@@ -384,27 +448,14 @@ def k_nearest_points(
     the k lowest in order can ever be chosen, so the others are left out beforehand.
     """
     distinct = top_per_group(targets, [group, "tx", "ty"], [F.col(order)], k)
-    return nearest_items(
-        queries, _as_boxes(distinct, "tx", "ty"), k, group, query_key, list(target_columns), order, _point_distance2
-    )
+    shape = ("tx", "ty", "tx", "ty")
+    return nearest_items(queries, distinct, k, group, query_key, list(target_columns), order, shape, _to_point2, reduce=reduce, reduced=reduced)
 
 
 def nearest_polygons(points: DataFrame, edges: DataFrame, k: int, key: str, group: str = "adm0_pcode") -> DataFrame:
     """k nearest polygons of each point's group (its country), by the distance to their edges."""
-    sides = edges.withColumns(
-        {
-            "x1": F.least("sx", "ex"), "x2": F.greatest("sx", "ex"),
-            "y1": F.least("sy", "ey"), "y2": F.greatest("sy", "ey"),
-        }
-    )
-
-    def to_edge() -> Column:
-        fx, fy = _foot(F.col("x"), F.col("y"))
-        return _planar2(F.col("x"), F.col("y"), fx, fy)
-
-    return nearest_items(
-        points, sides, k, group, key, ["pcode"], "poly_seq", to_edge, owner="pcode" if k > 1 else None
-    )
+    shape = ("sx", "sy", "ex", "ey")
+    return nearest_items(points, edges, k, group, key, ["pcode"], "poly_seq", shape, _to_side2, owner="pcode" if k > 1 else None)
 
 
 def nearest_value(cells: DataFrame, tiles: DataFrame, values: Sequence[str], mask_km: float, name: str) -> DataFrame:
