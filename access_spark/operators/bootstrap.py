@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -17,6 +18,10 @@ from access_spark.session import cut_lineage
 
 BLOCK = 250  # draws that a row carries at once: bounds a vector of ranks to 2 KB
 SLICE_ROWS = 20_000  # groups up to this size are not cut into slices
+HASHED = 64  # rows whose draws are hashed together
+MD5_START = np.array([0x67452301, 0xEFCDAB89, 0x98BADCFE, 0x10325476], np.uint32)
+MD5_TURNS = np.array([t for turns in ((7, 12, 17, 22), (5, 9, 14, 20), (4, 11, 16, 23), (6, 10, 15, 21)) for t in turns * 4], np.uint32)
+MD5_ADDS = np.array([int(abs(math.sin(i + 1)) * 2**32) for i in range(64)], np.uint32)
 SUMS = ("sw", "sa", "sb", "sab", "saa", "sbb")
 
 
@@ -34,22 +39,64 @@ def poisson_borders(bits: int = 40) -> list[int]:
         p /= k
 
 
+def _first_bits(words: np.ndarray) -> np.ndarray:
+    """First 40 bits of the md5 of messages of one block each, column by column: their sixteen
+    words in `words` (16, n), padding and length included."""
+    a, b, c, d = (np.full(words.shape[1], v, np.uint32) for v in MD5_START)
+    for i, (turn, add) in enumerate(zip(MD5_TURNS, MD5_ADDS)):
+        if i < 16:
+            mixed, at = d ^ (b & (c ^ d)), i
+        elif i < 32:
+            mixed, at = c ^ (d & (b ^ c)), (5 * i + 1) % 16
+        elif i < 48:
+            mixed, at = b ^ c ^ d, (3 * i + 5) % 16
+        else:
+            mixed, at = c ^ (b | ~d), 7 * i % 16
+        mixed += a
+        mixed += add
+        mixed += words[at]
+        mixed = (mixed << turn) | (mixed >> (np.uint32(32) - turn))
+        mixed += b
+        a, d, c, b = d, c, b, mixed
+    first, fifth = a + MD5_START[0], (b + MD5_START[1]) & np.uint32(255)
+    return first.byteswap().astype(np.int64) << 8 | fifth
+
+
+def _bits(heads: list[bytes], tails: list[bytes]) -> np.ndarray:
+    """First 40 bits of the md5 of every head (of one length) with every tail (by rising length)."""
+    size, longest = len(heads[0]), len(tails[-1])
+    if size + longest > 55:  # more than one block
+        digests = b"".join(b"\0\0\0" + hashlib.md5(h + t).digest()[:5] for h in heads for t in tails)
+        return np.frombuffer(digests, dtype=">i8").astype(np.int64).reshape(len(heads), len(tails))
+    text = np.zeros((len(heads), len(tails), 64), np.uint8)
+    text[:, :, :size] = np.frombuffer(b"".join(heads), np.uint8).reshape(len(heads), 1, size)
+    ended = b"".join((t + b"\x80").ljust(longest + 1, b"\0") for t in tails)
+    text[:, :, size : size + longest + 1] = np.frombuffer(ended, np.uint8).reshape(len(tails), longest + 1)
+    length = np.array([8 * (size + len(t)) for t in tails], "<u2")
+    text[:, :, 56:58] = length.view(np.uint8).reshape(len(tails), 2)
+    words = np.ascontiguousarray(text.reshape(-1, 64).view("<u4").T)
+    return _first_bits(words).reshape(len(heads), len(tails))
+
+
 def _weigher(draws: int, seed: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     """Adds `w`, one byte a draw of the row's block: its copies in that draw."""
     borders = np.array(poisson_borders(), dtype=np.int64)
 
-    def copies(unit: str | None, block: int) -> bytes:
-        head = "" if unit is None else f"{unit}|"
-        last = min(draws, (block + 1) * BLOCK)
-        heads = b"".join(
-            b"\0\0\0" + hashlib.md5(f"{head}{draw}|{seed}".encode()).digest()[:5] for draw in range(block * BLOCK + 1, last + 1)
-        )
-        bits = np.frombuffer(heads, dtype=">i8").astype(np.int64)
-        return np.searchsorted(borders, bits, side="right").astype(np.uint8).tobytes()
-
     def weigh(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            yield frame.assign(w=[copies(u, b) for u, b in zip(frame["_unit"], frame["_block"])]).drop(columns="_unit")
+            heads = [b"" if unit is None else f"{unit}|".encode() for unit in frame["_unit"]]
+            alike: dict[tuple[int, int], list[int]] = {}
+            for i, (head, block) in enumerate(zip(heads, frame["_block"])):
+                alike.setdefault((block, len(head)), []).append(i)
+            weights: list[bytes] = [b""] * len(heads)
+            for (block, _), rows in alike.items():
+                tails = [f"{draw}|{seed}".encode() for draw in range(block * BLOCK + 1, min(draws, (block + 1) * BLOCK) + 1)]
+                for k in range(0, len(rows), HASHED):
+                    some = rows[k : k + HASHED]
+                    bits = _bits([heads[i] for i in some], tails)
+                    for i, copies in zip(some, np.searchsorted(borders, bits, side="right").astype(np.uint8)):
+                        weights[i] = copies.tobytes()
+            yield frame.assign(w=weights).drop(columns="_unit")
 
     return weigh
 
@@ -110,9 +157,12 @@ def bootstrap_interval(
     keys = list(group)
     rows = df.select(*keys, F.col("unit_id").cast("string").alias("_unit"), finite(F.col(x)).alias("_x"), finite(F.col(y)).alias("_y"))
     rows = rows.filter("_x IS NOT NULL AND _y IS NOT NULL").withColumn("_tie", F.xxhash64("_unit"))
+    largest = rows.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+    # pieces follow the rows, not the machines: one costs the same whatever it holds
+    slices = max(2, math.ceil(largest / slice_rows))
     for value, name in (("_x", "_xs"), ("_y", "_ys")):
         whole = F.col("_group_rows") <= slice_rows
-        rows = ordered_slices(rows, keys, value, "_tie").withColumn(
+        rows = ordered_slices(rows, keys, value, "_tie", slices).withColumn(
             name, F.struct(F.when(whole, 0).otherwise(F.col("_slice")).alias("s"), F.when(whole, 0).otherwise(F.col("_part")).alias("p"))
         ).drop("_slice", "_part", "_group_rows")
     blocks = F.explode(F.sequence(F.lit(0), F.lit((draws - 1) // BLOCK))).alias("_block")
@@ -140,12 +190,14 @@ def bootstrap_interval(
         if part.empty or slices.empty:
             return pd.DataFrame(columns=rank_fields.names)
         ranks = _doubled_ranks(part, "_x", slices)
-        return part[[*by, "_y", "_ys", "_yp", "w"]].assign(a=[r.astype(np.int64).tobytes() for r in ranks])
+        kind = np.uint32 if ranks.max() < 1 << 32 else np.int64
+        return part[[*by, "_y", "_ys", "_yp", "w"]].assign(a=[r.astype(kind).tobytes() for r in ranks])
 
     def products(part: pd.DataFrame, slices: pd.DataFrame) -> pd.DataFrame:
         if part.empty or slices.empty:
             return pd.DataFrame(columns=sum_fields.names)
-        w, a = _matrix(part["w"], np.uint8).astype(float), _matrix(part["a"], np.int64) / 2.0
+        w = _matrix(part["w"], np.uint8).astype(float)
+        a = np.stack([np.frombuffer(r, np.uint32 if len(r) == 4 * w.shape[1] else np.int64) for r in part["a"]]) / 2.0
         b = _doubled_ranks(part, "_y", slices) / 2.0
         sums = [v.sum(axis=0) for v in (w, w * a, w * b, w * a * b, w * a * a, w * b * b)]
         return part[by].iloc[:1].assign(**{name: [total] for name, total in zip(SUMS, sums)})
@@ -153,10 +205,10 @@ def bootstrap_interval(
     rank_fields = StructType([*[types[c] for c in (*by, "_y", "_ys", "_yp")], StructField("w", BinaryType()), StructField("a", BinaryType())])
     sum_fields = StructType([*[types[c] for c in by], *[StructField(name, ArrayType(DoubleType())) for name in SUMS]])
     sides = [[*by, "_xs", "_xp"], [*by, "_ys", "_yp"]]
-    slices = [parts_of(*side[-2:]) for side in sides]
+    placed = [parts_of(*side[-2:]) for side in sides]
     names = [*by, "_slice", "_part"]
-    with_x = rows.groupBy(*sides[0]).cogroup(slices[0].groupBy(*names)).applyInPandas(ranked, rank_fields)
-    totals = with_x.groupBy(*sides[1]).cogroup(slices[1].groupBy(*names)).applyInPandas(products, sum_fields)
+    with_x = rows.groupBy(*sides[0]).cogroup(placed[0].groupBy(*names)).applyInPandas(ranked, rank_fields)
+    totals = with_x.groupBy(*sides[1]).cogroup(placed[1].groupBy(*names)).applyInPandas(products, sum_fields)
     drawn = totals.select(*by, F.posexplode(F.arrays_zip(*SUMS)).alias("draw", "s"))
     sums = drawn.groupBy(*by, "draw").agg(*[F.sum(f"s.{name}").alias(name) for name in SUMS]).filter("sw > 0")
     cov = F.col("sab") - F.col("sa") * F.col("sb") / F.col("sw")

@@ -83,8 +83,9 @@ def ordered_slices(df: DataFrame, group: Sequence[str], value: str, tie: str, sl
     """Rows with the slice of their group that they belong to, in the order of `value`.
 
     Cuts are approximate quantiles. Odd slices hold one value, equal to a cut; they are
-    split by `tie` into parts, so a value may hold any share of the rows. Adds `_slice`,
-    `_part` and the group's size `_group_rows`.
+    split by `tie` into as many parts as cuts equal it, so a value may hold any share of the
+    rows and a group has no more than two pieces a cut. Adds `_slice`, `_part` and the group's
+    size `_group_rows`.
     """
     slices = slices or parallelism(df.sparkSession)
     block = max(2, math.isqrt(slices))
@@ -92,20 +93,24 @@ def ordered_slices(df: DataFrame, group: Sequence[str], value: str, tie: str, sl
     probs = F.expr(f"array({', '.join(f'{i / slices!r}D' for i in range(1, slices))})")
     accuracy = F.lit(max(100, 20 * slices))
     cuts = df.groupBy(*group).agg(
-        F.array_distinct(F.percentile_approx(value, probs, accuracy)).alias("_cuts"),
+        F.percentile_approx(value, probs, accuracy).alias("_all_cuts"),
         F.percentile_approx(tie, probs, accuracy).alias("_tie_cuts"),
         F.count(F.lit(1)).alias("_group_rows"),
     )
-    cuts = cuts.withColumns({"_ends": _block_ends("_cuts", block), "_tie_ends": _block_ends("_tie_cuts", block)})
+    cuts = cuts.withColumn("_cuts", F.array_distinct("_all_cuts"))
+    shares = F.transform("_cuts", lambda cut: F.size(F.filter("_all_cuts", lambda other: other == cut)))
+    cuts = cuts.withColumns({"_shares": shares, "_ends": _block_ends("_cuts", block), "_tie_ends": _block_ends("_tie_cuts", block)}).drop("_all_cuts")
     rows = df.join(cuts, group)
     rows = rows.withColumn("_below", _count_below("_cuts", "_ends", F.col(value), block))
     at_cut = F.coalesce(F.get("_cuts", F.col("_below")) == F.col(value), F.lit(False))
+    share = F.get("_shares", F.col("_below"))
+    tie_part = F.floor(_count_below("_tie_cuts", "_tie_ends", F.col(tie), block) * share / slices).cast("int")
     return rows.withColumns(
         {
             "_slice": 2 * F.col("_below") + at_cut.cast("int"),
-            "_part": F.when(at_cut, _count_below("_tie_cuts", "_tie_ends", F.col(tie), block)).otherwise(0),
+            "_part": F.when(at_cut, tie_part).otherwise(0),
         }
-    ).drop("_cuts", "_tie_cuts", "_ends", "_tie_ends", "_below")
+    ).drop("_cuts", "_shares", "_tie_cuts", "_ends", "_tie_ends", "_below")
 
 
 def running_total(

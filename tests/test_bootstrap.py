@@ -8,7 +8,8 @@ import math
 import numpy as np
 import pandas as pd
 
-from access_spark.operators.bootstrap import bootstrap_interval, poisson_borders
+from access_spark.operators.bootstrap import _weigher, bootstrap_interval, poisson_borders
+from access_spark.operators.keyed import ordered_slices
 
 
 def by_hand(rows, draws, seed):
@@ -41,3 +42,21 @@ def test_slices_ties_and_blocks_against_copies(spark):
         assert got["flat"] == want["flat"] == (None, None)
         assert all(abs(got[g][i] - want[g][i]) < 1e-9 for g in ("large", "small") for i in (0, 1))
     assert bootstrap_interval(df.limit(0), ["g"], "wealth", "poverty", draws).count() == 0
+
+
+def test_pieces_follow_the_cuts_not_their_square(spark):
+    df = spark.range(4000).selectExpr("'g' AS g", "cast(id % 20 AS double) AS v", "xxhash64(id) AS tie")
+    cut = ordered_slices(df, ["g"], "v", "tie", 100)
+    pieces = cut.groupBy("_slice", "_part").count().collect()
+    assert sum(r["count"] for r in pieces) == 4000 and len(pieces) <= 200
+    assert max(r["count"] for r in pieces) <= 4000 // 20
+
+
+def test_hashes_of_many_rows_at_once():
+    units = [None, "", "7", "12345", "Ué-9", "x" * 44, "x" * 70, "7"]
+    frame = pd.DataFrame({"_unit": units, "_block": [0, 1, 2, 3, 0, 1, 3, 3]})
+    borders = poisson_borders()
+    for unit, block, w in zip(units, frame["_block"], next(_weigher(990, 42)(iter([frame])))["w"]):
+        head = "" if unit is None else f"{unit}|"
+        digests = [hashlib.md5(f"{head}{draw}|42".encode()).digest() for draw in range(block * 250 + 1, min(990, block * 250 + 250) + 1)]
+        assert list(w) == [sum(b <= int.from_bytes(d[:5], "big") for b in borders) for d in digests]
