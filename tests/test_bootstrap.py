@@ -8,7 +8,8 @@ import math
 import numpy as np
 import pandas as pd
 
-from access_spark.operators.bootstrap import _weigher, bootstrap_interval, poisson_borders
+from access_spark.operators import bootstrap
+from access_spark.operators.bootstrap import _summed_places, _weigher, _weights, bootstrap_interval, poisson_borders
 from access_spark.operators.keyed import ordered_slices
 
 
@@ -60,3 +61,27 @@ def test_hashes_of_many_rows_at_once():
         head = "" if unit is None else f"{unit}|"
         digests = [hashlib.md5(f"{head}{draw}|42".encode()).digest() for draw in range(block * 250 + 1, min(990, block * 250 + 250) + 1)]
         assert list(w) == [sum(b <= int.from_bytes(d[:5], "big") for b in borders) for d in digests]
+
+
+def test_rows_with_the_same_values_leave_the_hashing_as_one():
+    frame = pd.DataFrame({"g": "a", "_block": [0] * 900 + [1] * 700, "_x": 1.0, "_y": [0.0] * 500 + [1.0] * 400 + [0.0] * 699 + [2.0], "_unit": [str(i) for i in range(1600)]})
+    apart = next(_weigher(260, 9)(iter([frame])))
+    got = next(_summed_places(260, 9, ["g", "_block", "_x", "_y"])(iter([frame])))
+    assert got[["_block", "_y"]].to_numpy().tolist() == [[0, 0], [0, 1], [1, 0], [1, 2]]
+    for i, (start, end) in enumerate(((0, 500), (500, 900), (900, 1599), (1599, 1600))):
+        want = np.stack([np.frombuffer(w, np.uint8) for w in apart["w"][start:end]]).sum(axis=0, dtype=int)
+        assert want.max() > 255 or i == 3
+        assert _weights(got.iloc[i : i + 1], 260)[0].tolist() == want.tolist()
+    both = _weights(got.iloc[2:], 260)
+    assert both.shape == (2, 10) and both[1].max() < 10
+
+
+def test_places_with_many_rows_against_copies(spark, monkeypatch):
+    monkeypatch.setattr(bootstrap, "PLACE_ROWS", 100)
+    monkeypatch.setattr(bootstrap, "TASK_ROWS", 50)
+    rows = [("g", f"u{i}", -0.0 if i % 2 else 0.0, float(i % 3 // 2)) for i in range(600)] + [("g", "v", 1.0, 1.0), ("g", None, 1.0, 0.0)]
+    df = spark.createDataFrame(rows, "g string, unit_id string, wealth double, poverty double")
+    want = by_hand([r[1:] for r in rows], 20, 9)
+    for slice_rows in (20_000, 2):
+        got = bootstrap_interval(df, ["g"], "wealth", "poverty", 20, 9, slice_rows).first()
+        assert abs(got.spearman_ci_lo - want[0]) < 1e-9 and abs(got.spearman_ci_hi - want[1]) < 1e-9
