@@ -16,8 +16,14 @@ from catalog.registry_quality import FINAL, finalized
 
 
 def registry_table(t: Tables):
-    """The finalised registry under its published column names."""
-    return finalized(t).withColumnRenamed("adm0_pcode", "iso")
+    """The finalised registry under its published column names, the shared one if there is one."""
+    shared = getattr(t, "_registry", None)
+    return finalized(t).withColumnRenamed("adm0_pcode", "iso") if shared is None else shared
+
+
+def share_registry(t: Tables, *columns: str) -> None:
+    """Write the registry, or some of its columns, once for a query that reads it more than once."""
+    t._registry = cut_lineage(registry_table(t).select(*(columns or "*")))
 
 
 REGISTRY = FINAL + """,
@@ -260,6 +266,9 @@ def _profile(t: Tables):
     return marts.registry_profile(t.school, ["sector", "acceptance"], ["nombre_centro", "sector"], ["latitud", "longitud"])
 
 
+LEVELS = ("nivel_primaria", "nivel_secbaja", "nivel_secalta")
+
+
 def _k12(t: Tables):
     return registry_table(t).filter("nivel_primaria + nivel_secbaja + nivel_secalta > 0")
 
@@ -273,6 +282,7 @@ def _k12(t: Tables):
     ),
 )
 def _crosstab(t: Tables):
+    share_registry(t, "iso", "id_centro", *LEVELS, "coordinate_quality", "qc_scope_class", "include_in_spatial_indicators")
     parts = []
     for name, column in (("quality", "coordinate_quality"), ("scope", "qc_scope_class")):
         tab = marts.label_crosstab(registry_table(t), _k12(t), column)
@@ -285,6 +295,7 @@ def _crosstab(t: Tables):
     _reg(" SELECT iso, count(*) AS n, round_even(100e0 * count(*) FILTER (inc) / count(*), 1) AS pct_include FROM reg WHERE nivel_primaria + nivel_secbaja + nivel_secalta > 0 GROUP BY 1"),
 )
 def _inclusion(t: Tables):
+    share_registry(t, "iso", "id_centro", *LEVELS, "include_in_spatial_indicators")
     return marts.inclusion_share(registry_table(t), _k12(t))
 
 
@@ -464,7 +475,8 @@ def _bundle_sql() -> str:
 def _bundle(t: Tables):
     """The marts of a report as one table of JSON records, here field by field. The finalised
     registry is computed once, and the country summary once for the marts that add it up."""
-    registry = cut_lineage(registry_table(t))
+    share_registry(t)
+    registry = registry_table(t)
     country = cut_lineage(marts.country_summary(registry, _countries(t)))
     k12 = registry.filter("nivel_primaria + nivel_secbaja + nivel_secalta > 0")
     parts = {
@@ -490,6 +502,7 @@ def _bundle(t: Tables):
     ),
 )
 def _info(t: Tables):
+    share_registry(t)
     rk = F.col("rk")
     info = t.country.select(
         "iso", (rk % 3 == 0).alias("has_addresses"), F.when(rk % 3 != 2, "provincia").alias("raw_adm1_label"), F.when(rk == 3, "distrito").alias("raw_adm2_label"), F.lit(None).cast("string").alias("raw_locality_label")
@@ -549,6 +562,7 @@ for _mark, _sql in (
 
 
 def gap_results(t: Tables):
+    share_registry(t)
     targets = targets_of(t).filter("coordinate_source IN ('', 'original')")
     is_fill = F.col("missing") | F.col("zeros")
     wanted = targets.filter(is_fill | F.col("out_of_bounds") | F.col("mismatches") | F.col("dup_addr") | F.col("centroids")).select(
@@ -592,7 +606,8 @@ def _gap(t: Tables):
     ),
 )
 def _applied(t: Tables):
-    out = fill.apply_decisions(registry_table(t), gap_results(t))
+    results = gap_results(t)
+    out = fill.apply_decisions(registry_table(t), results)
     return out.select("id_centro", F.round("latitud", 6).alias("latitud"), "coordinate_source", "coordinate_quality")
 
 
