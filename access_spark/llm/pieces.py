@@ -14,6 +14,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 from operator import attrgetter
 
 import numpy as np
@@ -295,6 +296,8 @@ def _utf8(data: bytes) -> str:
 
 #: Ids and ends that a task holds before it hands them on; a longer text stands alone.
 HELD_IDS = 1 << 18
+#: Texts of a batch that a task takes out at once.
+HELD_TEXTS = 128
 
 
 def _encode(held, spans: bool):
@@ -310,7 +313,8 @@ def _encode(held, spans: bool):
         codec = Codec(held.value)
         for batch in batches:
             rows, first, n_held = [], 0, 0
-            for text in batch.column(0).to_pylist():
+            texts = (batch.column(0).slice(i, HELD_TEXTS).to_pylist() for i in range(0, len(batch), HELD_TEXTS))
+            for text in chain.from_iterable(texts):
                 own, ends = codec.encode(text or "")
                 decimals = b" ".join([*map(_DECIMALS, own), b"%d" % codec.model.end_id])
                 decoded = codec.decode_stretches(own).encode("utf-8", "surrogatepass")

@@ -26,6 +26,13 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> SparkSession:
+    """Hand Python so many rows at once, for jobs on whole texts: Spark's 10,000 are some fifty
+    megabytes, which the executor and each of its Python workers hold several times."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    return spark
+
+
 def local_session(cores: int | str = 8, app: str = "access_spark") -> SparkSession:
     """A local session for tests and the bench."""
     builder = (

@@ -14,21 +14,22 @@ from pyspark.sql import DataFrame, SparkSession
 from access_spark.llm import mixing, ngram_join, pieces, resampling, toxicity
 from access_spark.llm.common import table
 from access_spark.llm.queries import PIECE_MODEL, tokenizer_file
-from access_spark.session import shared_dir
+from access_spark.session import shared_dir, small_batches
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the network does not call toxic."""
-    return toxicity.clean_documents(docs, table(spark, sf_dir, "labels"))
+    return toxicity.clean_documents(docs, table(small_batches(spark), sf_dir, "labels"))
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn by importance resampling towards the labelled good ones."""
-    return resampling.kept_documents(docs, table(spark, sf_dir, "labels"))
+    return resampling.kept_documents(docs, table(small_batches(spark), sf_dir, "labels"))
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, the one with the smallest id."""
+    small_batches(spark)
     return ngram_join.one_of_each(docs)
 
 
@@ -40,6 +41,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def tokens_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every document's pieces, the bytes of the original at which they end, the digests
     of the ids and of the decoded text."""
+    small_batches(spark)
     return pieces.encode_documents(docs, tokenizer_file(PIECE_MODEL), keep=["doc_id", "source"], spans=True)
 
 

@@ -101,3 +101,12 @@ def test_library_works_without_this_part():
     code = "import __spark_entry__ as e; n = e.queries(); assert len(n) > 100 and not [x for x in n if x[:2] == 'op' or x == 'pipeline'] and set(e.oracle_sql()) <= set(n)"
     assert os.path.exists(os.path.join(copy, "corpus_pipeline.py"))
     subprocess.run([sys.executable, "-c", code], cwd=copy, check=True, env={**os.environ, "PYTHONPATH": copy})
+
+
+def test_stages_hand_whole_texts_to_python_in_small_batches(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.unset(key)
+    docs = spark.createDataFrame([(1, "a b", "s")], "doc_id long, text string, source string")
+    corpus_pipeline.tokens_stage(spark, docs, "unused")
+    assert int(spark.conf.get(key)) <= 1000
+    spark.conf.unset(key)
