@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from access_spark.operators import cube, travel
-from access_spark.session import shared_dir
+from access_spark.session import cut_lineage, shared_dir
 from access_spark.sources import readers, tables
 from catalog.domain import Tables, with_views
 from catalog.registry import query
@@ -121,14 +121,14 @@ def _published_cube(t: Tables):
     layout = ("iso", "mode", "level", "sector")
     stored.select("cell_id", "time_to_nearest_min", *layout).write.partitionBy(*layout).parquet(f"{folder}/matrices")
     matrix = travel.as_matrix(readers.read_matrix(t.spark, f"{folder}/matrices"))
-    grid = cube.prepare_grid(t.grid)
+    grid = cut_lineage(cube.prepare_grid(t.grid))  # each cube reads it twice
 
-    def cube_from(rows):
-        return cube.indicator_cube(grid, rows, t.admin_name, METHOD, SOURCE)
+    def cube_from(cells, rows):
+        return cube.indicator_cube(cells, rows, t.admin_name, METHOD, SOURCE)
 
-    tables.write_cube(cube_from(matrix), f"{folder}/cube")
+    tables.write_cube(cube_from(grid, matrix), f"{folder}/cube")
     mended = matrix.filter(F.col("iso") == FIRST).withColumn("minutes", (F.col("minutes") / 2).cast("float"))
-    tables.write_cube(cube_from(mended).filter(F.col("isoalpha3") == FIRST), f"{folder}/cube")
+    tables.write_cube(cube_from(grid.filter(F.col("iso") == FIRST), mended), f"{folder}/cube")
     return tables.read_cube(t.spark, f"{folder}/cube")
 
 
