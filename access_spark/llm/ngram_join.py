@@ -17,6 +17,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from fractions import Fraction
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -342,13 +343,17 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 75) -> Da
     rooted = cut_lineage(rooted.join(lengths, "sig"))
     short, hot = rooted.filter(F.col("length") <= HOT_LIST), rooted.filter(F.col("length") > HOT_LIST)
 
-    members = short.select("sig", "key", "size", "root").union(short.select("sig", "pivot", "pivot_size", "pivot_root").distinct())
-    left, right = (members.select("sig", F.col("key").alias(k), F.col("size").alias(f"{k}_size"), F.col("root").alias(f"{k}_root")) for k in "ab")
-    across = left.join(right, "sig").filter((F.col("a") > F.col("b")) & (F.col("a_root") != F.col("b_root")))
-    shared = across.groupBy("a", "b", "a_size", "b_size").agg(F.count(F.lit(1)).alias("shared"))
-    links = links.union(verified(docs, ids, possible(shared, percent), width, percent))
-    links = links.union(block_links(docs, ids, hot, width, percent))
-    groups = connected_components(links)
+    found = []
+    if not short.isEmpty():
+        members = short.select("sig", "key", "size", "root").union(short.select("sig", "pivot", "pivot_size", "pivot_root").distinct())
+        left, right = (members.select("sig", F.col("key").alias(k), F.col("size").alias(f"{k}_size"), F.col("root").alias(f"{k}_root")) for k in "ab")
+        across = left.join(right, "sig").filter((F.col("a") > F.col("b")) & (F.col("a_root") != F.col("b_root")))
+        shared = across.groupBy("a", "b", "a_size", "b_size").agg(F.count(F.lit(1)).alias("shared"))
+        found.append(verified(docs, ids, possible(shared, percent), width, percent))
+    if not hot.isEmpty():
+        found.append(block_links(docs, ids, hot, width, percent))
+    if found:
+        groups = connected_components(reduce(DataFrame.union, found, links))
 
     nodes = cut_lineage(ids.join(groups.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key")))
     smallest = nodes.groupBy("root").agg(F.min("doc_id").alias("component_id"))

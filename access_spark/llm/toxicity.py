@@ -87,29 +87,38 @@ class Model:
     offset: float = 0.0
 
 
-def fit(rows: list) -> Model | None:
+def _numbers(column: pa.ChunkedArray, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """(numbers of all rows in one array, how many each row has) of a column of bytes."""
+    held = pa.concat_arrays(column.chunks)
+    _, ends, data = held.buffers()
+    ends = np.frombuffer(ends, np.int32)[held.offset : held.offset + len(held) + 1] // np.dtype(kind).itemsize
+    return np.frombuffer(data, kind)[ends[0] : ends[-1]], np.diff(ends)
+
+
+def fit(rows: pa.Table) -> Model | None:
     """Train on collected windows, grouped by document; None if a class is missing.
 
     A label is about a document, so most windows of a toxic one may be harmless. The first
     round takes windows at random, each later one the windows of each document that the
     network finds worst: the likely offence of a toxic document, the likely mistake in a
-    clean one.
+    clean one. The windows stay in a few arrays, with no object for each on the driver.
     """
-    labels = np.array([r.label for r in rows], np.float32)
+    labels = rows["label"].to_numpy().astype(np.float32)
     if not len(rows) or labels.min() == labels.max():
         return None
-    docs = np.unique([r.doc for r in rows], return_inverse=True)[1]
-    parts = [[np.frombuffer(r[c], t) for r in rows] for c, t in (("words", np.uint64), ("heads", np.int32), ("tails", np.int32))]
-    pairs = np.unique(np.stack([np.concatenate(parts[0]), np.repeat(docs, [len(w) for w in parts[0]]).astype(np.uint64)]), axis=1)
-    seen, times = np.unique(pairs[0], return_counts=True)
-    known = seen[times >= KNOWN_IN]
+    rows = rows.sort_by([("doc", "ascending"), ("words", "ascending"), ("heads", "ascending")])
+    labels = rows["label"].to_numpy().astype(np.float32)
+    docs = np.unique(rows["doc"].to_numpy(), return_inverse=True)[1].astype(np.int32)
+    own, lengths = _numbers(rows["words"], np.uint64)
+    known = known_words(own, np.repeat(docs, lengths))
     size = (len(rows), WINDOW)
-    mask, words, heads, tails = np.zeros(size, bool), np.zeros(size, np.int64), np.zeros(size, np.int32), np.zeros(size, np.int32)
-    for i, (w, h, t) in enumerate(zip(*parts)):
-        n = len(w)
-        mask[i, :n], words[i, :n], heads[i, :n], tails[i, :n] = True, word_ids(w, known), h, t
+    mask = np.arange(WINDOW) < lengths[:, None]
+    words, heads, tails = np.zeros(size, np.int32), np.zeros(size, np.int32), np.zeros(size, np.int32)
+    words[mask] = word_ids(own, known)
+    heads[mask], tails[mask] = _numbers(rows["heads"], np.int32)[0], _numbers(rows["tails"], np.int32)[0]
+    del rows, own
     params = initial(len(known))
-    rank = np.random.default_rng(5).random(len(rows))
+    rank = np.random.default_rng(5).random(len(labels))
     for epochs in EPOCHS:
         order = np.lexsort((-rank, docs))
         first = np.concatenate([[0], np.flatnonzero(np.diff(docs[order])) + 1])
@@ -117,13 +126,23 @@ def fit(rows: list) -> Model | None:
         rows_now = order[nth < COUNTED]
         params = train(params, words[rows_now], heads[rows_now], tails[rows_now], mask[rows_now], labels[rows_now], epochs)
         scorer, flat = Scorer(params), np.arange(WINDOW)[:, None]
-        for k in range(0, len(rows), 2048):
+        for k in range(0, len(labels), 2048):
             part = slice(k, k + 2048)
-            at = flat + np.arange(len(rows[part])) * WINDOW
+            at = flat + np.arange(len(labels[part])) * WINDOW
             rank[part] = scorer.logits(words[part].reshape(-1), heads[part].reshape(-1), tails[part].reshape(-1), at, mask[part].T)
     return Model(params, known)
 
 
+def known_words(words: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    """The words, sorted, that stand in KNOWN_IN documents or more."""
+    order = np.lexsort((docs, words))
+    words, docs = words[order], docs[order]
+    new = np.ones(len(words), bool)
+    new[1:] = (words[1:] != words[:-1]) | (docs[1:] != docs[:-1])
+    seen, times = np.unique(words[new], return_counts=True)
+    return seen[times >= KNOWN_IN]
+
+
 def word_ids(words: np.ndarray, known: np.ndarray) -> np.ndarray:
     """1 and on for known words, 0 for the others."""
     if not len(known):
@@ -213,7 +232,7 @@ def train_model(docs: DataFrame, labels: DataFrame, held_out: int = 2) -> Model
     sample = parts[0].union(parts[1]).union(parts[2]).select(F.col("doc_id").alias("_id"), "_label", "_use")
     chosen = cut_lineage(docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("_id")).select("text", "_label", F.xxhash64("_id").alias("_doc"), "_use"))
     windows = chosen.filter("_use = 'train'").select("text", "_label", "_doc").mapInArrow(_window_rows, "label int, doc long, words binary, heads binary, tails binary")
-    model = fit(sorted(windows.collect(), key=lambda r: (r.doc, bytes(r.words), bytes(r.heads))))
+    model = fit(windows.toArrow())
     if model is None:
         return None
     held = docs.sparkSession.sparkContext.broadcast(model)

@@ -2,6 +2,7 @@ import random
 from collections import defaultdict
 
 from access_spark.llm import ngram_join
+from access_spark.llm.common import connected_components
 from tests.llm.helpers import documents, prose
 
 
@@ -125,3 +126,19 @@ def test_one_of_each_tells_texts_under_a_repeated_id_apart(spark):
     kept = ngram_join.one_of_each(docs)
     assert kept.columns == docs.columns
     assert sorted((r.doc_id, r.text or "") for r in kept.collect()) == sorted([(1, a), (5, b), (8, ""), (9, "")])
+
+
+def test_components_of_a_path_that_ends_in_two_stars(spark):
+    """After one round 3 and 5 hang on nodes that hang on none, but one of them on two."""
+    links = spark.createDataFrame([(5, 1), (5, 4), (4, 3), (3, 2)], "a long, b long")
+    assert sorted(map(tuple, connected_components(links).collect())) == [(i, 1) for i in range(1, 6)]
+    assert connected_components(links.limit(0)).collect() == []
+
+
+def test_few_shuffles_where_nothing_is_left_to_compare(spark):
+    """The driver keeps a thread for each shuffle, so texts without near copies must not cost the later steps."""
+    docs = documents(spark, [(i, prose(i, 40), "s") for i in range(40)])
+    jobs = lambda: int(str(spark.sparkContext._jsc.sc().dagScheduler().nextJobId()))
+    before = jobs()
+    assert len({r.component_id for r in ngram_join.jaccard_components(docs).collect()}) == 40
+    assert jobs() - before <= 40

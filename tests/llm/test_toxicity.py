@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from access_spark.llm import gru, toxicity
@@ -88,3 +89,14 @@ def test_without_labels_or_rows(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert [(r.score, r.predicted) for r in toxicity.score_documents(docs, none).collect()] == [(0.0, 0)]
     assert toxicity.score_documents(docs.limit(0), none).collect() == []
+
+
+def test_windows_are_trained_on_in_a_few_arrays():
+    """No object for each window: an Arrow table in whatever order gives the same network."""
+    rnd = np.random.default_rng(4)
+    texts = [" ".join(f"w{x}" for x in rnd.integers(0, 30, 80)) + (" vile" if i % 2 else "") for i in range(40)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array([i % 2 for i in range(40)], pa.int32()), pa.array(range(40), pa.int64())], ["text", "_label", "_doc"])
+    rows = pa.Table.from_batches(toxicity._window_rows(iter([batch])))
+    one, two = toxicity.fit(rows), toxicity.fit(rows.take(rnd.permutation(len(rows))))
+    assert len(one.known) == 31 and all((one.params[k] == two.params[k]).all() for k in one.params)
+    assert toxicity.fit(rows.slice(0, 0)) is None
