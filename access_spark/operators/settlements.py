@@ -89,10 +89,10 @@ def smallest_reachable(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             .union(least.select("iso", "a", F.col("m").alias("b"))).filter("a <> b").distinct()
         )
         edges = cut_lineage(small)
-        # finished when every node hangs directly on its smallest node
+        # finished when every node hangs on one other, which itself hangs on none
         chained = edges.join(edges.select("iso", F.col("a").alias("b")).distinct(), ["iso", "b"], "left_semi")
-        if chained.isEmpty():
-            return edges.groupBy("iso", F.col("a").alias("node")).agg(F.min("b").alias("root"))
+        if chained.isEmpty() and edges.groupBy("iso", "a").count().filter("count > 1").isEmpty():
+            return edges.select("iso", F.col("a").alias("node"), F.col("b").alias("root"))
     raise RuntimeError("settlement labelling did not settle")
 
 
