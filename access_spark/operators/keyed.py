@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from access_spark.session import parallelism
+from access_spark.session import cut_lineage, parallelism
 
 class DuplicateKeyError(ValueError):
     """A table that must be unique on its key is not."""
@@ -86,6 +86,9 @@ def ordered_slices(df: DataFrame, group: Sequence[str], value: str, tie: str, sl
     split by `tie` into as many parts as cuts equal it, so a value may hold any share of the
     rows and a group has no more than two pieces a cut. Adds `_slice`, `_part` and the group's
     size `_group_rows`.
+
+    Approximate quantiles follow the order rows arrive in, which a second reading of a shuffle
+    changes, so the cuts are checkpointed: every use of the rows deals them to the same slices.
     """
     slices = slices or parallelism(df.sparkSession)
     block = max(2, math.isqrt(slices))
@@ -100,7 +103,8 @@ def ordered_slices(df: DataFrame, group: Sequence[str], value: str, tie: str, sl
     cuts = cuts.withColumn("_cuts", F.array_distinct("_all_cuts"))
     shares = F.transform("_cuts", lambda cut: F.size(F.filter("_all_cuts", lambda other: other == cut)))
     cuts = cuts.withColumns({"_shares": shares, "_ends": _block_ends("_cuts", block), "_tie_ends": _block_ends("_tie_cuts", block)}).drop("_all_cuts")
-    rows = df.join(cuts, group)
+    # shuffled after it was read, so that AQE knows how small it is
+    rows = df.join(cut_lineage(cuts).repartition(*group), group)
     rows = rows.withColumn("_below", _count_below("_cuts", "_ends", F.col(value), block))
     at_cut = F.coalesce(F.get("_cuts", F.col("_below")) == F.col(value), F.lit(False))
     share = F.get("_shares", F.col("_below"))

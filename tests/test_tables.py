@@ -287,6 +287,18 @@ def test_running_total_with_hot_value(spark, repeat):
     assert {k: v[0] for k, v in got.items()} == expected and {v[1] for v in got.values()} == {total}
 
 
+def test_numbers_whatever_order_rows_arrive_in(spark):
+    # executors hand a shuffle's rows over in another order each time it is read
+    anywhere = F.udf(lambda _: random.SystemRandom().randrange(1 << 30), "int").asNondeterministic()
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        rows = spark.range(0, 120000, 1, 4).withColumn("at", anywhere("id")).repartition(4, "at").select(F.lit("g").alias("g"), "id")
+        got = keyed.number_rows(rows, ["g"], "id", "id", "n", start=0).agg(F.count("n"), F.count_distinct("n"), F.count_if(F.col("n") != F.col("id"))).first()
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+    assert tuple(got) == (120000, 120000, 0)
+
+
 def test_coverage_of_building_paths(spark):
     schools = spark.createDataFrame(
         [("T", "1.0", 1, 1.0, 1.0), ("T", "2", 2, 2.0, 2.0), ("T", "3", 3, 3.0, 3.0), ("T", "4", 4, 4.0, 4.0), ("T", "5", 5, None, None)],
