@@ -287,15 +287,25 @@ def test_running_total_with_hot_value(spark, repeat):
     assert {k: v[0] for k, v in got.items()} == expected and {v[1] for v in got.values()} == {total}
 
 
-def test_numbers_whatever_order_rows_arrive_in(spark):
-    # executors hand a shuffle's rows over in another order each time it is read
+@pytest.fixture
+def any_order(spark):
+    """Rows dealt anew at random each time they are read, as executors hand over a shuffle."""
     anywhere = F.udf(lambda _: random.SystemRandom().randrange(1 << 30), "int").asNondeterministic()
     spark.conf.set("spark.sql.exchange.reuse", "false")
-    try:
-        rows = spark.range(0, 120000, 1, 4).withColumn("at", anywhere("id")).repartition(4, "at").select(F.lit("g").alias("g"), "id")
-        got = keyed.number_rows(rows, ["g"], "id", "id", "n", start=0).agg(F.count("n"), F.count_distinct("n"), F.count_if(F.col("n") != F.col("id"))).first()
-    finally:
-        spark.conf.unset("spark.sql.exchange.reuse")
+    yield lambda df: df.withColumn("_at", anywhere(F.lit(0))).repartition(4, "_at").drop("_at")
+    spark.conf.unset("spark.sql.exchange.reuse")
+
+
+def test_numbers_whatever_order_rows_arrive_in(spark, any_order):
+    rows = any_order(spark.range(0, 120000, 1, 4)).select(F.lit("g").alias("g"), "id")
+    got = keyed.number_rows(rows, ["g"], "id", "id", "n", start=0).agg(F.count("n"), F.count_distinct("n"), F.count_if(F.col("n") != F.col("id"))).first()
+    assert tuple(got) == (120000, 120000, 0)
+
+
+def test_file_rows_whatever_order_lines_arrive_in(spark, any_order):
+    lines = any_order(spark.range(0, 120001, 1, 4)).select(F.col("id").alias("line_no"), F.when(F.col("id") == 0, "h").otherwise(F.col("id").cast("string")).alias("value"))
+    rows = readers._parsed(lines, ",", 0)
+    got = rows.agg(F.count("h"), F.count_distinct("row_seq"), F.count_if(F.col("row_seq") + 1 != F.col("h").cast("bigint"))).first()
     assert tuple(got) == (120000, 120000, 0)
 
 
