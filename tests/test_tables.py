@@ -309,6 +309,15 @@ def test_file_rows_whatever_order_lines_arrive_in(spark, any_order):
     assert tuple(got) == (120000, 120000, 0)
 
 
+def test_numbered_schools_whatever_order_rows_arrive_in(spark, any_order):
+    named = {"School type": "Openbaar", "Education level": "Primary", "School name": "A", "School code": "", "Latitude": "5 30 0 N", "Longitude": "55 15 0 W"}
+    rows = any_order(spark.range(0, 120000, 1, 4)).select(F.col("id").alias("row_seq"), *[F.lit(v).alias(k) for k, v in named.items()])
+    out = registries.standardize(registries.RULES["SUR"], {"main": rows})
+    number = F.regexp_extract("id_centro", r"^SUR_NOID_(\d{3,})$", 1).cast("bigint")
+    got = out.agg(F.count("id_centro"), F.count_distinct("id_centro"), F.count_if(number != F.col("row_seq") + 1)).first()
+    assert tuple(got) == (120000, 120000, 0)
+
+
 def test_coverage_of_building_paths(spark):
     schools = spark.createDataFrame(
         [("T", "1.0", 1, 1.0, 1.0), ("T", "2", 2, 2.0, 2.0), ("T", "3", 3, 3.0, 3.0), ("T", "4", 4, 4.0, 4.0), ("T", "5", 5, None, None)],
