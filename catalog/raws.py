@@ -182,7 +182,7 @@ def _addresses(t: Tables):
             F.concat(F.lit(" A"), (k % 1100).cast("string")).alias("Cueanexo"), F.when(k % 5 == 0, "nan").otherwise(segment).alias("Provincia"), name.alias("departamento"),
             F.concat(F.lit("Calle "), k.cast("string")).alias("ndomicilio"), F.when(k % 3 == 0, "x").otherwise(F.concat((k % 24).cast("string"), F.lit(".0"))).alias("cod_prov"), seq,
         ),
-        "DOM": t.customer.select(F.concat(F.lpad(k.cast("string"), 5, "0"), F.lit(" - "), name).alias("CENTROS"), segment.alias("Provincia"), name.alias("Municipio"), seq),
+        "DOM": t.customer.select(F.concat(F.format_string("%05d", k), F.lit(" - "), name).alias("CENTROS"), segment.alias("Provincia"), name.alias("Municipio"), seq),
         "ECU": t.customer.select(
             k.alias("AMIE"), segment.alias("Provincia"), name.alias("Canton"), (k % 7).alias("Cod_Parroquia"), (k % 24).alias("Cod_Provincia"), (100 + k % 24).alias("Cod_Canton"), seq
         ),

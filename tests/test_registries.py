@@ -5,6 +5,7 @@ from __future__ import annotations
 from conftest import values
 
 from access_spark.plans.registries import RULES, standardize
+from catalog import QUERIES
 
 
 def frame(spark, columns, *rows):
@@ -77,3 +78,11 @@ def test_small_sources(spark):
     points = frame(spark, ("AMIE", "x", "y"), ("17H1", "500000", "10000000"))
     out = standardize(RULES["ECU"], {"main": ecu, "points": points})
     assert flags(out) == [("17H1", "Private", 1, 1, 1)] and values(out, "latitud", "longitud")[0][1] == -81.0
+
+
+def test_addresses_of_schools_with_long_numbers(spark, tmp_path):
+    keys = (7, 12345, 100000, 100001, 1000012)
+    rows = [(k, f"Customer {k}", 1, 0.0, "BUILDING") for k in keys]
+    spark.createDataFrame(rows, "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string").write.parquet(f"{tmp_path}/customer.parquet")
+    out = QUERIES["extracted_addresses"](spark, str(tmp_path)).filter("adm0_pcode = 'DOM'")
+    assert values(out, "id_centro", "raw_adm2") == sorted((f"{k:05d}", f"Customer {k}") for k in keys)
